@@ -13,19 +13,19 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fixtures import oracle as O
 from fixtures import raw_tables as R
+from retailmarts.functions import columns
 from retailmarts.operators import quality, review_repair, rollups
 from retailmarts.plans import enrich, kpis, load, marts, staging
 from retailmarts.session import configure, shared_dir
 from retailmarts.sources import layers, raw
 from retailmarts.sources.schemas import RAW
+from retailmarts.sources.tables import Tables
 from retailmarts.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
-Tables = dict[str, DataFrame]
 
 PARSED = list(O.KINDS)  # all raw tables but the reviews, which are repaired instead
 REJECTS = [t for t in PARSED if t != "geolocation"]
@@ -60,10 +60,10 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_repair.reviews_typed(review_repair.reviews_clean(_records(spark, sf_dir, "reviews")))
 
 
-_BUILT: dict[tuple[str, str], Tables] = {}
+_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _built(spark: SparkSession, sf_dir: str) -> Tables:
+def _built(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All layers, written once per application: checks run on written tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
@@ -93,7 +93,9 @@ def _partition_pruned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered_orders(spark, sf_dir).groupBy("order_month").agg(rollups.rows().alias("n_rows"))
+    return _clustered_orders(spark, sf_dir).groupBy("order_month").agg(
+        *columns(n_rows="count(*)")
+    )
 
 
 def _quoted_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +116,7 @@ def _stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = {
-        t: raw.check_load(_records(spark, sf_dir, t), t).where(~F.col("_bad")) for t in RAW
+        t: raw.check_load(_records(spark, sf_dir, t), t).where("NOT _bad") for t in RAW
     }
     return layers.row_counts(accepted)
 
@@ -171,7 +173,7 @@ def queries() -> dict[str, Query]:
         stg_customers=lambda t: staging.stg_customers(t["customers"]),
         stg_products=lambda t: staging.stg_products(t["products"]),
         stg_sellers=lambda t: staging.stg_sellers(t["sellers"]),
-        row_counts=layers.row_counts,
+        row_counts=lambda t: layers.row_counts(t.pick(RAW)),
         dq_primary_keys=lambda t: quality.primary_key_findings(
             t, {name: spec.key for name, spec in RAW.items() if spec.key}
         ),

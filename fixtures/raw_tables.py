@@ -5,98 +5,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from retailmarts.sources.schemas import RAW
+from retailmarts.functions import columns
+from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
+from retailmarts.sources.tables import Tables
 
 DAMAGE_CLASSES = 31
 
 
+@cache
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _md5(c: Column | str) -> Column:
-    return F.md5((F.col(c) if isinstance(c, str) else c).cast("string"))
-
-
-def _city(c: Column) -> Column:
-    return F.concat(F.lit("city_"), c.cast("string"))
-
-
-def _div(a: Column, b: Column | int) -> Column:
-    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
-
-
-def _cents(amount: str) -> Column:
-    return F.rint(F.col(amount) * 100).cast("bigint")
+def _after(days: str = "0", seconds: str = "0") -> str:
+    """The purchase plus whole days and seconds."""
+    return f"timestamp_seconds(unix_timestamp(timestamp(o_orderdate)) + ({days}) * 86400 + ({seconds}))"
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = given(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    o = given(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    key, bought = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
-
-    def after(days=0, hours=0, seconds=0) -> Column:
-        return F.timestamp_seconds(F.unix_timestamp(bought) + days * 86400 + hours * 3600 + seconds)
-
-    status = F.col("o_orderstatus")
-    arrived = (status == "F") & (key % 33 != 0)
-    return o.select(
-        _md5("o_orderkey").alias("order_id"),
-        _md5("o_custkey").alias("customer_id"),
-        F.when(status == "F", "delivered").when(status == "O", "shipped").otherwise("processing")
-        .alias("order_status"),
-        bought.alias("order_purchase_timestamp"),
-        after(hours=key % 48).alias("order_approved_at"),
-        after(days=3).alias("order_delivered_carrier_date"),
-        F.when(arrived, after(days=key % 43, seconds=(key * 7919) % 86400))
-        .alias("order_delivered_customer_date"),
-        after(days=30 + F.col("c_nationkey") % 10).alias("order_estimated_delivery_date"),
-        key.alias("_row"),
-    )
+    orders = given(spark, sf_dir, "orders")
+    return orders.join(customer, F.expr("o_custkey = c_custkey"), "left").select(columns(
+        order_id="md5(string(o_orderkey))",
+        customer_id="md5(string(o_custkey))",
+        order_status="CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'"
+                     " ELSE 'processing' END",
+        order_purchase_timestamp="timestamp(o_orderdate)",
+        order_approved_at=_after(seconds="o_orderkey % 48 * 3600"),
+        order_delivered_carrier_date=_after("3"),
+        order_delivered_customer_date="CASE WHEN o_orderstatus = 'F' AND o_orderkey % 33 <> 0 THEN "
+                                      + _after("o_orderkey % 43", "o_orderkey * 7919 % 86400") + " END",
+        order_estimated_delivery_date=_after("30 + c_nationkey % 10"),
+        _row="o_orderkey",
+    ))
 
 
 def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    power = F.element_at(F.array(*[F.lit(10**p).cast("bigint") for p in (2, 3, 4, 5)]),
-                         (F.col("l_suppkey") % 4 + 1).cast("int"))
-    return given(spark, sf_dir, "lineitem").select(
-        _md5("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").cast("bigint").alias("order_item_id"),
-        _md5("l_partkey").alias("product_id"),
-        _md5("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").cast("timestamp").alias("shipping_limit_date"),
-        (_div(_cents("l_extendedprice"), power) / F.lit(100.0)).alias("price"),
-        F.col("l_quantity").alias("freight_value"),
-        (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("_row"),
-    )
+    return given(spark, sf_dir, "lineitem").select(columns(
+        order_id="md5(string(l_orderkey))",
+        order_item_id="bigint(l_linenumber)",
+        product_id="md5(string(l_partkey))",
+        seller_id="md5(string(l_suppkey))",
+        shipping_limit_date="timestamp(l_shipdate)",
+        price="(bigint(rint(l_extendedprice * 100D)) div CASE l_suppkey % 4 WHEN 0 THEN 100L"
+              " WHEN 1 THEN 1000L WHEN 2 THEN 10000L ELSE 100000L END) / 100D",
+        freight_value="l_quantity",
+        _row="l_orderkey * 7 + l_linenumber",
+    ))
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = {"1-URGENT": "credit_card", "2-HIGH": "boleto", "3-MEDIUM": "voucher",
-             "4-NOT SPECIFIED": "debit_card"}
-    kind, key = F.lit("not_defined"), F.col("o_orderkey")
-    for priority, name in kinds.items():
-        kind = F.when(F.col("o_orderpriority") == priority, F.lit(name)).otherwise(kind)
-
-    def payment(sequential: int, kind: Column, installments: Column, value: Column) -> Column:
-        return F.struct(
-            F.lit(sequential).cast("bigint").alias("payment_sequential"),
-            kind.alias("payment_type"),
-            installments.cast("bigint").alias("payment_installments"),
-            value.alias("payment_value"),
-        )
+    kind = (
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'boleto'"
+        " WHEN '3-MEDIUM' THEN 'voucher' WHEN '4-NOT SPECIFIED' THEN 'debit_card' ELSE 'not_defined' END"
+    )
+    tenth = "(bigint(rint(o_totalprice * 100D)) div 10L) / 100D"
+    names = "payment_sequential, payment_type, payment_installments, payment_value".split(", ")
 
-    first = payment(1, kind, key % 24 + 1, F.col("o_totalprice"))
-    tenth = _div(_cents("o_totalprice"), 10) / F.lit(100.0)
-    second = payment(2, F.lit("voucher"), F.lit(1), F.when(key % 40 == 0, F.lit(0.0)).otherwise(tenth))
-    paid = F.when(key % 20 == 0, F.array(first, second)).otherwise(F.array(first))
-    return given(spark, sf_dir, "orders").select(
-        _md5("o_orderkey").alias("order_id"), key, F.inline(paid)
-    ).select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
-             (key * 2 + F.col("payment_sequential")).alias("_row"))
+    def payment(*values: str) -> str:
+        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(names, values)) + ")"
+
+    first = payment("1L", kind, "o_orderkey % 24 + 1", "o_totalprice")
+    second = payment("2L", "'voucher'", "1L", f"CASE WHEN o_orderkey % 40 = 0 THEN 0D ELSE {tenth} END")
+    return (
+        given(spark, sf_dir, "orders")
+        .selectExpr(
+            "o_orderkey",
+            f"inline(CASE WHEN o_orderkey % 20 = 0 THEN array({first}, {second}) ELSE array({first}) END)",
+        )
+        .selectExpr(
+            "md5(string(o_orderkey)) AS order_id", "payment_sequential", "payment_type",
+            "payment_installments", "payment_value", "o_orderkey * 2 + payment_sequential AS _row",
+        )
+    )
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,91 +90,79 @@ def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    c = given(spark, sf_dir, "customer").join(
-        _nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    return c.select(
-        _md5("c_custkey").alias("customer_id"),
-        F.md5(F.concat(F.lit("u"), (key % 1000).cast("string"))).alias("customer_unique_id"),
-        (key % 12).cast("string").alias("customer_zip_code_prefix"),
-        _city(key % 50).alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
-        key.alias("_row"),
-    )
+    customer = given(spark, sf_dir, "customer")
+    return customer.join(_nation(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left").select(columns(
+        customer_id="md5(string(c_custkey))",
+        customer_unique_id="md5('u' || c_custkey % 1000)",
+        customer_zip_code_prefix="string(c_custkey % 12)",
+        customer_city="'city_' || c_custkey % 50",
+        customer_state="n_name",
+        _row="c_custkey",
+    ))
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
-    return given(spark, sf_dir, "part").select(
-        _md5("p_partkey").alias("product_id"),
-        F.when(key % 50 == 0, "").otherwise(F.lower("p_type")).alias("product_category_name"),
-        F.length("p_name").cast("bigint").alias("product_name_length"),
-        (size * 10).alias("product_description_length"),
-        F.nullif(key % 6, F.lit(0).cast("bigint")).alias("product_photos_qty"),
-        (size * 100).cast("double").alias("product_weight_g"),
-        (size + F.lit(0.5)).cast("double").alias("product_length_cm"),
-        (size + F.lit(1)).cast("double").alias("product_height_cm"),
-        (size + F.lit(2)).cast("double").alias("product_width_cm"),
-        key.alias("_row"),
-    )
+    return given(spark, sf_dir, "part").select(columns(
+        product_id="md5(string(p_partkey))",
+        product_category_name="CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lower(p_type) END",
+        product_name_length="bigint(length(p_name))",
+        product_description_length="bigint(p_size * 10)",
+        product_photos_qty="nullif(p_partkey % 6, 0L)",
+        product_weight_g="double(p_size * 100)",
+        product_length_cm="p_size + 0.5D",
+        product_height_cm="p_size + 1D",
+        product_width_cm="p_size + 2D",
+        _row="p_partkey",
+    ))
 
 
 def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    s = given(spark, sf_dir, "supplier").join(
-        _nation(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "left"
-    )
-    return s.select(
-        _md5("s_suppkey").alias("seller_id"),
-        (key % 15).cast("string").alias("seller_zip_code_prefix"),
-        _city(key % 10).alias("seller_city"),
-        F.col("n_name").alias("seller_state"),
-        key.alias("_row"),
-    )
+    supplier = given(spark, sf_dir, "supplier")
+    return supplier.join(_nation(spark, sf_dir), F.expr("s_nationkey = n_nationkey"), "left").select(columns(
+        seller_id="md5(string(s_suppkey))",
+        seller_zip_code_prefix="string(s_suppkey % 15)",
+        seller_city="'city_' || s_suppkey % 10",
+        seller_state="n_name",
+        _row="s_suppkey",
+    ))
 
 
 def _geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "embeddings").select(
-        F.col("label").cast("string").alias("geolocation_zip_code_prefix"),
-        F.get("embedding", F.lit(0)).cast("double").alias("geolocation_lat"),
-        F.get("embedding", F.lit(1)).cast("double").alias("geolocation_lng"),
-        _city(F.col("vec_id") % 3).alias("geolocation_city"),
-        F.concat(F.lit("NATION_"), F.col("label").cast("string")).alias("geolocation_state"),
-        F.col("vec_id").alias("_row"),
-    )
+    return given(spark, sf_dir, "embeddings").select(columns(
+        geolocation_zip_code_prefix="string(label)",
+        geolocation_lat="double(get(embedding, 0))",
+        geolocation_lng="double(get(embedding, 1))",
+        geolocation_city="'city_' || vec_id % 3",
+        geolocation_state="'NATION_' || label",
+        _row="vec_id",
+    ))
 
 
 def _category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.lower("p_type")
-    return (
-        given(spark, sf_dir, "part").select(kind.alias("product_category_name")).distinct()
-        .where("product_category_name <> 'promo'")
-        .select(
-            "product_category_name",
-            F.concat(F.lit("en_"), F.col("product_category_name")).alias("product_category_name_english"),
-            F.length("product_category_name").cast("bigint").alias("_row"),
-        )
-    )
+    kinds = given(spark, sf_dir, "part").where("p_type <> 'PROMO'").select("p_type").distinct()
+    return kinds.select(columns(
+        product_category_name="lower(p_type)",
+        product_category_name_english="'en_' || lower(p_type)",
+        _row="bigint(length(p_type))",
+    ))
 
 
 def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as their author wrote them, before any damage."""
-    key = F.col("doc_id")
-
-    def at(seconds: Column) -> Column:
-        return F.date_format(F.timestamp_seconds(F.lit(1514764800) + seconds), "yyyy-MM-dd HH:mm:ss")
-
-    return given(spark, sf_dir, "documents").select(
-        F.md5(F.concat(F.lit("r"), key.cast("string"))).alias("review_id"),
-        _md5("doc_id").alias("order_id"),
-        (key % 5 + 1).cast("string").alias("review_score"),
-        F.col("source").alias("review_comment_title"),
-        F.translate("text", '\t\n\x0b\x0c\r"', "      ").alias("review_comment_message"),
-        at(key * 3600).alias("review_creation_date"),
-        at(key * 3600 + 86400).alias("review_answer_timestamp"),
-        key.alias("_row"),
-    )
+
+    def at(seconds: str) -> str:
+        return f"date_format(timestamp_seconds(1514764800 + {seconds}), 'yyyy-MM-dd HH:mm:ss')"
+
+    return given(spark, sf_dir, "documents").select(columns(
+        review_id="md5('r' || doc_id)",
+        order_id="md5(string(doc_id))",
+        review_score="string(doc_id % 5 + 1)",
+        review_comment_title="source",
+        review_comment_message="translate(text, '\\t\\n\\u000b\\u000c\\r\"', '      ')",
+        review_creation_date=at("doc_id * 3600"),
+        review_answer_timestamp=at("doc_id * 3600 + 86400"),
+        _row="doc_id",
+    ))
 
 
 _MAPPINGS = {
@@ -208,14 +182,8 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _MAPPINGS[table](spark, sf_dir).select(RAW[table].names)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: raw_table(spark, sf_dir, name) for name in RAW}
-
-
-def _as_text(name: str, kind: T.DataType) -> Column:
-    if kind == T.TimestampType():
-        return F.coalesce(F.date_format(name, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables({name: (lambda name=name: raw_table(spark, sf_dir, name)) for name in RAW})
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -225,55 +193,43 @@ def damaged_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     hold garbage; 5 typed fields are blank; 6 text fields are quoted and hold a comma and quotes;
     7 whole numbers have a fraction, decimals are ``1e3``, instants have a fraction of a second.
     """
-    df = _MAPPINGS[table](spark, sf_dir).withColumn("_class", F.col("_row") % DAMAGE_CLASSES)
-    garbage = {T.LongType(): "5d", T.DoubleType(): "nan", T.TimestampType(): "2018-02-30 10:00:00"}
-
-    def field(name: str, kind: T.DataType) -> Column:
-        plain, cls = _as_text(name, kind), F.col("_class")
-        if kind == T.StringType():
-            return (
-                F.when(cls == 3, F.concat(F.lit(" \t"), plain, F.lit("  ")))
-                .when(cls == 6, F.concat(F.lit('"'), plain, F.lit(', ""q"""')))
-                .otherwise(plain)
-            )
-        odd = {
-            T.LongType(): F.lit("1.5"),
-            T.DoubleType(): F.lit("1e3"),
-            T.TimestampType(): F.when(plain != "", F.concat(plain, F.lit(".250"))).otherwise(plain),
-        }[kind]
+    garbage = {WHOLE: "5d", DECIMAL: "nan", INSTANT: "2018-02-30 10:00:00"}
+    odd = {WHOLE: "'1.5'", DECIMAL: "'1e3'", INSTANT: "{c} || CASE WHEN {c} = '' THEN '' ELSE '.250' END"}
+
+    def plain(name: str, kind) -> str:
+        shown = f"date_format({name}, 'yyyy-MM-dd HH:mm:ss')" if kind == INSTANT else f"string({name})"
+        return f"coalesce({shown}, '')"
+
+    def damaged(name: str, kind) -> str:
+        padded = f"WHEN 3 THEN ' \\t' || {name} || '  '"
+        if kind == TEXT:
+            return f"CASE _class {padded} WHEN 6 THEN '\"' || {name} || ', \"\"q\"\"\"' ELSE {name} END"
         return (
-            F.when(cls == 3, F.concat(F.lit(" \t"), plain, F.lit("  ")))
-            .when(cls == 4, F.lit(garbage[kind]))
-            .when(cls == 5, F.lit(" "))
-            .when(cls == 7, odd)
-            .otherwise(plain)
+            f"CASE _class {padded} WHEN 4 THEN '{garbage[kind]}' WHEN 5 THEN ' '"
+            f" WHEN 7 THEN {odd[kind].format(c=name)} ELSE {name} END"
         )
 
-    fields = [field(n, t) for n, t in RAW[table].columns.items()]
-    whole = F.concat_ws(",", *fields)
-    return df.select(
-        F.when(F.col("_class") == 1, F.concat_ws(",", *fields[:-1]))
-        .when(F.col("_class") == 2, F.concat(whole, F.lit(",surplus")))
-        .otherwise(whole)
-        .alias("line")
-    )
+    spec = RAW[table].columns
+    as_text = columns(**{n: plain(n, t) for n, t in spec.items()}, _class=f"_row % {DAMAGE_CLASSES}")
+    fields = columns(**{n: damaged(n, t) for n, t in spec.items()}, _class="_class")
+    names = RAW[table].names
+    whole, short = (f"concat_ws(',', {', '.join(n)})" for n in (names, names[:-1]))
+    line = f"CASE _class WHEN 1 THEN {short} WHEN 2 THEN {whole} || ',surplus' ELSE {whole} END"
+    return _MAPPINGS[table](spark, sf_dir).select(as_text).select(fields).select(columns(line=line))
 
 
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as CSV records: every 4th has an unquoted message, every 10th lacks the answer date,
     every 50th has a broken id."""
-    key = F.col("_row")
-    message = F.col("review_comment_message")
-    return _reviews(spark, sf_dir).select(
-        F.concat_ws(
-            ",",
-            F.when(key % 50 == 0, F.concat(F.lit("x"), "review_id")).otherwise(F.col("review_id")),
-            "order_id",
-            "review_score",
-            "review_comment_title",
-            F.when(key % 4 == 0, message).otherwise(F.concat(F.lit('"'), message, F.lit('"'))),
-            "review_creation_date",
-            # concat_ws leaves a NULL out together with its comma.
-            F.when(key % 10 != 0, F.col("review_answer_timestamp")),
-        ).alias("line")
-    )
+    message = "review_comment_message"
+    fields = [
+        "CASE WHEN _row % 50 = 0 THEN 'x' || review_id ELSE review_id END",
+        "order_id",
+        "review_score",
+        "review_comment_title",
+        f"CASE WHEN _row % 4 = 0 THEN {message} ELSE '\"' || {message} || '\"' END",
+        "review_creation_date",
+        # concat_ws leaves a NULL out together with its comma.
+        "CASE WHEN _row % 10 <> 0 THEN review_answer_timestamp END",
+    ]
+    return _reviews(spark, sf_dir).select(columns(line=f"concat_ws(',', {', '.join(fields)})"))

@@ -8,40 +8,42 @@ the ANSI sum fails instead of being wrong.  Digits past the fourth decimal are r
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 UNITS = 10_000
 
 
-def units(amount: Column) -> Column:
+def units(amount: str) -> str:
     """Amount as whole ten-thousandths; NULL and NaN give NULL."""
-    return F.rint(F.nanvl(amount, F.lit(None).cast("double")) * F.lit(float(UNITS))).cast("bigint")
+    return f"CAST(rint(nanvl({amount}, CAST(NULL AS DOUBLE)) * {UNITS}D) AS BIGINT)"
 
 
-def round_div(num: Column, den: Column | int) -> Column:
+def round_div(num: str, den: str | int) -> str:
     """``num / den`` to the nearest whole number, halves away from zero; NULL when ``den`` is 0."""
-    den = F.lit(den) if isinstance(den, int) else F.nullif(den, F.lit(0))
-    den = den.cast("bigint")
-    magnitude = F.call_function("div", F.abs(num) * F.lit(2) + den, den * F.lit(2))
-    return F.when(num < 0, -magnitude).otherwise(magnitude)
+    return (
+        f"(CASE WHEN {num} < 0 THEN -1L ELSE 1L END"
+        f" * ((abs({num}) * 2L + {den}) div nullif({den} * 2L, 0L)))"
+    )
 
 
-def money(total_units: Column) -> Column:
+def money(total_units: str) -> str:
     """Total in units → amount with two decimals."""
-    return round_div(total_units, UNITS // 100) / F.lit(100.0)
+    return f"({round_div(total_units, UNITS // 100)} / 100D)"
 
 
-def mean_money(total_units: Column, n: Column) -> Column:
+def mean_money(total_units: str, n: str) -> str:
     """Total in units over ``n`` → mean amount with two decimals."""
-    return round_div(total_units, n * F.lit(UNITS // 100)) / F.lit(100.0)
+    return f"({round_div(total_units, f'({n} * {UNITS // 100}L)')} / 100D)"
+
+
+def mean_2dp(total: str, n: str) -> str:
+    """Mean of whole numbers with two decimals."""
+    return f"({round_div(f'({total} * 100L)', n)} / 100D)"
 
 
-def mean_1dp(total: Column, n: Column) -> Column:
+def mean_1dp(total: str, n: str) -> str:
     """Mean of whole numbers with one decimal."""
-    return round_div(total * F.lit(10), n) / F.lit(10.0)
+    return f"({round_div(f'({total} * 10L)', n)} / 10D)"
 
 
-def percent(part: Column, whole: Column) -> Column:
+def percent(part: str, whole: str) -> str:
     """``part`` as a percentage of ``whole`` with one decimal; NULL when ``whole`` is 0."""
-    return round_div(part * F.lit(1000), whole) / F.lit(10.0)
+    return f"({round_div(f'({part} * 1000L)', whole)} / 10D)"

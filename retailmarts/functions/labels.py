@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Statuses, payment labels, seller tiers and delivery grades.
 VALID_STATUSES = [
     "delivered", "shipped", "canceled", "invoiced", "processing", "unavailable", "created", "approved",
@@ -21,36 +18,33 @@ GRADES = [(5, "Excellent"), (15, "Good"), (25, "Needs Improvement")]
 LOWEST_GRADE = "Poor"
 
 
-def delay_days(delivered: Column, estimated: Column) -> Column:
+def listed(values) -> str:
+    """Values as the inside of an SQL list."""
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def delay_days(delivered: str, estimated: str) -> str:
     """Whole days late, rounded down: one second early is −1, 23:59:59 late is 0."""
-    seconds = F.unix_timestamp(delivered) - F.unix_timestamp(estimated)
-    return F.floor(seconds / F.lit(86400)).cast("bigint")
+    return f"floor((unix_timestamp({delivered}) - unix_timestamp({estimated})) / 86400)"
 
 
-def payment_label(kind: Column) -> Column:
-    label = F.coalesce(kind, F.lit("Unknown"))
-    for raw, shown in PAYMENT_LABELS.items():
-        label = F.when(kind == raw, F.lit(shown)).otherwise(label)
-    return label
+def payment_label(kind: str) -> str:
+    cases = " ".join(f"WHEN '{raw}' THEN '{shown}'" for raw, shown in PAYMENT_LABELS.items())
+    return f"CASE {kind} {cases} ELSE coalesce({kind}, 'Unknown') END"
 
 
-def category_label(english: Column, original: Column) -> Column:
+def category_label(english: str, original: str) -> str:
     """English category, else the original one, else ``unknown``; blanks are skipped."""
-    blank = F.lit("")
-    return F.coalesce(F.nullif(english, blank), F.nullif(original, blank), F.lit("unknown"))
+    return f"coalesce(nullif({english}, ''), nullif({original}, ''), 'unknown')"
 
 
-def seller_tier(revenue: Column) -> Column:
+def seller_tier(revenue: str) -> str:
     """Tier by revenue; an unknown revenue is the lowest tier."""
-    tier = F.lit(LOWEST_TIER)
-    for least, name in reversed(TIERS):
-        tier = F.when(revenue >= least, F.lit(name)).otherwise(tier)
-    return tier
+    cases = " ".join(f"WHEN {revenue} >= {least} THEN '{name}'" for least, name in TIERS)
+    return f"CASE {cases} ELSE '{LOWEST_TIER}' END"
 
 
-def delivery_grade(late_pct: Column) -> Column:
+def delivery_grade(late_pct: str) -> str:
     """Grade by the rounded late percentage; an unknown percentage is the lowest grade."""
-    grade = F.lit(LOWEST_GRADE)
-    for most, name in reversed(GRADES):
-        grade = F.when(late_pct <= most, F.lit(name)).otherwise(grade)
-    return grade
+    cases = " ".join(f"WHEN {late_pct} <= {most} THEN '{name}'" for most, name in GRADES)
+    return f"CASE {cases} ELSE '{LOWEST_GRADE}' END"

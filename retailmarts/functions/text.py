@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The characters that count as surrounding whitespace.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
@@ -16,59 +13,62 @@ WHITESPACE = (
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 HEX_ID = r"^[a-f0-9]{32}$"
 INSTANT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-SCORES = ["1", "2", "3", "4", "5"]
+SCORES = "'1', '2', '3', '4', '5'"
+
+_BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
 
 
-def stripped(c: Column) -> Column:
+def stripped(c: str) -> str:
     """``c`` without surrounding whitespace of any kind; NULL stays NULL."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    return f"btrim({c}, '{_BLANKS}')"
 
 
 # The conversions below expect a stripped field and mention it several times, so strip in a projection
 # of its own.
 
 
-def text(c: Column) -> Column:
+def text(c: str) -> str:
     """Text; an absent field is ``''``, never NULL."""
-    return F.coalesce(c, F.lit(""))
+    return f"coalesce({c}, '')"
 
 
-def to_bigint(c: Column) -> Column:
+def to_bigint(c: str) -> str:
     """Whole number, or NULL when blank or anything else (``'1.5'`` is not a whole number)."""
-    return c.try_cast("bigint")
+    return f"try_cast({c} AS BIGINT)"
 
 
-def to_double(c: Column) -> Column:
+def to_double(c: str) -> str:
     """Finite decimal number, or NULL.
 
     The shape test is needed because Spark's cast also accepts ``5d`` or ``nan``.
     """
-    value = F.when(c.rlike(NUMBER), c.try_cast("double"))
-    return F.nullif(F.nullif(value, F.lit(float("inf"))), F.lit(float("-inf")))
+    value = f"CASE WHEN {c} RLIKE r'{NUMBER}' THEN try_cast({c} AS DOUBLE) END"
+    return f"nullif(nullif({value}, DOUBLE('Infinity')), DOUBLE('-Infinity'))"
 
 
-def to_instant(c: Column) -> Column:
+def to_instant(c: str) -> str:
     """Timestamp when the first 19 characters are a real date and time, else NULL.
 
     A fraction of a second after them is kept.
     """
-    whole = F.try_to_timestamp(F.left(c, F.lit(19)), F.lit("yyyy-M-d H:m:s"))
-    return F.when(F.length(c) <= 19, whole).otherwise(
-        F.when(whole.isNotNull(), F.coalesce(c.try_cast("timestamp"), whole))
+    whole = f"try_to_timestamp(left({c}, 19), 'yyyy-M-d H:m:s')"
+    return (
+        f"CASE WHEN length({c}) <= 19 THEN {whole}"
+        f" WHEN {whole} IS NOT NULL THEN coalesce(try_cast({c} AS TIMESTAMP), {whole}) END"
     )
 
 
-def is_hex_id(c: Column) -> Column:
-    return c.rlike(HEX_ID)
+def is_hex_id(c: str) -> str:
+    return f"({c} RLIKE r'{HEX_ID}')"
 
 
-def is_instant(c: Column) -> Column:
+def is_instant(c: str) -> str:
     """Shape test only: month 13 passes."""
-    return c.rlike(INSTANT)
+    return f"({c} RLIKE r'{INSTANT}')"
 
 
-def is_score(c: Column) -> Column:
-    return c.isin(SCORES)
+def is_score(c: str) -> str:
+    return f"({c} IN ({SCORES}))"
 
 
 # A field is quoted only if the quote is its first character; text after the closing quote belongs to
@@ -77,14 +77,10 @@ _FIELD = r'(?s),("(?:[^"]++|"")*+"[^,]*+|"(?:[^"]++|"")*+$|[^,]*+)'
 _QUOTED = r'(?s)^"((?:[^"]++|"")*+)"?(.*+)$'
 
 
-def csv_fields(record: Column) -> Column:
+def csv_fields(record: str) -> str:
     """All fields of one CSV record, however many there are, as an array of strings."""
-
-    def unquote(field: Column) -> Column:
-        inner = F.replace(F.regexp_extract(field, _QUOTED, 1), F.lit('""'), F.lit('"'))
-        return F.when(
-            field.startswith('"'), F.concat(inner, F.regexp_extract(field, _QUOTED, 2))
-        ).otherwise(field)
-
-    fields = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1))
-    return F.transform(fields, unquote)
+    inner = f"""replace(regexp_extract(f, r'{_QUOTED}', 1), '""', '"')"""
+    return (
+        f"transform(regexp_extract_all(',' || {record}, r'{_FIELD}', 1), f -> CASE"
+        f" WHEN startswith(f, '\"') THEN {inner} || regexp_extract(f, r'{_QUOTED}', 2) ELSE f END)"
+    )

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailmarts.functions import columns
+
 _SPREAD = "_key_hash"
 
 
-def one_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """One row per key: the smallest tuple of ``columns``, the same on every run.
+def one_per_key(df: DataFrame, key: str, wanted: list[str]) -> DataFrame:
+    """One row per key: the smallest tuple of the wanted columns, the same on every run.
 
     Duplicates of a key collapse before the shuffle.
     """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(F.struct(*columns)).alias("_first"))
-        .select(key, "_first.*")
-    )
+    first = columns(_first=f"min(struct({', '.join(wanted)}))")
+    return df.where(f"{key} IS NOT NULL").groupBy(key).agg(*first).select(key, "_first.*")
 
 
 def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -38,17 +36,16 @@ def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, key: str, columns: list[str], missing: str | None = None
+    left: DataFrame, right: DataFrame, key: str, wanted: list[str], missing: str | None = None
 ) -> DataFrame:
     """First match of ``right`` for every row of ``left``; ``missing`` where there is none."""
-    joined = attach(left, one_per_key(right, key, columns), key)
-    found = [F.col(c) if missing is None else F.coalesce(c, F.lit(missing)).alias(c) for c in columns]
-    return joined.select(*left.columns, *found)
+    found = {c: c if missing is None else f"coalesce({c}, '{missing}')" for c in wanted}
+    return attach(left, one_per_key(right, key, wanted), key).select(*left.columns, *columns(**found))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Rows of ``child`` whose key has no row in ``parent``; a NULL key refers to nothing."""
-    keys = parent.select(F.col(parent_key).alias("_parent"))
-    return child.where(F.col(child_key).isNotNull()).join(
+    keys = parent.selectExpr(f"{parent_key} AS _parent")
+    return child.where(f"{child_key} IS NOT NULL").join(
         keys, F.col(child_key) == F.col("_parent"), "left_anti"
     )

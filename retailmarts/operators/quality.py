@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from retailmarts.functions.exact import money, percent, units
+from retailmarts.functions import columns
+from retailmarts.functions.exact import money, percent
 from retailmarts.functions.labels import (
     GRADES,
     LOWEST_GRADE,
@@ -16,11 +17,12 @@ from retailmarts.functions.labels import (
     PAYMENT_LABELS,
     TIERS,
     VALID_STATUSES,
+    listed,
 )
 from retailmarts.operators.lookup import orphans
-from retailmarts.operators.rollups import rows
+from retailmarts.operators.rollups import sum_units
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
@@ -86,32 +88,45 @@ RELATIONSHIPS = [
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(f"{column} IS NULL")
 
 
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once; NULL keys are no keys."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(rows().alias("n_rows")).where("n_rows > 1")
+    return (
+        df.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+        .groupBy(*keys)
+        .agg(*columns(n_rows="count(*)"))
+        .where("n_rows > 1")
+    )
 
 
 def unexpected_values(df: DataFrame, column: str, values) -> DataFrame:
     """Values outside the list, with their number of rows."""
-    return (
-        df.where(~F.col(column).isin(*values)).groupBy(column).agg(rows().alias("n_rows"))
-    )
+    outside = df.where(f"{column} NOT IN ({listed(values)})")
+    return outside.groupBy(column).agg(*columns(n_rows="count(*)"))
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _finding(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.table).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test"),
-        failures.alias("failures"),
-    )
+def _as_rows(df: DataFrame, findings: list[dict[str, str]]) -> DataFrame:
+    """One pass over ``df``: a row per finding, whose columns are aggregate expressions."""
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in finding.items()) + ")"
+        for finding in findings
+    ]
+    return df.agg(*columns(found=f"array({', '.join(structs)})")).selectExpr("inline(found)")
+
+
+def _finding(check: Check, failures: str) -> dict[str, str]:
+    return {
+        "table_name": f"'{check.table}'",
+        "column_name": f"'{check.column}'",
+        "test": f"'{check.test}'",
+        "failures": failures,
+    }
 
 
 def run_checks(tables: Tables, checks: list[Check] = CHECKS) -> DataFrame:
@@ -119,25 +134,24 @@ def run_checks(tables: Tables, checks: list[Check] = CHECKS) -> DataFrame:
 
     All not-null and accepted-values checks of a table share one pass over it.
     """
+
+    def counted(check: Check) -> str:
+        if check.test == "not_null":
+            return f"count_if({check.column} IS NULL)"
+        inside = f"{check.column} IN ({listed(check.values)})"
+        return f"count(DISTINCT CASE WHEN NOT {inside} THEN {check.column} END)"
+
     parts = []
     for name in dict.fromkeys(c.table for c in checks):
         mine = [c for c in checks if c.table == name]
-        counted = [c for c in mine if c.test != "unique"]
-        if counted:
-            findings = [
-                _finding(
-                    c,
-                    F.count_if(F.col(c.column).isNull())
-                    if c.test == "not_null"
-                    else F.count_distinct(F.when(~F.col(c.column).isin(*c.values), F.col(c.column))),
-                )
-                for c in counted
-            ]
-            parts.append(tables[name].agg(F.array(*findings).alias("found")).select(F.inline("found")))
-        for c in mine:
-            if c.test == "unique":
-                repeated = duplicate_keys(tables[name], c.column)
-                parts.append(repeated.agg(F.array(_finding(c, rows())).alias("found")).select(F.inline("found")))
+        findings = [_finding(c, counted(c)) for c in mine if c.test != "unique"]
+        if findings:
+            parts.append(_as_rows(tables[name], findings))
+        parts += [
+            _as_rows(duplicate_keys(tables[name], c.column), [_finding(c, "count(*)")])
+            for c in mine
+            if c.test == "unique"
+        ]
     return union(parts)
 
 
@@ -149,13 +163,16 @@ def primary_key_findings(raw: Tables, keys: dict[str, tuple[str, ...]]) -> DataF
     """Per raw table: rows with a NULL or blank part of the key, and keys that occur twice."""
     parts = []
     for name, key in keys.items():
-        missing = reduce(Column.__or__, [F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in key])
-        nulls = raw[name].agg(F.count_if(missing).alias("null_keys"))
-        twice = duplicate_keys(raw[name], *key).agg(rows().alias("duplicate_keys"))
+        missing = " OR ".join(f"coalesce(string({k}), '') = ''" for k in key)
+        table_name = f"'{name}'"
         # Two single rows side by side.
         parts.append(
-            nulls.withColumn("table_name", F.lit(name))
-            .join(twice.withColumn("table_name", F.lit(name)), "table_name")
+            raw[name].agg(*columns(table_name=table_name, null_keys=f"count_if({missing})")).join(
+                duplicate_keys(raw[name], *key).agg(
+                    *columns(table_name=table_name, duplicate_keys="count(*)")
+                ),
+                "table_name",
+            )
         )
     return union(parts)
 
@@ -163,47 +180,44 @@ def primary_key_findings(raw: Tables, keys: dict[str, tuple[str, ...]]) -> DataF
 def orphan_counts(raw: Tables, relationships=RELATIONSHIPS) -> DataFrame:
     """Rows per relationship whose key has no parent."""
     return union([
-        orphans(raw[child], raw[parent], child_key, parent_key)
-        .agg(rows().alias("orphans"))
-        .select(
-            F.lit(f"{child}.{child_key}").alias("child"),
-            F.lit(f"{parent}.{parent_key}").alias("parent"),
-            "orphans",
+        orphans(raw[child], raw[parent], child_key, parent_key).agg(
+            *columns(child=f"'{child}.{child_key}'", parent=f"'{parent}.{parent_key}'", orphans="count(*)")
         )
         for child, child_key, parent, parent_key in relationships
     ])
 
 
-def null_rates(df: DataFrame, *columns: str) -> DataFrame:
+def null_rates(df: DataFrame, *names: str) -> DataFrame:
     """Per column: rows, NULL rows and their percentage, in one pass."""
-    found = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            rows().alias("n_rows"),
-            F.count_if(F.col(c).isNull()).alias("null_rows"),
-            percent(F.count_if(F.col(c).isNull()), rows()).alias("null_pct"),
-        )
-        for c in columns
-    ]
-    return df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return _as_rows(df, [
+        {
+            "column_name": f"'{c}'",
+            "n_rows": "count(*)",
+            "null_rows": f"count_if({c} IS NULL)",
+            "null_pct": percent(f"count_if({c} IS NULL)", "count(*)"),
+        }
+        for c in names
+    ])
 
 
 def date_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(
-        F.min(column).alias("first_at"),
-        F.max(column).alias("last_at"),
-        F.count_distinct(F.date_format(column, "yyyy-MM")).alias("months"),
+        *columns(
+            first_at=f"min({column})",
+            last_at=f"max({column})",
+            months=f"count(DISTINCT date_format({column}, 'yyyy-MM'))",
+        )
     )
 
 
 def total_gmv(items: DataFrame) -> DataFrame:
-    return items.agg(money(F.sum(units(F.col("price")))).alias("gmv_brl"))
+    return items.agg(*columns(gmv_brl=money(sum_units("price"))))
 
 
 def non_positive_prices(items: DataFrame) -> DataFrame:
-    return items.where(F.col("price") <= 0)
+    return items.where("price <= 0")
 
 
 def report(findings: DataFrame) -> DataFrame:
     """Findings with a pass or fail status."""
-    return findings.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    return findings.select("*", *columns(status="CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from retailmarts.functions import columns, once
 from retailmarts.functions import text as X
 from retailmarts.functions.exact import percent
+from retailmarts.sources import raw
 from retailmarts.sources.raw import BROKEN
 from retailmarts.sources.schemas import RAW
 
@@ -14,39 +15,33 @@ NAMES = RAW["reviews"].names
 GOOD, RECONSTRUCTED, SKIPPED = "already_good", "reconstructed", "skipped"
 
 
-def _rebuilt(fields: Column, places: Column) -> Column:
+def _rebuilt(fields: str, places: str) -> str:
     """Seven fields rebuilt around the ids, the score and the last two timestamps, or NULL.
 
     Of what lies between score and creation date the first field is the title, the rest the message.
     With one timestamp there is no answer date; without any the record is lost.  Text after the
     creation date that is not the last timestamp is lost too.
     """
-    two = F.size(places) >= 2
-    created_at = F.get(places, F.when(two, F.size(places) - 2).otherwise(0))
-    answered_at = F.get(places, F.size(places) - 1)
-    middle = F.slice(fields, F.lit(4), created_at - 3)
-    rebuilt = F.array(
-        *[F.get(fields, F.lit(i)) for i in range(3)],
-        F.coalesce(F.get(middle, F.lit(0)), F.lit("")),
-        F.array_join(F.slice(middle, F.lit(2), F.greatest(F.size(middle) - 1, F.lit(0))), ", "),
-        F.get(fields, created_at),
-        F.when(two, F.get(fields, answered_at)).otherwise(F.lit("")),
-    )
-    anchored = (
-        (F.size(fields) >= 3)
-        & X.is_hex_id(F.get(fields, F.lit(0)))
-        & X.is_hex_id(F.get(fields, F.lit(1)))
-        & X.is_score(F.get(fields, F.lit(2)))
-        & (F.size(places) >= 1)
-    )
-    return F.when(anchored, rebuilt)
-
-
-def _instant_places(fields: Column) -> Column:
-    """Positions of the fields that look like a timestamp."""
-    return F.filter(
-        F.transform(fields, lambda f, i: F.when(X.is_instant(f), i)), lambda place: place.isNotNull()
-    )
+    anchored = " AND ".join([
+        f"size({fields}) >= 3",
+        X.is_hex_id(f"get({fields}, 0)"),
+        X.is_hex_id(f"get({fields}, 1)"),
+        X.is_score(f"get({fields}, 2)"),
+        f"size({places}) >= 1",
+    ])
+    two = f"size({places}) >= 2"
+    created_at = f"get({places}, greatest(size({places}) - 2, 0))"
+    answered_at = f"get({places}, size({places}) - 1)"
+    middle = f"slice({fields}, 4, {created_at} - 3)"
+    message = f"array_join(slice({fields}, 5, greatest({created_at} - 4, 0)), ', ')"
+    rebuilt = ", ".join([
+        *(f"get({fields}, {i})" for i in range(3)),
+        f"coalesce(get({middle}, 0), '')",
+        message,
+        f"get({fields}, {created_at})",
+        f"CASE WHEN {two} THEN get({fields}, {answered_at}) ELSE '' END",
+    ])
+    return f"CASE WHEN {anchored} THEN array({rebuilt}) END"
 
 
 def classify(records: DataFrame) -> DataFrame:
@@ -55,53 +50,69 @@ def classify(records: DataFrame) -> DataFrame:
     A record with seven fields is kept as it is, whatever they hold.  Any other is rebuilt if its
     anchors allow, else skipped, with all columns NULL.
     """
-    whole = F.col(BROKEN).isNull()
-    kept = F.array(*[F.coalesce(n, F.lit("")) for n in NAMES])
-    row = F.when(whole, kept).otherwise(_rebuilt(F.col("_fields"), F.col("_places")))
-    outcome = F.when(whole, GOOD).when(F.col("_row").isNotNull(), RECONSTRUCTED).otherwise(SKIPPED)
+    whole = f"{BROKEN} IS NULL"
+    kept = ", ".join(f"coalesce({n}, '')" for n in NAMES)
+    fields = f"transform({X.csv_fields(BROKEN)}, f -> {X.stripped('f')})"
+    places = f"filter(transform(_fields, (f, i) -> CASE WHEN {X.is_instant('f')} THEN i END), i -> i IS NOT NULL)"
+    outcome = f"CASE WHEN _whole THEN '{GOOD}' WHEN _row IS NOT NULL THEN '{RECONSTRUCTED}' ELSE '{SKIPPED}' END"
     return (
-        records.withColumn("_fields", F.transform(X.csv_fields(F.col(BROKEN)), X.stripped))
-        .withColumn("_places", _instant_places(F.col("_fields")))
-        .withColumn("_row", row)
-        .select(*[F.get("_row", F.lit(i)).alias(n) for i, n in enumerate(NAMES)], outcome.alias("outcome"))
+        records.select("*", once(_fields=fields))
+        .select("*", once(_places=places))
+        .select(
+            once(
+                _whole=whole,
+                _row=f"CASE WHEN {whole} THEN array({kept}) ELSE {_rebuilt('_fields', '_places')} END",
+            )
+        )
+        .select(columns(**{n: f"get(_row, {i})" for i, n in enumerate(NAMES)}, outcome=outcome))
     )
 
 
+def check_header(spark: SparkSession, path: str) -> None:
+    """Fail unless the header has as many columns as a review."""
+    first = spark.read.text(path).limit(1).select(*columns(n=f"size({X.csv_fields('value')})")).head()
+    if first is None or first.n != len(NAMES):
+        raise ValueError(f"{path}: expected {len(NAMES)} header columns, got {first and first.n}")
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Untyped records of the review file(s) at ``path``."""
+    check_header(spark, path)
+    return raw.scan(spark, "reviews", path)
+
+
 def reviews_clean(records: DataFrame) -> DataFrame:
     """All records that could be kept or rebuilt, as text."""
-    return classify(records).where(F.col("outcome") != SKIPPED).select(NAMES)
+    return classify(records).where(f"outcome <> '{SKIPPED}'").select(NAMES)
 
 
 def reviews_stats(records: DataFrame) -> DataFrame:
     """One row: output, good, reconstructed and skipped records, recovery in percent."""
-    def n(*outcomes: str) -> Column:
-        return F.count_if(F.col("outcome").isin(*outcomes))
-
-    output = n(GOOD, RECONSTRUCTED)
+    output = f"count_if(outcome <> '{SKIPPED}')"
     return classify(records).agg(
-        output.alias("total_output"),
-        n(GOOD).alias("already_good"),
-        n(RECONSTRUCTED).alias("reconstructed"),
-        n(SKIPPED).alias("skipped"),
-        percent(output, F.count(F.lit(1))).alias("recovery_rate"),
+        *columns(
+            total_output=output,
+            already_good=f"count_if(outcome = '{GOOD}')",
+            reconstructed=f"count_if(outcome = '{RECONSTRUCTED}')",
+            skipped=f"count_if(outcome = '{SKIPPED}')",
+            recovery_rate=percent(output, "count(*)"),
+        )
     )
 
 
 def reviews_typed(clean: DataFrame) -> DataFrame:
     """Declared model: well-formed reviews with score and dates typed."""
+    valid = [X.is_hex_id("review_id"), X.is_hex_id("order_id"), X.is_score("review_score")]
     return (
-        clean.select([X.stripped(F.col(n)).alias(n) for n in NAMES])
-        .where(
-            X.is_hex_id(F.col("review_id")) & X.is_hex_id(F.col("order_id")) & X.is_score(F.col("review_score"))
-        )
+        clean.select(columns(**{n: X.stripped(n) for n in NAMES}))
+        .where(" AND ".join(valid))
         .select(
             "review_id",
             "order_id",
-            X.to_bigint(F.col("review_score")).alias("review_score"),
+            *columns(review_score=X.to_bigint("review_score")),
             "review_comment_title",
             "review_comment_message",
-            X.to_instant(F.col("review_creation_date")).alias("review_creation_date"),
-            X.to_instant(F.col("review_answer_timestamp")).alias("review_answer_timestamp"),
+            *columns(**{n: X.to_instant(n) for n in ("review_creation_date", "review_answer_timestamp")}),
         )
-        .where(F.col("review_creation_date").isNotNull())
+        .where("review_creation_date IS NOT NULL")
     )

@@ -6,43 +6,42 @@ so one hot order, seller or state never lands in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from retailmarts.functions import columns
 from retailmarts.functions.exact import mean_1dp, money, percent, round_div, units
 
 
-def rows() -> Column:
-    return F.count(F.lit(1))
-
-
-def sum_units(amount: str) -> Column:
-    return F.sum(units(F.col(amount)))
+def sum_units(amount: str) -> str:
+    return f"sum({units(amount)})"
 
 
 def delivered(orders: DataFrame) -> DataFrame:
-    return orders.where(F.col("order_status") == "delivered")
+    return orders.where("order_status = 'delivered'")
 
 
 def order_values(items: DataFrame) -> DataFrame:
     """Per order: revenue, freight, total value, distinct products, items."""
     return items.groupBy("order_id").agg(
-        money(sum_units("price")).alias("total_revenue"),
-        money(sum_units("freight_value")).alias("total_freight"),
-        money(sum_units("total_item_value")).alias("total_order_value"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        rows().alias("total_items"),
+        *columns(
+            total_revenue=money(sum_units("price")),
+            total_freight=money(sum_units("freight_value")),
+            total_order_value=money(sum_units("total_item_value")),
+            distinct_products="count(DISTINCT product_id)",
+            total_items="count(*)",
+        )
     )
 
 
 def order_payments(payments: DataFrame) -> DataFrame:
     """Per order: amount paid, distinct methods, largest and mean number of installments."""
-    parts = F.col("payment_installments")
     return payments.groupBy("order_id").agg(
-        money(sum_units("payment_value")).alias("total_payment_value"),
-        F.count_distinct("payment_type").alias("payment_methods_used"),
-        F.max(parts).alias("max_installments"),
-        mean_1dp(F.sum(parts), F.count(parts)).alias("avg_installments"),
+        *columns(
+            total_payment_value=money(sum_units("payment_value")),
+            payment_methods_used="count(DISTINCT payment_type)",
+            max_installments="max(payment_installments)",
+            avg_installments=mean_1dp("sum(payment_installments)", "count(payment_installments)"),
+        )
     )
 
 
@@ -53,70 +52,70 @@ def order_facts(items: DataFrame, payments: DataFrame) -> DataFrame:
     cents, the mean number of installments is in tenths; a measure is NULL where the order has no row
     of its kind.
     """
-    none = F.lit(None).cast("bigint")
+    none = "CAST(NULL AS BIGINT)"
     item_rows = items.select(
         "order_id",
-        units(F.col("price")).alias("price"),
-        units(F.col("freight_value")).alias("freight"),
-        units(F.col("total_item_value")).alias("value"),
-        F.lit(1).cast("bigint").alias("item"),
-        none.alias("parts"),
+        *columns(
+            price=units("price"),
+            freight=units("freight_value"),
+            value=units("total_item_value"),
+            item="1L",
+            parts=none,
+        ),
     )
     payment_rows = payments.select(
-        "order_id", none.alias("price"), none.alias("freight"), none.alias("value"), none.alias("item"),
-        F.col("payment_installments").alias("parts"),
+        "order_id",
+        *columns(price=none, freight=none, value=none, item=none, parts="payment_installments"),
     )
     return (
         item_rows.unionByName(payment_rows)
         .groupBy("order_id")
         .agg(
-            round_div(F.sum("price"), 100).alias("revenue_cents"),
-            round_div(F.sum("freight"), 100).alias("freight_cents"),
-            round_div(F.sum("value"), 100).alias("value_cents"),
-            F.count("item").alias("items"),
-            F.max("parts").alias("max_installments"),
-            round_div(F.sum("parts") * F.lit(10), F.count("parts")).alias("installment_tenths"),
+            *columns(
+                revenue_cents=round_div("sum(price)", 100),
+                freight_cents=round_div("sum(freight)", 100),
+                value_cents=round_div("sum(value)", 100),
+                items="count(item)",
+                max_installments="max(parts)",
+                installment_tenths=round_div("(sum(parts) * 10L)", "count(parts)"),
+            )
         )
     )
 
 
 def item_totals(items: DataFrame) -> DataFrame:
     """Per order: total item value in units."""
-    return items.groupBy("order_id").agg(sum_units("total_item_value").alias("value_units"))
+    return items.groupBy("order_id").agg(*columns(value_units=sum_units("total_item_value")))
 
 
 def top_category_per_seller(sold: DataFrame) -> DataFrame:
     """Per seller: the category with most items; of equal ones the first in the alphabet."""
-    best = Window.partitionBy("seller_id").orderBy(F.desc("item_count"), F.asc("category_display"))
+    place = "row_number() OVER (PARTITION BY seller_id ORDER BY item_count DESC, category_display)"
     return (
         sold.groupBy("seller_id", "category_display")
-        .agg(rows().alias("item_count"))
-        .withColumn("rn", F.row_number().over(best))
+        .agg(*columns(item_count="count(*)"))
+        .select("*", *columns(rn=place))
         .where("rn = 1")
-        .select("seller_id", F.col("category_display").alias("top_category"))
+        .selectExpr("seller_id", "category_display AS top_category")
     )
 
 
 def state_centroid(geolocation: DataFrame) -> DataFrame:
     """Per state: mean of its ZIPs' coordinates, which have six decimals; four are kept."""
-    def mean_4dp(coordinate: str) -> Column:
-        millionths = F.rint(F.col(coordinate) * F.lit(1e6)).cast("bigint")
-        return round_div(F.sum(millionths), F.count(millionths) * F.lit(100)) / F.lit(1e4)
+
+    def mean_4dp(coordinate: str) -> str:
+        millionths = f"sum(CAST(rint({coordinate} * 1e6D) AS BIGINT))"
+        return f"({round_div(millionths, f'(count({coordinate}) * 100L)')} / 1e4D)"
 
     return geolocation.groupBy("state").agg(
-        mean_4dp("latitude").alias("state_lat"), mean_4dp("longitude").alias("state_lng")
+        *columns(state_lat=mean_4dp("latitude"), state_lng=mean_4dp("longitude"))
     )
 
 
-def share(part: Column, over) -> Column:
-    """``part`` as a percentage, one decimal, of its sum over a window."""
-    return percent(part, F.sum(part).over(over))
-
-
-def distribution(df: DataFrame, column: str) -> DataFrame:
+def distribution(df: DataFrame, column: str, counted: str = "n_rows") -> DataFrame:
     """Rows per value with their share of all rows; the window only sees one row per value."""
     return (
         df.groupBy(column)
-        .agg(rows().alias("n_rows"))
-        .withColumn("pct", share(F.col("n_rows"), Window.partitionBy()))
+        .agg(*columns(**{counted: "count(*)"}))
+        .select("*", *columns(pct=percent(counted, f"(sum({counted}) OVER ())")))
     )

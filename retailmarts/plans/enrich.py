@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from retailmarts.functions import columns
 from retailmarts.functions.labels import delay_days
 from retailmarts.operators.lookup import lookup
 from retailmarts.sources.schemas import ENRICHED, conform
@@ -12,10 +12,8 @@ from retailmarts.sources.schemas import ENRICHED, conform
 
 def with_delay(orders: DataFrame) -> DataFrame:
     """Delivery delay in days and whether the order was late; NULL where a date is missing."""
-    delay = delay_days(F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date"))
-    return orders.withColumn("delivery_delay_days", delay).withColumn(
-        "is_late_delivery", F.col("delivery_delay_days") > 0
-    )
+    delay = delay_days("order_delivered_customer_date", "order_estimated_delivery_date")
+    return orders.select("*", *columns(delivery_delay_days=delay, is_late_delivery=f"{delay} > 0"))
 
 
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -59,18 +57,21 @@ def geolocation_deduped(geolocation: DataFrame) -> DataFrame:
     ZIPs without any latitude or any longitude are left out.  Points are first added up per
     (ZIP, state, city), a plain hash aggregation; only its few rows meet the ordering of the second.
     """
-    zip_code, lat, lng = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
-    places = geolocation.groupBy(zip_code, "geolocation_state", "geolocation_city").agg(
-        F.sum(lat).alias("lat"), F.count(lat).alias("lats"),
-        F.sum(lng).alias("lng"), F.count(lng).alias("lngs"),
+    places = geolocation.selectExpr(
+        "geolocation_zip_code_prefix AS zip_code_prefix", "geolocation_state", "geolocation_city",
+        "geolocation_lat AS lat", "geolocation_lng AS lng",
+    ).groupBy("zip_code_prefix", "geolocation_state", "geolocation_city").agg(
+        *columns(lat="sum(lat)", lats="count(lat)", lng="sum(lng)", lngs="count(lng)")
     )
     return (
-        places.groupBy(F.col(zip_code).alias("zip_code_prefix"))
+        places.groupBy("zip_code_prefix")
         .agg(
-            F.round(F.try_divide(F.sum("lat"), F.sum("lats")), 6).alias("avg_lat"),
-            F.round(F.try_divide(F.sum("lng"), F.sum("lngs")), 6).alias("avg_lng"),
-            F.min(F.struct("geolocation_state", "geolocation_city")).alias("place"),
+            *columns(
+                avg_lat="round(try_divide(sum(lat), sum(lats)), 6)",
+                avg_lng="round(try_divide(sum(lng), sum(lngs)), 6)",
+                place="min(struct(geolocation_state, geolocation_city))",
+            )
         )
-        .where(F.col("avg_lat").isNotNull() & F.col("avg_lng").isNotNull())
+        .where("avg_lat IS NOT NULL AND avg_lng IS NOT NULL")
         .select("zip_code_prefix", "avg_lat", "avg_lng", "place.*")
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from retailmarts.functions.exact import mean_money, money, percent, round_div
+from retailmarts.functions import columns
+from retailmarts.functions.exact import mean_2dp, mean_money, money, percent
 from retailmarts.operators.lookup import attach
-from retailmarts.operators.rollups import delivered, item_totals, rows, sum_units
+from retailmarts.operators.rollups import delivered, distribution, item_totals, sum_units
+
+_MEAN_SCORE = mean_2dp("sum(review_score)", "count(*)")
 
 
 def category_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -16,16 +18,14 @@ def category_revenue(orders: DataFrame, items: DataFrame) -> DataFrame:
         delivered(orders).select("order_id"), "order_id"
     )
     return sold.groupBy("category_display").agg(
-        money(sum_units("price")).alias("revenue_brl"),
-        rows().alias("items_sold"),
-        F.count_distinct("order_id").alias("orders"),
+        *columns(
+            revenue_brl=money(sum_units("price")),
+            items_sold="count(*)",
+            orders="count(DISTINCT order_id)",
+        )
     )
 
 
-def _mean_2dp(total, n):
-    return round_div(total * F.lit(100), n) / F.lit(100.0)
-
-
 def review_by_state(reviews: DataFrame, items: DataFrame) -> DataFrame:
     """Mean score and reviews per seller state; an order of two states counts in both."""
     places = items.select("order_id", "seller_state").distinct()
@@ -33,16 +33,15 @@ def review_by_state(reviews: DataFrame, items: DataFrame) -> DataFrame:
         reviews.select("order_id", "review_score")
         .join(places, "order_id")
         .groupBy("seller_state")
-        .agg(_mean_2dp(F.sum("review_score"), rows()).alias("avg_score"), rows().alias("reviews"))
+        .agg(*columns(avg_score=_MEAN_SCORE, reviews="count(*)"))
     )
 
 
 def on_time_rate(orders: DataFrame) -> DataFrame:
     """Share of delivered orders that arrived on or before the estimate."""
-    known = delivered(orders).where(F.col("delivery_delay_days").isNotNull())
-    on_time = F.count_if(F.col("delivery_delay_days") <= 0)
-    return known.agg(
-        rows().alias("deliveries"), on_time.alias("on_time"), percent(on_time, rows()).alias("on_time_pct")
+    on_time = "count_if(delivery_delay_days <= 0)"
+    return delivered(orders).where("delivery_delay_days IS NOT NULL").agg(
+        *columns(deliveries="count(*)", on_time=on_time, on_time_pct=percent(on_time, "count(*)"))
     )
 
 
@@ -51,21 +50,21 @@ def aov_by_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
     per_order = (
         payments.join(delivered(orders).select("order_id"), "order_id")
         .groupBy("order_id", "payment_type")
-        .agg(sum_units("payment_value").alias("paid"))
+        .agg(*columns(paid=sum_units("payment_value")))
     )
     return per_order.groupBy("payment_type").agg(
-        rows().alias("orders"), mean_money(F.sum("paid"), F.count("paid")).alias("aov_brl")
+        *columns(orders="count(*)", aov_brl=mean_money("sum(paid)", "count(paid)"))
     )
 
 
 def monthly_active(orders: DataFrame) -> DataFrame:
     """Distinct customers per month and the change from the month before."""
     months = orders.groupBy("order_month").agg(
-        F.count_distinct("customer_unique_id").alias("active_customers")
+        *columns(active_customers="count(DISTINCT customer_unique_id)")
     )
     # One row per month is left, so a single ordering of them is small at any scale.
-    before = F.lag("active_customers").over(Window.orderBy(F.asc_nulls_last("order_month")))
-    return months.withColumn("change", F.col("active_customers") - before)
+    before = "lag(active_customers) OVER (ORDER BY order_month ASC NULLS LAST)"
+    return months.select("*", *columns(change=f"active_customers - {before}"))
 
 
 def customer_ltv(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -74,31 +73,27 @@ def customer_ltv(orders: DataFrame, items: DataFrame) -> DataFrame:
         delivered(orders).select("customer_unique_id", "order_id", "order_purchase_timestamp"),
         item_totals(items),
         "order_id",
-    ).where(F.col("customer_unique_id").isNotNull())
-    value = F.sum("value_units")
+    ).where("customer_unique_id IS NOT NULL")
     return bought.groupBy("customer_unique_id").agg(
-        F.count_distinct("order_id").alias("orders"),
-        money(F.coalesce(value, F.lit(0).cast("bigint"))).alias("lifetime_value_brl"),
-        F.min("order_purchase_timestamp").alias("first_order_at"),
-        F.max("order_purchase_timestamp").alias("last_order_at"),
-        mean_money(value, F.count("value_units")).alias("avg_order_value_brl"),
+        *columns(
+            orders="count(DISTINCT order_id)",
+            lifetime_value_brl=money("coalesce(sum(value_units), 0L)"),
+            first_order_at="min(order_purchase_timestamp)",
+            last_order_at="max(order_purchase_timestamp)",
+            avg_order_value_brl=mean_money("sum(value_units)", "count(value_units)"),
+        )
     )
 
 
 def processing_hours(orders: DataFrame) -> DataFrame:
     """Hours from purchase to approval of each order."""
-    seconds = F.unix_timestamp("order_approved_at") - F.unix_timestamp("order_purchase_timestamp")
-    return orders.select("order_id", (seconds / F.lit(3600.0)).alias("processing_time_hours"))
+    seconds = "(unix_timestamp(order_approved_at) - unix_timestamp(order_purchase_timestamp))"
+    return orders.select("order_id", *columns(processing_time_hours=f"{seconds} / 3600D"))
 
 
 def review_distribution(reviews: DataFrame) -> DataFrame:
     """Reviews per score with their share."""
-    n = F.col("reviews")
-    return (
-        reviews.groupBy("review_score")
-        .agg(rows().alias("reviews"))
-        .withColumn("pct", percent(n, F.sum(n).over(Window.partitionBy())))
-    )
+    return distribution(reviews, "review_score", counted="reviews")
 
 
 def score_by_delivery(reviews: DataFrame, orders: DataFrame) -> DataFrame:
@@ -107,15 +102,15 @@ def score_by_delivery(reviews: DataFrame, orders: DataFrame) -> DataFrame:
         reviews.select("order_id", "review_score")
         .join(orders.select("order_id", "is_late_delivery"), "order_id")
         .groupBy("is_late_delivery")
-        .agg(_mean_2dp(F.sum("review_score"), rows()).alias("avg_score"), rows().alias("reviews"))
+        .agg(*columns(avg_score=_MEAN_SCORE, reviews="count(*)"))
     )
 
 
 def status_by_month(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("order_month", "order_status").agg(rows().alias("orders"))
+    return orders.groupBy("order_month", "order_status").agg(*columns(orders="count(*)"))
 
 
 def customers_by_state(customers: DataFrame) -> DataFrame:
     return customers.groupBy("customer_state").agg(
-        F.count_distinct("customer_unique_id").alias("customers")
+        *columns(customers="count(DISTINCT customer_unique_id)")
     )

@@ -9,8 +9,7 @@ from retailmarts.plans import enrich, marts, staging
 from retailmarts.session import checkpoint
 from retailmarts.sources import layers, raw
 from retailmarts.sources.schemas import RAW
-
-Tables = dict[str, DataFrame]
+from retailmarts.sources.tables import Tables
 
 
 def load_raw(
@@ -24,59 +23,59 @@ def load_raw(
     spec, seen = RAW[table], Observation(f"load_{table}")
     checked = checkpoint(
         raw.check_load(raw.scan(spark, table, path), table).observe(
-            seen, F.count_if("_bad").alias("bad")
+            seen, F.expr("count_if(_bad) AS bad")
         )
     )
     raw.within_budget(seen.get["bad"], table, max_bad)
-    good = checked.where(~F.col("_bad")).drop("_bad")
+    good = checked.where("NOT _bad").drop("_bad")
     layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of)
     return layers.read_table(spark, root, "raw", table)
 
 
 def enriched_tables(source: Tables) -> Tables:
     """The four enriched tables of the raw ones."""
-    return {
-        "orders_enriched": enrich.orders_enriched(source["orders"], source["customers"]),
-        "order_items_enriched": enrich.order_items_enriched(
+    return Tables({
+        "orders_enriched": lambda: enrich.orders_enriched(source["orders"], source["customers"]),
+        "order_items_enriched": lambda: enrich.order_items_enriched(
             source["order_items"], source["sellers"], source["products"], source["category_translation"]
         ),
-        "payments": enrich.payments(source["payments"]),
-        "geolocation_deduped": enrich.geolocation_deduped(source["geolocation"]),
-    }
+        "payments": lambda: enrich.payments(source["payments"]),
+        "geolocation_deduped": lambda: enrich.geolocation_deduped(source["geolocation"]),
+    })
 
 
 def staging_models(enriched: Tables) -> Tables:
     """The four staging models of the enriched tables."""
-    return {
-        "stg_orders": staging.stg_orders(enriched["orders_enriched"]),
-        "stg_order_items": staging.stg_order_items(enriched["order_items_enriched"]),
-        "stg_payments": staging.stg_payments(enriched["payments"]),
-        "stg_geolocation": staging.stg_geolocation(enriched["geolocation_deduped"]),
-    }
+    return Tables({
+        "stg_orders": lambda: staging.stg_orders(enriched["orders_enriched"]),
+        "stg_order_items": lambda: staging.stg_order_items(enriched["order_items_enriched"]),
+        "stg_payments": lambda: staging.stg_payments(enriched["payments"]),
+        "stg_geolocation": lambda: staging.stg_geolocation(enriched["geolocation_deduped"]),
+    })
 
 
 def mart_models(stg: Tables) -> Tables:
     """The five marts of the staging models."""
-    orders, items = stg["stg_orders"], stg["stg_order_items"]
-    payments, geolocation = stg["stg_payments"], stg["stg_geolocation"]
-    return {
-        "mart_order_kpis": marts.mart_order_kpis(orders, items, payments),
-        "mart_seller_performance": marts.mart_seller_performance(orders, items),
-        "mart_delivery_performance": marts.mart_delivery_performance(orders),
-        "mart_geo_sales": marts.mart_geo_sales(orders, items, geolocation),
-        "mart_payment_analysis": marts.mart_payment_analysis(payments, orders),
-    }
-
-
-def build(spark: SparkSession, source: Tables, root: str) -> Tables:
+    orders, items = "stg_orders", "stg_order_items"
+    payments, geolocation = "stg_payments", "stg_geolocation"
+    return Tables({
+        "mart_order_kpis": lambda: marts.mart_order_kpis(stg[orders], stg[items], stg[payments]),
+        "mart_seller_performance": lambda: marts.mart_seller_performance(stg[orders], stg[items]),
+        "mart_delivery_performance": lambda: marts.mart_delivery_performance(stg[orders]),
+        "mart_geo_sales": lambda: marts.mart_geo_sales(stg[orders], stg[items], stg[geolocation]),
+        "mart_payment_analysis": lambda: marts.mart_payment_analysis(stg[payments], stg[orders]),
+    })
+
+
+def build(spark: SparkSession, source: Tables, root: str) -> dict[str, DataFrame]:
     """Write enriched tables and marts under ``root``; staging stays lazy on top of the written tables."""
-    enriched = {}
-    for name, df in enriched_tables(source).items():
-        layers.write_table(df, root, "staging", name)
-        enriched[name] = layers.read_table(spark, root, "staging", name)
+
+    def written(layer: str, models: Tables) -> dict[str, DataFrame]:
+        for name in models.makers:
+            layers.write_table(models[name], root, layer, name)
+        return {name: layers.read_table(spark, root, layer, name) for name in models.makers}
+
+    enriched = written("staging", enriched_tables(source))
     stg = staging_models(enriched)
-    built = {}
-    for name, df in mart_models(stg).items():
-        layers.write_table(df, root, "mart", name)
-        built[name] = layers.read_table(spark, root, "mart", name)
-    return {**enriched, **stg, **built}
+    built = written("mart", mart_models(stg))
+    return {**enriched, **stg.pick(stg.makers), **built}

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailmarts.functions import columns
 from retailmarts.functions.exact import mean_1dp, mean_money, money, percent, round_div, units
 from retailmarts.functions.labels import delivery_grade, seller_tier
 from retailmarts.operators.lookup import attach
@@ -12,53 +13,52 @@ from retailmarts.operators.rollups import (
     delivered,
     item_totals,
     order_facts,
-    rows,
-    share,
     state_centroid,
     sum_units,
     top_category_per_seller,
 )
 
+_MEAN_DELAY = mean_1dp("sum(delivery_delay_days)", "count(delivery_delay_days)")
+_LATE = "count_if(is_late_delivery)"
+_ORDERS = "count(DISTINCT order_id)"
+
 
 def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Delivered orders per month: volume, revenue, delivery and payment behaviour."""
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    per_order = attach(
-        delivered(orders).select(
-            "order_id", "order_month", "order_year", "order_month_num", "customer_state",
-            "delivery_delay_days", "is_late_delivery",
-        ),
-        order_facts(items, payments),
-        "order_id",
-    ).select(
+    of_order = [
         "order_id", "order_month", "order_year", "order_month_num", "customer_state",
         "delivery_delay_days", "is_late_delivery",
-        F.coalesce("revenue_cents", zero).alias("revenue"),
-        F.coalesce("freight_cents", zero).alias("freight"),
-        F.coalesce("value_cents", zero).alias("value"),
-        F.coalesce("items", zero).alias("items"),
-        F.coalesce("max_installments", one).alias("max_parts"),
-        F.coalesce("installment_tenths", one * 10).alias("parts_tenths"),
+    ]
+    per_order = attach(
+        delivered(orders).select(of_order), order_facts(items, payments), "order_id"
+    ).select(
+        *of_order,
+        *columns(
+            revenue="coalesce(revenue_cents, 0L)",
+            freight="coalesce(freight_cents, 0L)",
+            value="coalesce(value_cents, 0L)",
+            items="coalesce(items, 0L)",
+            max_parts="coalesce(max_installments, 1L)",
+            parts_tenths="coalesce(installment_tenths, 10L)",
+        ),
     )
-    n = rows()
-    late = F.count_if(F.col("is_late_delivery"))
-    orders_n = F.count_distinct("order_id")
     return (
         per_order.groupBy("order_month", "order_year", "order_month_num")
         .agg(
-            orders_n.alias("total_orders"),
-            F.count_distinct("customer_state").alias("states_served"),
-            (F.sum("revenue") / F.lit(100.0)).alias("gmv_brl"),
-            (F.sum("freight") / F.lit(100.0)).alias("total_freight_brl"),
-            (round_div(F.sum("value"), n) / F.lit(100.0)).alias("aov_brl"),
-            F.sum("items").cast("double").alias("total_items_sold"),
-            late.alias("late_orders"),
-            F.count_if(~F.col("is_late_delivery")).alias("on_time_orders"),
-            mean_1dp(F.sum("delivery_delay_days"), F.count("delivery_delay_days"))
-            .alias("avg_delivery_delay_days"),
-            percent(late, orders_n).alias("late_delivery_pct"),
-            (round_div(F.sum("parts_tenths"), n) / F.lit(10.0)).alias("avg_installments"),
-            mean_1dp(F.sum("max_parts"), n).alias("avg_max_installments"),
+            *columns(
+                total_orders=_ORDERS,
+                states_served="count(DISTINCT customer_state)",
+                gmv_brl="sum(revenue) / 100D",
+                total_freight_brl="sum(freight) / 100D",
+                aov_brl=f"{round_div('sum(value)', 'count(*)')} / 100D",
+                total_items_sold="double(sum(items))",
+                late_orders=_LATE,
+                on_time_orders="count_if(NOT is_late_delivery)",
+                avg_delivery_delay_days=_MEAN_DELAY,
+                late_delivery_pct=percent(_LATE, _ORDERS),
+                avg_installments=f"{round_div('sum(parts_tenths)', 'count(*)')} / 10D",
+                avg_max_installments=mean_1dp("sum(max_parts)", "count(*)"),
+            )
         )
         .orderBy(F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month_num"))
     )
@@ -80,20 +80,18 @@ def seller_rollup(sold: DataFrame) -> DataFrame:
 
     The late percentage divides late items by orders, so it can exceed 100.
     """
-    late = F.count_if(F.col("is_late_delivery"))
-    orders_n = F.count_distinct("order_id")
-    price = units(F.col("price"))
     return sold.groupBy("seller_id", "seller_state", "seller_city").agg(
-        orders_n.alias("total_orders"),
-        rows().alias("total_items_sold"),
-        money(F.sum(price)).alias("total_revenue_brl"),
-        mean_money(F.sum(price), F.count(price)).alias("avg_item_price_brl"),
-        money(sum_units("total_item_value")).alias("total_gmv_brl"),
-        mean_1dp(F.sum("delivery_delay_days"), F.count("delivery_delay_days"))
-        .alias("avg_delivery_delay_days"),
-        late.alias("late_deliveries"),
-        percent(late, orders_n).alias("late_delivery_pct"),
-        F.count_distinct("order_month").alias("active_months"),
+        *columns(
+            total_orders=_ORDERS,
+            total_items_sold="count(*)",
+            total_revenue_brl=money(sum_units("price")),
+            avg_item_price_brl=mean_money(sum_units("price"), f"count({units('price')})"),
+            total_gmv_brl=money(sum_units("total_item_value")),
+            avg_delivery_delay_days=_MEAN_DELAY,
+            late_deliveries=_LATE,
+            late_delivery_pct=percent(_LATE, _ORDERS),
+            active_months="count(DISTINCT order_month)",
+        )
     )
 
 
@@ -106,7 +104,7 @@ def mart_seller_performance(orders: DataFrame, items: DataFrame) -> DataFrame:
             "seller_id", "seller_state", "seller_city", "total_orders", "total_items_sold",
             "total_revenue_brl", "avg_item_price_brl", "total_gmv_brl", "avg_delivery_delay_days",
             "late_deliveries", "late_delivery_pct", "top_category", "active_months",
-            seller_tier(F.col("total_revenue_brl")).alias("seller_tier"),
+            *columns(seller_tier=seller_tier("total_revenue_brl")),
         )
         .orderBy(F.desc_nulls_last("total_revenue_brl"), "seller_id")
     )
@@ -114,25 +112,25 @@ def mart_seller_performance(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def mart_delivery_performance(orders: DataFrame) -> DataFrame:
     """Delivered orders with a known delay, per customer state: how early or late, and a grade."""
-    delay = F.col("delivery_delay_days")
-    late, early = F.count_if(delay > 0), F.count_if(delay < 0)
-    late_pct = percent(late, rows())
+    late_pct = percent("count_if(delivery_delay_days > 0)", "count(*)")
     return (
         delivered(orders)
-        .where(delay.isNotNull())
+        .where("delivery_delay_days IS NOT NULL")
         .groupBy("customer_state")
         .agg(
-            F.count_distinct("order_id").alias("total_delivered_orders"),
-            early.alias("early_deliveries"),
-            F.count_if(delay == 0).alias("on_time_deliveries"),
-            late.alias("late_deliveries"),
-            F.count_if(delay > 7).alias("very_late_deliveries"),
-            late_pct.alias("late_pct"),
-            percent(early, rows()).alias("early_pct"),
-            mean_1dp(F.sum(delay), F.count(delay)).alias("avg_delay_days"),
-            F.min(delay).alias("best_delivery_days"),
-            F.max(delay).alias("worst_delivery_days"),
-            delivery_grade(late_pct).alias("delivery_grade"),
+            *columns(
+                total_delivered_orders=_ORDERS,
+                early_deliveries="count_if(delivery_delay_days < 0)",
+                on_time_deliveries="count_if(delivery_delay_days = 0)",
+                late_deliveries="count_if(delivery_delay_days > 0)",
+                very_late_deliveries="count_if(delivery_delay_days > 7)",
+                late_pct=late_pct,
+                early_pct=percent("count_if(delivery_delay_days < 0)", "count(*)"),
+                avg_delay_days=_MEAN_DELAY,
+                best_delivery_days="min(delivery_delay_days)",
+                worst_delivery_days="max(delivery_delay_days)",
+                delivery_grade=delivery_grade(late_pct),
+            )
         )
         .orderBy(F.desc_nulls_last("late_pct"), "customer_state")
     )
@@ -140,39 +138,38 @@ def mart_delivery_performance(orders: DataFrame) -> DataFrame:
 
 def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per delivered or shipped order and place: item value in units, NULL without items."""
-    moving = orders.where(F.col("order_status").isin("delivered", "shipped")).select(
-        "order_id", "customer_state", "customer_zip_code_prefix"
-    )
+    place = ["order_id", "customer_state", "customer_zip_code_prefix"]
+    moving = orders.where("order_status IN ('delivered', 'shipped')").select(place)
     return (
         attach(moving, item_totals(items), "order_id")
-        .groupBy("order_id", "customer_state", "customer_zip_code_prefix")
-        .agg(F.sum("value_units").alias("value_units"))
+        .groupBy(place)
+        .agg(*columns(value_units="sum(value_units)"))
     )
 
 
 def state_rollup(totals: DataFrame) -> DataFrame:
     """Per state: orders, total and mean value (orders without items do not count), ZIPs."""
-    value = F.sum("value_units")
-    return totals.groupBy(F.col("customer_state").alias("state")).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        money(value).alias("total_gmv_brl"),
-        mean_money(value, F.count("value_units")).alias("avg_order_value_brl"),
-        F.count_distinct("customer_zip_code_prefix").alias("distinct_zips"),
+    return totals.withColumnRenamed("customer_state", "state").groupBy("state").agg(
+        *columns(
+            total_orders=_ORDERS,
+            total_gmv_brl=money("sum(value_units)"),
+            avg_order_value_brl=mean_money("sum(value_units)", "count(value_units)"),
+            distinct_zips="count(DISTINCT customer_zip_code_prefix)",
+        )
     )
 
 
 def mart_geo_sales(orders: DataFrame, items: DataFrame, geolocation: DataFrame) -> DataFrame:
     """Sales per customer state with the state's centre and its rank by value."""
-    by_value = F.desc_nulls_last("total_gmv_brl")
+    # One row per state is left, so a single ordering of them is small at any scale.
+    rank = "bigint(rank() OVER (ORDER BY total_gmv_brl DESC NULLS LAST))"
     return (
         attach(state_rollup(order_totals(orders, items)), state_centroid(geolocation), "state")
-        # One row per state is left, so a single ordering of them is small at any scale.
-        .withColumn("gmv_rank", F.rank().over(Window.orderBy(by_value)).cast("bigint"))
         .select(
             "state", "total_orders", "total_gmv_brl", "avg_order_value_brl", "distinct_zips",
-            "state_lat", "state_lng", "gmv_rank",
+            "state_lat", "state_lng", *columns(gmv_rank=rank),
         )
-        .orderBy(by_value, "state")
+        .orderBy(F.desc_nulls_last("total_gmv_brl"), "state")
     )
 
 
@@ -189,20 +186,23 @@ def mart_payment_analysis(payments: DataFrame, orders: DataFrame) -> DataFrame:
     An order paid in two ways counts for both, also in the month's total; ``instalment_orders`` counts
     payments.
     """
-    value, parts = units(F.col("payment_value")), F.col("payment_installments")
-    month = Window.partitionBy("order_month")
+    month_orders = "(sum(total_orders) OVER (PARTITION BY order_month))"
     return (
         paid_orders(payments, orders)
         .groupBy("payment_type", "order_month", "order_year")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            money(F.sum(value)).alias("total_payment_value_brl"),
-            mean_money(F.sum(value), F.count(value)).alias("avg_payment_value_brl"),
-            F.count_if("is_instalment_purchase").alias("instalment_orders"),
-            mean_1dp(F.sum(parts), F.count(parts)).alias("avg_installments"),
-            F.max(parts).alias("max_installments"),
+            *columns(
+                total_orders=_ORDERS,
+                total_payment_value_brl=money(sum_units("payment_value")),
+                avg_payment_value_brl=mean_money(
+                    sum_units("payment_value"), f"count({units('payment_value')})"
+                ),
+                instalment_orders="count_if(is_instalment_purchase)",
+                avg_installments=mean_1dp("sum(payment_installments)", "count(payment_installments)"),
+                max_installments="max(payment_installments)",
+            )
         )
-        .withColumn("pct_of_monthly_orders", share(F.col("total_orders"), month))
+        .select("*", *columns(pct_of_monthly_orders=percent("total_orders", month_orders)))
         .orderBy(
             F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month"),
             F.desc_nulls_last("total_orders"), "payment_type",

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from retailmarts.functions import columns
 from retailmarts.functions.exact import money, units
-from retailmarts.functions.labels import VALID_STATUSES, category_label, payment_label
+from retailmarts.functions.labels import VALID_STATUSES, category_label, listed, payment_label
 
 
-def _present(*columns: str) -> Column:
+def _present(*names: str) -> str:
     """All columns are non-NULL; unlike ``dropna`` this keeps NaN."""
-    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    return " AND ".join(f"{name} IS NOT NULL" for name in names)
 
 
 def _has_key(df: DataFrame, key: str) -> DataFrame:
-    return df.where(_present(key) & (F.col(key) != ""))
+    return df.where(f"{_present(key)} AND {key} <> ''")
 
 
 def stg_orders(enriched: DataFrame) -> DataFrame:
@@ -26,72 +24,72 @@ def stg_orders(enriched: DataFrame) -> DataFrame:
         "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
         "order_delivered_customer_date", "order_estimated_delivery_date",
     ]
-    purchase = F.col("order_purchase_timestamp").cast("timestamp")
+    purchase = "CAST(order_purchase_timestamp AS TIMESTAMP)"
     return enriched.where(
-        _present("order_id", "customer_id") & F.col("order_status").isin(VALID_STATUSES)
+        f"{_present('order_id', 'customer_id')} AND order_status IN ({listed(VALID_STATUSES)})"
     ).select(
         "order_id",
         "customer_id",
         "customer_unique_id",
         "order_status",
-        *[F.col(c).cast("timestamp").alias(c) for c in instants],
+        *columns(**{c: f"CAST({c} AS TIMESTAMP)" for c in instants}),
         "delivery_delay_days",
         "is_late_delivery",
         "customer_state",
         "customer_city",
         "customer_zip_code_prefix",
-        F.to_date(purchase).alias("order_date"),
-        F.date_format(purchase, "yyyy-MM").alias("order_month"),
-        F.year(purchase).cast("bigint").alias("order_year"),
-        F.month(purchase).cast("bigint").alias("order_month_num"),
+        *columns(
+            order_date=f"to_date({purchase})",
+            order_month=f"date_format({purchase}, 'yyyy-MM')",
+            order_year=f"bigint(year({purchase}))",
+            order_month_num=f"bigint(month({purchase}))",
+        ),
     )
 
 
 def stg_order_items(enriched: DataFrame) -> DataFrame:
     """Line items with keys and a price, plus their total value and shown category."""
-    zero = F.lit(0).cast("bigint")
-    total = F.coalesce(units(F.col("price")), zero) + F.coalesce(units(F.col("freight_value")), zero)
+    total = f"(coalesce({units('price')}, 0L) + coalesce({units('freight_value')}, 0L))"
     return enriched.where(_present("order_id", "product_id", "seller_id", "price")).select(
         "order_id",
         "order_item_id",
         "product_id",
         "seller_id",
-        F.col("shipping_limit_date").cast("timestamp").alias("shipping_limit_date"),
+        *columns(shipping_limit_date="CAST(shipping_limit_date AS TIMESTAMP)"),
         "price",
         "freight_value",
-        money(total).alias("total_item_value"),
+        *columns(total_item_value=money(total)),
         "seller_state",
         "seller_city",
         "product_category_name",
         "product_category_name_english",
-        category_label(
-            F.col("product_category_name_english"), F.col("product_category_name")
-        ).alias("category_display"),
+        *columns(
+            category_display=category_label("product_category_name_english", "product_category_name")
+        ),
     )
 
 
 def stg_payments(payments: DataFrame) -> DataFrame:
     """Payments of a positive amount, with readable types and an instalment flag."""
-    value = F.col("payment_value")
     return payments.where(
-        _present("order_id", "payment_value") & (value > 0) & ~F.isnan(value)
+        f"{_present('order_id', 'payment_value')} AND payment_value > 0 AND NOT isnan(payment_value)"
     ).select(
         "order_id",
         "payment_sequential",
-        payment_label(F.col("payment_type")).alias("payment_type"),
+        *columns(payment_type=payment_label("payment_type")),
         "payment_installments",
         "payment_value",
-        (F.col("payment_installments") > 1).alias("is_instalment_purchase"),
+        *columns(is_instalment_purchase="payment_installments > 1"),
     )
 
 
 def stg_geolocation(deduped: DataFrame) -> DataFrame:
-    return deduped.where(_present("zip_code_prefix", "avg_lat", "avg_lng")).select(
+    return deduped.where(_present("zip_code_prefix", "avg_lat", "avg_lng")).selectExpr(
         "zip_code_prefix",
-        F.col("avg_lat").alias("latitude"),
-        F.col("avg_lng").alias("longitude"),
-        F.col("geolocation_city").alias("city"),
-        F.col("geolocation_state").alias("state"),
+        "avg_lat AS latitude",
+        "avg_lng AS longitude",
+        "geolocation_city AS city",
+        "geolocation_state AS state",
     )
 
 

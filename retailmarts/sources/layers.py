@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailmarts.functions import columns
+
 DEFAULT_LAYER = "staging"
 MONTH = "order_month"
 
@@ -85,7 +87,7 @@ def between(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table, largest first."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        df.agg(*columns(table_name=f"'{name}'", row_count="count(*)"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts).orderBy(F.desc("row_count"), "table_name")

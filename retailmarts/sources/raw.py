@@ -1,34 +1,28 @@
 """Raw delimited files: lenient parsing, rejects, strict loading with a bad-record budget."""
 
 from __future__ import annotations
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from retailmarts.functions import columns, once
 from retailmarts.functions import text as X
-from retailmarts.sources.schemas import RAW
+from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
 
 BROKEN = "_broken_record"  # the whole record where its number of fields is wrong, else NULL
 
 _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "escape": '"'}
-_PARSERS = {
-    T.StringType(): X.text,
-    T.LongType(): X.to_bigint,
-    T.DoubleType(): X.to_double,
-    T.TimestampType(): X.to_instant,
-}
+_CONVERT = {TEXT: X.text, WHOLE: X.to_bigint, DECIMAL: X.to_double, INSTANT: X.to_instant}
 
 
-def _untyped(table: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in [*RAW[table].names, BROKEN]])
+def _untyped(table: str) -> str:
+    return ", ".join(f"{name} string" for name in [*RAW[table].names, BROKEN])
 
 
-def _options(table: str, header: bool) -> dict:
+def _options(table: str, header: bool) -> dict[str, str]:
     # Broken free text can have any number of commas.
-    wide = {"maxColumns": 1_000_000} if RAW[table].multi_line else {}
-    return {**_CSV, **wide, "header": header, "columnPruning": False}
+    wide = {"maxColumns": "1000000"} if RAW[table].multi_line else {}
+    return {**_CSV, **wide, "header": str(header), "columnPruning": "false"}
 
 
 def scan(
@@ -51,28 +45,25 @@ def scan_stream(spark: SparkSession, table: str, path: str, header: bool = True)
 
 def scan_lines(lines: DataFrame, table: str, column: str = "line") -> DataFrame:
     """Like ``scan`` for records that are already rows of text; blank lines are no records."""
-    ddl = ", ".join(f"{field.name} string" for field in _untyped(table))
-    options = {k: str(v) for k, v in _options(table, header=False).items()}
-    fields = F.from_csv(F.col(column), ddl, options)
-    blank = X.stripped(F.col(column)) == ""
-    # Generating the columns parses each record once, whatever is selected or filtered later.
+    fields = F.from_csv(F.col(column), _untyped(table), _options(table, header=False))
+    blank = F.expr(f"{X.stripped(column)} = ''")
+    # A generator, as in ``once``: each record is parsed one time.
     parsed = F.inline(F.array(F.struct(fields.alias("fields"), blank.alias("blank"))))
-    return lines.select(parsed).where(~F.col("blank")).select("fields.*")
+    return lines.select(parsed).where("NOT blank").select("fields.*")
 
 
 def parse(records: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed rows; records with a wrong number of fields are dropped, bad values become NULL."""
-    columns = RAW[table].columns
-    fields = [X.stripped(F.col(n)).alias(n) for n in columns]
-    typed = [_PARSERS[t](F.col(n)).alias(n) for n, t in columns.items()]
-    return records.where(F.col(BROKEN).isNull()).select(*fields, *keep).select(*typed, *keep)
+    spec = RAW[table].columns
+    fields = columns(**{n: X.stripped(n) for n in spec})
+    typed = columns(**{n: _CONVERT[t](n) for n, t in spec.items()})
+    return records.where(f"{BROKEN} IS NULL").select(*fields, *keep).select(*typed, *keep)
 
 
 def rejects(records: DataFrame, table: str) -> DataFrame:
     """The records ``parse`` drops: table and first 80 characters."""
-    # Selecting a data column next to the broken record keeps the reader from pruning to it alone.
-    return records.where(F.col(BROKEN).isNotNull()).select(
-        F.lit(table).alias("table_name"), F.substring(BROKEN, 1, 80).alias("record_start")
+    return records.where(f"{BROKEN} IS NOT NULL").select(
+        *columns(table_name=f"'{table}'", record_start=f"substring({BROKEN}, 1, 80)")
     )
 
 
@@ -88,31 +79,22 @@ def check_load(records: DataFrame, table: str) -> DataFrame:
     keys make the row bad.
     """
     spec = RAW[table]
-    whole = F.col(BROKEN).isNull()
-    split = records.withColumn("_fields", X.csv_fields(F.col(BROKEN)))
-    fields = [
-        X.stripped(
-            F.when(whole, F.col(n)).otherwise(F.nullif(F.get("_fields", F.lit(i)), F.lit("")))
-        ).alias(n)
+    fields = {
+        n: X.stripped(f"CASE WHEN {BROKEN} IS NULL THEN {n} ELSE nullif(get(_fields, {i}), '') END")
         for i, n in enumerate(spec.names)
-    ]
-    surplus = F.when(whole, F.lit(False)).otherwise(F.size("_fields") > len(spec.names))
-    typed = [
-        (F.col(n) if t == T.StringType() else _PARSERS[t](F.col(n))).alias(n)
-        for n, t in spec.columns.items()
-    ]
-
+    }
+    surplus = f"{BROKEN} IS NOT NULL AND size(_fields) > {len(spec.names)}"
+    typed = {n: n if t == TEXT else _CONVERT[t](n) for n, t in spec.columns.items()}
     # Of the typed fields, as many must have a value as are filled in.
-    def how_many(test) -> Column:
-        tests = [test(F.col(n)) for n, t in spec.columns.items() if t != T.StringType()]
-        return reduce(Column.__add__, [F.coalesce(t, F.lit(False)).cast("int") for t in tests], F.lit(0))
-
-    filled, valued = how_many(lambda c: c != ""), how_many(Column.isNotNull)
-    keyless = reduce(Column.__or__, [F.col(n).isNull() for n in spec.required], F.lit(False))
+    checked = [n for n, t in spec.columns.items() if t != TEXT]
+    filled = " + ".join(["0", *(f"int(coalesce({n} <> '', false))" for n in checked)])
+    valued = " + ".join(["0", *(f"int({n} IS NOT NULL)" for n in checked)])
+    keyless = " OR ".join(["false", *(f"{n} IS NULL" for n in spec.required)])
     return (
-        split.select(*fields, surplus.alias("_surplus"))
-        .select(*typed, "_surplus", filled.alias("_filled"))
-        .select(*spec.names, (F.col("_surplus") | (F.col("_filled") != valued) | keyless).alias("_bad"))
+        records.select("*", once(_fields=X.csv_fields(BROKEN)))
+        .select(columns(**fields, _surplus=surplus))
+        .select(columns(**typed, _surplus="_surplus", _filled=filled))
+        .select(*spec.names, *columns(_bad=f"_surplus OR _filled <> {valued} OR {keyless}"))
     )
 
 
@@ -120,11 +102,14 @@ def load_report(checked: DataFrame, table: str, max_bad: int | None = None) -> D
     """One row: accepted and bad rows, the budget, and whether the load passes."""
     budget = RAW[table].max_bad if max_bad is None else max_bad
     return checked.agg(
-        F.lit(table).alias("table_name"),
-        F.count_if(~F.col("_bad")).alias("row_count"),
-        F.count_if(F.col("_bad")).alias("bad_records"),
-    ).select("*", F.lit(budget).cast("bigint").alias("max_bad"),
-             (F.col("bad_records") <= budget).alias("passes"))
+        *columns(
+            table_name=f"'{table}'",
+            row_count="count_if(NOT _bad)",
+            bad_records="count_if(_bad)",
+            max_bad=f"{budget}L",
+            passes=f"count_if(_bad) <= {budget}",
+        )
+    )
 
 
 class BadRecordBudgetExceeded(RuntimeError):
@@ -135,5 +120,3 @@ def within_budget(bad: int, table: str, max_bad: int | None = None) -> None:
     budget = RAW[table].max_bad if max_bad is None else max_bad
     if bad > budget:
         raise BadRecordBudgetExceeded(f"{table}: {bad} bad records, at most {budget} allowed")
-
-

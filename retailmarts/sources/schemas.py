@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailmarts.functions import columns
+
 TEXT, WHOLE, DECIMAL, INSTANT, FLAG = (
     T.StringType(), T.LongType(), T.DoubleType(), T.TimestampType(), T.BooleanType(),
 )
@@ -24,10 +25,10 @@ class RawTable:
     month_of: str | None = None
     max_bad: int = 0
     multi_line: bool = False
-    names: list[str] = field(init=False)
 
-    def __post_init__(self):
-        object.__setattr__(self, "names", list(self.columns))
+    @property
+    def names(self) -> list[str]:
+        return list(self.columns)
 
     @property
     def schema(self) -> T.StructType:
@@ -188,4 +189,6 @@ ENRICHED: dict[str, T.StructType] = {
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, in order, with the declared types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(
+        columns(**{f.name: f"CAST({f.name} AS {f.dataType.simpleString()})" for f in schema.fields})
+    )

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailmarts.functions import columns
 from retailmarts.sources import raw
 from retailmarts.sources.layers import MONTH
 from retailmarts.sources.schemas import RAW
@@ -41,7 +42,6 @@ def current(spark: SparkSession, table: str, target: str) -> DataFrame:
     """The last arrived row of every key; duplicates collapse before the shuffle."""
     spec = RAW[table]
     arrived = spark.read.parquet(target)
-    last = F.max(F.struct(ARRIVED, *spec.names))
-    return arrived.groupBy(*[F.col(k).alias(f"_{k}") for k in spec.key]).agg(last.alias("r")).select(
-        [F.col(f"r.{n}").alias(n) for n in spec.names]
-    )
+    last = columns(last=f"max(struct({', '.join([ARRIVED, *spec.names])}))")
+    latest = arrived.groupBy([F.col(k).alias(f"_{k}") for k in spec.key]).agg(*last)
+    return latest.select(columns(**{n: f"last.{n}" for n in spec.names}))
