@@ -205,7 +205,7 @@ def queries() -> dict[str, Query]:
         stg_geolocation=lambda t: t["stg_geolocation"],
         order_values=lambda t: rollups.order_values(t["stg_order_items"]),
         order_payments=lambda t: rollups.order_payments(t["stg_payments"]),
-        seller_rollup=lambda t: marts.seller_rollup(_sold(t)),
+        seller_rollup=lambda t: marts.seller_figures(_sold(t)).drop("top_category"),
         top_category_per_seller=lambda t: rollups.top_category_per_seller(_sold(t)),
         state_rollup=lambda t: marts.state_rollup(marts.order_totals(t["stg_orders"], t["stg_order_items"])),
         state_centroid=lambda t: rollups.state_centroid(t["stg_geolocation"]),

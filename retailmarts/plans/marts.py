@@ -15,7 +15,6 @@ from retailmarts.operators.rollups import (
     order_facts,
     state_centroid,
     sum_units,
-    top_category_per_seller,
 )
 
 _MEAN_DELAY = mean_1dp("sum(delivery_delay_days)", "count(delivery_delay_days)")
@@ -75,37 +74,70 @@ def sold_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def seller_rollup(sold: DataFrame) -> DataFrame:
-    """Per seller: orders, items, revenue, lateness, active months.
+def seller_figures(sold: DataFrame) -> DataFrame:
+    """Per seller: orders, items, revenue, lateness, active months, top category.
 
-    The late percentage divides late items by orders, so it can exceed 100.
+    The sold items are joined and read once: grouping sets give, in one shuffle, the rows that distinct
+    orders, distinct months, totals and category counts come from, and a hot seller is spread over its
+    orders.  What is left per seller is one row of totals and one per category.  The late percentage
+    divides late items by orders, so it can exceed 100.
     """
-    return sold.groupBy("seller_id", "seller_state", "seller_city").agg(
+    seller = ["seller_id", "seller_state", "seller_city"]
+    by_value = sold.groupingSets(
+        [[*seller, "order_id"], [*seller, "order_month"], seller, ["seller_id", "category_display"]],
+        *seller, "order_id", "order_month", "category_display",
+    ).agg(
         *columns(
-            total_orders=_ORDERS,
-            total_items_sold="count(*)",
-            total_revenue_brl=money(sum_units("price")),
-            avg_item_price_brl=mean_money(sum_units("price"), f"count({units('price')})"),
-            total_gmv_brl=money(sum_units("total_item_value")),
-            avg_delivery_delay_days=_MEAN_DELAY,
-            late_deliveries=_LATE,
-            late_delivery_pct=percent(_LATE, _ORDERS),
-            active_months="count(DISTINCT order_month)",
+            is_order="grouping(order_id) = 0",
+            is_month="grouping(order_month) = 0",
+            is_category="grouping(category_display) = 0",
+            n="count(*)",
+            price=sum_units("price"),
+            priced=f"count({units('price')})",
+            gmv=sum_units("total_item_value"),
+            delay="sum(delivery_delay_days)",
+            delayed="count(delivery_delay_days)",
+            late=_LATE,
+        )
+    )
+    total = "NOT is_order AND NOT is_month"  # totals of a seller, or of one of its categories
+    per_seller = by_value.groupBy(*seller, "is_category", "category_display").agg(
+        *columns(
+            orders="count_if(is_order)",
+            months="count_if(is_month AND order_month IS NOT NULL)",
+            **{c: f"sum({c}) FILTER (WHERE {total})" for c in ("n", "price", "priced", "gmv", "delay", "delayed", "late")},
+        )
+    )
+    top = (
+        "first_value(category_display) OVER (PARTITION BY seller_id"
+        " ORDER BY is_category DESC, n DESC, category_display)"
+    )
+    return (
+        per_seller.select("*", *columns(top_category=top))
+        .where("NOT is_category")
+        .select(
+            *seller,
+            *columns(
+                total_orders="orders",
+                total_items_sold="n",
+                total_revenue_brl=money("price"),
+                avg_item_price_brl=mean_money("price", "priced"),
+                total_gmv_brl=money("gmv"),
+                avg_delivery_delay_days=mean_1dp("delay", "delayed"),
+                late_deliveries="late",
+                late_delivery_pct=percent("late", "orders"),
+                top_category="top_category",
+                active_months="months",
+            ),
         )
     )
 
 
 def mart_seller_performance(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per seller with volume, revenue, lateness, top category and tier."""
-    sold = sold_items(orders, items)
     return (
-        attach(seller_rollup(sold), top_category_per_seller(sold), "seller_id")
-        .select(
-            "seller_id", "seller_state", "seller_city", "total_orders", "total_items_sold",
-            "total_revenue_brl", "avg_item_price_brl", "total_gmv_brl", "avg_delivery_delay_days",
-            "late_deliveries", "late_delivery_pct", "top_category", "active_months",
-            *columns(seller_tier=seller_tier("total_revenue_brl")),
-        )
+        seller_figures(sold_items(orders, items))
+        .select("*", *columns(seller_tier=seller_tier("total_revenue_brl")))
         .orderBy(F.desc_nulls_last("total_revenue_brl"), "seller_id")
     )
 
