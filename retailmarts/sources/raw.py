@@ -52,17 +52,22 @@ def scan_lines(lines: DataFrame, table: str, column: str = "line") -> DataFrame:
     return lines.select(parsed).where("NOT blank").select("fields.*")
 
 
+def _and_a_field(condition: str, table: str) -> str:
+    """``condition`` on the broken record, which Spark refuses to read alone, with a field next to it."""
+    return f"{condition} AND length(coalesce({RAW[table].names[0]}, '')) >= 0"
+
+
 def parse(records: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed rows; records with a wrong number of fields are dropped, bad values become NULL."""
     spec = RAW[table].columns
     fields = columns(**{n: X.stripped(n) for n in spec})
     typed = columns(**{n: _CONVERT[t](n) for n, t in spec.items()})
-    return records.where(f"{BROKEN} IS NULL").select(*fields, *keep).select(*typed, *keep)
+    return records.where(_and_a_field(f"{BROKEN} IS NULL", table)).select(*fields, *keep).select(*typed, *keep)
 
 
 def rejects(records: DataFrame, table: str) -> DataFrame:
     """The records ``parse`` drops: table and first 80 characters."""
-    return records.where(f"{BROKEN} IS NOT NULL").select(
+    return records.where(_and_a_field(f"{BROKEN} IS NOT NULL", table)).select(
         *columns(table_name=f"'{table}'", record_start=f"substring({BROKEN}, 1, 80)")
     )
 
@@ -83,7 +88,7 @@ def check_load(records: DataFrame, table: str) -> DataFrame:
         n: X.stripped(f"CASE WHEN {BROKEN} IS NULL THEN {n} ELSE nullif(get(_fields, {i}), '') END")
         for i, n in enumerate(spec.names)
     }
-    surplus = f"{BROKEN} IS NOT NULL AND size(_fields) > {len(spec.names)}"
+    surplus = _and_a_field(f"{BROKEN} IS NOT NULL AND size(_fields) > {len(spec.names)}", table)
     typed = {n: n if t == TEXT else _CONVERT[t](n) for n, t in spec.columns.items()}
     # Of the typed fields, as many must have a value as are filled in.
     checked = [n for n, t in spec.columns.items() if t != TEXT]

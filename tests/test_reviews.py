@@ -1,0 +1,108 @@
+import csv
+import io
+import random
+import re
+
+import pytest
+
+from retailmarts.operators import review_repair as R
+from retailmarts.sources import raw
+from tests.conftest import rows
+
+HEADER = ",".join(R.NAMES)
+A, B = "a" * 32, "b" * 32
+D1, D2, D3 = "2018-01-01 00:00:00", "2018-01-02 00:00:00", "2018-01-03 00:00:00"
+
+
+def repaired(record):
+    """What becomes of one record, by brute force; None when it is lost."""
+    f = next(csv.reader(io.StringIO(record)))
+    if len(f) == 7:
+        return "already_good", tuple(f)
+    s = [x.strip() for x in f]
+    dates = [i for i, x in enumerate(s) if re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", x)]
+    ids = len(s) > 2 and all(re.fullmatch("[a-f0-9]{32}", x) for x in s[:2]) and s[2] in "1 2 3 4 5".split()
+    if not ids or not dates:
+        return "skipped", (None,) * 7
+    created = dates[max(len(dates) - 2, 0)]
+    between = s[3:created]
+    title, message = (between or [""])[0], ", ".join(between[1:])
+    answered = s[dates[-1]] if len(dates) > 1 else ""
+    return "reconstructed", (*s[:3], title, message, s[created], answered)
+
+
+RECORDS = [
+    f'{A},{B},5,,"fine, really",{D1},{D2}',       # good
+    f"{A},{B},5,title,one, two ,three,{D1},{D2}",  # unquoted commas
+    f"{A},{B},5,,{D1}",                            # one date only
+    f"{A},{B},5,title,a,b,{D1}",                   # seven fields by accident
+    f"{A},{B},5,t,m1,m2,{D1},{D2},{D3}",           # three dates
+    f"{A},{B},5,t,m,{D1},tail,{D2}",               # text between the dates is lost
+    f"{A},{B},9,t,m,x,{D1},{D2}",                  # bad score
+    f"{A},x{B},5,t,m,x,{D1},{D2}",                 # bad id
+    f"x,{B},0,t,m,{D1},{D2}",                      # bad, but seven fields: kept
+    f"{A},{B}",                                    # too short
+    f"{A},{B},5,no date, at all, here",            # no date
+    f"{A},{B},5,{D1},{D2}",                        # nothing in the middle
+    f' {A} , {B} , 4 , "t" ,a 5" tv, ok, {D1} , {D2}',
+    f'{A},{B},3,"a ""q"", b",c,"d, e",f,{D1},{D2}',
+]
+
+
+def records(spark, lines):
+    return raw.scan_lines(spark.createDataFrame([(x,) for x in lines], "line string"), "reviews")
+
+
+def by_hand(lines):
+    return sorted(((*row, outcome) for outcome, row in map(repaired, lines)), key=repr)
+
+
+def test_known_records(spark):
+    assert rows(R.classify(records(spark, RECORDS))) == by_hand(RECORDS)
+
+
+def test_random_records(spark):
+    rnd = random.Random(3)
+    pieces = [A, B, "5", "6", "", "text", " padded ", D1, D2, D3, '"quoted, comma"', '5" mid', '"a ""b"" c"']
+    lines = [",".join([A, B, "5"] * (rnd.random() < 0.8) + rnd.choices(pieces, k=rnd.randint(1, 9)))
+             for _ in range(800)]
+    lines = [x for x in lines if x.strip()]
+    assert rows(R.classify(records(spark, lines))) == by_hand(lines)
+
+
+def test_stats_and_clean(spark):
+    outcomes = [repaired(x)[0] for x in RECORDS]
+    stats = R.reviews_stats(records(spark, RECORDS)).head().asDict()
+    assert stats["already_good"] == outcomes.count("already_good")
+    assert stats["reconstructed"] == outcomes.count("reconstructed")
+    assert stats["skipped"] == outcomes.count("skipped")
+    assert stats["total_output"] == R.reviews_clean(records(spark, RECORDS)).count()
+    assert R.reviews_stats(records(spark, [""])).head().recovery_rate is None
+
+
+def test_file_with_quoted_line_break(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text(HEADER + "\n" + "\n".join([*RECORDS, f'{A},{B},1,"two\nlines",x,y,{D1},{D2}']) + "\n")
+    got = rows(R.classify(R.read_records(spark, str(path))))
+    want = by_hand([*RECORDS, f'{A},{B},1,"two\nlines",x,y,{D1},{D2}'])
+    assert got == want
+
+
+def test_header_is_checked(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text("a,b,c\n1,2,3\n")
+    with pytest.raises(ValueError, match="7 header columns"):
+        R.read_records(spark, str(path))
+
+
+def test_typed(spark):
+    typed = R.reviews_typed(R.reviews_clean(records(spark, RECORDS)))
+    assert dict(typed.dtypes)["review_score"] == "bigint"
+    assert dict(typed.dtypes)["review_creation_date"] == "timestamp"
+    assert all(r.review_creation_date for r in typed.collect())
+
+
+def test_joins_on_repaired_reviews_stay_small_plans(spark):
+    typed = R.reviews_typed(R.reviews_clean(records(spark, RECORDS)))
+    plan = typed.join(spark.range(1).selectExpr("'x' AS order_id"), "order_id")._jdf.queryExecution()
+    assert len(plan.optimizedPlan().toString()) < 50_000

@@ -1,0 +1,52 @@
+from retailmarts.sources import raw
+from retailmarts.streaming import ingest
+from tests.conftest import rows
+
+HEADER = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+FIRST = ["a,1,boleto,1,10", "b,1,boleto,1", "c,1,voucher,2,5"]
+SECOND = ["d,1,boleto,1,1.5", "a,1,boleto,1,10"]
+
+
+def test_two_runs_equal_one_batch(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    target, progress = str(tmp_path / "payments"), str(tmp_path / "progress")
+
+    def run():
+        ingest.ingest(spark, "payments", str(landing), target, progress)
+        return spark.read.parquet(target).count()
+
+    (landing / "one.csv").write_text(HEADER + "\n".join(FIRST) + "\n")
+    assert run() == 2
+    assert run() == 2  # nothing new
+    (landing / "two.csv").write_text(HEADER + "\n".join(SECOND) + "\n")
+    assert run() == 4
+    (landing / "two_again.csv").write_text(HEADER + "\n".join(SECOND) + "\n")  # delivered once more
+    assert run() == 6
+    batch = raw.read_raw(spark, "payments", str(landing)).distinct()
+    assert rows(ingest.current(spark, "payments", target)) == rows(batch)
+
+
+def test_later_file_wins(spark, tmp_path):
+    import os
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for n, value in enumerate(["9", "1"]):
+        path = landing / f"{n}.csv"
+        path.write_text(HEADER + f"a,1,boleto,1,{value}\n")
+        os.utime(path, (1_600_000_000 + n, 1_600_000_000 + n))
+    target = str(tmp_path / "payments")
+    ingest.ingest(spark, "payments", str(landing), target, str(tmp_path / "progress"))
+    assert [r.payment_value for r in ingest.current(spark, "payments", target).collect()] == [1.0]
+
+
+def test_orders_land_in_month_partitions(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "o.csv").write_text(
+        "h1,h2,h3,h4,h5,h6,h7,h8\no1,c,created,2018-01-05 00:00:00,,,,\no2,c,created,2018-02-05 00:00:00,,,,\n")
+    target = tmp_path / "orders"
+    ingest.ingest(spark, "orders", str(landing), str(target), str(tmp_path / "progress"))
+    assert sorted(p.name for p in target.glob("order_month=*")) == ["order_month=2018-01", "order_month=2018-02"]
+    assert ingest.current(spark, "orders", str(target)).count() == 2
