@@ -17,9 +17,21 @@ from retailmarts.sources.tables import Tables
 DAMAGE_CLASSES = 31
 
 
+LARGE = {"lineitem", "orders", "documents"}
+
+
 @cache
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table.
+
+    The large ones come as one row group each at test scale, which is one task however many cores
+    there are; only such a table is spread.  Real volumes are read in place.
+    """
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LARGE and table.rdd.getNumPartitions() < cores:
+        return table.repartition(cores)
+    return table
 
 
 def _after(days: str = "0", seconds: str = "0") -> str:

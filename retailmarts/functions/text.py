@@ -19,8 +19,13 @@ _BLANKS = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
 
 
 def stripped(c: str) -> str:
-    """``c`` without surrounding whitespace of any kind; NULL stays NULL."""
-    return f"btrim({c}, '{_BLANKS}')"
+    """Column ``c`` without surrounding whitespace of any kind; NULL stays NULL.
+
+    Fields that start and end with a visible ASCII character, nearly all, pass after two comparisons.
+    """
+    last = f"substring({c}, -1, 1)"
+    clean = " AND ".join(f"{x} >= '!' AND {x} < '\\u0080'" for x in (c, last))
+    return f"CASE WHEN {clean} THEN {c} ELSE btrim({c}, '{_BLANKS}') END"
 
 
 # The conversions below expect a stripped field and mention it several times, so strip in a projection
@@ -49,11 +54,14 @@ def to_double(c: str) -> str:
 def to_instant(c: str) -> str:
     """Timestamp when the first 19 characters are a real date and time, else NULL.
 
-    A fraction of a second after them is kept.
+    A fraction of a second after them is kept.  The usual shape takes Spark's plain cast, blanks and
+    short text (the shortest instant has 14 characters) no parsing at all.
     """
     whole = f"try_to_timestamp(left({c}, 19), 'yyyy-M-d H:m:s')"
     return (
-        f"CASE WHEN length({c}) <= 19 THEN {whole}"
+        f"CASE WHEN length({c}) < 14 THEN NULL"
+        f" WHEN {is_instant(c)} THEN try_cast({c} AS TIMESTAMP)"
+        f" WHEN length({c}) <= 19 THEN {whole}"
         f" WHEN {whole} IS NOT NULL THEN coalesce(try_cast({c} AS TIMESTAMP), {whole}) END"
     )
 

@@ -85,9 +85,10 @@ def check_load(records: DataFrame, table: str) -> DataFrame:
     """
     spec = RAW[table]
     fields = {
-        n: X.stripped(f"CASE WHEN {BROKEN} IS NULL THEN {n} ELSE nullif(get(_fields, {i}), '') END")
+        n: f"CASE WHEN {BROKEN} IS NULL THEN {n} ELSE nullif(get(_fields, {i}), '') END"
         for i, n in enumerate(spec.names)
     }
+    clean = {n: X.stripped(n) for n in spec.names}
     surplus = _and_a_field(f"{BROKEN} IS NOT NULL AND size(_fields) > {len(spec.names)}", table)
     typed = {n: n if t == TEXT else _CONVERT[t](n) for n, t in spec.columns.items()}
     # Of the typed fields, as many must have a value as are filled in.
@@ -98,6 +99,7 @@ def check_load(records: DataFrame, table: str) -> DataFrame:
     return (
         records.select("*", once(_fields=X.csv_fields(BROKEN)))
         .select(columns(**fields, _surplus=surplus))
+        .select(columns(**clean, _surplus="_surplus"))
         .select(columns(**typed, _surplus="_surplus", _filled=filled))
         .select(*spec.names, *columns(_bad=f"_surplus OR _filled <> {valued} OR {keyless}"))
     )
