@@ -98,7 +98,7 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return F.broadcast(given(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows
+    return given(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,20 +19,22 @@ def one_per_key(df: DataFrame, key: str, wanted: list[str]) -> DataFrame:
     return df.where(f"{key} IS NOT NULL").groupBy(key).agg(*first).select(key, "_first.*")
 
 
-def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left`` with the columns of ``right``, which has at most one row per ``key``.
+def _join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Join to an aggregation on ``key`` such that a hot key of ``left`` can be split.
 
-    ``right`` comes out of an aggregation on the key, and Spark would join in that partitioning, where
-    adaptive execution cannot split a hot key of ``left``.  With the key's hash as a second join key
-    both sides are shuffled for the join itself, and it can.  A side that Spark finds small enough is
-    broadcast instead.
+    ``right`` is already partitioned by the key, and Spark would join in that partitioning, where
+    adaptive execution cannot split anything.  With the key's hash as a second join key both sides are
+    shuffled for the join itself, and it can.  A side that Spark finds small enough is broadcast
+    instead.
     """
     spread = F.xxhash64(key)
-    return (
-        left.withColumn(_SPREAD, spread)
-        .join(right.withColumn(_SPREAD, spread), [key, _SPREAD], "left")
-        .drop(_SPREAD)
-    )
+    joined = left.withColumn(_SPREAD, spread).join(right.withColumn(_SPREAD, spread), [key, _SPREAD], how)
+    return joined.drop(_SPREAD)
+
+
+def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` with the columns of ``right``, which has at most one row per ``key``."""
+    return _join(left, right, key, "left")
 
 
 def lookup(
@@ -44,8 +46,10 @@ def lookup(
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Rows of ``child`` whose key has no row in ``parent``; a NULL key refers to nothing."""
-    keys = parent.selectExpr(f"{parent_key} AS _parent")
-    return child.where(f"{child_key} IS NOT NULL").join(
-        keys, F.col(child_key) == F.col("_parent"), "left_anti"
-    )
+    """Rows of ``child`` whose key has no row in ``parent``; a NULL key refers to nothing.
+
+    The parent's keys are made distinct first, so that one it repeats often is never gathered.
+    """
+    keys = parent.selectExpr(f"{parent_key} AS {child_key}").distinct()
+    found = _join(child.where(f"{child_key} IS NOT NULL"), keys, child_key, "left_anti")
+    return found.select(child.columns)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from retailmarts.functions import columns, once
 from retailmarts.functions import text as X
 from retailmarts.functions.exact import percent
-from retailmarts.sources import raw
+from retailmarts.sources import layers, raw
 from retailmarts.sources.raw import BROKEN
 from retailmarts.sources.schemas import RAW
 
@@ -75,10 +75,21 @@ def check_header(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path}: expected {len(NAMES)} header columns, got {first and first.n}")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Untyped records of the review file(s) at ``path``."""
+def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Untyped records of the review file(s) at ``path``.
+
+    A quoted message may hold line breaks, so each file is one task, streamed; land reviews as many
+    files.  Without such line breaks ``multi_line=False`` lets a file split.
+    """
     check_header(spark, path)
-    return raw.scan(spark, "reviews", path)
+    return raw.scan(spark, "reviews", path, multi_line)
+
+
+def repair_file(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Write the repaired reviews of ``source`` with every field quoted; returns the statistics."""
+    records = read_records(spark, source)
+    layers.write_quoted_csv(reviews_clean(records), target)
+    return reviews_stats(records)
 
 
 def reviews_clean(records: DataFrame) -> DataFrame:

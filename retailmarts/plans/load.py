@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from retailmarts.plans import enrich, marts, staging
-from retailmarts.session import checkpoint
+from retailmarts.session import shared_dir
 from retailmarts.sources import layers, raw
 from retailmarts.sources.schemas import RAW
 from retailmarts.sources.tables import Tables
@@ -17,21 +17,29 @@ def load_raw(
 ) -> DataFrame:
     """Load one raw file strictly and replace its table.
 
-    The file is parsed once, into a checkpoint that also counts the bad records; a load over budget
-    fails before the old table is touched.
+    The file is parsed once, into a scratch table in the shared folder, and the bad records are counted
+    on the way; a load over budget fails before the old table is touched.
     """
     spec, seen = RAW[table], Observation(f"load_{table}")
-    checked = checkpoint(
-        raw.check_load(raw.scan(spark, table, path), table).observe(
-            seen, F.expr("count_if(_bad) AS bad")
-        )
-    )
+    scratch = shared_dir(spark, f"load-{table}")
+    checked = raw.check_load(raw.scan(spark, table, path), table)
+    checked.observe(seen, F.expr("count_if(_bad) AS bad")).write.parquet(scratch)
     raw.within_budget(seen.get["bad"], table, max_bad)
-    good = checked.where("NOT _bad").drop("_bad")
+    good = spark.read.parquet(scratch).where("NOT _bad").drop("_bad")
     layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of)
     return layers.read_table(spark, root, "raw", table)
 
 
+def load_all(spark: SparkSession, root: str, landing: str) -> DataFrame:
+    """Load every raw table from ``<landing>/<table>.csv`` and report the rows of each."""
+    return layers.row_counts({t: load_raw(spark, root, t, f"{landing}/{t}.csv") for t in RAW})
+
+
+def landed(spark: SparkSession, landing: str) -> Tables:
+    """The raw tables as leniently parsed from ``<landing>/<table>.csv``."""
+    return Tables({t: (lambda t=t: raw.read_raw(spark, t, f"{landing}/{t}.csv")) for t in RAW})
+
+
 def enriched_tables(source: Tables) -> Tables:
     """The four enriched tables of the raw ones."""
     return Tables({

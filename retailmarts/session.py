@@ -7,11 +7,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Instants are UTC everywhere.  Joins are left to adaptive execution, which may split a hot key even
+# Instants are UTC everywhere.  Sums that overflow fail.  Joins are left to adaptive execution, which may split a hot key even
 # where that costs one more shuffle further up (the second option).  The CSV reader must tokenise whole
 # records: with column pruning it stops checking the number of fields.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -44,10 +45,3 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
-
-def checkpoint(df):
-    """Reliable checkpoint of ``df`` in the shared folder, so lost executors never force a re-read."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()

@@ -38,9 +38,12 @@ def scan(
     return spark.read.schema(_untyped(table)).options(**options).csv(path)
 
 
-def scan_stream(spark: SparkSession, table: str, path: str, header: bool = True) -> DataFrame:
+def scan_stream(
+    spark: SparkSession, table: str, path: str, header: bool = True, files_per_batch: int = 10_000
+) -> DataFrame:
     """Like ``scan`` for files as they arrive in the folder ``path``."""
-    return spark.readStream.schema(_untyped(table)).options(**_options(table, header)).csv(path)
+    options = {**_options(table, header), "maxFilesPerTrigger": files_per_batch}
+    return spark.readStream.schema(_untyped(table)).options(**options).csv(path)
 
 
 def scan_lines(lines: DataFrame, table: str, column: str = "line") -> DataFrame:

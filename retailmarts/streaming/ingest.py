@@ -18,11 +18,15 @@ ARRIVED = "arrived_at"
 
 
 def ingest(
-    spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, header: bool = True
+    spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, header: bool = True,
+    files_per_batch: int = 10_000,
 ) -> None:
-    """Parse all files that are new since the last run and append them to ``target``."""
+    """Parse all files that are new since the last run and append them to ``target``.
+
+    A backlog is worked off in batches of files, so that a lost batch costs little.
+    """
     spec = RAW[table]
-    records = raw.scan_stream(spark, table, landing, header)
+    records = raw.scan_stream(spark, table, landing, header, files_per_batch)
     records = records.withColumn(ARRIVED, F.col("_metadata.file_modification_time"))
     rows = raw.parse(records, table, keep=(ARRIVED,))
     if spec.month_of:

@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from retailmarts.plans.load import load_raw
+from retailmarts.plans.load import build, landed, load_all, load_raw
 from retailmarts.sources import layers, raw
 from tests.conftest import rows
 
@@ -146,3 +146,58 @@ def test_quoted_csv(spark, tmp_path):
     text = next((tmp_path / "out").glob("*.csv")).read_text().splitlines()
     assert text[1] == '"a ""quoted"", comma","","","x","ST"'
     assert rows(raw.read_raw(spark, "customers", path)) == [('a "quoted", comma', "", "", "x", "ST")]
+
+
+FILES = {
+    "orders": "o1,c1,delivered,2018-01-05 10:00:00,,,2018-01-09 00:00:00,2018-01-10 00:00:00",
+    "order_items": "o1,1,p1,s1,2018-01-06 00:00:00,10.5,1.5",
+    "payments": "o1,1,boleto,1,12",
+    "reviews": 'r1,o1,5,,"good, really",2018-01-10 00:00:00,2018-01-11 00:00:00',
+    "customers": "c1,u1,01000,city,SP",
+    "products": "p1,brinquedos,1,1,1,1.0,1.0,1.0,1.0",
+    "sellers": "s1,02000,city,RJ",
+    "geolocation": "01000,-23.5,-46.6,city,SP",
+    "category_translation": "brinquedos,toys",
+}
+
+
+@pytest.fixture
+def landing(tmp_path):
+    from retailmarts.sources.schemas import RAW
+
+    (tmp_path / "in").mkdir()
+    for table, line in FILES.items():
+        write(tmp_path / "in" / f"{table}.csv", [line], ",".join(RAW[table].names) + "\n")
+    return str(tmp_path / "in")
+
+
+def test_load_all(spark, tmp_path, landing):
+    counts = load_all(spark, str(tmp_path / "wh"), landing)
+    assert rows(counts) == [(t, 1) for t in sorted(FILES)]
+    assert layers.read_table(spark, str(tmp_path / "wh"), "raw", "orders").head().order_month == "2018-01"
+
+
+def test_build_from_files(spark, tmp_path, landing):
+    tables = build(spark, landed(spark, landing), str(tmp_path / "wh"))
+    assert tables["stg_order_items"].head().category_display == "toys"
+    assert tables["stg_geolocation"].head().zip_code_prefix == "01000"  # the leading zero stays
+    seller = tables["mart_seller_performance"].head()
+    assert (seller.seller_id, seller.total_gmv_brl, seller.top_category) == ("s1", 12.0, "toys")
+    assert tables["mart_delivery_performance"].head().early_deliveries == 1
+    assert tables["mart_geo_sales"].head().state_lat == -23.5
+
+
+def test_command_line(spark, tmp_path, landing, capsys):
+    from retailmarts.__main__ import main
+
+    root = str(tmp_path / "wh")
+    main(["load", landing, root])
+    main(["build", landing, root])
+    main(["check", root])
+    main(["repair-reviews", f"{landing}/reviews.csv", str(tmp_path / "clean")])
+    (tmp_path / "drop").mkdir()
+    write(tmp_path / "drop" / "1.csv", [FILES["orders"]])
+    main(["ingest", "orders", str(tmp_path / "drop"), root])
+    assert spark.read.parquet(f"{root}/landed/orders").count() == 1
+    shown = capsys.readouterr().out
+    assert "category_translation" in shown and "not_null" in shown and "recovery_rate" in shown

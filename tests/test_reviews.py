@@ -106,3 +106,13 @@ def test_joins_on_repaired_reviews_stay_small_plans(spark):
     typed = R.reviews_typed(R.reviews_clean(records(spark, RECORDS)))
     plan = typed.join(spark.range(1).selectExpr("'x' AS order_id"), "order_id")._jdf.queryExecution()
     assert len(plan.optimizedPlan().toString()) < 50_000
+
+
+def test_repaired_file_reads_back(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text(HEADER + "\n" + "\n".join(RECORDS) + "\n")
+    stats = R.repair_file(spark, str(path), str(tmp_path / "clean")).head()
+    again = R.classify(R.read_records(spark, str(tmp_path / "clean")))
+    kept = sorted((row for outcome, row in map(repaired, RECORDS) if outcome != "skipped"), key=repr)
+    assert rows(again.drop("outcome")) == kept
+    assert stats.total_output == again.where("outcome = 'already_good'").count() == len(kept)
