@@ -207,6 +207,12 @@ def queries() -> dict[str, Query]:
         order_payments=lambda t: rollups.order_payments(t["stg_payments"]),
         seller_rollup=lambda t: marts.seller_figures(_sold(t)).drop("top_category"),
         top_category_per_seller=lambda t: rollups.top_category_per_seller(_sold(t)),
+        sold_items=_sold,
+        paid_orders=lambda t: marts.paid_orders(t["stg_payments"], t["stg_orders"]),
+        order_totals=lambda t: marts.order_totals(t["stg_orders"], t["stg_order_items"]).select(
+            "order_id", "customer_state", "customer_zip_code_prefix",
+            *columns(order_value="value_units / 10000D"),
+        ),
         state_rollup=lambda t: marts.state_rollup(marts.order_totals(t["stg_orders"], t["stg_order_items"])),
         state_centroid=lambda t: rollups.state_centroid(t["stg_geolocation"]),
         payment_share=lambda t: load.mart_models(t)["mart_payment_analysis"].select(

@@ -197,6 +197,12 @@ EXPECTED: dict[str, str] = {
             "mart_geo_sales", "mart_payment_analysis", "reviews_clean", "reviews_typed",
         )
     },
+    "sold_items": """
+        SELECT order_id, seller_id, seller_state, seller_city, price, total_item_value, category_display,
+               delivery_delay_days, is_late_delivery, order_month
+        FROM sold""",
+    "paid_orders": _all("paid"),
+    "order_totals": _all("order_totals"),
     "payment_share": "SELECT payment_type, order_month, pct_of_monthly_orders FROM mart_payment_analysis",
     "kpi_category_revenue": f"""
         SELECT category_display, {money_sum('price')} AS revenue_brl, count(*) AS items_sold,

@@ -34,6 +34,11 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table
 
 
+def _id(key: str) -> str:
+    """A hex id.  Keys are never NULL; saying so keeps Spark from hashing once more to filter on it."""
+    return f"coalesce(md5(string({key})), '')"
+
+
 def _after(days: str = "0", seconds: str = "0") -> str:
     """The purchase plus whole days and seconds."""
     return f"timestamp_seconds(unix_timestamp(timestamp(o_orderdate)) + ({days}) * 86400 + ({seconds}))"
@@ -43,8 +48,8 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = given(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = given(spark, sf_dir, "orders")
     return orders.join(customer, F.expr("o_custkey = c_custkey"), "left").select(columns(
-        order_id="md5(string(o_orderkey))",
-        customer_id="md5(string(o_custkey))",
+        order_id=_id("o_orderkey"),
+        customer_id=_id("o_custkey"),
         order_status="CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'"
                      " ELSE 'processing' END",
         order_purchase_timestamp="timestamp(o_orderdate)",
@@ -59,10 +64,10 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "lineitem").select(columns(
-        order_id="md5(string(l_orderkey))",
+        order_id=_id("l_orderkey"),
         order_item_id="bigint(l_linenumber)",
-        product_id="md5(string(l_partkey))",
-        seller_id="md5(string(l_suppkey))",
+        product_id=_id("l_partkey"),
+        seller_id=_id("l_suppkey"),
         shipping_limit_date="timestamp(l_shipdate)",
         price="(bigint(rint(l_extendedprice * 100D)) div CASE l_suppkey % 4 WHEN 0 THEN 100L"
               " WHEN 1 THEN 1000L WHEN 2 THEN 10000L ELSE 100000L END) / 100D",
@@ -91,7 +96,7 @@ def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"inline(CASE WHEN o_orderkey % 20 = 0 THEN array({first}, {second}) ELSE array({first}) END)",
         )
         .selectExpr(
-            "md5(string(o_orderkey)) AS order_id", "payment_sequential", "payment_type",
+            f"{_id('o_orderkey')} AS order_id", "payment_sequential", "payment_type",
             "payment_installments", "payment_value", "o_orderkey * 2 + payment_sequential AS _row",
         )
     )
@@ -104,7 +109,7 @@ def _nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = given(spark, sf_dir, "customer")
     return customer.join(_nation(spark, sf_dir), F.expr("c_nationkey = n_nationkey"), "left").select(columns(
-        customer_id="md5(string(c_custkey))",
+        customer_id=_id("c_custkey"),
         customer_unique_id="md5('u' || c_custkey % 1000)",
         customer_zip_code_prefix="string(c_custkey % 12)",
         customer_city="'city_' || c_custkey % 50",
@@ -115,7 +120,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "part").select(columns(
-        product_id="md5(string(p_partkey))",
+        product_id=_id("p_partkey"),
         product_category_name="CASE WHEN p_partkey % 50 = 0 THEN '' ELSE lower(p_type) END",
         product_name_length="bigint(length(p_name))",
         product_description_length="bigint(p_size * 10)",
@@ -131,7 +136,7 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = given(spark, sf_dir, "supplier")
     return supplier.join(_nation(spark, sf_dir), F.expr("s_nationkey = n_nationkey"), "left").select(columns(
-        seller_id="md5(string(s_suppkey))",
+        seller_id=_id("s_suppkey"),
         seller_zip_code_prefix="string(s_suppkey % 15)",
         seller_city="'city_' || s_suppkey % 10",
         seller_state="n_name",
@@ -167,7 +172,7 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return given(spark, sf_dir, "documents").select(columns(
         review_id="md5('r' || doc_id)",
-        order_id="md5(string(doc_id))",
+        order_id=_id("doc_id"),
         review_score="string(doc_id % 5 + 1)",
         review_comment_title="source",
         review_comment_message="translate(text, '\\t\\n\\u000b\\u000c\\r\"', '      ')",

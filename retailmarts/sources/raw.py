@@ -19,10 +19,12 @@ def _untyped(table: str) -> str:
     return ", ".join(f"{name} string" for name in [*RAW[table].names, BROKEN])
 
 
-def _options(table: str, header: bool) -> dict[str, str]:
-    # Broken free text can have any number of commas.
-    wide = {"maxColumns": "1000000"} if RAW[table].multi_line else {}
-    return {**_CSV, **wide, "header": str(header), "columnPruning": "false"}
+# Spark's tokeniser reserves room for this many fields per record and fails beyond (its default).
+_MOST_FIELDS = 20_480
+
+
+def _options(header: bool) -> dict[str, str]:
+    return {**_CSV, "maxColumns": str(_MOST_FIELDS), "header": str(header), "columnPruning": "false"}
 
 
 def scan(
@@ -34,7 +36,9 @@ def scan(
     tasks; only tables with quoted line breaks (reviews) are read file by file.
     """
     multi_line = RAW[table].multi_line if multi_line is None else multi_line
-    options = {**_options(table, header), "multiLine": multi_line}
+    options = {**_options(header), "multiLine": multi_line}
+    if multi_line:  # one tokeniser per file, so broken free text may have any number of commas
+        options["maxColumns"] = "10000000"
     return spark.read.schema(_untyped(table)).options(**options).csv(path)
 
 
@@ -42,17 +46,36 @@ def scan_stream(
     spark: SparkSession, table: str, path: str, header: bool = True, files_per_batch: int = 10_000
 ) -> DataFrame:
     """Like ``scan`` for files as they arrive in the folder ``path``."""
-    options = {**_options(table, header), "maxFilesPerTrigger": files_per_batch}
+    options = {**_options(header), "maxFilesPerTrigger": files_per_batch}
     return spark.readStream.schema(_untyped(table)).options(**options).csv(path)
 
 
 def scan_lines(lines: DataFrame, table: str, column: str = "line") -> DataFrame:
-    """Like ``scan`` for records that are already rows of text; blank lines are no records."""
-    fields = F.from_csv(F.col(column), _untyped(table), _options(table, header=False))
-    blank = F.expr(f"{X.stripped(column)} = ''")
+    """Like ``scan`` for records that are already rows of text; blank lines are no records.
+
+    Records with more commas than the tokeniser has room for are split by expression.
+    """
+    names = RAW[table].names
+    size = f"octet_length({column})"
+    narrow = f"({size} < {_MOST_FIELDS} OR {size} - octet_length(replace({column}, ',', '')) < {_MOST_FIELDS})"
+    narrow_record = F.expr(f"CASE WHEN {narrow} THEN {column} END")
+    made = [
+        F.from_csv(narrow_record, _untyped(table), _options(header=False)).alias("fields"),
+        *columns(
+            wide=f"CASE WHEN NOT ({narrow}) THEN {X.csv_fields(column)} END",
+            record=f"CASE WHEN NOT ({narrow}) THEN {column} END",
+            blank=f"{X.stripped(column)} = ''",
+        ),
+    ]
     # A generator, as in ``once``: each record is parsed one time.
-    parsed = F.inline(F.array(F.struct(fields.alias("fields"), blank.alias("blank"))))
-    return lines.select(parsed).where("NOT blank").select("fields.*")
+    parsed = lines.select(F.inline(F.array(F.struct(*made)))).where("NOT blank")
+    fits = f"size(wide) = {len(names)}"
+    found = {
+        n: f"CASE WHEN wide IS NULL THEN fields.{n} WHEN {fits} THEN nullif(get(wide, {i}), '') END"
+        for i, n in enumerate(names)
+    }
+    found[BROKEN] = f"CASE WHEN wide IS NULL THEN fields.{BROKEN} WHEN NOT {fits} THEN record END"
+    return parsed.select(columns(**found))
 
 
 def _and_a_field(condition: str, table: str) -> str:
@@ -100,9 +123,9 @@ def check_load(records: DataFrame, table: str) -> DataFrame:
     valued = " + ".join(["0", *(f"int({n} IS NOT NULL)" for n in checked)])
     keyless = " OR ".join(["false", *(f"{n} IS NULL" for n in spec.required)])
     return (
-        records.select("*", once(_fields=X.csv_fields(BROKEN)))
+        records.select("*", *columns(_fields=X.csv_fields(BROKEN)))
         .select(columns(**fields, _surplus=surplus))
-        .select(columns(**clean, _surplus="_surplus"))
+        .select(once(**clean, _surplus="_surplus"))
         .select(columns(**typed, _surplus="_surplus", _filled=filled))
         .select(*spec.names, *columns(_bad=f"_surplus OR _filled <> {valued} OR {keyless}"))
     )

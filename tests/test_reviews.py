@@ -10,6 +10,7 @@ from retailmarts.sources import raw
 from tests.conftest import rows
 
 HEADER = ",".join(R.NAMES)
+csv.field_size_limit(10**9)
 A, B = "a" * 32, "b" * 32
 D1, D2, D3 = "2018-01-01 00:00:00", "2018-01-02 00:00:00", "2018-01-03 00:00:00"
 
@@ -70,6 +71,15 @@ def test_random_records(spark):
     assert rows(R.classify(records(spark, lines))) == by_hand(lines)
 
 
+def test_records_with_very_many_commas(spark, tmp_path):
+    many = "word," * 40_000
+    lines = [f"{A},{B},5,t,{many}end,{D1},{D2}", f'{A},{B},5,t,"{many}",{D1},{D2}', many, RECORDS[0]]
+    assert rows(R.classify(records(spark, lines))) == by_hand(lines)
+    path = tmp_path / "reviews.csv"
+    path.write_text(HEADER + "\n" + "\n".join(lines) + "\n")
+    assert rows(R.classify(R.read_records(spark, str(path)))) == by_hand(lines)
+
+
 def test_stats_and_clean(spark):
     outcomes = [repaired(x)[0] for x in RECORDS]
     stats = R.reviews_stats(records(spark, RECORDS)).head().asDict()
