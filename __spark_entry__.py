@@ -25,6 +25,12 @@ from retailmarts.sources.schemas import RAW
 from retailmarts.sources.tables import Tables
 from retailmarts.streaming import ingest
 
+try:  # the corpus operators are optional: nothing else depends on them
+    import corpus_pipeline
+    from retailmarts.llm import queries as corpus
+except ImportError:
+    corpus = corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARSED = list(O.KINDS)  # all raw tables but the reviews, which are repaired instead
@@ -256,10 +262,17 @@ def queries() -> dict[str, Query]:
             _reviews(spark, sf), _staged(spark, sf)["stg_orders"]
         ),
     )
+    if corpus:
+        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     from fixtures.expected import EXPECTED
 
-    return {name: O.query(sql) for name, sql in EXPECTED.items()}
+    found = {name: O.query(sql) for name, sql in EXPECTED.items()}
+    if corpus:
+        found |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

@@ -1,5 +1,7 @@
 """Every registered query returns exactly what its SQL says."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -7,11 +9,15 @@ from compare import difference
 from tests.conftest import SF
 
 
+CORPUS = re.compile(r"op\d+_|pipeline$")  # tested with the optional subpackage
+NAMES = [name for name in entry.queries() if not CORPUS.match(name)]
+
+
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) == {name for name in entry.oracle_sql() if not CORPUS.match(name)}
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, name):
     assert difference(spark, SF, name) == ""
 
