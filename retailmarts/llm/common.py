@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from retailmarts.session import configure, shared_dir
@@ -57,40 +58,47 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def local_sums(value: str):
-    """A mapInPandas function: adds ``_pid`` and ``_local``, the sum of ``value`` over the earlier rows
-    of the partition.  Only one batch and one running number are in memory."""
+def local_sums(values: list[str]):
+    """A mapInPandas function: adds ``_pid`` and, for each value, ``_local_<value>``, its sum over the
+    earlier rows of the partition.  Only one batch and the running numbers are in memory."""
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid, before = TaskContext.get().partitionId(), 0
+        pid, before = TaskContext.get().partitionId(), dict.fromkeys(values, 0)
         for pdf in batches:
-            ends = before + np.cumsum(pdf[value].to_numpy(np.int64))
             if len(pdf):
-                yield pdf.assign(_pid=pid, _local=ends - pdf[value].to_numpy(np.int64))
-                before = int(ends[-1])
+                more: dict[str, object] = {"_pid": pid}
+                for v in values:
+                    numbers = pdf[v].to_numpy(np.int64)
+                    ends = before[v] + np.cumsum(numbers)
+                    more[f"_local_{v}"], before[v] = ends - numbers, int(ends[-1])
+                yield pdf.assign(**more)
 
     return add
 
 
-def partition_starts(saved: DataFrame, value: str) -> DataFrame:
-    """First and second pass over partition totals: ``_pid``, ``_start``.  One row per partition of the
-    job that wrote ``saved``, so the window and the broadcast below are bounded by its task count."""
-    totals = saved.groupBy("_pid").agg(F.sum(value).alias("_total"))
+def partition_starts(saved: DataFrame, values: list[str]) -> DataFrame:
+    """The totals of the partitions that precede: ``_pid``, ``_start_<value>``.  One row per task of the
+    job that wrote ``saved``, which bounds the window here and the broadcast of the result."""
+    totals = saved.groupBy("_pid").agg(*[F.sum(v).alias(f"_total_{v}") for v in values])
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("_pid", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    return totals.select("_pid", *[
+        F.coalesce(F.sum(f"_total_{v}").over(earlier), F.lit(0)).alias(f"_start_{v}") for v in values
+    ])
 
 
-def running_sum(df: DataFrame, order: list[Column], value: str, out: str, scratch: Scratch) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over all rows that precede in ``order``, over the whole table.
+def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], scratch: Scratch) -> DataFrame:
+    """Add each name of ``sums``: the sum of its value over all rows that precede in ``order``, over the
+    whole table.
 
     Range partitioning spreads the rows whatever their keys; each task adds up its own rows and the
     totals of the tasks, one row each, give the rest.  Saved once, so both passes see one layout.
     """
-    schema = f"{df._jdf.schema().toDDL()}, _pid INT, _local BIGINT"
+    values = list(dict.fromkeys(sums.values()))
+    schema = StructType(
+        [*df.schema, StructField("_pid", IntegerType()), *[StructField(f"_local_{v}", LongType()) for v in values]]
+    )
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    saved = scratch.save(ordered.mapInPandas(local_sums(value), schema))
-    return (
-        saved.join(F.broadcast(partition_starts(saved, value)), "_pid")
-        .withColumn(out, F.col("_local") + F.col("_start"))
-        .drop("_pid", "_local", "_start")
+    saved = scratch.save(ordered.mapInPandas(local_sums(values), schema))
+    return saved.join(F.broadcast(partition_starts(saved, values)), "_pid").select(
+        *df.columns, *[(F.col(f"_local_{v}") + F.col(f"_start_{v}")).alias(name) for name, v in sums.items()]
     )

@@ -73,7 +73,7 @@ def units(vocabulary: str) -> Units:
 
 
 ENCODED = pa.schema([
-    ("doc_id", pa.int64()), ("ids", pa.binary()), ("n", pa.int64()), ("_pid", pa.int32()), ("_local", pa.int64()),
+    ("doc_id", pa.int64()), ("ids", pa.binary()), ("n", pa.int64()), ("_pid", pa.int32()), ("_local_n", pa.int64()),
 ])
 PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -139,11 +139,11 @@ def pack(
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     encoded = scratch.save(texts.mapInArrow(
-        _encoder(vocabulary, end), "doc_id BIGINT, ids BINARY, n BIGINT, _pid INT, _local BIGINT"
+        _encoder(vocabulary, end), "doc_id BIGINT, ids BINARY, n BIGINT, _pid INT, _local_n BIGINT"
     ))
     placed = (
-        encoded.join(F.broadcast(partition_starts(encoded, "n")), "_pid")
-        .select("doc_id", "ids", "n", (F.col("_local") + F.col("_start")).alias("_at"))
+        encoded.join(F.broadcast(partition_starts(encoded, ["n"])), "_pid")
+        .select("doc_id", "ids", "n", (F.col("_local_n") + F.col("_start_n")).alias("_at"))
     )
     return placed.mapInArrow(
         _cutter(window, keep_ids),

@@ -6,19 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import packing
-from retailmarts.llm.common import Scratch, read
+from retailmarts.llm import mixing, packing
+from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
+    mixed = mixing.mix(docs, Scratch(spark, "mix"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return packing.pack(docs, Scratch(spark, "packing"), keep_ids=False).drop("ids", "boundary")
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_packing": op5_packing}
+    return {"op4_source_mix": op4_source_mix, "op5_packing": op5_packing}
 
 
 def oracle_sql() -> dict[str, str]:
