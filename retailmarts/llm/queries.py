@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import mixing, packing
+from retailmarts.llm import chat, mixing, packing, quality
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.judge(docs, Scratch(spark, "quality")).drop("boilerplate")
+
+
+def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return chat.render(conversations, chat.collapse(conversations))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
     mixed = mixing.mix(docs, Scratch(spark, "mix"))
@@ -23,9 +33,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Scratch(spark, "packing"), keep_ids=False).drop("ids", "boundary")
 
 
+QUERIES = {f.__name__: f for f in (
+    op1_line_frequency, op4_source_mix, op5_packing, op7_chat_snapshots,
+)}
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_source_mix": op4_source_mix, "op5_packing": op5_packing}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_frequency": quality.ORACLE, "op7_chat_snapshots": chat.ORACLE}
