@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, mixing, packing, quality
+from retailmarts.llm import chat, mixing, packing, quality, toxicity
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +33,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Scratch(spark, "packing"), keep_ids=False).drop("ids", "boundary")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return toxicity.judge(docs, toxicity.train(docs, labels, Scratch(spark, "toxicity")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op4_source_mix, op5_packing, op7_chat_snapshots,
+    op10_toxicity,
 )}
 
 
