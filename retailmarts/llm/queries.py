@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, mixing, packing, quality, toxicity
+from retailmarts.llm import chat, language, mixing, packing, quality, toxicity
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, Scratch(spark, "quality")).drop("boilerplate")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", language.remainder("doc_id", 4) == 2)
+    profiles = language.learn(docs.where("NOT held_out"))
+    return language.predict(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
+
+
 def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read(spark, sf_dir, "conversations")
     return chat.render(conversations, chat.collapse(conversations))
@@ -39,7 +45,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op4_source_mix, op5_packing, op7_chat_snapshots,
+    op1_line_frequency, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
     op10_toxicity,
 )}
 

@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from retailmarts.llm.common import Scratch
@@ -26,11 +27,10 @@ from retailmarts.llm.common import Scratch
 #: Label columns in the order of the chain; documents are rejected by the last one.
 CHAIN = ("quality", "toxic")
 SAMPLE = 5000
-FEATURES = 2048
+FEATURES = 1024
 GRAMS = (4, 5, 6)
-FOLDS = 5
-REJECT = 0.5
-STEPS = 150
+FOLDS = 4
+STEPS = 250
 RIDGE = 1e-4
 #: Words whose features a worker remembers; when full, the table starts afresh.
 CACHED = 200_000
@@ -188,8 +188,23 @@ def _with(extra: list[np.ndarray], size: int, rows, at, values):
     )
 
 
-def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int) -> list[Linear]:
-    """One model per category.  A row without a label of a category does not count there."""
+def best_limit(p: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float:
+    """The probability limit with the highest F1 on rows their models did not see, in the middle of the
+    gap between the probabilities on both sides."""
+    order = np.argsort(-p, kind="stable")
+    p, hit, weight = p[order], (label * weight)[order], weight[order]
+    total = hit.sum()
+    if not total:
+        return 0.5
+    f1 = 2 * np.cumsum(hit) / (total + np.cumsum(weight))
+    f1[:-1][p[:-1] == p[1:]] = 0  # a limit cannot part equal probabilities
+    k = int(np.argmax(f1))
+    return float((p[k] + p[k + 1]) / 2) if k + 1 < len(p) else float(p[k])
+
+
+def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int) -> tuple[list[Linear], float]:
+    """One model per category, and the limit of the last one.  A row without a label of a category does
+    not count there."""
     pdf = pdf.sort_values("doc_id").reset_index(drop=True)
     n, (rows, at, values) = len(pdf), _flat(pdf)
     fold = np.arange(n) % FOLDS
@@ -200,13 +215,12 @@ def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int) -> list[Line
         known = weight * pdf[c].notna().to_numpy()
         data = _with(earlier, size, rows, at, values)
         models.append(fit(*data, n, size + k, label, known))
-        if k + 1 < len(chain):
-            unseen = np.zeros(n)
-            for f in range(FOLDS):
-                part = fit(*data, n, size + k, label, known * (fold != f))
-                unseen[fold == f] = part.probabilities(*data, n)[fold == f]
-            earlier.append(unseen)
-    return models
+        unseen = np.zeros(n)
+        for f in range(FOLDS):
+            part = fit(*data, n, size + k, label, known * (fold != f))
+            unseen[fold == f] = part.probabilities(*data, n)[fold == f]
+        earlier.append(unseen)
+    return models, best_limit(unseen, label, known)
 
 
 def _score(models: list[Linear], pdf: pd.DataFrame, size: int) -> list[np.ndarray]:
@@ -225,6 +239,7 @@ class Chain:
     categories: tuple[str, ...]
     index: dict[str, int]
     models: list[Linear]
+    limit: float
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str, ...] = CHAIN,
@@ -252,19 +267,20 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdfs = list(batches)
         if pdfs and index:
-            for k, m in enumerate(fit_chain(pd.concat(pdfs, ignore_index=True), chain, len(index))):
-                yield pd.DataFrame({"k": [k], "weights": [m.weights], "bias": [m.bias]})
+            models, limit = fit_chain(pd.concat(pdfs, ignore_index=True), chain, len(index))
+            for k, m in enumerate(models):
+                yield pd.DataFrame({"k": [k], "weights": [m.weights], "bias": [m.bias], "limit": [limit]})
 
     types = ", ".join(f"{c} INT" for c in chain)
     rows = sample.mapInPandas(vectors, f"doc_id BIGINT, {types}, weight DOUBLE, at ARRAY<INT>, values ARRAY<DOUBLE>")
-    found = rows.repartition(1).mapInPandas(fitted, "k INT, weights ARRAY<DOUBLE>, bias DOUBLE").collect()
+    found = rows.repartition(1).mapInPandas(fitted, "k INT, weights ARRAY<DOUBLE>, bias DOUBLE, limit DOUBLE").collect()
     models = [Linear(np.array(r["weights"]), r["bias"]) for r in sorted(found, key=lambda r: r["k"])]
-    return Chain(chain, index, models)
+    return Chain(chain, index, models, found[0]["limit"] if found else 0.5)
 
 
-def judge(docs: DataFrame, chain: Chain, reject: float = REJECT, keep: bool = False) -> DataFrame:
-    """doc_id, a probability ``p_<category>`` per category and ``toxic`` (the last one is ``reject`` or
-    more) for every row; with ``keep``, all columns of ``docs`` and ``toxic``.
+def judge(docs: DataFrame, chain: Chain, keep: bool = False) -> DataFrame:
+    """doc_id, a probability ``p_<category>`` per category and ``toxic`` (the last one is above the
+    chain's limit) for every row; with ``keep``, all columns of ``docs`` and ``toxic``.
 
     The whole text counts.  A null or empty text has no features and gets the share of the class; without
     labelled rows nothing is known and all probabilities are 0; equal texts get equal results; an empty
@@ -287,12 +303,10 @@ def judge(docs: DataFrame, chain: Chain, reject: float = REJECT, keep: bool = Fa
                 scores = [np.zeros(n)] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in out] + [pa.array(s, pa.float64()) for s in scores]
-                + [pa.array(scores[-1] >= reject, pa.bool_())],
+                + [pa.array(scores[-1] > chain.limit, pa.bool_())],
                 names=[*out, *names, "toxic"],
             )
 
-    from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
-
     schema = StructType([
         *[StructField(f.name, f.dataType, True) for f in kept],
         *[StructField(c, DoubleType()) for c in names], StructField("toxic", BooleanType()),
