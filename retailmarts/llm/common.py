@@ -102,3 +102,44 @@ def running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], scrat
     return saved.join(F.broadcast(partition_starts(saved, values)), "_pid").select(
         *df.columns, *[(F.col(f"_local_{v}") + F.col(f"_start_{v}")).alias(name) for name, v in sums.items()]
     )
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``on`` and its hash.  A side that was aggregated by ``on`` is then shuffled for the join,
+    as is the other, and adaptive execution can split a hot key of either."""
+    mark = F.xxhash64(*on)
+    joined = left.withColumn("_mark", mark).join(right.withColumn("_mark", mark), [*on, "_mark"], how)
+    return joined.drop("_mark")
+
+
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Connected components of ``edges`` (a, b): (node, component), the component being its smallest
+    node.  Nodes without an edge to another node are left out.
+
+    Alternates the large and the small star: each node's larger neighbours, then its smaller ones, are
+    hung under its smallest neighbour.  Both steps are aggregations and joins, so a node with millions of
+    neighbours is spread like any other key; each round is saved, the number of rounds is logarithmic.
+    """
+    links = scratch.save(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    while True:
+        parents = links.groupBy("a").agg(F.count("*").alias("n"))
+        unfinished = parents.where("n > 1").limit(1).count() or links.join(
+            links.select(F.col("b").alias("a")).distinct(), "a", "left_semi"
+        ).limit(1).count()
+        if not unfinished:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+                links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            )
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = spread_join(both, least, ["a"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = scratch.save(large.where("a <> b").distinct())
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = spread_join(large, least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before, links = links, scratch.save(
+            small.where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        )
+        scratch.drop(before)
+        scratch.drop(large)

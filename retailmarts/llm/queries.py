@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, language, mixing, packing, quality, toxicity
+from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Scratch(spark, "packing"), keep_ids=False).drop("ids", "boundary")
 
 
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read(spark, sf_dir, "documents"), Scratch(spark, "ctw"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return neardup.near_duplicates(docs, Scratch(spark, "neardup")).drop("row")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     return toxicity.judge(docs, toxicity.train(docs, labels, Scratch(spark, "toxicity")))
@@ -46,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
-    op10_toxicity,
+    op8_context_tree, op9_near_duplicates, op10_toxicity,
 )}
 
 
