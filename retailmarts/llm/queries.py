@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity
+from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity, vectors
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(conversations, chat.collapse(conversations))
 
 
+def op3_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), Scratch(spark, "vectors")).drop("row")
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
     mixed = mixing.mix(docs, Scratch(spark, "mix"))
@@ -54,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
+    op1_line_frequency, op3_vector_graph, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
     op8_context_tree, op9_near_duplicates, op10_toxicity,
 )}
 
