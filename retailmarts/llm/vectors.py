@@ -36,11 +36,12 @@ CLUSTERS = 2
 DEGREE = 16
 ALPHA = 1.2
 #: Of a search: nodes expanded at once, greedy rounds, how far below the limit neighbours are still
-#: expanded, queries at once.
+#: expanded, queries and expansions at once.
 WIDTH = 8
 ROUNDS = 12
 SLACK = 0.02
 QUERIES = 256
+EXPANDED = 10_000
 #: Audited vectors, and the recall below which the overlap is doubled.
 AUDIT = 512
 RECALL = 0.95
@@ -60,9 +61,9 @@ def prune(cosines: np.ndarray, node: int, candidates: np.ndarray) -> list[int]:
     return chosen
 
 
-def build(units: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Adjacency (padded with the node itself) of the united graphs of overlapping clusters, and the
-    clusters' medoids, where searches start."""
+def build(units: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adjacency of the united graphs of overlapping clusters, as the end of each node's list and the
+    lists one after the other, and the clusters' medoids, where searches start."""
     n = len(units)
     count = max(1, -(-n // CLUSTER))
     picks = np.random.default_rng(seed).choice(n, count, replace=False)
@@ -81,43 +82,51 @@ def build(units: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
             for j in members[prune(cosines, i, own)]:
                 lists[node].add(int(j))
                 lists[int(j)].add(int(node))  # edges work both ways
-    width = max((len(x) for x in lists), default=0) or 1
-    adjacency = np.repeat(np.arange(n)[:, None], width, axis=1)
-    for i, x in enumerate(lists):
-        adjacency[i, : len(x)] = sorted(x)
-    return adjacency, np.array(sorted(set(medoids)), np.int64)
+    ends = np.cumsum([len(x) for x in lists])
+    return ends, np.array([j for x in lists for j in sorted(x)], np.int64), np.array(sorted(set(medoids)), np.int64)
 
 
-def search(queries: np.ndarray, units: np.ndarray, adjacency: np.ndarray, medoids: np.ndarray, limit: float) -> np.ndarray:
-    """Which nodes each query reaches with a cosine of ``limit`` or more: a boolean matrix."""
-    found = np.zeros((len(queries), len(units)), bool)
+def search(
+    queries: np.ndarray, units: np.ndarray, ends: np.ndarray, edges: np.ndarray, medoids: np.ndarray,
+    limit: float, own: np.ndarray | None = None,
+) -> np.ndarray:
+    """Which nodes each query reaches with a cosine of ``limit`` or more: a boolean matrix.
+
+    Greedy rounds from the medoids (and, where queries are nodes, from these) expand the best nodes seen;
+    then all nodes in range are expanded until no new one turns up."""
+    n = len(units)
+    found = np.zeros((len(queries), n), bool)
     for start in range(0, len(queries), QUERIES):
         part = queries[start : start + QUERIES]
         rows = np.arange(len(part))
-        score = np.full((len(part), len(units)), -2.0)
+        score = np.full((len(part), n), -2.0)
         score[:, medoids] = part @ units[medoids].T
+        if own is not None:
+            score[rows, own[start : start + QUERIES]] = 1.0
         waiting = np.where(score > -2.0, score, -3.0)  # seen and not expanded yet
-        greedy = 0
-        while True:
-            width = min(WIDTH, waiting.shape[1])
+
+        def expand(q: np.ndarray, nodes: np.ndarray) -> None:
+            waiting[q, nodes] = -3.0
+            for s in range(0, len(q), EXPANDED):
+                some = nodes[s : s + EXPANDED]
+                sizes = ends[some] - np.where(some, ends[some - 1], 0)
+                last = np.cumsum(sizes)
+                to = edges[np.arange(last[-1]) + np.repeat(ends[some] - last, sizes)]
+                at = np.repeat(q[s : s + EXPANDED], sizes) * n + to
+                at = np.unique(at[score.ravel()[at] == -2.0])
+                i, j = np.divmod(at, n)
+                score[i, j] = waiting[i, j] = np.einsum("ij,ij->i", part[i], units[j])
+
+        width = min(WIDTH, n)
+        for _ in range(ROUNDS):
             best = np.argpartition(-waiting, width - 1, axis=1)[:, :width]
-            value = waiting[rows[:, None], best]
-            wanted = value > -3.0 if greedy < ROUNDS else value >= limit - SLACK
-            active = np.flatnonzero(wanted.any(axis=1))
-            if not len(active):
+            q, k = np.nonzero(waiting[rows[:, None], best] > -3.0)
+            expand(q, best[q, k])
+        while True:
+            q, nodes = np.nonzero(waiting >= limit - SLACK)
+            if not len(q):
                 break
-            greedy += 1
-            q, k = np.nonzero(wanted)
-            waiting[q, best[q, k]] = -3.0
-            to = adjacency[best[q, k]]
-            q = np.repeat(q, to.shape[1])
-            to = to.ravel()
-            fresh = score[q, to] == -2.0
-            q, to = q[fresh], to[fresh]
-            if len(q):
-                value = np.einsum("ij,ij->i", part[q], units[to])
-                score[q, to] = value
-                waiting[q, to] = value
+            expand(q, nodes)
         found[start : start + QUERIES] = score >= limit
     return found
 
@@ -154,13 +163,15 @@ def _links(limit: float):
             nodes = np.flatnonzero(block == side)
             other = np.flatnonzero(block == (j if side == i else i))
             if len(nodes) and len(other):
-                linked[np.ix_(other, nodes)] |= search(units[other], units[nodes], *build(units[nodes]), limit)
+                own = np.arange(len(nodes)) if i == j else None
+                linked[np.ix_(other, nodes)] |= search(units[other], units[nodes], *build(units[nodes]), limit, own)
         linked |= linked.T
         np.fill_diagonal(linked, False)
         # A pair that shares several shards counts in the first of them.
         shards = np.stack(pdf["shards"].to_list())
         a, b = np.nonzero(linked)
         both = (shards[a][:, :, None] == shards[b][:, None, :]).any(axis=2)
+        both &= shards[a] >= 0  # fillers are no shards
         counts = np.where(both, shards[a], np.iinfo(np.int32).max).min(axis=1) == shard
         times = np.bincount(a[counts], pdf["copies"].to_numpy()[b[counts]], len(pdf)).astype(np.int64)
         rows = pdf["row"].to_numpy()
