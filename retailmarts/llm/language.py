@@ -134,17 +134,30 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], size: int = PROFIL
     like a result are replaced.
     """
     kept = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
-    names = [f.name for f in kept]
+    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(profiles)
         for batch in batches:
-            found = [identify(t, tables, size) for t in batch["_text"].to_pylist()]
+            found = [identify(t, tables, size) for t in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*[batch[c] for c in names], pa.array([f[0] for f in found], pa.string()),
+                [*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
-                names=[*names, "lang_pred", "score"],
+                names=schema.names,
             )
 
-    schema = StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*names, F.col("text").cast("string").alias("_text")).mapInArrow(add, schema)
+    text = F.col("text").cast("string").alias("lang_pred")  # a free name
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept], text).mapInArrow(add, schema)
+
+
+def accept(docs: DataFrame, profiles: dict[str, np.ndarray], least: float, size: int = PROFILE) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text has a language that it agrees with at least so much."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _tables(profiles)
+        for batch in batches:
+            found = [identify(t, tables, size) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -146,21 +146,21 @@ def _parts(p: int) -> str:
 
 
 def mix(docs: DataFrame, scratch: Scratch, seed: int = SEED) -> DataFrame:
-    """All rows and columns of ``docs`` with size, source_size, target, taken, and ``parts``: for each
-    pass the word ranges that the mix takes.
+    """One row per row of ``docs``: doc_id, source, text, size, source_size, target, taken, ``parts`` (for
+    each pass the word ranges that the mix takes) and ``extra``, a struct of all other columns.
 
-    A null or blank text has size 0 and gives nothing.  A null source is a source, the last one.  Equal
-    rows count as separate documents and change places freely; a null doc_id is allowed; an empty table
-    stays empty.  Columns of ``docs`` other than doc_id, text and source are carried along unless they
-    have the name of a result, which then replaces them; names that start with ``_`` are reserved.
+    ``docs`` has doc_id, source and text, or instead of text its number of words as ``size``.  A null or
+    blank text has size 0 and gives nothing.  A null source is a source, the last one.  Equal rows count as
+    separate documents and change places freely; a null doc_id is allowed; an empty table stays empty; other
+    columns may have any name.
     """
-    results = ["size", "source_size", "target", "taken", "parts"]
-    kept = [c for c in docs.columns if c not in results]
-    sized = docs.select(
-        *kept,
-        (F.col("size") if "text" not in kept else word_count("text")).alias("_size"),
-        F.xxhash64(F.lit(seed), *[F.col(c) for c in ("doc_id", "text") if c in kept]).alias("_key"),
-    )
+    own = [c for c in ("doc_id", "source", "text") if c in docs.columns]
+    size = word_count("text") if "text" in own else F.col("size")
+    other = [c for c in docs.columns if c not in own and ("text" in own or c != "size")]
+    extra = F.struct(*[F.col(f"`{c}`") for c in other]) if other else F.lit(None).cast("string")
+    sized = docs.select(*own, extra.alias("extra"), size.alias("_size"), F.xxhash64(
+        F.lit(seed), *[F.col(c) for c in ("doc_id", "text") if c in own]
+    ).alias("_key"))
     order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id")]
     placed = running_sums(sized, order, {"_from": "_size"}, scratch)
     sources = plan_sources(placed.select("source", "_size"), scratch, seed)
@@ -174,7 +174,7 @@ def mix(docs: DataFrame, scratch: Scratch, seed: int = SEED) -> DataFrame:
         located.withColumn("_shard", F.when(F.col("_size") > 0, F.expr(_SHARD)).otherwise(F.array()))
         .withColumn("parts", F.array(*[F.expr(_parts(p)) for p in range(1, PASSES + 1)]))
         .withColumn("taken", F.expr(taken))
-        .select(*kept, F.col("_size").alias("size"), "source_size", "target", "taken", "parts")
+        .select(*own, "extra", F.col("_size").alias("size"), "source_size", "target", "taken", "parts")
     )
 
 
@@ -190,6 +190,10 @@ def mixed_texts(mixed: DataFrame, columns: list[str]) -> DataFrame:
     rows = mixed.withColumn("_part", F.explode("parts")).withColumn("_covered", covered).where("_covered > 0")
     text = F.when(F.col("_covered") == F.col("size"), F.col("text")).otherwise(cut)
     rows = rows.withColumn("text", text)
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*columns)
+
+    def column(name: str):
+        if name in ("doc_id", "source", "text"):
+            return F.col(name)
+        return F.length("text").cast("long").alias(name) if name == "n_chars" else F.col("extra")[name].alias(name)
+
+    return rows.select(*map(column, columns))

@@ -139,9 +139,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b.append(int(np.add.reduce(_mixed(items ^ _GOLDEN)).astype(np.int64)))
             registers.append(sketch(items).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch["row"], batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(a, pa.int64()),
+            [batch["row"], batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(a, pa.int64()),
              pa.array(b, pa.int64()), pa.array(registers, pa.binary())],
-            names=["row", "doc_id", "n", "a", "b", "registers"],
+            names=["row", "doc_id", "text_hash", "n", "a", "b", "registers"],
         )
 
 
@@ -226,8 +226,9 @@ class _Search:
         numbered = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
             "row", F.monotonically_increasing_id()  # fixed by the saved table
         )
-        self.all = scratch.save(numbered.select("row", "doc_id", "text").mapInArrow(
-            _sketches, "row BIGINT, doc_id BIGINT, n BIGINT, a BIGINT, b BIGINT, registers BINARY"
+        self.all = scratch.save(numbered.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+            _sketches,
+            "row BIGINT, doc_id BIGINT, text_hash BIGINT, n BIGINT, a BIGINT, b BIGINT, registers BINARY",
         ))
         key = ["n", "a", "b"]
         self.classes = (
@@ -337,7 +338,7 @@ class _Search:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataFrame:
-    """One row per row of ``docs``: row, doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: row, text_hash, doc_id, n_shingles, component_id, kept.
 
     Rows are linked if their sets overlap by ``limit`` per cent or more.  component_id is the smallest
     doc_id that links reach.  Kept is one row of each component: the one of that doc_id, of repeated rows
@@ -351,7 +352,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataF
     search.across(None)
     key = ["n", "a", "b"]
     node = spread_join(search.all.drop("registers"), search.classes, key, "left").select(
-        "row", "doc_id", "n", F.coalesce("node", "row").alias("node")
+        "row", "text_hash", "doc_id", "n", F.coalesce("node", "row").alias("node")
     )
     node = node.join(search.components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     node = scratch.save(node.drop("node"))
@@ -359,6 +360,30 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataF
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     ).select("component", F.col("first.doc_id").alias("component_id"), F.col("first.row").alias("first"))
     return spread_join(node, first, ["component"]).select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        "row", "text_hash", "doc_id", F.col("n").alias("n_shingles"), "component_id",
         (F.col("row") == F.col("first")).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, all columns unchanged.
+
+    Rows are found again by doc_id, null or not, and a hash of the text.  Repeated rows share both: they
+    are set aside and one of them comes back if one is kept."""
+    told = near_duplicates(docs, scratch, limit)
+    key = ["__id", "__none", "__hash"]
+    groups = scratch.save(
+        told.groupBy(
+            F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__none"),
+            F.col("text_hash").alias("__hash"),
+        ).agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).where("k < n")
+    )
+    marked = docs.withColumns({
+        "__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull(),
+        "__hash": F.xxhash64(F.col("text").cast("string")),
+    })
+    left = marked.join(groups.select(*key), key, "left_anti")
+    trimmed = groups.where("k > 0").select(*key)
+    if trimmed.limit(1).count():
+        left = left.unionByName(marked.join(trimmed, key, "left_semi").dropDuplicates(key))
+    return left.select(*docs.columns)

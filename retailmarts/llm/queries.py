@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity, vectors
+from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity, vectors, wrappers
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(conversations, chat.collapse(conversations))
 
 
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read(spark, sf_dir, "pages"), Scratch(spark, "wrappers"))
+
+
 def op3_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), Scratch(spark, "vectors")).drop("row")
 
@@ -49,7 +53,7 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return neardup.near_duplicates(docs, Scratch(spark, "neardup")).drop("row")
+    return neardup.near_duplicates(docs, Scratch(spark, "neardup")).drop("row", "text_hash")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +62,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_frequency, op3_vector_graph, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
+    op1_line_frequency, op2_wrappers, op3_vector_graph, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
     op8_context_tree, op9_near_duplicates, op10_toxicity,
 )}
 

@@ -278,39 +278,48 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str
     return Chain(chain, index, models, found[0]["limit"] if found else 0.5)
 
 
-def judge(docs: DataFrame, chain: Chain, keep: bool = False) -> DataFrame:
+def _scores(chain: Chain, known: Features, texts: list[str | None]) -> list[np.ndarray]:
+    if not chain.models:
+        return [np.zeros(len(texts))] * len(chain.categories)
+    found = [known.vector(t) for t in texts]
+    pdf = pd.DataFrame({"at": [f[0] for f in found], "values": [f[1] for f in found]})
+    return _score(chain.models, pdf, len(chain.index))
+
+
+def judge(docs: DataFrame, chain: Chain) -> DataFrame:
     """doc_id, a probability ``p_<category>`` per category and ``toxic`` (the last one is above the
-    chain's limit) for every row; with ``keep``, all columns of ``docs`` and ``toxic``.
+    chain's limit) for every row.
 
     The whole text counts.  A null or empty text has no features and gets the share of the class; without
     labelled rows nothing is known and all probabilities are 0; equal texts get equal results; an empty
-    table stays empty; columns of ``docs`` named like a result are replaced.
+    table stays empty; other columns are ignored.
     """
-    names = [f"p_{c}" for c in chain.categories]
-    kept = [f for f in docs.schema if f.name not in ("toxic", *names)] if keep else [docs.schema["doc_id"]]
-    out = [f.name for f in kept]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Features(chain.index)
         for batch in batches:
-            texts = batch["_text"].to_pylist()
-            n = len(texts)
-            if chain.models:
-                found = [known.vector(t) for t in texts]
-                pdf = pd.DataFrame({"at": [f[0] for f in found], "values": [f[1] for f in found]})
-                scores = _score(chain.models, pdf, len(chain.index))
-            else:
-                scores = [np.zeros(n)] * len(names)
+            scores = _scores(chain, known, batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in out] + [pa.array(s, pa.float64()) for s in scores]
-                + [pa.array(scores[-1] > chain.limit, pa.bool_())],
-                names=[*out, *names, "toxic"],
+                [batch["doc_id"], *[pa.array(s, pa.float64()) for s in scores],
+                 pa.array(scores[-1] > chain.limit, pa.bool_())],
+                names=schema.names,
             )
 
     schema = StructType([
-        *[StructField(f.name, f.dataType, True) for f in kept],
-        *[StructField(c, DoubleType()) for c in names], StructField("toxic", BooleanType()),
+        docs.schema["doc_id"], *[StructField(f"p_{c}", DoubleType()) for c in chain.categories],
+        StructField("toxic", BooleanType()),
     ])
-    text = F.col("text").cast("string").alias("_text")
-    scored = docs.select(*[F.col(c) for c in out], text).mapInArrow(score, schema)
-    return scored.select(*out, "toxic") if keep else scored
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(score, schema)
+
+
+def accept(docs: DataFrame, chain: Chain) -> DataFrame:
+    """The rows of ``docs``, unchanged, that are not toxic."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Features(chain.index)
+        for batch in batches:
+            scores = _scores(chain, known, batch.column(at).to_pylist())
+            yield batch.filter(pa.array(scores[-1] <= chain.limit, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
