@@ -61,6 +61,7 @@ HOSTS = 2000
 SALTS = 16
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_CUT_OFF = re.compile(r"</?[a-zA-Z][^>]*\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\shidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _NAMES = re.compile(r"[a-z]+")
@@ -103,12 +104,14 @@ def parse(page: str | None) -> Element:
             text(page[position:])
             break
         text(page[position:at])
-        token = _TOKEN.match(page, at)
+        token = _TOKEN.match(page, at) or _CUT_OFF.match(page, at)
         if not token:
             text("<")
             position = at + 1
             continue
         position = token.end()
+        if token.re is _CUT_OFF:
+            break
         if not token[2]:
             if token[0].startswith("<![CDATA["):
                 text(" ")
@@ -260,7 +263,7 @@ def article(wrapper: Node) -> list[str]:
         lambda n: n.label.split(".")[0] == "article", lambda n: n.label.split(".")[0] == "main",
         lambda n: bool(set(n.label.split(".")[1:]) & ARTICLE),
     ):
-        found = [p for p in paths if match(p[2]) and p[1] > 0]
+        found = [p for p in paths if match(p[2])]
         if found:
             return list(max(found, key=lambda p: (p[1], -len(p[0]), p[0]))[0])
     found = [p for p in paths if 3 * p[1] >= 2 * whole and p[2].chars <= p[1] and (p[2].children or p[2].chars)]
@@ -312,6 +315,7 @@ def main_text(page: str | None, path: list[str], fixed: set[tuple[tuple, str]])
         if not found:
             locate(root, (), exact)
     blocks: list[str] = []
+    header = bool(found) and found[0][0].tag in ("article", "main")
 
     def read(element: Element, at: tuple) -> None:
         line: list[str] = []
@@ -327,7 +331,7 @@ def main_text(page: str | None, path: list[str], fixed: set[tuple[tuple, str]])
                 line.append(c)
             else:
                 flush()
-                if not c.outside or (found and c.tag == "header" and not c.names & NO_ARTICLE):
+                if not c.outside or (header and c.tag == "header" and not c.names & NO_ARTICLE):
                     read(c, (*at, c.label))
         flush()
 

@@ -1,0 +1,89 @@
+import pytest
+
+from retailmarts.llm import wrappers
+from retailmarts.llm.queries import op2_wrappers
+from retailmarts.llm.common import read
+from tests.conftest import SF
+
+SHELL = (
+    "<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a='</p>';</script></head><body>"
+    "<header>Site</header><nav><ul><li><a href='/a'>Menu</a></li></ul></nav><div class=\"ad big\">Buy</div>{}"
+    "<aside>side</aside><section id='comments'><p>First!</p></section><footer>&copy; x</footer></body></html>"
+)
+
+
+def text_of(page, *others):
+    wrapper = wrappers.from_page(wrappers.parse(page))
+    for other in others:
+        wrapper = wrappers.merge(wrapper, wrappers.from_page(wrappers.parse(other)))
+    return wrappers.main_text(page, wrappers.article(wrapper), wrappers.constant(wrapper))
+
+
+@pytest.mark.parametrize("body, text", [
+    ("<article><h1>A &amp; B</h1><p>one\n two</p><p>three</article>", "A & B\none two\nthree"),
+    ("<article><p><b>bold<br>on <i>and</i><p>next</p></article>", "bold on and\nnext"),
+    ("<article><header><h1>Title</h1></header><p>a<!-- no --> b</p><div class='advert'>x</div></article>", "Title\na b"),
+    ("<main><div><p>x &lt;y&gt; &#65;&#x42;</p><form><input><button>Go</button>f</form></div></main>", "x <y> AB"),
+    ("<article><ul><li>i<li>j</ul><table><tr><td>k<td>l</table></article>", "i\nj\nk\nl"),
+    ("<article><p>a<script>if (a<b) {}</script>b</p><noscript>n</noscript></article>", "ab"),
+    ("<article><p>q</p><div class='cookie-notice'>ok?</div><p hidden>h</p><div id=share>s</div></article>", "q"),
+    ("<div class=post><p>named</p></div>", "named"),
+    ("<article></article>", ""),
+    ("<article><p>5 < 6 and a<b</p></article>", "5 < 6 and a"),
+])
+def test_main_text(body, text):
+    assert text_of(SHELL.format(body)) == text
+
+
+def test_cut_off_and_odd_pages():
+    assert text_of(None) == "" and text_of("") == ""
+    assert text_of("plain &amp; simple") == "plain & simple"
+    assert text_of("<html><body><article><p>a</p><p>b &am") == "a\nb &am"
+    assert text_of("<article><p>a</p><p class='x") == "a"
+    assert text_of("<p>one</p></div></article><p>two</p>") == "one\ntwo"
+
+
+def test_wrapper_is_union_free():
+    page = lambda *body: wrappers.from_page(wrappers.parse("<article>" + "".join(body) + "</article>"))
+    one = page("<h1>x</h1>", "<p>a</p>" * 3)
+    two = page("<h1>y</h1>", "<div>z</div>", "<p>a</p>")
+    groups = page("<h2>a</h2><p>b</p>" * 3)
+    assert wrappers.merge(one, two).expression() == "#page(article(h1(#) div? p+))"
+    assert groups.expression() == "#page(article(h2+ p+))"
+
+
+def test_constant_slot_is_no_text():
+    pages = [f"<body><div><p>Fixed words</p></div><div><div>{'w ' * 30}{i}</div></div></body>" for i in range(9)]
+    assert text_of(pages[0], *pages[1:]) == ("w " * 30 + "0").strip()
+
+
+def test_merging_is_the_same_in_parts():
+    pages = [wrappers.from_page(wrappers.parse(SHELL.format(f"<article><p>{i}</p>{'<p>x</p>' * (i % 3)}</article>"))) for i in range(6)]
+    copy = lambda n: wrappers.Node.unpacked(n.packed())
+    whole = copy(pages[0])
+    for p in pages[1:]:
+        whole = wrappers.merge(whole, copy(p))
+    left, right = (wrappers.merge(wrappers.merge(copy(a), copy(b)), copy(c)) for a, b, c in (pages[:3], pages[3:]))
+    assert wrappers.merge(left, right).expression() == whole.expression()
+
+
+def test_whole_table(spark):
+    """Every page, against the generator's page form read directly."""
+    import html
+    import re
+
+    got = {r["page_id"]: r for r in op2_wrappers(spark, SF).collect()}
+    for r in read(spark, SF, "pages").collect():
+        inside = re.search(r"<article>(.*?)(</article>|\Z)", r["html"], re.S)[1].replace("<br>", " ")
+        blocks = [" ".join(html.unescape(x).split()) for x in re.split(r"</?(?:p|h1|b)>", inside)]
+        text = "\n".join(b for b in blocks if b)
+        assert (got[r["page_id"]]["text"], got[r["page_id"]]["n_chars"]) == (text, len(text))
+
+
+def test_odd_rows(spark, scratch):
+    page = SHELL.format("<article><p>x</p></article>")
+    rows = [(1, None, page, 1), (2, "no url", page, 2), (None, "http://h/a", page, 3), (3, "http://H/b", None, 4), (3, "http://H/b", None, 4)]
+    df = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING, host BIGINT")
+    got = sorted((str(r["page_id"]), r["text"]) for r in wrappers.extract(df, scratch).collect())
+    assert got == [("1", "x"), ("2", "x"), ("3", ""), ("3", ""), ("None", "x")]
+    assert wrappers.extract(df.limit(0), scratch).count() == 0
