@@ -6,9 +6,9 @@ are mergeable, and two of them agree about as often as the sets overlap.  Bands
 candidates; the likelihood of the register comparison, with the known set sizes, drops pairs that are
 clearly too far; what is left is confirmed on the full sets.
 
-Nothing grows with the square of a group.  Equal sets are one node.  A bucket first links its members to
-its smallest one; only buckets that then still hold several components are compared further, in blocks,
-and of two components the likeliest pairs come first.
+No rows are made that grow with the square of a group.  Equal sets are one node.  A bucket first links
+its members to its smallest one; only buckets that then still hold several components are compared
+further, in blocks, and only the links that join components leave a task.
 """
 
 from __future__ import annotations
@@ -33,10 +33,10 @@ REGISTERS = 504
 BANDS = {85: (7, 36), 80: (6, 42)}
 #: Standard errors below the limit at which a pair is dropped without a look at its sets.
 MARGIN = 4.5
-#: Rows of a block of a bucket, and likeliest pairs of two components that are confirmed first.
+#: Rows of a block of a bucket.
 BLOCK = 1024
-FIRST = 3
-#: Characters split at once: a text of any length needs memory for its set only.
+#: Points made at once, and characters split at once: a text of any length needs memory for its set only.
+POINTS = 200_000
 STRETCH = 1 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -73,27 +73,41 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(total)
 
 
-def sketch(items: np.ndarray, size: int = REGISTERS) -> np.ndarray:
-    """Registers of a set: level of the smallest point thrown at each, 0 to 255, higher for smaller.
+def sketches(sets: list[np.ndarray], size: int = REGISTERS) -> np.ndarray:
+    """Registers of each set: level of the smallest point thrown at each, 0 to 255, higher for smaller.
 
     An item throws points at random registers in rising order, a Poisson process, until they pass the
-    largest register; points are made a block at a time."""
-    least = np.full(size, np.inf)
-    items, reached, thrown = _mixed(items), np.zeros(len(items)), 0
+    largest register of its set.  Sets of similar sizes are worked on together, a block of points of all
+    their items at a time."""
+    least = np.full((len(sets), size), np.inf)
+    order = sorted((i for i, s in enumerate(sets) if len(s)), key=lambda i: len(sets[i]))
+    while order:
+        smallest, group, points = len(sets[order[0]]), [], 0
+        while order and len(sets[order[0]]) <= 2 * smallest and (not group or points < POINTS):
+            group.append(order.pop(0))
+            points += max(size, len(sets[group[-1]]))
+        least[group] = _least([sets[i] for i in group], max(1, -(-size // smallest)), size)
+    with np.errstate(divide="ignore"):
+        levels = np.floor(1 + (np.log(20.0) - np.log(least)) / np.log(BASE))
+    return np.clip(levels, 0, 255).astype(np.uint8)
+
+
+def _least(sets: list[np.ndarray], count: int, size: int) -> np.ndarray:
+    """The smallest point of each register; ``count`` points of an item are made at once."""
+    least = np.full(len(sets) * size, np.inf)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    items, reached, thrown = _mixed(np.concatenate(sets)), np.zeros(len(owner)), 0
     while len(items):
-        count = max(1, -(-size // len(items)))
         rounds = np.arange(thrown, thrown + count, dtype=np.uint64)
         bits = _mixed(items[:, None] + rounds[None, :] * _GOLDEN)
         gaps = -np.log1p(-(bits >> np.uint64(11)).astype(np.float64) * 2.0**-53) / size
         points = reached[:, None] + np.cumsum(gaps, axis=1)
-        at = (_mixed(bits ^ _GOLDEN) % np.uint64(size)).astype(np.int64)
+        at = (_mixed(bits ^ _GOLDEN) % np.uint64(size)).astype(np.int64) + owner[:, None] * size
         np.minimum.at(least, at.ravel(), points.ravel())
         reached, thrown = points[:, -1], thrown + count
-        alive = reached < least.max()
-        items, reached = items[alive], reached[alive]
-    with np.errstate(divide="ignore"):
-        levels = np.floor(1 + (np.log(20.0) - np.log(least)) / np.log(BASE))
-    return np.clip(levels, 0, 255).astype(np.uint8)
+        alive = reached < least.reshape(-1, size).max(axis=1)[owner]
+        items, owner, reached = items[alive], owner[alive], reached[alive]
+    return least.reshape(-1, size)
 
 
 def _more(x: np.ndarray) -> np.ndarray:
@@ -129,18 +143,15 @@ def floor_of(limit: int) -> float:
 # ---------------------------------------------------------------- stages
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = lambda items: int(np.add.reduce(_mixed(items)).astype(np.int64))
     for batch in batches:
-        sizes, a, b, registers = [], [], [], []
-        for text in batch["text"].to_pylist():
-            items = shingles(text)
-            sizes.append(len(items))
-            a.append(int(np.add.reduce(_mixed(items)).astype(np.int64)))
-            b.append(int(np.add.reduce(_mixed(items ^ _GOLDEN)).astype(np.int64)))
-            registers.append(sketch(items).tobytes())
+        sets = [shingles(t) for t in batch["text"].to_pylist()]
+        registers = sketches(sets)
         yield pa.RecordBatch.from_arrays(
-            [batch["row"], batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(a, pa.int64()),
-             pa.array(b, pa.int64()), pa.array(registers, pa.binary())],
+            [batch["row"], batch["doc_id"], batch["text_hash"], pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([total(s) for s in sets], pa.int64()), pa.array([total(s ^ _GOLDEN) for s in sets], pa.int64()),
+             pa.array([r.tobytes() for r in registers], pa.binary())],
             names=["row", "doc_id", "text_hash", "n", "a", "b", "registers"],
         )
 
@@ -168,53 +179,90 @@ def _confirm(limit: int):
     return links
 
 
-def _likely(limit: int, first: int | None):
-    """(x, y, score) of pairs of different components in a block pair of a bucket whose estimate is not
-    too low.  With ``first``, only so many pairs of two components, the likeliest."""
-    least = floor_of(limit)
-
-    def pairs_of(rows: np.ndarray, comps: np.ndarray, sizes: np.ndarray, regs: np.ndarray) -> list[tuple]:
-        found: list[tuple] = []
-        for i in range(len(rows) - 1):
-            others = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
-            ratio = np.minimum(sizes[others], sizes[i]) / np.maximum(sizes[others], sizes[i])
-            others = others[100 * ratio >= limit]  # the similarity is at most this
-            if len(others):
-                more = (regs[i] > regs[others]).sum(axis=1)
-                less = (regs[i] < regs[others]).sum(axis=1)
-                j = similarity(more, less, np.full(len(others), sizes[i], float), sizes[others].astype(float))
-                found += [
-                    (rows[i], rows[o], s, comps[i], comps[o])
-                    for o, s in zip(others[j >= least], j[j >= least])
-                ]
-        if first is None:
-            return found
-        best: dict[tuple, list] = {}
-        for x, y, s, cx, cy in found:
-            best.setdefault((min(cx, cy), max(cx, cy)), []).append((-s, x, y))
-        return [(x, y, -s) for group in best.values() for s, x, y in sorted(group)[:first]]
-
-    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            key = pdf[["bucket", "i", "j"]].to_numpy(np.int64)
-            starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(key) else np.zeros(0, int)
-            yield from emit(pdf, starts)
-            rest = pdf.iloc[starts[-1] :] if len(starts) else pdf
-        if rest is not None and len(rest):
-            yield from emit(rest, np.array([0, len(rest)]))
-
-    def emit(pdf: pd.DataFrame, starts: np.ndarray) -> Iterator[pd.DataFrame]:
-        rows, comps, sizes = (pdf[c].to_numpy(np.int64) for c in ("row", "component", "n"))
-        out: list[tuple] = []
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """The rows of each (bucket, i, j) of a sorted partition; one group and one batch are in memory."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        key = pdf[["bucket", "i", "j"]].to_numpy(np.int64)
+        starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
         for s, e in zip(starts[:-1], starts[1:]):
-            regs = np.frombuffer(b"".join(pdf["registers"].iloc[s:e]), np.uint8).reshape(e - s, -1)
-            out += [t[:3] for t in pairs_of(rows[s:e], comps[s:e], sizes[s:e], regs)]
-        if out:
-            yield pd.DataFrame(out, columns=["x", "y", "score"]).astype({"x": np.int64, "y": np.int64})
+            yield tuple(key[s]), pdf.iloc[s:e]
+        rest = pdf.iloc[starts[-1] :]
+    if rest is not None and len(rest):
+        yield tuple(rest[["bucket", "i", "j"]].iloc[0]), rest
+
+
+def _pairs(pdf: pd.DataFrame, limit: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a group, each row with the later rows of other components whose estimate is not too low.
+
+    A pair belongs to the first band that it agrees in, so that it turns up in one bucket only."""
+    width, count = BANDS[limit]
+    least, band = floor_of(limit), int(pdf["band"].iloc[0])
+    comps, sizes = pdf["component"].to_numpy(np.int64), pdf["n"].to_numpy(float)
+    regs = np.frombuffer(b"".join(pdf["registers"]), np.uint8).reshape(len(pdf), -1)
+    earlier = regs[:, : band * width].reshape(len(pdf), band, width).astype(np.uint64)
+    scale = _mixed(np.arange(1, width + 1, dtype=np.uint64))
+    earlier = (earlier * scale).sum(axis=2)  # one number for each earlier band
+    for i in range(len(pdf) - 1):
+        others = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
+        ratio = np.minimum(sizes[others], sizes[i]) / np.maximum(sizes[others], sizes[i])
+        others = others[(100 * ratio >= limit) & ~(earlier[others] == earlier[i]).any(axis=1)]
+        if len(others):
+            more, less = (regs[i] > regs[others]).sum(axis=1), (regs[i] < regs[others]).sum(axis=1)
+            j = similarity(more, less, np.full(len(others), sizes[i]), sizes[others])
+            if (j >= least).any():
+                yield i, others[j >= least]
+
+
+def _open_rows(limit: int):
+    """(bucket, i, j, row) of the rows that have a likely partner in another component."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (bucket, i, j), pdf in _groups(batches):
+            likely = np.zeros(len(pdf), bool)
+            for x, others in _pairs(pdf, limit):
+                likely[x] = True
+                likely[others] = True
+            if likely.any():
+                yield pd.DataFrame({"bucket": bucket, "i": i, "j": j, "row": pdf["row"].to_numpy()[likely]})
+
+    return rows
+
+
+def _linked_rows(limit: int):
+    """A spanning forest of the links of a group, confirmed on the full sets: pairs that links join
+    already are not looked at."""
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, pdf in _groups(batches):
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while root.setdefault(x, x) != x:
+                    x = root[x] = root.setdefault(root[x], root[x])
+                return x
+
+            comps, rows = pdf["component"].tolist(), pdf["row"].tolist()
+            sets: dict[int, np.ndarray] = {}
+            found = []
+            for x, others in _pairs(pdf, limit):
+                for y in others.tolist():
+                    if top(comps[x]) == top(comps[y]):
+                        continue
+                    for k in (x, y):
+                        if k not in sets:
+                            sets[k] = shingles(pdf["text"].iat[k])
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if 100 * both >= limit * (len(sets[x]) + len(sets[y]) - both):
+                        root[top(comps[x])] = top(comps[y])
+                        found.append((rows[x], rows[y]))
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
 
-    return likely
+    return links
 
 
 class _Search:
@@ -227,7 +275,7 @@ class _Search:
             "row", F.monotonically_increasing_id()  # fixed by the saved table
         )
         self.all = scratch.save(numbered.select("row", "doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-            _sketches,
+            _sketched,
             "row BIGINT, doc_id BIGINT, text_hash BIGINT, n BIGINT, a BIGINT, b BIGINT, registers BINARY",
         ))
         key = ["n", "a", "b"]
@@ -241,11 +289,11 @@ class _Search:
         bands = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.xxhash64(
             i, F.col("registers").substr(i * width + 1, F.lit(width))
         ))
-        members = self.nodes.select("row", F.explode(bands).alias("bucket"))
+        members = self.nodes.select("row", F.posexplode(bands).alias("band", "bucket"))
         buckets = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min("row").alias("hub"))
         self.members = scratch.save(spread_join(members, buckets.where("size > 1"), ["bucket"]))
         self.texts = scratch.save(self._texts(docs))
-        self.tested = self.links = None
+        self.links = None
         self.components = self.nodes.select(F.col("row").alias("node"), F.col("row").alias("component")).limit(0)
 
     def _texts(self, docs: DataFrame) -> DataFrame:
@@ -270,23 +318,15 @@ class _Search:
             .groupBy("row").agg(F.min("text").alias("text"))
         )
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Confirm pairs (x, y) on the full sets, keep the links, and bring the components up to date."""
-        pairs = self.scratch.save(pairs.select("x", "y"))
-        x = self.texts.select(F.col("row").alias("x"), F.col("text").alias("text_x"))
-        y = self.texts.select(F.col("row").alias("y"), F.col("text").alias("text_y"))
-        found = pairs.join(x, "x").join(y, "y").select("x", "y", "text_x", "text_y").mapInArrow(
-            _confirm(self.limit), "a BIGINT, b BIGINT"
-        )
-        found = self.scratch.save(found)
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.links = found if self.links is None else self.links.unionByName(found)
+    def link(self, found: DataFrame) -> None:
+        """Add links and bring the components up to date."""
+        self.links = self.scratch.save(found if self.links is None else self.links.unionByName(found))
         self.components = self.scratch.save(components(self.links, self.scratch))
 
     def to_hubs(self) -> None:
-        """Each node with the smallest member of its buckets."""
+        """Links of each node with the smallest member of its buckets: one pair for each node."""
         hubs = self.members.where("row <> hub").groupBy("row").agg(F.min("hub").alias("hub"))
-        known = self.nodes.select("row", F.col("n").alias("n"), "registers")
+        known = self.nodes.select("row", "n", "registers")
         hub = self.nodes.select(F.col("row").alias("hub"), F.col("n").alias("m"), F.col("registers").alias("others"))
         rows = hubs.join(known, "row").join(hub, "hub")
         least = floor_of(self.limit)
@@ -300,40 +340,51 @@ class _Search:
                     j = similarity((a > b).sum(axis=1), (a < b).sum(axis=1), *(
                         pdf[c].to_numpy(float) for c in ("n", "m")
                     ))
-                    near = pdf.loc[j >= least, ["row", "hub"]]
-                    yield near.set_axis(["x", "y"], axis=1)
+                    yield pdf.loc[j >= least, ["row", "hub"]].set_axis(["x", "y"], axis=1)
 
         pairs = rows.select("row", "hub", "n", "m", "registers", "others").mapInPandas(close, "x BIGINT, y BIGINT")
-        self.confirm(pairs)
+        x = self.texts.select(F.col("row").alias("x"), F.col("text").alias("text_x"))
+        y = self.texts.select(F.col("row").alias("y"), F.col("text").alias("text_y"))
+        self.link(self.scratch.save(pairs).join(x, "x").join(y, "y").select("x", "y", "text_x", "text_y").mapInArrow(
+            _confirm(self.limit), "a BIGINT, b BIGINT"
+        ))
 
-    def across(self, first: int | None) -> None:
-        """Pairs of different components that share a bucket."""
+    def across(self) -> None:
+        """Links between different components that share a bucket.
+
+        Buckets are compared in blocks, first by their sketches; then the texts of the rows that have a
+        likely partner go to the same blocks."""
         labels = self.components.select(F.col("node").alias("row"), "component")
-        members = self.members.select("bucket", "row", "size").join(labels, "row", "left").withColumn(
-            "component", F.coalesce("component", "row")
+        members = self.scratch.save(
+            self.members.select("bucket", "band", "row", "size").join(labels, "row", "left")
+            .withColumn("component", F.coalesce("component", "row"))
         )
-        members = self.scratch.save(members)
         mixed = members.groupBy("bucket").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).where("low <> high").select("bucket")
         blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-        mine = F.pmod(F.xxhash64("row"), blocks)
-        open_rows = (
-            spread_join(members, mixed, ["bucket"]).withColumn("mine", mine)
+        group = ["bucket", "i", "j"]
+        rows = self.scratch.save(
+            spread_join(members, mixed, ["bucket"])
+            .withColumn("mine", F.pmod(F.xxhash64("row"), blocks))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
             .select(
-                "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "row", "component"
+                "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+                "band", "row", "component",
             )
         )
-        rows = open_rows.join(self.nodes.select("row", "n", "registers"), "row")
-        likely = (
-            rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "row")
-            .select("bucket", "i", "j", "row", "component", "n", "registers")
-            .mapInPandas(_likely(self.limit, first), "x BIGINT, y BIGINT, score DOUBLE")
-        )
-        done = self.tested.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        fresh = likely.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        self.confirm(fresh.join(done, ["x", "y"], "left_anti"))
+
+        def dealt(some: DataFrame, *columns: str) -> DataFrame:
+            return some.repartition(*group).sortWithinPartitions(*group, "row").select(
+                *group, "band", "row", "component", "n", "registers", *columns
+            )
+
+        sketched = self.nodes.select("row", "n", "registers")
+        likely = self.scratch.save(dealt(rows.join(sketched, "row")).mapInPandas(
+            _open_rows(self.limit), "bucket BIGINT, i BIGINT, j BIGINT, row BIGINT"
+        ))
+        whole = rows.join(likely, [*group, "row"]).join(sketched, "row").join(self.texts, "row")
+        self.link(dealt(whole, "text").mapInPandas(_linked_rows(self.limit), "a BIGINT, b BIGINT"))
         self.scratch.drop(members)
 
 
@@ -348,8 +399,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataF
     """
     search = _Search(docs, scratch, limit)
     search.to_hubs()
-    search.across(FIRST)
-    search.across(None)
+    search.across()
     key = ["n", "a", "b"]
     node = spread_join(search.all.drop("registers"), search.classes, key, "left").select(
         "row", "text_hash", "doc_id", "n", F.coalesce("node", "row").alias("node")
