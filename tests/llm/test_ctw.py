@@ -1,0 +1,111 @@
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from retailmarts.llm import ctw
+from retailmarts.llm.common import read
+from retailmarts.llm.queries import op8_context_tree
+from tests.conftest import SF
+
+
+class Tree:
+    """Context trees in plain Python: counts per (context, leading bits), weighted from the leaves."""
+
+    def __init__(self, texts):
+        self.n = defaultdict(lambda: [0, 0])
+        for t in texts:
+            for context, byte in self.steps(t):
+                for lead, bit in self.bits(byte):
+                    for d in range(ctw.DEPTH + 1):
+                        self.n[context[ctw.DEPTH - d :], lead][bit] += 1
+        self.longer = defaultdict(list)
+        for context, lead in self.n:
+            if context:
+                self.longer[context[1:], lead].append((context, lead))
+        self.known = {}
+
+    @staticmethod
+    def steps(text):
+        data = b"\n" * ctw.DEPTH + b" ".join(ctw.words(text)) + b"\n"
+        return [(data[i - ctw.DEPTH : i], data[i]) for i in range(ctw.DEPTH, len(data))]
+
+    @staticmethod
+    def bits(byte):
+        lead = ""
+        for b in f"{byte:08b}":
+            yield lead, int(b)
+            lead += b
+
+    def weighted(self, node):
+        """Log probability of the node's training bits, and the weight of its own estimate."""
+        if node not in self.known:
+            a, b = self.n[node]
+            own = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+            if len(node[0]) == ctw.DEPTH:
+                self.known[node] = own, 1.0
+            else:
+                rest = sum(self.weighted(x)[0] for x in self.longer[node])
+                both = max(own, rest) + math.log1p(math.exp(-abs(own - rest))) - math.log(2)
+                self.known[node] = both, math.exp(own - math.log(2) - both)
+        return self.known[node]
+
+    def score(self, text):
+        total = 0.0
+        for context, byte in self.steps(text):
+            for lead, bit in self.bits(byte):
+                p = None
+                for d in range(ctw.DEPTH, -1, -1):
+                    node = context[ctw.DEPTH - d :], lead
+                    a, b = self.n[node] if node in self.n else (0, 0)
+                    here = ((a, b)[bit] + 0.5) / (a + b + 1)
+                    weight = self.weighted(node)[1] if node in self.n else 0.5
+                    p = here if p is None else weight * here + (1 - weight) * p
+                total += math.log10(p)
+        return total
+
+
+def check(rows, docs):
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    train = [t for i, t in docs if not held(i)]
+    counts = Counter(w for t in train for w in [*ctw.words(t), ctw.END])
+    n, v, tree = sum(counts.values()), len(counts), Tree(train)
+    order = lambda r: (r[0] is None, r[0] or 0, r[2], round(r[5], 6))
+    want = []
+    for i, t in docs:
+        tokens = [*ctw.words(t), ctw.END]
+        base = sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)
+        want.append((i, held(i), len(tokens), sum(w in counts for w in tokens), n, base, tree.score(t)))
+    got = sorted((tuple(r)[:7] for r in rows), key=order)
+    assert len(got) == len(want)
+    for g, w in zip(got, sorted(want, key=order)):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5]) and g[6] == pytest.approx(w[6], rel=1e-5)
+
+
+def test_against_plain_trees(spark, scratch, documents):
+    rows = [(r["doc_id"], (r["text"] or "")[:400], "s") for r in read(spark, SF, "documents").limit(40).collect()]
+    rows += [(900, None, None), (901, " \n ", "a"), (None, "Only here", "a"), (902, "same Same", "a"), (902, "same Same", "a")]
+    docs = documents(rows)
+    check(ctw.score(docs, scratch).collect(), [(i, t) for i, t, _ in rows])
+
+
+def test_chunks_make_no_difference(spark, scratch, documents, monkeypatch):
+    rows = [(i, f"word{i % 7} the other {i % 3} é " * (i % 5), "s") for i in range(60)]
+    monkeypatch.setattr(ctw, "CHUNK", 200)
+    monkeypatch.setattr(ctw, "STRETCH", 16)
+    check(ctw.score(documents(rows), scratch).collect(), [(i, t) for i, t, _ in rows])
+
+
+def test_nothing_to_learn_from(spark, scratch, documents):
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 10 == 0)
+    row = ctw.score(documents([(held, "abc", "s")]), scratch).first()
+    assert (row["train_tokens"], row["n_tokens"], row["n_known"]) == (0, 2, 0)
+    assert row["score"] == pytest.approx(4 * 8 * math.log10(0.5)) and row["bits_per_byte"] == pytest.approx(8)
+    assert ctw.score(documents([]), scratch).count() == 0
+
+
+def test_query_beats_a_uniform_byte(spark):
+    rows = op8_context_tree(spark, SF).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert held and sum(r["bits_per_byte"] for r in held) / len(held) < 3
