@@ -34,7 +34,6 @@ except ImportError:
 Query = Callable[[SparkSession, str], DataFrame]
 
 PARSED = list(O.KINDS)  # all raw tables but the reviews, which are repaired instead
-REJECTS = [t for t in PARSED if t != "geolocation"]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -155,7 +154,7 @@ def queries() -> dict[str, Query]:
         on_records(f"parse_{short}", lambda r, table=table: raw.parse(r, table), table)
     plain(
         parse_rejects=lambda spark, sf: quality.union(
-            [raw.rejects(_records(spark, sf, t), t) for t in REJECTS]
+            [raw.rejects(_records(spark, sf, t), t) for t in PARSED]
         ),
         raw_load_counts=_raw_load_counts,
         bad_record_budget=_bad_record_budget,

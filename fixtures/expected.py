@@ -132,7 +132,7 @@ _SHORT = {"order_items": "items", "category_translation": "translation"}
 
 EXPECTED: dict[str, str] = {
     **{f"parse_{_SHORT.get(t, t)}": parsed(t) for t in KINDS},
-    "parse_rejects": " UNION ALL ".join(record_text(t) for t in KINDS if t != "geolocation"),
+    "parse_rejects": " UNION ALL ".join(record_text(t) for t in KINDS),
     "raw_load_counts": f"SELECT table_name, row_count FROM ({_LOADED}) t ORDER BY row_count DESC",
     "bad_record_budget": f"SELECT *, bad_records <= max_bad AS passes FROM ({_LOADED}) t",
     "partition_pruned_orders": """

@@ -32,17 +32,22 @@ def _join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     return joined.drop(_SPREAD)
 
 
-def attach(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left`` with the columns of ``right``, which has at most one row per ``key``."""
-    return _join(left, right, key, "left")
+def attach(left: DataFrame, right: DataFrame, key: str, hot: bool = True) -> DataFrame:
+    """``left`` with the columns of ``right``, which has at most one row per ``key``.
+
+    With ``hot=False`` no key of ``left`` is frequent (it is unique, or one row per state is left): a plain
+    join then uses the partitioning that the aggregated side has.
+    """
+    return _join(left, right, key, "left") if hot else left.join(right, key, "left")
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, key: str, wanted: list[str], missing: str | None = None
+    left: DataFrame, right: DataFrame, key: str, wanted: list[str], missing: str | None = None,
+    hot: bool = True,
 ) -> DataFrame:
     """First match of ``right`` for every row of ``left``; ``missing`` where there is none."""
     found = {c: c if missing is None else f"coalesce({c}, '{missing}')" for c in wanted}
-    return attach(left, one_per_key(right, key, wanted), key).select(*left.columns, *columns(**found))
+    return attach(left, one_per_key(right, key, wanted), key, hot).select(*left.columns, *columns(**found))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -19,7 +19,8 @@ def with_delay(orders: DataFrame) -> DataFrame:
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders keep their row without a customer; customers without an order are left out."""
     geography = ["customer_state", "customer_city", "customer_zip_code_prefix", "customer_unique_id"]
-    return lookup(orders, customers, "customer_id", geography)
+    # A customer id belongs to one order, so none is hot.
+    return lookup(orders, customers, "customer_id", geography, hot=False)
 
 
 def items_with_sellers(items: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -56,10 +57,12 @@ def geolocation_deduped(geolocation: DataFrame) -> DataFrame:
 
     ZIPs without any latitude or any longitude are left out.  Points are first added up per
     (ZIP, state, city), a plain hash aggregation; only its few rows meet the ordering of the second.
+    Coordinates are added as decimals with 15 places, so the order of rows does not matter; beyond 1e13 a
+    number is no coordinate.
     """
     places = geolocation.selectExpr(
         "geolocation_zip_code_prefix AS zip_code_prefix", "geolocation_state", "geolocation_city",
-        "geolocation_lat AS lat", "geolocation_lng AS lng",
+        "try_cast(geolocation_lat AS DECIMAL(28, 15)) AS lat", "try_cast(geolocation_lng AS DECIMAL(28, 15)) AS lng",
     ).groupBy("zip_code_prefix", "geolocation_state", "geolocation_city").agg(
         *columns(lat="sum(lat)", lats="count(lat)", lng="sum(lng)", lngs="count(lng)")
     )
@@ -67,8 +70,8 @@ def geolocation_deduped(geolocation: DataFrame) -> DataFrame:
         places.groupBy("zip_code_prefix")
         .agg(
             *columns(
-                avg_lat="round(try_divide(sum(lat), sum(lats)), 6)",
-                avg_lng="round(try_divide(sum(lng), sum(lngs)), 6)",
+                avg_lat="double(round(try_divide(sum(lat), sum(lats)), 6))",
+                avg_lng="double(round(try_divide(sum(lng), sum(lngs)), 6))",
                 place="min(struct(geolocation_state, geolocation_city))",
             )
         )

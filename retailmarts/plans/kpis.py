@@ -73,6 +73,7 @@ def customer_ltv(orders: DataFrame, items: DataFrame) -> DataFrame:
         delivered(orders).select("customer_unique_id", "order_id", "order_purchase_timestamp"),
         item_totals(items),
         "order_id",
+        hot=False,
     ).where("customer_unique_id IS NOT NULL")
     return bought.groupBy("customer_unique_id").agg(
         *columns(

@@ -29,7 +29,7 @@ def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
         "delivery_delay_days", "is_late_delivery",
     ]
     per_order = attach(
-        delivered(orders).select(of_order), order_facts(items, payments), "order_id"
+        delivered(orders).select(of_order), order_facts(items, payments), "order_id", hot=False
     ).select(
         *of_order,
         *columns(
@@ -173,7 +173,7 @@ def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     place = ["order_id", "customer_state", "customer_zip_code_prefix"]
     moving = orders.where("order_status IN ('delivered', 'shipped')").select(place)
     return (
-        attach(moving, item_totals(items), "order_id")
+        attach(moving, item_totals(items), "order_id", hot=False)
         .groupBy(place)
         .agg(*columns(value_units="sum(value_units)"))
     )
@@ -196,7 +196,7 @@ def mart_geo_sales(orders: DataFrame, items: DataFrame, geolocation: DataFrame)
     # One row per state is left, so a single ordering of them is small at any scale.
     rank = "bigint(rank() OVER (ORDER BY total_gmv_brl DESC NULLS LAST))"
     return (
-        attach(state_rollup(order_totals(orders, items)), state_centroid(geolocation), "state")
+        attach(state_rollup(order_totals(orders, items)), state_centroid(geolocation), "state", hot=False)
         .select(
             "state", "total_orders", "total_gmv_brl", "avg_order_value_brl", "distinct_zips",
             "state_lat", "state_lng", *columns(gmv_rank=rank),

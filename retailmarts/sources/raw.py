@@ -19,12 +19,11 @@ def _untyped(table: str) -> str:
     return ", ".join(f"{name} string" for name in [*RAW[table].names, BROKEN])
 
 
-# Spark's tokeniser reserves room for this many fields per record and fails beyond (its default).
-_MOST_FIELDS = 20_480
-
-
-def _options(header: bool) -> dict[str, str]:
-    return {**_CSV, "maxColumns": str(_MOST_FIELDS), "header": str(header), "columnPruning": "false"}
+# Files are read as whole lines: a column separator and quotes that no line holds.  The reader still drops
+# the header of each file and splits large files into many tasks.
+_LINES = {"sep": "\u0001\u0002\u0001\u0002", "quote": "", "escape": ""}
+# Only for records that span lines, which Spark's tokeniser must find: fields of a record at most.
+_MOST_FIELDS = 10_000_000
 
 
 def scan(
@@ -32,50 +31,44 @@ def scan(
 ) -> DataFrame:
     """All records of the file(s) at ``path`` as untyped fields plus ``_broken_record``.
 
-    The first line of each file is a header.  One line is one record, so that files split into many
-    tasks; only tables with quoted line breaks (reviews) are read file by file.
+    The first line of each file is a header.  One line is one record, of any length and number of fields,
+    and files split into many tasks; with ``multi_line`` (by default for reviews) quoted text may hold
+    line breaks, and each file is one task.
     """
     multi_line = RAW[table].multi_line if multi_line is None else multi_line
-    options = {**_options(header), "multiLine": multi_line}
-    if multi_line:  # one tokeniser per file, so broken free text may have any number of commas
-        options["maxColumns"] = "10000000"
-    return spark.read.schema(_untyped(table)).options(**options).csv(path)
+    if multi_line:
+        options = {**_CSV, "header": header, "columnPruning": "false", "multiLine": True, "maxColumns": _MOST_FIELDS}
+        return spark.read.schema(_untyped(table)).options(**options).csv(path)
+    lines = spark.read.schema("line string").options(**_LINES, header=header).csv(path)
+    return scan_lines(lines, table)
 
 
 def scan_stream(
-    spark: SparkSession, table: str, path: str, header: bool = True, files_per_batch: int = 10_000
+    spark: SparkSession, table: str, path: str, header: bool = True, files_per_batch: int = 10_000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Like ``scan`` for files as they arrive in the folder ``path``."""
-    options = {**_options(header), "maxFilesPerTrigger": files_per_batch}
-    return spark.readStream.schema(_untyped(table)).options(**options).csv(path)
+    """Like ``scan`` for files as they arrive in the folder ``path``; ``keep`` are expressions on a file's
+    ``_metadata`` that are carried along."""
+    options = {**_LINES, "header": header, "maxFilesPerTrigger": files_per_batch}
+    lines = spark.readStream.schema("line string").options(**options).csv(path)
+    return scan_lines(lines.selectExpr("line", *keep), table)
 
 
 def scan_lines(lines: DataFrame, table: str, column: str = "line") -> DataFrame:
-    """Like ``scan`` for records that are already rows of text; blank lines are no records.
-
-    Records with more commas than the tokeniser has room for are split by expression.
-    """
+    """Like ``scan`` for records that are already rows of text; blank lines are no records.  Other columns
+    are carried along."""
     names = RAW[table].names
-    size = f"octet_length({column})"
-    narrow = f"({size} < {_MOST_FIELDS} OR {size} - octet_length(replace({column}, ',', '')) < {_MOST_FIELDS})"
-    narrow_record = F.expr(f"CASE WHEN {narrow} THEN {column} END")
-    made = [
-        F.from_csv(narrow_record, _untyped(table), _options(header=False)).alias("fields"),
-        *columns(
-            wide=f"CASE WHEN NOT ({narrow}) THEN {X.csv_fields(column)} END",
-            record=f"CASE WHEN NOT ({narrow}) THEN {column} END",
-            blank=f"{X.stripped(column)} = ''",
-        ),
-    ]
+    others = [c for c in lines.columns if c != column]
     # A generator, as in ``once``: each record is parsed one time.
-    parsed = lines.select(F.inline(F.array(F.struct(*made)))).where("NOT blank")
-    fits = f"size(wide) = {len(names)}"
-    found = {
-        n: f"CASE WHEN wide IS NULL THEN fields.{n} WHEN {fits} THEN nullif(get(wide, {i}), '') END"
-        for i, n in enumerate(names)
-    }
-    found[BROKEN] = f"CASE WHEN wide IS NULL THEN fields.{BROKEN} WHEN NOT {fits} THEN record END"
-    return parsed.select(columns(**found))
+    made = once(
+        _fields=X.csv_fields(column), _record=column, _blank=f"{X.stripped(column)} = ''",
+        **{c: c for c in others},
+    )
+    parsed = lines.where(f"{column} IS NOT NULL").select(made).where("NOT _blank")
+    fits = f"size(_fields) = {len(names)}"
+    found = {n: f"CASE WHEN {fits} THEN nullif(get(_fields, {i}), '') END" for i, n in enumerate(names)}
+    found[BROKEN] = f"CASE WHEN NOT {fits} THEN _record END"
+    return parsed.select(*columns(**found), *others)
 
 
 def _and_a_field(condition: str, table: str) -> str:
@@ -106,22 +99,22 @@ def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
 def check_load(records: DataFrame, table: str) -> DataFrame:
     """Strictly typed rows with a ``_bad`` flag, the way a warehouse load would judge them.
 
-    Missing trailing fields are NULL; surplus fields, values of the wrong type and missing required
-    keys make the row bad.
+    Missing trailing fields are NULL; surplus fields, values of the wrong type and missing or blank
+    required keys make the row bad.  Text is kept as it is, with its blanks.
     """
     spec = RAW[table]
     fields = {
         n: f"CASE WHEN {BROKEN} IS NULL THEN {n} ELSE nullif(get(_fields, {i}), '') END"
         for i, n in enumerate(spec.names)
     }
-    clean = {n: X.stripped(n) for n in spec.names}
+    clean = {n: n if t == TEXT else X.stripped(n) for n, t in spec.columns.items()}
     surplus = _and_a_field(f"{BROKEN} IS NOT NULL AND size(_fields) > {len(spec.names)}", table)
     typed = {n: n if t == TEXT else _CONVERT[t](n) for n, t in spec.columns.items()}
     # Of the typed fields, as many must have a value as are filled in.
     checked = [n for n, t in spec.columns.items() if t != TEXT]
     filled = " + ".join(["0", *(f"int(coalesce({n} <> '', false))" for n in checked)])
     valued = " + ".join(["0", *(f"int({n} IS NOT NULL)" for n in checked)])
-    keyless = " OR ".join(["false", *(f"{n} IS NULL" for n in spec.required)])
+    keyless = " OR ".join(["false", *(f"coalesce({X.stripped(f'string({n})')}, '') = ''" for n in spec.required)])
     return (
         records.select("*", *columns(_fields=X.csv_fields(BROKEN)))
         .select(columns(**fields, _surplus=surplus))

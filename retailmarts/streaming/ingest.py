@@ -1,7 +1,7 @@
 """Files arriving in a landing folder → an append-only table, and its current state.
 
 Arrival is at least once: a file may come again under another name.  The stream's checkpoint and the
-file sink's log make every file count once; ``current`` settles redelivered rows.
+file sink's log make every file count once; ``current`` settles redelivered files and updated keys.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from retailmarts.sources.layers import MONTH
 from retailmarts.sources.schemas import RAW
 
 ARRIVED = "arrived_at"
+FILE = "arrived_from"
 
 
 def ingest(
@@ -26,9 +27,9 @@ def ingest(
     A backlog is worked off in batches of files, so that a lost batch costs little.
     """
     spec = RAW[table]
-    records = raw.scan_stream(spark, table, landing, header, files_per_batch)
-    records = records.withColumn(ARRIVED, F.col("_metadata.file_modification_time"))
-    rows = raw.parse(records, table, keep=(ARRIVED,))
+    origin = (f"_metadata.file_modification_time AS {ARRIVED}", f"_metadata.file_path AS {FILE}")
+    records = raw.scan_stream(spark, table, landing, header, files_per_batch, keep=origin)
+    rows = raw.parse(records, table, keep=(ARRIVED, FILE))
     if spec.month_of:
         rows = rows.withColumn(MONTH, F.date_format(spec.month_of, "yyyy-MM"))
     writer = rows.writeStream.format("parquet").outputMode("append")
@@ -43,9 +44,26 @@ def ingest(
 
 
 def current(spark: SparkSession, table: str, target: str) -> DataFrame:
-    """The last arrived row of every key; duplicates collapse before the shuffle."""
+    """What the arrived files say by now.
+
+    A key's rows are those of the last file that has it, all of them: a key need not be unique.  Rows with a
+    NULL or blank key, and those of a table without one, stay as often as they came, but for files that
+    repeat another file's content.
+    """
     spec = RAW[table]
     arrived = spark.read.parquet(target)
-    last = columns(last=f"max(struct({', '.join([ARRIVED, *spec.names])}))")
-    latest = arrived.groupBy([F.col(k).alias(f"_{k}") for k in spec.key]).agg(*last)
-    return latest.select(columns(**{n: f"last.{n}" for n in spec.names}))
+    content = f"struct({', '.join(spec.names)})"
+    known = " AND ".join([f"coalesce(string({k}), '') <> ''" for k in spec.key] or ["false"])
+    files = arrived.groupBy(FILE).agg(*columns(
+        _at=f"min({ARRIVED})", _rows="count(*)", _a=f"bit_xor(xxhash64({content}))",
+        _b=f"sum(pmod(xxhash64('b', {content}), 4294967296L))",
+    ))
+    first = files.groupBy("_rows", "_a", "_b").agg(*columns(_first=f"min(struct(_at, {FILE}))"))
+    new = first.selectExpr(f"_first.{FILE} AS {FILE}")
+    rest = arrived.where(f"NOT ({known})").join(new, FILE, "left_semi").select(spec.names)
+    if not spec.key:
+        return rest
+    keyed = arrived.where(known)
+    last = keyed.groupBy(*spec.key).agg(*columns(_last=f"max(struct({ARRIVED}, {FILE}))"))
+    latest = last.selectExpr(*spec.key, f"_last.{FILE} AS {FILE}")
+    return keyed.join(latest, [*spec.key, FILE], "left_semi").select(spec.names).unionByName(rest)
