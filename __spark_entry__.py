@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -44,6 +45,13 @@ def entry(spark: SparkSession) -> DataFrame:
 # ---------------------------------------------------------------- inputs
 
 
+def _ready(spark: SparkSession) -> SparkSession:
+    """The session with the settings of the library, and a folder of its own where no shared one is set."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="retailmarts-"))
+    return configure(spark)
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> Tables:
     return R.raw_tables(spark, sf_dir)
 
@@ -139,15 +147,15 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
 
     def on_records(name: str, job: Callable[[DataFrame], DataFrame], table: str) -> None:
-        found[name] = lambda spark, sf: job(_records(configure(spark), sf, table))
+        found[name] = lambda spark, sf: job(_records(_ready(spark), sf, table))
 
     def on(source: Callable[[SparkSession, str], Tables], **jobs: Callable[[Tables], DataFrame]) -> None:
         for name, job in jobs.items():
-            found[name] = lambda spark, sf, job=job: job(source(configure(spark), sf))
+            found[name] = lambda spark, sf, job=job: job(source(_ready(spark), sf))
 
     def plain(**jobs: Query) -> None:
         for name, job in jobs.items():
-            found[name] = lambda spark, sf, job=job: job(configure(spark), sf)
+            found[name] = lambda spark, sf, job=job: job(_ready(spark), sf)
 
     for table in PARSED:
         short = {"order_items": "items", "category_translation": "translation"}.get(table, table)
@@ -262,7 +270,7 @@ def queries() -> dict[str, Query]:
         ),
     )
     if corpus:
-        found |= corpus.queries() | {"pipeline": corpus_pipeline.run}
+        plain(**corpus.queries(), pipeline=corpus_pipeline.run)
     return found
 
 

@@ -36,26 +36,32 @@ def _distribution(table: str, column: str) -> str:
 
 
 # Declared tests, by table.
+# The declared column tests and accepted values.
 NOT_NULL = {
-    "orders_enriched": "order_id customer_id order_status",
-    "order_items_enriched": "order_id product_id seller_id",
-    "payments": "order_id payment_value",
-    "geolocation_deduped": "zip_code_prefix",
-    "stg_orders": "order_id customer_id order_status",
-    "stg_order_items": "order_id product_id seller_id price",
-    "stg_payments": "order_id payment_value",
-    "stg_geolocation": "zip_code_prefix latitude longitude",
-    "mart_order_kpis": "order_month total_orders gmv_brl",
-    "mart_seller_performance": "seller_id total_revenue_brl",
-    "mart_delivery_performance": "customer_state",
-    "mart_geo_sales": "state total_gmv_brl",
-    "mart_payment_analysis": "payment_type order_month",
+    "orders_enriched": ["order_id", "customer_id", "order_status"],
+    "order_items_enriched": ["order_id", "product_id", "seller_id"],
+    "payments": ["order_id", "payment_value"],
+    "geolocation_deduped": ["zip_code_prefix"],
+    "stg_orders": ["order_id", "customer_id", "order_status"],
+    "stg_order_items": ["order_id", "product_id", "seller_id", "price"],
+    "stg_payments": ["order_id", "payment_value"],
+    "stg_geolocation": ["zip_code_prefix", "latitude", "longitude"],
+    "mart_order_kpis": ["order_month", "total_orders", "gmv_brl"],
+    "mart_seller_performance": ["seller_id", "total_revenue_brl"],
+    "mart_delivery_performance": ["customer_state"],
+    "mart_geo_sales": ["state", "total_gmv_brl"],
+    "mart_payment_analysis": ["payment_type", "order_month"],
 }
-UNIQUE = (
-    "orders_enriched.order_id geolocation_deduped.zip_code_prefix stg_orders.order_id"
-    " stg_geolocation.zip_code_prefix mart_order_kpis.order_month mart_seller_performance.seller_id"
-    " mart_delivery_performance.customer_state mart_geo_sales.state"
-)
+UNIQUE = [
+    "orders_enriched.order_id",
+    "geolocation_deduped.zip_code_prefix",
+    "stg_orders.order_id",
+    "stg_geolocation.zip_code_prefix",
+    "mart_order_kpis.order_month",
+    "mart_seller_performance.seller_id",
+    "mart_delivery_performance.customer_state",
+    "mart_geo_sales.state",
+]
 PAYMENT_TYPES = "'Credit Card','Boleto','Voucher','Debit Card','Unknown'"
 ACCEPTED = {
     "stg_orders.order_status": "'delivered','shipped','canceled','invoiced','processing','unavailable',"
@@ -77,12 +83,12 @@ def _test(column: str, test: str, failures: str, rest: str) -> str:
 _TESTS = {
     "not_null": [
         _test(f"{t}.{c}", "not_null", "count(*)", f"FROM {t} WHERE {c} IS NULL")
-        for t, names in NOT_NULL.items() for c in names.split()
+        for t, names in NOT_NULL.items() for c in names
     ],
     "unique": [
         _test(c, "unique", f"count(DISTINCT {c.split('.')[1]})",
               "FROM {0} WHERE {1} IN (SELECT {1} FROM {0} GROUP BY 1 HAVING count(*) > 1)".format(*c.split(".")))
-        for c in UNIQUE.split()
+        for c in UNIQUE
     ],
     "accepted_values": [
         _test(c, "accepted_values", f"count(DISTINCT {c.split('.')[1]})",

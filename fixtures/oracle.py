@@ -278,13 +278,11 @@ PARTS: dict[str, str] = {
                {pct(countif('is_late_delivery'), 'count(DISTINCT order_id)')} AS late_delivery_pct,
                count(DISTINCT order_month) AS active_months
         FROM sold GROUP BY seller_id, seller_state, seller_city""",
+    "sold_per_category": "SELECT seller_id, category_display, count(*) AS n FROM sold GROUP BY ALL",
     "top_category_per_seller": """
-        SELECT seller_id, category_display AS top_category
-        FROM (SELECT seller_id, category_display,
-                     row_number() OVER (PARTITION BY seller_id
-                                        ORDER BY count(*) DESC, category_display) AS rn
-              FROM sold GROUP BY seller_id, category_display) t
-        WHERE rn = 1""",
+        SELECT seller_id, first(category_display ORDER BY n DESC, category_display) AS top_category
+        FROM sold_per_category GROUP BY seller_id""",
+    # Tiers, grades and labels.
     "mart_seller_performance": """
         SELECT s.*, top_category,
                CASE WHEN total_revenue_brl >= 50000 THEN 'Platinum'
@@ -359,39 +357,84 @@ def query(select: str) -> str:
     return f"WITH {parts}\n{select}" if order else select
 
 
-# Column kinds of the raw tables: t text, w whole number, d decimal, i instant.
-KINDS = {
-    "orders": "order_id t, customer_id t, order_status t, order_purchase_timestamp i, order_approved_at i,"
-              " order_delivered_carrier_date i, order_delivered_customer_date i,"
-              " order_estimated_delivery_date i",
-    "order_items": "order_id t, order_item_id w, product_id t, seller_id t, shipping_limit_date i,"
-                   " price d, freight_value d",
-    "payments": "order_id t, payment_sequential w, payment_type t, payment_installments w,"
-                " payment_value d",
-    "customers": "customer_id t, customer_unique_id t, customer_zip_code_prefix t, customer_city t,"
-                 " customer_state t",
-    "products": "product_id t, product_category_name t, product_name_length w,"
-                " product_description_length w, product_photos_qty w, product_weight_g d,"
-                " product_length_cm d, product_height_cm d, product_width_cm d",
-    "sellers": "seller_id t, seller_zip_code_prefix t, seller_city t, seller_state t",
-    "geolocation": "geolocation_zip_code_prefix t, geolocation_lat d, geolocation_lng d,"
-                   " geolocation_city t, geolocation_state t",
-    "category_translation": "product_category_name t, product_category_name_english t",
+# Columns of the raw tables and their kinds.
+KINDS: dict[str, dict[str, str]] = {
+    "orders": {
+        "order_id": "text",
+        "customer_id": "text",
+        "order_status": "text",
+        "order_purchase_timestamp": "instant",
+        "order_approved_at": "instant",
+        "order_delivered_carrier_date": "instant",
+        "order_delivered_customer_date": "instant",
+        "order_estimated_delivery_date": "instant",
+    },
+    "order_items": {
+        "order_id": "text",
+        "order_item_id": "whole",
+        "product_id": "text",
+        "seller_id": "text",
+        "shipping_limit_date": "instant",
+        "price": "decimal",
+        "freight_value": "decimal",
+    },
+    "payments": {
+        "order_id": "text",
+        "payment_sequential": "whole",
+        "payment_type": "text",
+        "payment_installments": "whole",
+        "payment_value": "decimal",
+    },
+    "customers": {
+        "customer_id": "text",
+        "customer_unique_id": "text",
+        "customer_zip_code_prefix": "text",
+        "customer_city": "text",
+        "customer_state": "text",
+    },
+    "products": {
+        "product_id": "text",
+        "product_category_name": "text",
+        "product_name_length": "whole",
+        "product_description_length": "whole",
+        "product_photos_qty": "whole",
+        "product_weight_g": "decimal",
+        "product_length_cm": "decimal",
+        "product_height_cm": "decimal",
+        "product_width_cm": "decimal",
+    },
+    "sellers": {
+        "seller_id": "text",
+        "seller_zip_code_prefix": "text",
+        "seller_city": "text",
+        "seller_state": "text",
+    },
+    "geolocation": {
+        "geolocation_zip_code_prefix": "text",
+        "geolocation_lat": "decimal",
+        "geolocation_lng": "decimal",
+        "geolocation_city": "text",
+        "geolocation_state": "text",
+    },
+    "category_translation": {
+        "product_category_name": "text",
+        "product_category_name_english": "text",
+    },
 }
 
 
 def columns(table: str) -> list[tuple[str, str]]:
-    return [tuple(c.split()) for c in KINDS[table].split(",")]
+    return list(KINDS[table].items())
 
 
 def parsed(table: str) -> str:
     """The undamaged value of every field that a reader can still make out."""
     cls = "row_no % 31"
     value = {
-        "t": "CASE WHEN {cls} = 6 THEN {c} || ', \"q\"' ELSE {c} END",
-        "w": "CASE WHEN {cls} NOT IN (4, 5, 7) THEN {c} END",
-        "d": "CASE WHEN {cls} = 7 THEN 1000.0::DOUBLE WHEN {cls} NOT IN (4, 5) THEN {c} END",
-        "i": "CASE WHEN {cls} = 7 THEN {c} + INTERVAL 250 MILLISECOND WHEN {cls} NOT IN (4, 5) THEN {c} END",
+        "text": "CASE WHEN {cls} = 6 THEN {c} || ', \"q\"' ELSE {c} END",
+        "whole": "CASE WHEN {cls} NOT IN (4, 5, 7) THEN {c} END",
+        "decimal": "CASE WHEN {cls} = 7 THEN 1000.0::DOUBLE WHEN {cls} NOT IN (4, 5) THEN {c} END",
+        "instant": "CASE WHEN {cls} = 7 THEN {c} + INTERVAL 250 MILLISECOND WHEN {cls} NOT IN (4, 5) THEN {c} END",
     }
     shown = ", ".join(f"{value[k].format(c=c, cls=cls)} AS {c}" for c, k in columns(table))
     return f"SELECT {shown} FROM raw_{table} WHERE {cls} NOT IN (1, 2)"
@@ -400,8 +443,8 @@ def parsed(table: str) -> str:
 def record_text(table: str) -> str:
     """The undamaged record as text."""
     shown = {
-        "t": "{c}", "w": "coalesce(CAST({c} AS VARCHAR), '')", "d": "coalesce(CAST({c} AS VARCHAR), '')",
-        "i": "coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), '')",
+        "text": "{c}", "whole": "coalesce(CAST({c} AS VARCHAR), '')", "decimal": "coalesce(CAST({c} AS VARCHAR), '')",
+        "instant": "coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), '')",
     }
     fields = [shown[k].format(c=c) for c, k in columns(table)]
     whole, short = (" || ',' || ".join(f) for f in (fields, fields[:-1]))
@@ -413,11 +456,11 @@ def record_text(table: str) -> str:
 
 
 def load_counts(table: str, max_bad: int) -> str:
-    kinds = "".join(k for _, k in columns(table))
+    kinds = set(KINDS[table].values())
     bad = ["row_no % 31 = 2"]
-    if set(kinds) - {"t"}:
+    if kinds - {"text"}:
         bad.append("row_no % 31 = 4")
-    if "w" in kinds:
+    if "whole" in kinds:
         bad.append("row_no % 31 = 7")
     rule = " OR ".join(bad)
     return (

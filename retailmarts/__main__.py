@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
 
     command("load", "load <landing>/<table>.csv into the raw layer", "landing", "root")
     command("build", "build enriched tables and marts from <landing>/<table>.csv", "landing", "root")
+    command("rebuild", "build enriched tables and marts from the ingested files", "root")
     command("check", "run the declared checks on a build", "root")
     command("repair-reviews", "repair a review file", "source", "target")
     command("ingest", "append the files that are new in a folder", "table", "folder", "root")
@@ -45,6 +46,9 @@ def main(argv: list[str] | None = None) -> None:
         load.load_all(spark, args.root, args.landing).show(truncate=False)
     elif args.command == "build":
         layers.row_counts(load.build(spark, load.landed(spark, args.landing), args.root)).show(truncate=False)
+        load.write_rejects(spark, args.landing, args.root).groupBy("table_name").count().show(truncate=False)
+    elif args.command == "rebuild":
+        layers.row_counts(load.build(spark, load.ingested(spark, args.root), args.root)).show(truncate=False)
     elif args.command == "check":
         checks = quality.report(quality.run_checks(written(spark, args.root)))
         checks.orderBy("status", "table_name", "column_name").show(len(quality.CHECKS), truncate=False)

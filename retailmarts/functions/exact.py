@@ -1,14 +1,15 @@
 """Money, averages and percentages in whole numbers.
 
 Sums of doubles depend on the order in which tasks finish, and on billions of rows the error reaches
-the cents.  So amounts are summed as BIGINT counts of 1/10,000 (primitive, code-generated, the same on
-every run) and rounded half away from zero by integer division.  A group may reach 9.2e14; beyond that
-the ANSI sum fails instead of being wrong.  Digits past the fourth decimal are rounded off each amount.
+the cents.  So amounts are counted in 1/10,000 (digits beyond are rounded off each amount), added up as
+decimals, the same on every run, and rounded half away from zero by integer division.  The readers reject
+records with an amount of ``OVERSIZE`` or more; totals may reach 9.2e16.
 """
 
 from __future__ import annotations
 
 UNITS = 10_000
+OVERSIZE = 100_000_000_000_000  # 1e14
 
 
 def units(amount: str) -> str:
@@ -16,11 +17,21 @@ def units(amount: str) -> str:
     return f"CAST(rint(nanvl({amount}, CAST(NULL AS DOUBLE)) * {UNITS}D) AS BIGINT)"
 
 
+def sum_units(amount: str) -> str:
+    """Total of an amount in units."""
+    return total(units(amount))
+
+
+def total(whole: str) -> str:
+    """Sum of whole numbers, with room for any number of rows."""
+    return f"sum(CAST({whole} AS DECIMAL(20, 0)))"
+
+
 def round_div(num: str, den: str | int) -> str:
     """``num / den`` to the nearest whole number, halves away from zero; NULL when ``den`` is 0."""
     return (
         f"(CASE WHEN {num} < 0 THEN -1L ELSE 1L END"
-        f" * ((abs({num}) * 2L + {den}) div nullif({den} * 2L, 0L)))"
+        f" * ((abs({num}) * 2 + {den}) div nullif({den} * 2, 0)))"
     )
 
 

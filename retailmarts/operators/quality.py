@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
-from retailmarts.functions.exact import money, percent
+from retailmarts.functions.exact import money, percent, sum_units
 from retailmarts.functions.labels import (
     GRADES,
     LOWEST_GRADE,
@@ -20,7 +20,6 @@ from retailmarts.functions.labels import (
     listed,
 )
 from retailmarts.operators.lookup import orphans
-from retailmarts.operators.rollups import sum_units
 
 Tables = Mapping[str, DataFrame]
 

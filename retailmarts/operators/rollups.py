@@ -9,11 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
-from retailmarts.functions.exact import mean_1dp, money, percent, round_div, units
-
-
-def sum_units(amount: str) -> str:
-    return f"sum({units(amount)})"
+from retailmarts.functions.exact import mean_1dp, money, percent, round_div, sum_units, total, units
 
 
 def delivered(orders: DataFrame) -> DataFrame:
@@ -72,9 +68,9 @@ def order_facts(items: DataFrame, payments: DataFrame) -> DataFrame:
         .groupBy("order_id")
         .agg(
             *columns(
-                revenue_cents=round_div("sum(price)", 100),
-                freight_cents=round_div("sum(freight)", 100),
-                value_cents=round_div("sum(value)", 100),
+                revenue_cents=round_div(total("price"), 100),
+                freight_cents=round_div(total("freight"), 100),
+                value_cents=round_div(total("value"), 100),
                 items="count(item)",
                 max_installments="max(parts)",
                 installment_tenths=round_div("(sum(parts) * 10L)", "count(parts)"),

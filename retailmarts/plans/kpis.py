@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
-from retailmarts.functions.exact import mean_2dp, mean_money, money, percent
+from retailmarts.functions.exact import mean_2dp, mean_money, money, percent, sum_units
 from retailmarts.operators.lookup import attach
-from retailmarts.operators.rollups import delivered, distribution, item_totals, sum_units
+from retailmarts.operators.rollups import delivered, distribution, item_totals
 
 _MEAN_SCORE = mean_2dp("sum(review_score)", "count(*)")
 

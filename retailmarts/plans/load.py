@@ -2,37 +2,49 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from retailmarts.plans import enrich, marts, staging
-from retailmarts.session import shared_dir
+from retailmarts.session import remove, shared_dir
 from retailmarts.sources import layers, raw
 from retailmarts.sources.schemas import RAW
 from retailmarts.sources.tables import Tables
+from retailmarts.streaming import ingest
 
 
 def load_raw(
-    spark: SparkSession, root: str, table: str, path: str, max_bad: int | None = None
+    spark: SparkSession, root: str, table: str, path: str, max_bad: int | None = None,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """Load one raw file strictly and replace its table.
+    """Load one raw file strictly and replace its table; bad rows go to the layer ``rejects``.
 
-    The file is parsed once, into a scratch table in the shared folder, and the bad records are counted
-    on the way; a load over budget fails before the old table is touched.
+    The file is parsed once, into a scratch table in the shared folder that is removed afterwards, and the
+    bad records are counted on the way; a load over budget fails before the old table is touched.
+    ``multi_line`` allows quoted line breaks, by default for reviews only.
     """
     spec, seen = RAW[table], Observation(f"load_{table}")
     scratch = shared_dir(spark, f"load-{table}")
-    checked = raw.check_load(raw.scan(spark, table, path), table)
-    checked.observe(seen, F.expr("count_if(_bad) AS bad")).write.parquet(scratch)
-    raw.within_budget(seen.get["bad"], table, max_bad)
-    good = spark.read.parquet(scratch).where("NOT _bad").drop("_bad")
-    layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of)
+    try:
+        checked = raw.check_load(raw.scan(spark, table, path, multi_line), table)
+        checked.observe(seen, F.expr("count_if(_bad) AS bad")).write.parquet(scratch)
+        rows = spark.read.schema(checked.schema).parquet(scratch)
+        layers.write_table(rows.where("_bad").drop("_bad"), root, "rejects", table)
+        raw.within_budget(seen.get["bad"], table, max_bad)
+        good = rows.where("NOT _bad").drop("_bad")
+        layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of)
+    finally:
+        remove(spark, scratch)
     return layers.read_table(spark, root, "raw", table)
 
 
-def load_all(spark: SparkSession, root: str, landing: str) -> DataFrame:
+def load_all(spark: SparkSession, root: str, landing: str, multi_line: bool | None = None) -> DataFrame:
     """Load every raw table from ``<landing>/<table>.csv`` and report the rows of each."""
-    return layers.row_counts({t: load_raw(spark, root, t, f"{landing}/{t}.csv") for t in RAW})
+    return layers.row_counts({
+        t: load_raw(spark, root, t, f"{landing}/{t}.csv", multi_line=multi_line) for t in RAW
+    })
 
 
 def landed(spark: SparkSession, landing: str) -> Tables:
@@ -40,6 +52,20 @@ def landed(spark: SparkSession, landing: str) -> Tables:
     return Tables({t: (lambda t=t: raw.read_raw(spark, t, f"{landing}/{t}.csv")) for t in RAW})
 
 
+def ingested(spark: SparkSession, root: str) -> Tables:
+    """The raw tables as the files ingested under ``root`` give them by now."""
+    return Tables({
+        t: (lambda t=t: ingest.current(spark, t, layers.table_path(root, "landed", t))) for t in RAW
+    })
+
+
+def write_rejects(spark: SparkSession, landing: str, root: str) -> DataFrame:
+    """The records that ``landed`` drops, as a table: table and start of the record."""
+    dropped = [raw.rejects(raw.scan(spark, t, f"{landing}/{t}.csv"), t) for t in RAW if t != "reviews"]
+    layers.write_table(reduce(DataFrame.unionByName, dropped), root, "rejects", "records")
+    return layers.read_table(spark, root, "rejects", "records")
+
+
 def enriched_tables(source: Tables) -> Tables:
     """The four enriched tables of the raw ones."""
     return Tables({
@@ -75,8 +101,13 @@ def mart_models(stg: Tables) -> Tables:
     })
 
 
-def build(spark: SparkSession, source: Tables, root: str) -> dict[str, DataFrame]:
-    """Write enriched tables and marts under ``root``; staging stays lazy on top of the written tables."""
+def build(
+    spark: SparkSession, source: Tables, root: str, catalog: bool = False
+) -> dict[str, DataFrame]:
+    """Write enriched tables and marts under ``root``; staging stays lazy on top of the written tables.
+
+    With ``catalog`` the staging models are also views, and the marts tables of the catalog's mart layer.
+    """
 
     def written(layer: str, models: Tables) -> dict[str, DataFrame]:
         for name in models.makers:
@@ -86,4 +117,9 @@ def build(spark: SparkSession, source: Tables, root: str) -> dict[str, DataFrame
     enriched = written("staging", enriched_tables(source))
     stg = staging_models(enriched)
     built = written("mart", mart_models(stg))
+    if catalog:
+        for name in stg.makers:
+            layers.publish_view(stg[name], name)
+        for name, mart in built.items():
+            layers.publish_table(mart, "mart", name)
     return {**enriched, **stg.pick(stg.makers), **built}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmarts.functions import columns
-from retailmarts.functions.exact import mean_1dp, mean_money, money, percent, round_div, units
+from retailmarts.functions.exact import mean_1dp, mean_money, money, percent, round_div, sum_units, units
 from retailmarts.functions.labels import delivery_grade, seller_tier
 from retailmarts.operators.lookup import attach
 from retailmarts.operators.rollups import (
@@ -14,7 +14,6 @@ from retailmarts.operators.rollups import (
     item_totals,
     order_facts,
     state_centroid,
-    sum_units,
 )
 
 _MEAN_DELAY = mean_1dp("sum(delivery_delay_days)", "count(delivery_delay_days)")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
-from retailmarts.functions.exact import money, units
 from retailmarts.functions.labels import VALID_STATUSES, category_label, listed, payment_label
 
 
@@ -49,7 +48,6 @@ def stg_orders(enriched: DataFrame) -> DataFrame:
 
 def stg_order_items(enriched: DataFrame) -> DataFrame:
     """Line items with keys and a price, plus their total value and shown category."""
-    total = f"(coalesce({units('price')}, 0L) + coalesce({units('freight_value')}, 0L))"
     return enriched.where(_present("order_id", "product_id", "seller_id", "price")).select(
         "order_id",
         "order_item_id",
@@ -58,7 +56,7 @@ def stg_order_items(enriched: DataFrame) -> DataFrame:
         *columns(shipping_limit_date="CAST(shipping_limit_date AS TIMESTAMP)"),
         "price",
         "freight_value",
-        *columns(total_item_value=money(total)),
+        *columns(total_item_value="round(coalesce(price, 0D) + coalesce(freight_value, 0D), 2)"),
         "seller_state",
         "seller_city",
         "product_category_name",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmarts.functions import columns
+from retailmarts.session import replace
 
 DEFAULT_LAYER = "staging"
 MONTH = "order_month"
@@ -23,9 +24,12 @@ def table_path(root: str, layer: str | None, table: str) -> str:
 
 
 def write_table(df: DataFrame, root: str, layer: str | None, table: str) -> str:
-    """Create or replace a table; running it again gives the same table."""
+    """Create or replace a table; running it again gives the same table.
+
+    It is written beside the old one and then takes its place, so a failed write changes nothing."""
     path = table_path(root, layer, table)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(f"{path}__new")
+    replace(df.sparkSession, f"{path}__new", path)
     return path
 
 
@@ -35,18 +39,19 @@ def write_clustered(
 ) -> str:
     """Create or replace a table laid out by month and clustering columns.
 
-    Rows of one cluster value are brought together and sorted, so that Parquet statistics skip the
-    rest.  The rebalance shuffle cuts a value that holds too many rows into several files and merges
-    small ones; no task ever has to write a whole hot month.
+    Files hold ranges of the clustering columns, so that Parquet statistics skip the rest.  A hash of the
+    row breaks ties: a value that holds too many rows is cut into several ranges, and no task ever has to
+    write a whole hot month.
     """
     path = table_path(root, layer, table)
     keys = [MONTH, *cluster] if month_of else list(cluster)
     if month_of:
         df = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM"))
     if keys:
-        df = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
+        df = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
     writer = df.write.mode("overwrite")
-    (writer.partitionBy(MONTH) if month_of else writer).parquet(path)
+    (writer.partitionBy(MONTH) if month_of else writer).parquet(f"{path}__new")
+    replace(df.sparkSession, f"{path}__new", path)
     return path
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retailmarts.functions import columns, once
 from retailmarts.functions import text as X
+from retailmarts.functions.exact import OVERSIZE
 from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
 
 BROKEN = "_broken_record"  # the whole record where its number of fields is wrong, else NULL
@@ -77,17 +78,31 @@ def _and_a_field(condition: str, table: str) -> str:
 
 
 def parse(records: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed rows; records with a wrong number of fields are dropped, bad values become NULL."""
+    """Typed rows; records with a wrong number of fields or an oversize amount are dropped, bad values
+    become NULL."""
     spec = RAW[table].columns
     fields = columns(**{n: X.stripped(n) for n in spec})
     typed = columns(**{n: _CONVERT[t](n) for n, t in spec.items()})
-    return records.where(_and_a_field(f"{BROKEN} IS NULL", table)).select(*fields, *keep).select(*typed, *keep)
+    whole = records.where(_and_a_field(f"{BROKEN} IS NULL AND NOT ({_oversize(table)})", table))
+    return whole.select(*fields, *keep).select(*typed, *keep)
+
+
+def _oversize(table: str) -> str:
+    """A decimal field that is a number, and one that sums have no room for."""
+    amounts = [n for n, t in RAW[table].columns.items() if t == DECIMAL]
+    # Nearly all amounts are short, which is all that is looked at; long ones have digits or an exponent.
+    big = [
+        f"(length({n}) > 14 OR {n} RLIKE '[eE]') AND abs(coalesce({X.to_double(X.stripped(n))}, 0D)) >= {OVERSIZE}D"
+        for n in amounts
+    ]
+    return f"coalesce({' OR '.join(f'({b})' for b in big)}, false)" if big else "false"
 
 
 def rejects(records: DataFrame, table: str) -> DataFrame:
-    """The records ``parse`` drops: table and first 80 characters."""
-    return records.where(_and_a_field(f"{BROKEN} IS NOT NULL", table)).select(
-        *columns(table_name=f"'{table}'", record_start=f"substring({BROKEN}, 1, 80)")
+    """The records ``parse`` drops: table and first 80 characters (of the fields, for an oversize amount)."""
+    record = f"coalesce({BROKEN}, concat_ws(',', {', '.join(RAW[table].names)}))"
+    return records.where(_and_a_field(f"({BROKEN} IS NOT NULL OR {_oversize(table)})", table)).select(
+        *columns(table_name=f"'{table}'", record_start=f"substring({record}, 1, 80)")
     )
 
 
