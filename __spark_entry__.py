@@ -117,14 +117,27 @@ def _quoted_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read_raw(spark, "customers", path)
 
 
-def _stream_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = shared_dir(spark, "stream")
-    landing, target, progress = f"{base}/landing", f"{base}/orders", f"{base}/progress"
-    lines = R.damaged_lines(spark, sf_dir, "orders")
-    for _ in range(2):  # the second delivery repeats every row
-        lines.write.mode("append").text(landing)
-        ingest.ingest(spark, "orders", landing, target, progress, header=False)
-    return ingest.current(spark, "orders", target)
+def _stream_ingest(table: str) -> Query:
+    """Delivered twice, as one file each time, and settled."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = shared_dir(spark, "stream")
+        landing, target, progress = f"{base}/landing", f"{base}/{table}", f"{base}/progress"
+        lines = R.damaged_lines(spark, sf_dir, table)
+        for _ in range(2):
+            lines.coalesce(1).write.mode("append").text(landing)
+            ingest.ingest(spark, table, landing, target, progress, header=False)
+        return ingest.current(spark, table, target)
+
+    return query
+
+
+def _raw_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A strict load from files with headers: scan, check, clustered write, read back."""
+    base, names = shared_dir(spark, "rawload"), RAW["orders"].names
+    records = raw.parse(_records(spark, sf_dir, "orders"), "orders")
+    layers.write_quoted_csv(records.select(columns(**{n: f"string({n})" for n in names})), f"{base}/orders.csv")
+    return load.load_raw(spark, base, "orders", f"{base}/orders.csv").select(names)
 
 
 def _raw_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +182,10 @@ def queries() -> dict[str, Query]:
         partition_pruned_orders=_partition_pruned_orders,
         partition_stats=_partition_stats,
         quoted_csv_customers=_quoted_csv_customers,
-        stream_ingest_orders=_stream_ingest_orders,
+        stream_ingest_orders=_stream_ingest("orders"),
+        stream_ingest_items=_stream_ingest("order_items"),
+        stream_ingest_geolocation=_stream_ingest("geolocation"),
+        raw_load_orders=_raw_load_orders,
     )
 
     on(
@@ -191,6 +207,7 @@ def queries() -> dict[str, Query]:
             t, {name: spec.key for name, spec in RAW.items() if spec.key}
         ),
         dq_orphans=quality.orphan_counts,
+        dq_validations=lambda t: quality.validations(t, {name: spec.key for name, spec in RAW.items() if spec.key}),
         dq_null_rates=lambda t: quality.null_rates(
             t["orders"], "order_approved_at", "order_delivered_carrier_date",
             "order_delivered_customer_date", "order_estimated_delivery_date",

@@ -133,6 +133,21 @@ _LOADS = [load_counts(t, 0) for t in KINDS] + [
     " count(*) FILTER (WHERE len(f) > 7) AS bad_records, CAST(500 AS BIGINT) AS max_bad"
     " FROM review_fields"
 ]
+_COUNTED = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t}" for t in [*KINDS, "reviews"]
+)
+_KEYED = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {big('0')} AS null_keys, (SELECT count(*) FROM"
+    f" (SELECT {k} FROM raw_{t} GROUP BY {k} HAVING count(*) > 1) d) AS duplicate_keys"
+    for t, k in KEYS.items()
+)
+_PARENTS = " UNION ALL ".join(_orphans(c, p) for c, p in PARENTS)
+_RATES = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS null_rows,"
+    f" {pct(f'count(*) - count({c})', 'count(*)')} AS null_pct FROM raw_orders"
+    for c in ("order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+              "order_estimated_delivery_date")
+)
 _LOADED = " UNION ALL ".join(_LOADS)
 _SHORT = {"order_items": "items", "category_translation": "translation"}
 
@@ -150,6 +165,9 @@ EXPECTED: dict[str, str] = {
         FROM raw_orders GROUP BY 1""",
     "quoted_csv_customers": _drop_row_no("raw_customers"),
     "stream_ingest_orders": parsed("orders"),
+    "stream_ingest_items": parsed("order_items"),
+    "stream_ingest_geolocation": parsed("geolocation"),
+    "raw_load_orders": parsed("orders"),
     "delivery_delay": "SELECT order_id, delivery_delay_days, is_late_delivery FROM orders_delayed",
     "lookup_orders_customers": """
         SELECT o.* EXCLUDE (row_no), customer_state, customer_city, customer_zip_code_prefix,
@@ -163,21 +181,10 @@ EXPECTED: dict[str, str] = {
     "stg_customers": _drop_row_no("raw_customers"),
     "stg_products": _drop_row_no("raw_products"),
     "stg_sellers": _drop_row_no("raw_sellers"),
-    "row_counts": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM raw_{t}" for t in [*KINDS, "reviews"]
-    ),
-    "dq_primary_keys": " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {big('0')} AS null_keys, (SELECT count(*) FROM"
-        f" (SELECT {k} FROM raw_{t} GROUP BY {k} HAVING count(*) > 1) d) AS duplicate_keys"
-        for t, k in KEYS.items()
-    ),
-    "dq_orphans": " UNION ALL ".join(_orphans(c, p) for c, p in PARENTS),
-    "dq_null_rates": " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS null_rows,"
-        f" {pct(f'count(*) - count({c})', 'count(*)')} AS null_pct FROM raw_orders"
-        for c in ("order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
-                  "order_estimated_delivery_date")
-    ),
+    "row_counts": _COUNTED,
+    "dq_primary_keys": _KEYED,
+    "dq_orphans": _PARENTS,
+    "dq_null_rates": _RATES,
     "dq_status_dist": _distribution("raw_orders", "order_status"),
     "dq_payment_dist": _distribution("raw_payments", "payment_type"),
     "dq_date_range": """
@@ -247,6 +254,27 @@ EXPECTED: dict[str, str] = {
     "dq_unexpected_payment_types": f"""
         SELECT payment_type, count(*) AS n_rows FROM stg_payments
         WHERE payment_type NOT IN ({PAYMENT_TYPES}) GROUP BY 1""",
+    "dq_validations": f"""
+        SELECT * FROM (WITH keys AS ({_KEYED}), parents AS ({_PARENTS}), found AS (
+          SELECT 'row_count' AS validation, table_name AS subject, row_count AS measure, row_count > 0 AS passes
+          FROM ({_COUNTED})
+          UNION ALL SELECT 'null_keys', table_name, null_keys, null_keys = 0 FROM keys
+          UNION ALL SELECT 'duplicate_keys', table_name, duplicate_keys, duplicate_keys = 0 FROM keys
+          UNION ALL SELECT 'orphans', child, orphans, orphans = 0 FROM parents
+          UNION ALL SELECT 'null_rate', column_name, null_pct, NULL FROM ({_RATES})
+          UNION ALL SELECT 'order_status', 'orders', count(DISTINCT order_status), count(*) = 0
+            FROM raw_orders WHERE order_status NOT IN ({ACCEPTED["stg_orders.order_status"]})
+          UNION ALL SELECT 'payment_type', 'payments', count(DISTINCT payment_type), NULL FROM raw_payments
+          UNION ALL SELECT 'date_range', 'orders',
+            count(DISTINCT strftime(order_purchase_timestamp, '%Y-%m')), count(*) > 0 FROM raw_orders
+          UNION ALL SELECT 'total_gmv', 'order_items', {money_sum('price')}, sum(price) > 0 FROM raw_order_items
+          UNION ALL SELECT 'multi_row_zip', 'geolocation', count(*), NULL FROM (
+            SELECT 1 FROM raw_geolocation GROUP BY geolocation_zip_code_prefix HAVING count(*) > 1)
+          UNION ALL SELECT 'positive_price', 'order_items', count(*), count(*) = 0
+            FROM raw_order_items WHERE price <= 0)
+        SELECT validation, subject, CAST(measure AS DOUBLE) AS measure,
+               CASE WHEN passes IS NULL THEN 'info' WHEN passes THEN 'pass' ELSE 'fail' END AS status
+        FROM found) r""",
     "dq_report": f"""
         SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
         FROM ({_tests('not_null', 'unique', 'accepted_values')}) t""",

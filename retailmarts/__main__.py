@@ -8,6 +8,7 @@ from retailmarts.operators import quality, review_repair
 from retailmarts.plans import load
 from retailmarts.session import session
 from retailmarts.sources import layers
+from retailmarts.sources.schemas import RAW
 from retailmarts.sources.tables import Tables
 from retailmarts.streaming.ingest import ingest
 
@@ -37,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     command("build", "build enriched tables and marts from <landing>/<table>.csv", "landing", "root")
     command("rebuild", "build enriched tables and marts from the ingested files", "root")
     command("check", "run the declared checks on a build", "root")
+    command("validate", "run the validations of the raw layer", "root")
     command("repair-reviews", "repair a review file", "source", "target")
     command("ingest", "append the files that are new in a folder", "table", "folder", "root")
     args = parser.parse_args(argv)
@@ -52,6 +54,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "check":
         checks = quality.report(quality.run_checks(written(spark, args.root)))
         checks.orderBy("status", "table_name", "column_name").show(len(quality.CHECKS), truncate=False)
+    elif args.command == "validate":
+        tables = Tables({t: (lambda t=t: layers.read_table(spark, args.root, "raw", t)) for t in RAW})
+        found = quality.validations(tables, {t: spec.key for t, spec in RAW.items() if spec.key})
+        found.orderBy("status", "validation", "subject").show(200, truncate=False)
     elif args.command == "repair-reviews":
         review_repair.repair_file(spark, args.source, args.target).show()
     else:

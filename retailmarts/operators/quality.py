@@ -163,17 +163,15 @@ def primary_key_findings(raw: Tables, keys: dict[str, tuple[str, ...]]) -> DataF
     parts = []
     for name, key in keys.items():
         missing = " OR ".join(f"coalesce(string({k}), '') = ''" for k in key)
-        table_name = f"'{name}'"
-        # Two single rows side by side.
-        parts.append(
-            raw[name].agg(*columns(table_name=table_name, null_keys=f"count_if({missing})")).join(
-                duplicate_keys(raw[name], *key).agg(
-                    *columns(table_name=table_name, duplicate_keys="count(*)")
-                ),
-                "table_name",
-            )
-        )
-    return union(parts)
+        table_name, nothing = f"'{name}'", "0L"
+        parts += [
+            raw[name].agg(*columns(table_name=table_name, null_keys=f"count_if({missing})", duplicate_keys=nothing)),
+            duplicate_keys(raw[name], *key).agg(
+                *columns(table_name=table_name, null_keys=nothing, duplicate_keys="count(*)")
+            ),
+        ]
+    sums = columns(null_keys="sum(null_keys)", duplicate_keys="sum(duplicate_keys)")
+    return union(parts).groupBy("table_name").agg(*sums)
 
 
 def orphan_counts(raw: Tables, relationships=RELATIONSHIPS) -> DataFrame:
@@ -220,3 +218,39 @@ def non_positive_prices(items: DataFrame) -> DataFrame:
 def report(findings: DataFrame) -> DataFrame:
     """Findings with a pass or fail status."""
     return findings.select("*", *columns(status="CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END"))
+
+
+def validations(raw: Tables, keys: dict[str, tuple[str, ...]]) -> DataFrame:
+    """All validations of the raw tables as one report: validation, subject, measure, status.
+
+    The status is pass or fail, or info where a measure has no right value."""
+
+    def judged(df: DataFrame, validation: str, subject: str, measure: str, passes: str | None) -> DataFrame:
+        status = "'info'" if passes is None else f"CASE WHEN {passes} THEN 'pass' ELSE 'fail' END"
+        return df.select(*columns(
+            validation=f"'{validation}'", subject=subject, measure=f"double({measure})", status=status
+        ))
+
+    def counted(df: DataFrame, condition: str = "true") -> DataFrame:
+        return df.agg(*columns(n=f"count_if({condition})"))
+
+    orders, items, findings = raw["orders"], raw["order_items"], primary_key_findings(raw, keys)
+    instants = [
+        "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ]
+    return union([
+        *[judged(counted(raw[t]), "row_count", f"'{t}'", "n", "n > 0") for t in raw.makers],
+        judged(findings, "null_keys", "table_name", "null_keys", "null_keys = 0"),
+        judged(findings, "duplicate_keys", "table_name", "duplicate_keys", "duplicate_keys = 0"),
+        judged(orphan_counts(raw), "orphans", "child", "orphans", "orphans = 0"),
+        judged(null_rates(orders, *instants), "null_rate", "column_name", "null_pct", None),
+        judged(unexpected_values(orders, "order_status", VALID_STATUSES).agg(*columns(n="count(*)")),
+               "order_status", "'orders'", "n", "n = 0"),
+        judged(raw["payments"].agg(*columns(n="count(DISTINCT payment_type)")), "payment_type", "'payments'", "n", None),
+        judged(date_range(orders, "order_purchase_timestamp"), "date_range", "'orders'", "months", "months > 0"),
+        judged(total_gmv(items), "total_gmv", "'order_items'", "gmv_brl", "coalesce(gmv_brl, 0D) > 0"),
+        judged(duplicate_keys(raw["geolocation"], "geolocation_zip_code_prefix").agg(*columns(n="count(*)")),
+               "multi_row_zip", "'geolocation'", "n", None),
+        judged(counted(items, "price <= 0"), "positive_price", "'order_items'", "n", "n = 0"),
+    ])

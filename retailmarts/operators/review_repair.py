@@ -69,10 +69,20 @@ def classify(records: DataFrame) -> DataFrame:
 
 
 def check_header(spark: SparkSession, path: str) -> None:
-    """Fail unless the header has as many columns as a review."""
-    first = spark.read.text(path).limit(1).select(*columns(n=f"size({X.csv_fields('value')})")).head()
-    if first is None or first.n != len(NAMES):
-        raise ValueError(f"{path}: expected {len(NAMES)} header columns, got {first and first.n}")
+    """Fail unless the header of every file has as many columns as a review.
+
+    Only the first block of each file is read."""
+    starts = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where(
+        "file_block_start = 0"
+    )
+    headers = starts.selectExpr("value", "file_path", "monotonically_increasing_id() AS place").groupBy("file_path").agg(
+        *columns(header="min_by(value, place)")
+    )
+    wrong = headers.select("file_path", *columns(n=f"size({X.csv_fields('header')})")).where(f"n <> {len(NAMES)}").head()
+    if wrong is not None:
+        raise ValueError(f"{wrong.file_path}: expected {len(NAMES)} header columns, got {wrong.n}")
+    if not headers.head(1):
+        raise ValueError(f"{path}: expected {len(NAMES)} header columns, got none")
 
 
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -173,3 +173,15 @@ def test_a_build_can_register_its_models(spark, tmp_path):
     assert spark.table("mart.mart_geo_sales").count() == built["mart_geo_sales"].count()
     assert spark.table("stg_orders").count() == built["stg_orders"].count()
     spark.sql("DROP DATABASE mart CASCADE")
+
+
+def test_every_review_file_needs_its_header(spark, tmp_path):
+    from retailmarts.operators import review_repair
+
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    write(folder / "a.csv", "a,b,c,d,e,f,g\nx\n")
+    review_repair.check_header(spark, str(folder))
+    write(folder / "b.csv", "a,b,c\n1,2,3,4,5,6,7\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        review_repair.check_header(spark, str(folder))
