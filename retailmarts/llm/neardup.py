@@ -33,8 +33,9 @@ REGISTERS = 504
 BANDS = {85: (7, 36), 80: (6, 42)}
 #: Standard errors below the limit at which a pair is dropped without a look at its sets.
 MARGIN = 4.5
-#: Rows of a block of a bucket.
+#: Rows of a block of a bucket, and first bands of the rounds in which buckets are compared.
 BLOCK = 1024
+ROUNDS = (0, 4)
 #: Points made at once, and characters split at once: a text of any length needs memory for its set only.
 POINTS = 200_000
 STRETCH = 1 << 20
@@ -241,8 +242,9 @@ def _linked_rows(limit: int):
             root: dict[int, int] = {}
 
             def top(x: int) -> int:
-                while root.setdefault(x, x) != x:
-                    x = root[x] = root.setdefault(root[x], root[x])
+                while (up := root.get(x, x)) != x:
+                    root[x] = root.get(up, up)
+                    x = up
                 return x
 
             comps, rows = pdf["component"].tolist(), pdf["row"].tolist()
@@ -349,14 +351,15 @@ class _Search:
             _confirm(self.limit), "a BIGINT, b BIGINT"
         ))
 
-    def across(self) -> None:
-        """Links between different components that share a bucket.
+    def across(self, first: int, end: int) -> None:
+        """Links between different components that share a bucket of the bands from ``first`` to ``end``.
 
         Buckets are compared in blocks, first by their sketches; then the texts of the rows that have a
         likely partner go to the same blocks."""
         labels = self.components.select(F.col("node").alias("row"), "component")
         members = self.scratch.save(
-            self.members.select("bucket", "band", "row", "size").join(labels, "row", "left")
+            self.members.where(F.col("band").between(first, end - 1)).select("bucket", "band", "row", "size")
+            .join(labels, "row", "left")
             .withColumn("component", F.coalesce("component", "row"))
         )
         mixed = members.groupBy("bucket").agg(
@@ -399,7 +402,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataF
     """
     search = _Search(docs, scratch, limit)
     search.to_hubs()
-    search.across()
+    # A few bands join most of what belongs together, so the others need not find it once more each.
+    for first, end in zip(ROUNDS, [*ROUNDS[1:], BANDS[limit][1]]):
+        search.across(first, end)
     key = ["n", "a", "b"]
     node = spread_join(search.all.drop("registers"), search.classes, key, "left").select(
         "row", "text_hash", "doc_id", "n", F.coalesce("node", "row").alias("node")
