@@ -42,10 +42,12 @@ def contexts(tokens: list[bytes]) -> Iterator[np.ndarray]:
     """(context, byte) codes of a text, the byte lowest, in stretches; before a text lie line feeds."""
     data = np.frombuffer(END * DEPTH + b" ".join(tokens) + END, np.uint8)
     for start in range(0, len(data) - DEPTH, STRETCH):
-        piece = data[start : start + STRETCH + DEPTH].astype(np.int64)
-        code = np.zeros(len(piece) - DEPTH, np.int64)
-        for i in range(DEPTH + 1):
-            code = (code << 8) | piece[i : len(piece) - DEPTH + i]
+        one = data[start : start + STRETCH + DEPTH].astype(np.int64)
+        code, width = one, 1  # twice the width, one more, as the bits of DEPTH + 1 say
+        for bit in bin(DEPTH + 1)[3:]:
+            code, width = (code[: len(code) - width] << (8 * width)) | code[width:], 2 * width
+            if bit == "1":
+                code, width = (code[:-1] << 8) | one[width:], width + 1
         yield code
 
 
@@ -251,9 +253,13 @@ def _chunk_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new: dict[int, list[np.ndarray]] = {}
         for chunk, text in zip(batch["chunk"].to_pylist(), batch["text"].to_pylist()):
             new.setdefault(chunk, []).extend(contexts(words(text)))
-        for chunk, codes in new.items():
-            seen[chunk] = [np.unique(np.concatenate([*codes, *seen.get(chunk, [])]))]
-    for chunk, (codes,) in seen.items():
+        for chunk, parts in new.items():
+            known = seen.setdefault(chunk, [])
+            known.append(np.unique(np.concatenate(parts)))
+            if len(known) > 8:
+                known[:] = [np.unique(np.concatenate(known))]
+    for chunk, parts in seen.items():
+        codes = np.unique(np.concatenate(parts))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(codes), chunk)), pa.array(codes)], names=["chunk", "code"]
         )
@@ -266,6 +272,27 @@ SCORES = pa.schema([
 ])
 
 
+def _table(codes: np.ndarray, values: np.ndarray):
+    """A lookup of the values of known codes: a hash table, and a search for codes that share a slot."""
+    bits = max(10, int(8 * len(codes)).bit_length())
+    slots = lambda x: (x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+    order = np.argsort(codes)
+    codes, values = codes[order], values[order]
+    at = slots(codes)
+    table = np.zeros(1 << bits)
+    table[at] = values
+    shared = np.bincount(at.astype(np.int64), minlength=1 << bits) > 1
+    table[shared] = np.nan
+
+    def value_of(x: np.ndarray) -> np.ndarray:
+        found = table[slots(x)]
+        unsure = np.flatnonzero(np.isnan(found))
+        found[unsure] = values[np.searchsorted(codes, x[unsure])]
+        return found
+
+    return value_of
+
+
 def _score(docs: pa.Table, asked: pa.Table) -> pa.Table:
     """Scores of the documents of a chunk.  A chunk of the vocabulary, below zero, gives its totals."""
     tokens = asked["token"].is_valid()
@@ -277,16 +304,14 @@ def _score(docs: pa.Table, asked: pa.Table) -> pa.Table:
     logs = dict(zip(names, np.log10(counts + 0.1).tolist()))
     grams = asked["code"].is_valid()
     codes, values = (asked[c].filter(grams).to_numpy() for c in ("code", "value"))
-    order = np.argsort(codes)
-    codes, values = codes[order], values[order]
+    value_of = _table(codes, values)
     out = []
     for doc_id, held, text in zip(*(docs[c].to_pylist() for c in ("doc_id", "held_out", "text"))):
         found = words(text)
-        base = np.fromiter((logs[w] for w in found), float, len(found))
-        base = np.append(base, logs[END])
+        base = np.fromiter(map(logs.__getitem__, [*found, END]), float, len(found) + 1)
         score, n_bytes = 0.0, 0
         for stretch in contexts(found):
-            score += float(values[np.searchsorted(codes, stretch)].sum())
+            score += float(value_of(stretch).sum())
             n_bytes += len(stretch)
         out.append((doc_id, held, len(base), int((base > 0).sum()), n_bytes, float(base.sum()), score, None, None))
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), SCORES)], schema=SCORES)
