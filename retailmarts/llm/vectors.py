@@ -24,11 +24,11 @@ from retailmarts.llm.common import Scratch, components, spread_join
 LIMIT = 0.98
 #: Vectors a pivot stands for, pivots at most, sampled vectors they are chosen from, and the cosine that
 #: two pivots may not reach, so that a dense group has one.
-SHARD = 1024
+SHARD = 512
 PIVOTS = 16_384
 SAMPLE = 20_000
 APART = 0.9
-OVERLAP = 3
+OVERLAP = 2
 BLOCK = 2048
 #: Of a graph: vectors of a cluster, clusters of a vector, edges per cluster, slack of pruning.
 CLUSTER = 512
@@ -38,7 +38,7 @@ ALPHA = 1.2
 #: Of a search: nodes expanded at once, greedy rounds, how far below the limit neighbours are still
 #: expanded, queries and expansions at once.
 WIDTH = 8
-ROUNDS = 12
+ROUNDS = 8
 SLACK = 0.02
 QUERIES = 256
 EXPANDED = 10_000
