@@ -53,6 +53,11 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, whatever the optimiser inlines."""
+    return F.transform(F.array(value), use)[0]
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailmarts.llm.common import SPACES, Scratch
+from retailmarts.llm.common import SPACES, Scratch, bound
 
 #: A line is boilerplate if more than so many distinct documents of the host hold it, and more than this
 #: share of them.  Copies of one text count once: they are a matter of deduplication.
@@ -23,11 +23,6 @@ MOST_REPEATED = 50
 SYMBOLS = "#*$%&|<>"
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, whatever the optimiser inlines."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _words(text: str) -> Column:
     return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), "")
 
@@ -52,12 +47,12 @@ def _repeated(words: Column) -> Column:
             covered = F.flatten(F.transform(same, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
             return F.size(F.array_distinct(covered))
 
-        return _bound(placed, repeats)
+        return bound(placed, repeats)
 
     def count(hashes: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(places(hashes))
 
-    return F.when(F.size(words) < 4, 0).otherwise(_bound(windows(words), count))
+    return F.when(F.size(words) < 4, 0).otherwise(bound(windows(words), count))
 
 
 def _normal(line: Column) -> Column:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmarts.llm.common import Scratch, components, spread_join
+from retailmarts.llm.common import Scratch, bound, components, spread_join
 
 LIMIT = 0.98
 #: Vectors a pivot stands for, pivots at most, sampled vectors they are chosen from, and the cosine that
@@ -192,10 +192,15 @@ def clean(vectors: DataFrame) -> DataFrame:
         & F.coalesce(F.forall(numbers, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))), F.lit(False))
         & F.coalesce(F.exists(numbers, lambda x: x != 0), F.lit(False))
     )
-    largest = F.array_max(F.transform(numbers, lambda x: F.abs(x)))
-    scaled = F.transform(numbers, lambda x: x / largest)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.when(usable, F.transform(scaled, lambda x: x / length))
+
+    def divided(v, by):
+        return bound(by, lambda n: F.transform(v, lambda x: x / n))
+
+    def unit_of(v):
+        scaled = divided(v, F.array_max(F.transform(v, lambda x: F.abs(x))))
+        return bound(scaled, lambda s: divided(s, F.sqrt(F.aggregate(s, F.lit(0.0), lambda t, x: t + x * x))))
+
+    unit = F.when(usable, bound(numbers, unit_of))
     return vectors.select("vec_id", "label", unit.alias("unit")).withColumn("row", F.monotonically_increasing_id())
 
 
