@@ -118,14 +118,14 @@ def _quoted_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_ingest(table: str) -> Query:
-    """Delivered twice, as one file each time, and settled."""
+    """Delivered twice, as a folder of part files each time, and settled."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = shared_dir(spark, "stream")
         landing, target, progress = f"{base}/landing", f"{base}/{table}", f"{base}/progress"
         lines = R.damaged_lines(spark, sf_dir, table)
-        for _ in range(2):
-            lines.coalesce(1).write.mode("append").text(landing)
+        for n in range(2):
+            lines.write.text(f"{landing}/{n}")
             ingest.ingest(spark, table, landing, target, progress, header=False)
         return ingest.current(spark, table, target)
 

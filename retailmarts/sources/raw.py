@@ -48,9 +48,9 @@ def scan_stream(
     spark: SparkSession, table: str, path: str, header: bool = True, files_per_batch: int = 10_000,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Like ``scan`` for files as they arrive in the folder ``path``; ``keep`` are expressions on a file's
-    ``_metadata`` that are carried along."""
-    options = {**_LINES, "header": header, "maxFilesPerTrigger": files_per_batch}
+    """Like ``scan`` for files as they arrive in the folder ``path`` and the folders below; ``keep`` are
+    expressions on a file's ``_metadata`` that are carried along."""
+    options = {**_LINES, "header": header, "maxFilesPerTrigger": files_per_batch, "recursiveFileLookup": True}
     lines = spark.readStream.schema("line string").options(**options).csv(path)
     return scan_lines(lines.selectExpr("line", *keep), table)
 

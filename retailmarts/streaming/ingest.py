@@ -1,7 +1,8 @@
 """Files arriving in a landing folder → an append-only table, and its current state.
 
-Arrival is at least once: a file may come again under another name.  The stream's checkpoint and the
-file sink's log make every file count once; ``current`` settles redelivered files and updated keys.
+A delivery is what lies under one name in the landing folder: a file, or a folder of part files.  Arrival
+is at least once: files may come again under another name.  The stream's checkpoint and the file sink's
+log make every file count once; ``current`` settles redelivered files and updated keys.
 """
 
 from __future__ import annotations
@@ -12,10 +13,22 @@ from pyspark.sql import functions as F
 from retailmarts.functions import columns
 from retailmarts.sources import raw
 from retailmarts.sources.layers import MONTH
-from retailmarts.sources.schemas import RAW
+from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
 
 ARRIVED = "arrived_at"
 FILE = "arrived_from"
+DELIVERY = "arrived_with"
+
+_STORED = {TEXT: "string", WHOLE: "bigint", DECIMAL: "double", INSTANT: "timestamp"}
+
+
+def _delivery(spark: SparkSession, landing: str) -> str:
+    """The path of a file as far as the first name below the landing folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath()
+    names = len([n for n in whole.split("/") if n]) + 1
+    below = "regexp_replace(_metadata.file_path, '^[A-Za-z][^:/]*:(//[^/]*)?', '')"
+    return f"array_join(slice(split({below}, '/'), 1, {names + 1}), '/')"
 
 
 def ingest(
@@ -27,9 +40,12 @@ def ingest(
     A backlog is worked off in batches of files, so that a lost batch costs little.
     """
     spec = RAW[table]
-    origin = (f"_metadata.file_modification_time AS {ARRIVED}", f"_metadata.file_path AS {FILE}")
+    origin = (
+        f"_metadata.file_modification_time AS {ARRIVED}", f"_metadata.file_path AS {FILE}",
+        f"{_delivery(spark, landing)} AS {DELIVERY}",
+    )
     records = raw.scan_stream(spark, table, landing, header, files_per_batch, keep=origin)
-    rows = raw.parse(records, table, keep=(ARRIVED, FILE))
+    rows = raw.parse(records, table, keep=(ARRIVED, FILE, DELIVERY))
     if spec.month_of:
         rows = rows.withColumn(MONTH, F.date_format(spec.month_of, "yyyy-MM"))
     writer = rows.writeStream.format("parquet").outputMode("append")
@@ -43,27 +59,62 @@ def ingest(
     )
 
 
+def _arrived(spark: SparkSession, table: str, target: str) -> DataFrame:
+    """All rows that came.  In tables written before deliveries were noted, each file is one."""
+    stored = {n: _STORED[t] for n, t in RAW[table].columns.items()}
+    stored |= {ARRIVED: "timestamp", FILE: "string", DELIVERY: "string"}
+    rows = spark.read.schema(", ".join(f"{n} {t}" for n, t in stored.items())).parquet(target)
+    return rows.withColumn(DELIVERY, F.coalesce(DELIVERY, FILE))
+
+
+def _files(arrived: DataFrame, content: str) -> DataFrame:
+    """One row per file: when its delivery came, and the first and the last delivery before it with a file of
+    this content.  Equal files of one delivery are compared with as many of another."""
+    files = arrived.groupBy(DELIVERY, FILE).agg(*columns(
+        _at=f"min({ARRIVED})", _rows="count(*)", _a=f"bit_xor(xxhash64({content}))",
+        _b=f"sum(pmod(xxhash64('b', {content}), 4294967296L))",
+    ))
+    timed = files.select("*", *columns(
+        _when=f"min(_at) OVER (PARTITION BY {DELIVERY})",
+        _copy=f"row_number() OVER (PARTITION BY {DELIVERY}, _rows, _a, _b ORDER BY {FILE})",
+    ))
+    alike = f"(PARTITION BY _rows, _a, _b, _copy ORDER BY _when, {DELIVERY})"
+    return timed.select("*", *columns(
+        _first=f"first_value({DELIVERY}) OVER {alike}", _before=f"lag({DELIVERY}) OVER {alike}",
+    )).withColumn("_new", F.col("_before").isNull())
+
+
+def _deliveries(files: DataFrame) -> DataFrame:
+    """One row per delivery: whether it repeats a whole earlier delivery, however that was cut into files,
+    and whether it has nothing but some files of one."""
+    sums = files.groupBy(DELIVERY).agg(*columns(
+        _when="min(_when)", _n="sum(_rows)", _x="bit_xor(_a)", _y="sum(CAST(_b AS DECIMAL(20, 0)))",
+        _of_one="NOT bool_or(_new) AND (min(_first) = max(_first) OR min(_before) = max(_before))",
+    ))
+    first = f"first_value({DELIVERY}) OVER (PARTITION BY _n, _x, _y ORDER BY _when, {DELIVERY})"
+    return sums.select("*", *columns(_again=f"{first} <> {DELIVERY}")).select(
+        DELIVERY, "_when", "_again", *columns(_part="_of_one AND NOT _again")
+    )
+
+
 def current(spark: SparkSession, table: str, target: str) -> DataFrame:
     """What the arrived files say by now.
 
-    A key's rows are those of the last file that has it, all of them: a key need not be unique.  Rows with a
-    NULL or blank key, and those of a table without one, stay as often as they came, but for files that
-    repeat another file's content.
+    A key's rows are those of the last delivery that has it, all of them, whatever files they are in: a key
+    need not be unique.  A delivery of nothing but some files of an earlier one updates no key.  Rows with a
+    NULL or blank key, and those of a table without one, stay as often as they came, but for files and
+    deliveries that repeat the content of an earlier delivery's.
     """
     spec = RAW[table]
-    arrived = spark.read.parquet(target)
-    content = f"struct({', '.join(spec.names)})"
+    arrived = _arrived(spark, table, target)
     known = " AND ".join([f"coalesce(string({k}), '') <> ''" for k in spec.key] or ["false"])
-    files = arrived.groupBy(FILE).agg(*columns(
-        _at=f"min({ARRIVED})", _rows="count(*)", _a=f"bit_xor(xxhash64({content}))",
-        _b=f"sum(pmod(xxhash64('b', {content}), 4294967296L))",
-    ))
-    first = files.groupBy("_rows", "_a", "_b").agg(*columns(_first=f"min(struct(_at, {FILE}))"))
-    new = first.selectExpr(f"_first.{FILE} AS {FILE}")
+    files = _files(arrived, f"struct({', '.join(spec.names)})")
+    deliveries = _deliveries(files)
+    new = files.where("_new").join(deliveries.where("NOT _again"), DELIVERY, "left_semi").select(FILE)
     rest = arrived.where(f"NOT ({known})").join(new, FILE, "left_semi").select(spec.names)
     if not spec.key:
         return rest
-    keyed = arrived.where(known)
-    last = keyed.groupBy(*spec.key).agg(*columns(_last=f"max(struct({ARRIVED}, {FILE}))"))
-    latest = last.selectExpr(*spec.key, f"_last.{FILE} AS {FILE}")
-    return keyed.join(latest, [*spec.key, FILE], "left_semi").select(spec.names).unionByName(rest)
+    keyed = arrived.where(known).join(deliveries.where("NOT _part").select(DELIVERY, "_when"), DELIVERY)
+    last = keyed.groupBy(*spec.key).agg(*columns(_last=f"max(struct(_when, {DELIVERY}))"))
+    latest = last.selectExpr(*spec.key, f"_last.{DELIVERY} AS {DELIVERY}")
+    return keyed.join(latest, [*spec.key, DELIVERY], "left_semi").select(spec.names).unionByName(rest)
