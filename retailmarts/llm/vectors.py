@@ -7,7 +7,8 @@ the medoids and then expands over all neighbours in range.  Cosines are confirme
 recall is audited against brute force, and the overlap is doubled if it falls short.
 
 Links of a shard are counted where they are found; only counts and a spanning forest leave a task.  A
-shard beyond ``BLOCK`` vectors is searched in pairs of blocks, so its size is not limited.
+shard beyond ``BLOCK`` vectors is cut into blocks, so its size is not limited: a block is searched by its
+graph, two blocks are compared by all their cosines, since a search from another block has no node to start at.
 """
 
 from __future__ import annotations
@@ -133,23 +134,21 @@ def search(
 
 def _spanning(pairs: np.ndarray) -> np.ndarray:
     """For each row of a symmetric boolean matrix the first node of its component."""
-    root = np.arange(len(pairs))
+    root = np.full(len(pairs), -1)
     for i in range(len(pairs)):
-        near = np.flatnonzero(pairs[i, :i])
-        for j in near:
-            a, b = i, j
-            while root[a] != a:
-                root[a] = root[root[a]]
-                a = root[a]
-            while root[b] != b:
-                root[b] = root[root[b]]
-                b = root[b]
-            root[max(a, b)] = min(a, b)
-    for i in range(len(pairs)):
-        root[i] = root[root[i]]
+        if root[i] < 0:
+            new = np.array([i])
+            while len(new):
+                root[new] = i
+                new = np.flatnonzero(pairs[new].any(axis=0) & (root < 0))
     return root
 
 
+def across(units: np.ndarray, others: np.ndarray, limit: float) -> np.ndarray:
+    """Which pairs of two blocks have a cosine of ``limit`` or more, by all cosines."""
+    return units @ others.T >= limit
+
+
 def _links(limit: float):
     """Counts and a spanning forest of the links between blocks i and j of a shard."""
 
@@ -159,12 +158,11 @@ def _links(limit: float):
         units = np.stack(pdf["unit"].to_list()).astype(float)
         block = pdf["mine"].to_numpy()
         linked = np.zeros((len(pdf), len(pdf)), bool)
-        for side in {i, j}:
-            nodes = np.flatnonzero(block == side)
-            other = np.flatnonzero(block == (j if side == i else i))
-            if len(nodes) and len(other):
-                own = np.arange(len(nodes)) if i == j else None
-                linked[np.ix_(other, nodes)] |= search(units[other], units[nodes], *build(units[nodes]), limit, own)
+        if i == j:
+            linked |= search(units, units, *build(units), limit, np.arange(len(units)))
+        else:
+            nodes, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            linked[np.ix_(nodes, other)] = across(units[nodes], units[other], limit)
         linked |= linked.T
         np.fill_diagonal(linked, False)
         # A pair that shares several shards counts in the first of them.
