@@ -4,7 +4,8 @@ Vectors go to the shards of their nearest pivots, several each, so that shards o
 into clusters that overlap as well; in each a graph is built whose edges are pruned to point in different
 directions, and the adjacency lists of a vector's clusters are united.  A search descends greedily from
 the medoids and then expands over all neighbours in range.  Cosines are confirmed in double precision,
-recall is audited against brute force, and the overlap is doubled if it falls short.
+recall is audited against brute force, and the overlap is doubled if it falls short.  Where that would cost
+more than all cosines, these are compared instead.
 
 Links of a shard are counted where they are found; only counts and a spanning forest leave a task.  A
 shard beyond ``BLOCK`` vectors is cut into blocks, so its size is not limited: a block is searched by its
@@ -43,8 +44,12 @@ ROUNDS = 8
 SLACK = 0.02
 QUERIES = 256
 EXPANDED = 10_000
-#: Audited vectors, and the recall below which the overlap is doubled.
+#: Vectors asked for links by brute force, at first and at most; how many of them must have some, vectors of
+#: large families (by links) aside; and the recall below which the overlap is doubled.
 AUDIT = 512
+AUDITS = 8192
+AUDITED = 100
+LARGE = 64
 RECALL = 0.95
 
 
@@ -149,7 +154,7 @@ def across(units: np.ndarray, others: np.ndarray, limit: float) -> np.ndarray:
     return units @ others.T >= limit
 
 
-def _links(limit: float):
+def _links(limit: float, exact: bool = False):
     """Counts and a spanning forest of the links between blocks i and j of a shard."""
 
     def links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -158,7 +163,9 @@ def _links(limit: float):
         units = np.stack(pdf["unit"].to_list()).astype(float)
         block = pdf["mine"].to_numpy()
         linked = np.zeros((len(pdf), len(pdf)), bool)
-        if i == j:
+        if i == j and exact:
+            linked |= across(units, units, limit)
+        elif i == j:
             linked |= search(units, units, *build(units), limit, np.arange(len(units)))
         else:
             nodes, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -239,7 +246,9 @@ def assign(nodes: DataFrame, pivots: dict[tuple, np.ndarray], overlap: int) -> D
     )
 
 
-def find(nodes: DataFrame, pivots: dict[tuple, np.ndarray], overlap: int, scratch: Scratch) -> DataFrame:
+def find(
+    nodes: DataFrame, pivots: dict[tuple, np.ndarray], overlap: int, scratch: Scratch, exact: bool = False
+) -> DataFrame:
     """(a, b, n): a vector with links, another of its component or itself, and how many links were seen."""
     assigned = scratch.save(assign(nodes, pivots, overlap))
     placed = assigned.withColumn("shard", F.explode(F.filter("shards", lambda x: x >= 0)))
@@ -253,34 +262,56 @@ def find(nodes: DataFrame, pivots: dict[tuple, np.ndarray], overlap: int, scratc
     )
     return scratch.save(
         pairs.select("row", "unit", "copies", "shards", "mine", *group, "i", "j").groupBy(*group, "i", "j")
-        .applyInPandas(_links(LIMIT), "a BIGINT, b BIGINT, n BIGINT")
+        .applyInPandas(_links(LIMIT, exact), "a BIGINT, b BIGINT, n BIGINT")
     )
 
 
-def audit(nodes: DataFrame, found: DataFrame) -> float:
-    """Recall of the links of ``AUDIT`` vectors, compared with all vectors by brute force, in blocks."""
-    chosen = nodes.select("row", "label", "dim", "unit").orderBy(F.xxhash64("row", F.lit(1)), "row").limit(AUDIT)
-    asked = chosen.toPandas()
-    if not len(asked):
-        return 1.0
-    groups = {k: (p["row"].to_numpy(), np.stack(p["unit"].to_list())) for k, p in asked.groupby(["label", "dim"])}
+def known_links(nodes: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(row, n, large) of sampled vectors that have links: how many, by brute force over all vectors, in blocks,
+    and whether to more than ``LARGE`` others.  Vectors are asked until ``AUDITED`` with few links are known,
+    ``AUDITS`` at most.  None if no vector is asked."""
+    asked = AUDIT
+    while True:
+        chosen = nodes.select("row", "label", "dim", "unit").orderBy(F.xxhash64("row", F.lit(1)), "row").limit(asked)
+        pdf = chosen.toPandas()
+        if not len(pdf):
+            return None
+        groups = {k: (p["row"].to_numpy(), np.stack(p["unit"].to_list())) for k, p in pdf.groupby(["label", "dim"])}
+        known = scratch.save(
+            nodes.mapInPandas(_counter(groups), "row BIGINT, n BIGINT, others BIGINT").groupBy("row")
+            .agg(F.sum("n").alias("n"), (F.sum("others") > LARGE).alias("large"))
+        )
+        if len(pdf) < asked or asked >= AUDITS or known.where("NOT large").count() >= AUDITED:
+            return known
+        asked = min(4 * asked, AUDITS)
+
 
+def _counter(groups: dict[tuple, tuple[np.ndarray, np.ndarray]]):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for key, at in pdf.groupby(["label", "dim"]).indices.items():
                 if key in groups:
                     rows, units = groups[key]
                     part = pdf.iloc[at]
-                    linked = units @ np.stack(part["unit"].to_list()).T >= LIMIT
+                    linked = across(units, np.stack(part["unit"].to_list()), LIMIT)
                     linked &= rows[:, None] != part["row"].to_numpy()[None, :]
-                    yield pd.DataFrame({"row": rows, "n": (linked * part["copies"].to_numpy()).sum(axis=1)})
+                    out = pd.DataFrame({
+                        "row": rows, "n": linked @ part["copies"].to_numpy(), "others": linked.sum(axis=1),
+                    })
+                    yield out[out["others"] > 0]
 
-    exact = nodes.mapInPandas(count, "row BIGINT, n BIGINT").groupBy("row").agg(F.sum("n").alias("n")).where("n > 0")
+    return count
+
+
+def audit(known: DataFrame | None, found: DataFrame) -> float:
+    """Mean share of the links of a vector that were found: of vectors with few links or of those in large
+    families, whichever is less."""
+    if known is None:
+        return 1.0
     seen = found.groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("seen"))
-    row = exact.join(seen, "row", "left").agg(
-        F.sum("n").alias("n"), F.sum(F.least(F.col("n"), F.coalesce("seen", F.lit(0)))).alias("seen")
-    ).first()
-    return row["seen"] / row["n"] if row["n"] else 1.0
+    share = F.least(F.lit(1.0), F.coalesce("seen", F.lit(0)) / F.col("n"))
+    means = known.join(seen, "row", "left").groupBy("large").agg(F.avg(share).alias("share"))
+    return means.agg(F.coalesce(F.min("share"), F.lit(1.0))).first()[0]
 
 
 def near_duplicates(vectors: DataFrame, scratch: Scratch) -> DataFrame:
@@ -306,9 +337,16 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch) -> DataFrame:
     )
     pivots, overlap = choose_pivots(nodes), OVERLAP
     found = find(nodes, pivots, overlap, scratch)
-    while audit(nodes, found) < RECALL and overlap < max(map(len, pivots.values()), default=0):
+    known, most = known_links(nodes, scratch), max(map(len, pivots.values()), default=0)
+    while audit(known, found) < RECALL:
         overlap *= 2
-        found = find(nodes, pivots, overlap, scratch)
+        # Shards that overlap so often hold more pairs than there are, and graphs may miss some: all cosines.
+        exact = overlap * overlap > most
+        if exact:
+            pivots, overlap = {key: units[:1] for key, units in pivots.items()}, 1
+        found = find(nodes, pivots, overlap, scratch, exact)
+        if exact:
+            break
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     parts = components(found.select("a", "b"), scratch)
     named = (
