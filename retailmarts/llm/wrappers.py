@@ -11,6 +11,7 @@ The wrapper then says which element of a host's pages holds the article; pages a
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -55,8 +56,8 @@ NO_ARTICLE = set(
     " copyright skip search complementary contentinfo hidden".split()
 )
 ARTICLE = set("article main content post entry story body text".split())
-#: Characters of a slot's text that are compared, and hosts whose wrappers a task holds at once.
-TEXT = 200
+#: Distinct pages on which a slot must be the same to be constant, and hosts whose wrappers a task holds at once.
+LEAST = 8
 HOSTS = 2000
 SALTS = 16
 
@@ -154,10 +155,11 @@ def parse(page: str | None) -> Element:
 
 @dataclass
 class Node:
-    """An element of a wrapper.  ``text`` is the text of a constant slot, None if it varies."""
+    """An element of a wrapper.  ``text`` marks the text of a constant slot, None if it varies; ``pages`` holds
+    marks of the distinct pages that have it, ``MANY`` if there are ``LEAST`` or more."""
 
     label: str
-    pages: int = 1
+    pages: frozenset[int] = frozenset()
     optional: bool = False
     repeated: bool = False
     text: str | None = ""
@@ -170,33 +172,66 @@ class Node:
         return self.label + (f"({inner})" if inner else "") + ("+" if self.repeated else "") + ("?" if self.optional else "")
 
     def packed(self) -> list:
-        return [self.label, self.pages, int(self.optional), int(self.repeated), self.text, self.chars, self.links,
+        return [self.label, sorted(self.pages), int(self.optional), int(self.repeated), self.text, self.chars, self.links,
                 [c.packed() for c in self.children]]
 
     @staticmethod
     def unpacked(x: list) -> Node:
-        return Node(x[0], x[1], bool(x[2]), bool(x[3]), x[4], x[5], x[6], [Node.unpacked(c) for c in x[7]])
+        return Node(x[0], frozenset(x[1]), bool(x[2]), bool(x[3]), x[4], x[5], x[6], [Node.unpacked(c) for c in x[7]])
 
 
-def from_page(element: Element) -> Node:
+#: Stands for LEAST pages or more, whichever they are.
+MANY = frozenset(range(-LEAST, 0))
+
+
+def mark(text: str) -> str:
+    """Length and hash of a whole text; of none, nothing."""
+    whole = text.encode("utf-8", "surrogatepass")
+    return f"{len(text)}:{hashlib.blake2b(whole, digest_size=12).hexdigest()}" if text else ""
+
+
+def _page_mark(element: Element) -> int:
+    """A hash of all texts of a page: copies have the same."""
+    digest = hashlib.blake2b(digest_size=6)
+
+    def walk(x: Element) -> None:
+        for c in x.children:
+            if isinstance(c, str):
+                digest.update(c.encode("utf-8", "surrogatepass") + b"\0")
+            else:
+                walk(c)
+
+    walk(element)
+    return int.from_bytes(digest.digest(), "big")
+
+
+def _united_pages(a: frozenset[int], b: frozenset[int]) -> frozenset[int]:
+    if a is b or a == MANY or b == MANY:
+        return MANY if b == MANY else a
+    both = a | b
+    return both if len(both) < LEAST else MANY
+
+
+def from_page(element: Element, pages: frozenset[int] | None = None) -> Node:
     """The page as a wrapper that matches it alone, runs of equal siblings folded."""
+    pages = frozenset([_page_mark(element)]) if pages is None else pages
     text = " ".join(" ".join(c for c in element.children if isinstance(c, str)).split())
-    children = [from_page(c) for c in element.children if isinstance(c, Element)]
-    return Node(element.label, text=text[:TEXT], chars=len(text), links=element.links, children=fold(children))
+    children = [from_page(c, pages) for c in element.children if isinstance(c, Element)]
+    return Node(element.label, pages, text=mark(text), chars=len(text), links=element.links, children=fold(children))
 
 
 def merge(a: Node, b: Node) -> Node:
     """The wrapper that matches what either matches."""
     return Node(
-        a.label, a.pages + b.pages, a.optional or b.optional, a.repeated or b.repeated,
+        a.label, _united_pages(a.pages, b.pages), a.optional or b.optional, a.repeated or b.repeated,
         a.text if a.text == b.text else None, a.chars + b.chars, a.links + b.links, align(a.children, b.children),
     )
 
 
 def _again(a: Node, b: Node) -> Node:
-    """Two occurrences in one page as one repeated element, which still counts for one page."""
+    """Two occurrences in one page as one repeated element."""
     both = merge(a, b)
-    both.pages, both.repeated = max(a.pages, b.pages), True
+    both.repeated = True
     return both
 
 
@@ -276,15 +311,17 @@ def _outside(label: str) -> bool:
     return tag in NO_TEXT or bool(set(names) & NO_ARTICLE)
 
 
-def constant(wrapper: Node, least: int = 8) -> set[tuple[tuple, str]]:
-    """Text slots with the same text on all of at least ``least`` pages, outside an article element."""
+def constant(wrapper: Node) -> set[tuple[tuple, str]]:
+    """Marks of text slots with the same text on at least ``LEAST`` distinct pages, all that have the slot.
+    What lies in an article element or below the article's path is text of the article, even if equal."""
     found: set[tuple[tuple, str]] = set()
+    chosen = tuple(article(wrapper))
 
     def walk(node: Node, path: tuple) -> None:
         path = (*path, node.label)
-        if node.label.split(".")[0] == "article":
+        if node.label.split(".")[0] == "article" or path == chosen:
             return
-        if node.text and not node.repeated and not node.optional and node.pages >= least:
+        if node.text and not node.repeated and not node.optional and node.pages == MANY:
             found.add((path, node.text))
         for c in node.children:
             walk(c, path)
@@ -322,7 +359,7 @@ def main_text(page: str | None, path: list[str], fixed: set[tuple[tuple, str]])
 
         def flush() -> None:
             text = " ".join("".join(line).split())
-            if text and (at, text[:TEXT]) not in fixed:
+            if text and (at, mark(text)) not in fixed:
                 blocks.append(text)
             line.clear()
 
