@@ -287,7 +287,7 @@ class _Search:
             .select(*key, F.col("first.row").alias("node"))
         )
         nodes = self.all.join(self.classes.select(F.col("node").alias("row")), "row")
-        self.nodes = scratch.save(nodes.select("row", "doc_id", *key, "registers"))
+        self.nodes = scratch.save(nodes.select("row", "doc_id", "text_hash", *key, "registers"))
         bands = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.xxhash64(
             i, F.col("registers").substr(i * width + 1, F.lit(width))
         ))
@@ -298,14 +298,20 @@ class _Search:
         self.links = None
         self.components = self.nodes.select(F.col("row").alias("node"), F.col("row").alias("component")).limit(0)
 
-    def _texts(self, docs: DataFrame) -> DataFrame:
-        """Texts of the nodes that share a bucket.  Rows are found by doc_id; where several rows have the
-        same one, the set tells which it is."""
+    def _candidates(self, docs: DataFrame) -> DataFrame:
+        """Rows of ``docs`` with a node of their doc_id and hash of the text that shares a bucket."""
         wanted = self.nodes.join(self.members.select("row").distinct(), "row", "left_semi").select(
-            F.col("doc_id").alias("_id"), "row", "n", "a", "b"
+            F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "row", "n", "a", "b"
         )
         source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        found = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
+        return source.join(
+            wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+        )
+
+    def _texts(self, docs: DataFrame) -> DataFrame:
+        """Texts of the nodes that share a bucket.  Rows are found by doc_id and a hash of the text; should two
+        texts have the same, the set tells which it is."""
+        found = self._candidates(docs)
 
         def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
