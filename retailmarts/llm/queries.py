@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmarts.llm import chat, ctw, language, mixing, neardup, packing, quality, toxicity, vectors, wrappers
+from retailmarts.llm import (
+    chat, codes, ctw, fingerprints, language, mixing, neardup, packing, quality, search, toxicity, vectors, wrappers,
+)
 from retailmarts.llm.common import Scratch, read, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,9 +63,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, toxicity.train(docs, labels, Scratch(spark, "toxicity")))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return search.rank_documents(docs, items, Scratch(spark, "search"))
+
+
+def op12_integer_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"), Scratch(spark, "codes"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.judge(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency, op2_wrappers, op3_vector_graph, op4_source_mix, op5_packing, op6_language, op7_chat_snapshots,
-    op8_context_tree, op9_near_duplicates, op10_toxicity,
+    op8_context_tree, op9_near_duplicates, op10_toxicity, op11_ranked_search, op12_integer_codes, op13_fingerprints,
 )}
 
 
@@ -72,4 +87,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_frequency": quality.ORACLE, "op7_chat_snapshots": chat.ORACLE}
+    return {
+        "op1_line_frequency": quality.ORACLE, "op7_chat_snapshots": chat.ORACLE, "op11_ranked_search": search.ORACLE,
+        "op12_integer_codes": codes.ORACLE,
+    }
