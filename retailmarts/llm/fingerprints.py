@@ -173,7 +173,7 @@ def _ranged(texts: DataFrame, limits: list[int], nameless: int) -> DataFrame:
     frequent = sorted({a for a, b in zip(limits, limits[1:]) if a == b})
     rows = texts.withColumn("copies", F.lit(1).cast("long"))
     if frequent or nameless:
-        often = F.coalesce(F.col("doc_id").isin(frequent), F.lit(True))
+        often = F.col("doc_id").isNull() | F.coalesce(F.col("doc_id").isin(frequent), F.lit(False))
         joined = texts.where(often).groupBy("doc_id", "h1", "h2").agg(
             F.min("text").alias("text"), F.count("*").alias("copies")
         )
