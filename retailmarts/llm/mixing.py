@@ -149,19 +149,20 @@ def mix(docs: DataFrame, scratch: Scratch, seed: int = SEED) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, text, size, source_size, target, taken, ``parts`` (for
     each pass the word ranges that the mix takes) and ``extra``, a struct of all other columns.
 
-    ``docs`` has doc_id, source and text, or instead of text its number of words as ``size``.  A null or
-    blank text has size 0 and gives nothing.  A null source is a source, the last one.  Equal rows count as
-    separate documents and change places freely; a null doc_id is allowed; an empty table stays empty; other
-    columns may have any name.
+    ``docs`` has doc_id, source and text, or instead of text its number of words as ``size`` and a hash of it
+    as ``mark``.  A null or blank text has size 0 and gives nothing.  A null source is a source, the last one.
+    Rows that share doc_id and source are ordered by their texts; equal rows count as separate documents
+    and change places freely; a null doc_id is allowed; an empty table stays empty; other columns may have any
+    name.
     """
     own = [c for c in ("doc_id", "source", "text") if c in docs.columns]
     size = word_count("text") if "text" in own else F.col("size")
-    other = [c for c in docs.columns if c not in own and ("text" in own or c != "size")]
+    other = [c for c in docs.columns if c not in own and ("text" in own or c not in ("size", "mark"))]
     extra = F.struct(*[F.col(f"`{c}`") for c in other]) if other else F.lit(None).cast("string")
     sized = docs.select(*own, extra.alias("extra"), size.alias("_size"), F.xxhash64(
-        F.lit(seed), *[F.col(c) for c in ("doc_id", "text") if c in own]
+        F.lit(seed), *[F.col(c) for c in ("doc_id", "text" if "text" in own else "mark") if c in docs.columns]
     ).alias("_key"))
-    order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id")]
+    order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id"), F.col("_size")]
     placed = running_sums(sized, order, {"_from": "_size"}, scratch)
     sources = plan_sources(placed.select("source", "_size"), scratch, seed)
     located = placed.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumns({

@@ -439,12 +439,13 @@ def keep_one(docs: DataFrame, scratch: Scratch, limit: int = 85) -> DataFrame:
             F.col("text_hash").alias("__hash"),
         ).agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).where("k < n")
     )
-    marked = docs.withColumns({
-        "__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull(),
-        "__hash": F.xxhash64(F.col("text").cast("string")),
-    })
+    marked = docs.select(  # the document as one value, whatever its columns are called
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__none"),
+        F.xxhash64(F.col("text").cast("string")).alias("__hash"),
+    )
     left = marked.join(groups.select(*key), key, "left_anti")
     trimmed = groups.where("k > 0").select(*key)
     if trimmed.limit(1).count():
         left = left.unionByName(marked.join(trimmed, key, "left_semi").dropDuplicates(key))
-    return left.select(*docs.columns)
+    return left.select("doc.*")

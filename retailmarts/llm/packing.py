@@ -20,12 +20,13 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from retailmarts.llm.common import Scratch, partition_starts
 
 WINDOW = 2048
 END = 1
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json").removesuffix(".json")
 #: Units kept per Python worker, about 100 MB; when full, the table starts afresh.
 CACHED = 300_000
 
@@ -35,18 +36,23 @@ class Units(dict):
 
     The pattern of the vocabulary never joins a character that is no white space to white space after
     it, so text cut there gives the same ids piece by piece; invented and rare words are encoded once.
-    The file holds the vocabulary of ``byte_bpe_50k.json`` (the tests compare the ids)."""
+    ``vocabulary`` names two files of one vocabulary: ``.json`` says what the ids are and encodes texts that
+    hold one of its special tokens; ``.tiktoken`` encodes all others (the tests compare the ids)."""
 
     def __init__(self, vocabulary: str):
         ranks = {
             base64.b64decode(a): int(b)
-            for a, b in (line.split() for line in open(vocabulary, "rb"))
+            for a, b in (line.split() for line in open(f"{vocabulary}.tiktoken", "rb"))
         }
         self.coder = tiktoken.Encoding(
             "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
+        self.tokenizer = Tokenizer.from_file(f"{vocabulary}.json")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
+        if any(t in text for t in self.special):
+            return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return array("H", self.coder.encode_ordinary(text)).tobytes()
 
     def __missing__(self, word: str) -> bytes:
@@ -58,7 +64,7 @@ class Units(dict):
     def encode(self, text: str) -> bytes:
         words = text.split(" ")
         # A blank after white space belongs to a run, whose cut depends on its length: no shortcut.
-        if any(not w or w[-1].isspace() for w in words[:-1]) or not words[-1]:
+        if any(t in text for t in self.special) or any(not w or w[-1].isspace() for w in words[:-1]) or not words[-1]:
             return self.whole(text)
         return self.whole(words[0]) + b"".join([self[w] for w in words[1:]])
 
@@ -132,8 +138,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents in sequences of ``window`` ids; only the last sequence is shorter.
 
-    A document is its ids and one end mark.  A null or empty text is the end mark alone; strings that
-    look like special tokens are plain text; repeated rows are packed as often as they occur; a null
+    A document is its ids and one end mark.  A null or empty text is the end mark alone; special tokens of the
+    vocabulary inside a text have their own ids; repeated rows are packed as often as they occur; a null
     doc_id is kept; an empty table gives no piece; other columns are ignored.  ``boundary`` marks the
     pieces of a document that a boundary cut, ``ids`` holds a piece's ids.
     """

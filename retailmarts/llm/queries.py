@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retailmarts.llm import (
     chat, codes, ctw, fingerprints, language, mixing, neardup, packing, quality, search, toxicity, vectors, wrappers,
@@ -35,11 +36,14 @@ def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"), Scratch(spark, "vectors")).drop("row")
+    found = vectors.near_duplicates(read(spark, sf_dir, "embeddings"), Scratch(spark, "vectors")).drop("row")
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", word_count("text").alias("size"))
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("mark")
+    )
     mixed = mixing.mix(docs, Scratch(spark, "mix"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
@@ -55,7 +59,8 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return neardup.near_duplicates(docs, Scratch(spark, "neardup")).drop("row", "text_hash")
+    found = neardup.near_duplicates(docs, Scratch(spark, "neardup")).drop("row", "text_hash")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

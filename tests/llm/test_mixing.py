@@ -100,3 +100,24 @@ def test_empty(documents, scratch):
     docs = documents([])
     mixed = mixing.mix(docs, scratch)
     assert mixed.count() == 0 and mixing.mixed_texts(mixed, docs.columns).count() == 0
+
+
+def test_rows_that_share_an_id_are_mixed_alike_in_any_layout(spark):
+    from pyspark.sql import functions as F
+
+    from retailmarts.llm.common import Scratch, word_count
+
+    rows = [(i % 300 if i < 300 else 7, f"w{i} " * (i % 23), "s") for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING").union(
+        spark.createDataFrame([(1, "x " * 400, "t")], "doc_id BIGINT, text STRING, source STRING"))
+
+    def taken(docs, whole):
+        if not whole:
+            docs = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("mark"), "text")
+            docs = docs.withColumnRenamed("text", "told")
+        told = mixing.mix(docs, Scratch(spark, "test")).select("doc_id", "text" if whole else "extra.told", "taken")
+        return sorted(map(tuple, told.collect()))
+
+    for whole in (True, False):
+        once = taken(table.coalesce(1), whole)
+        assert once == taken(table.orderBy(F.rand(3)).repartition(5), whole)

@@ -11,7 +11,6 @@ from retailmarts.llm.queries import op5_packing
 from tests.conftest import SF
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
 
 
 def ids(text):
@@ -20,7 +19,7 @@ def ids(text):
 
 TEXTS = [
     "a b", " a", "a ", "a  b", "a   b", "a\n b", "a\n  b", "a \n b", "\n", "", "it's 12,5% x y", "  z", "é  ü",
-    "\t\ta", "a\t b", "don't  stop", "<|endoftext|> x", "日本 語", "a\r\nb", "x " * 50, "\u0085 q", "q  r",
+    "\t\ta", "a\t b", "don't  stop", "<|endoftext|> x", "a<|endoftext|>b", "a <|endoftext|>", "日本 語", "a\r\nb", "x " * 50, "\u0085 q", "q  r",
 ]
 
 
