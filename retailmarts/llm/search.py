@@ -1,7 +1,7 @@
 """Ranked lexical search: K2-treaps over the grid of terms and documents.
 
 Documents are indexed in shards of bounded size.  A shard's grid has a row per term (frequent ones first) and
-a column per document; a cell holds the impact of the term on the document, without the term's weight.
+a column per document (those with the same frequent terms side by side); a cell holds the impact of the term on the document, without the term's weight.
 The grid is a quadtree, level by level: each node has a mask of its four quarters and the greatest impact in
 it; a quarter with a single cell is a leaf and ends there.
 
@@ -30,8 +30,11 @@ from retailmarts.llm.common import Scratch, running_sums
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Results of an item.
 BEST = 50
-#: Cells of a shard's grid (a longer document is a shard alone), and bytes of text looked at at once.
-CELLS = 1 << 20
+#: Cells of a shard's grid (a longer document is a shard alone), documents at most, frequent terms by which
+#: documents are put in order, and bytes of text looked at at once.
+CELLS = 1 << 18
+DOCUMENTS = 1 << 16
+SIGNS = 32
 CHUNK = 1 << 20
 #: Bytes of terms of the items that are searched for in one pass.
 ITEM_BYTES = 4 << 20
@@ -105,7 +108,7 @@ def build(row: np.ndarray, column: np.ndarray, value: np.ndarray) -> dict:
     return {
         "height": height, "starts": starts, "mask": np.concatenate(masks),
         "top": np.concatenate(tops).astype(np.int32), "child": np.concatenate(children).astype(np.int32),
-        "row": row[order].astype(np.int32), "column": column[order].astype(np.int32),
+        "row": row[order].astype(np.int32), "column": column[order].astype(np.uint16),
     }
 
 
@@ -113,7 +116,7 @@ _ONES = np.array([bin(x).count("1") for x in range(16)], np.int64)
 
 
 class Tree:
-    """One shard's tree.  A node is a number; -1 is nothing, and -2 - c stands for the single cell c.
+    """One shard's tree.  A node is a number; -2 - c stands for the single cell c, -1 for nothing.
 
     A leaf's greatest value is that of its cell."""
 
@@ -122,6 +125,8 @@ class Tree:
         leaf = np.flatnonzero(mask == 0)
         self.value = np.empty(len(row), np.int64)
         self.value[child[leaf]] = top[leaf]
+        #: The level at which one range holds all documents.
+        self.first = height - max(int(column.max()).bit_length(), 1)
 
     def _single(self, nodes: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Leaves as their cells, or as nothing where the cell is in another row."""
@@ -130,67 +135,99 @@ class Tree:
         cell = np.where(leaf, self.child[at], 0)
         return np.where(leaf, np.where(self.row[cell] == rows, -2 - cell, -1), nodes)
 
-    def roots(self, rows: np.ndarray) -> np.ndarray:
-        return self._single(np.zeros((1, len(rows)), np.int64), rows)
-
-    def halves(self, nodes: np.ndarray, rows: np.ndarray, level: int) -> np.ndarray:
-        """Nodes (ranges x rows) of ``level`` → those of the left and the right half of each range."""
+    def half(self, nodes: np.ndarray, rows: np.ndarray, level: int, right: int) -> np.ndarray:
+        """Nodes of ``level`` on the paths of their rows → those of the left or right half of the range."""
         bit = self.height - level - 1
-        lower = 2 * ((rows >> bit) & 1)
-        inner, cell = nodes >= 0, np.where(nodes < -1, -2 - nodes, 0)
-        at = np.where(inner, nodes, 0)
-        mask, side = self.mask[at].astype(np.int64), (self.column[cell] >> bit) & 1
-        out = []
-        for half in (0, 1):
-            quarter = lower + half
-            there = inner & ((mask >> quarter) & 1 > 0)
-            child = np.where(there, self.child[at] + _ONES[mask & ((1 << quarter) - 1)], -1)
-            child = self._single(child, rows)
-            out.append(np.where(inner, child, np.where((nodes < -1) & (side == half), nodes, -1)))
-        return np.concatenate(out)
-
-    def bounds(self, nodes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        top = np.where(nodes >= 0, self.top[np.maximum(nodes, 0)], 0)
-        top = np.where(nodes < -1, self.value[np.where(nodes < -1, -2 - nodes, 0)], top)
-        return top @ weights
-
-
-def best_documents(tree: Tree, rows: np.ndarray, weights: np.ndarray, floor: int, best: int = BEST) -> tuple[np.ndarray, np.ndarray]:
-    """Columns and scores of at least the ``best`` highest scores of ``floor`` and more, ties included."""
-    found_at, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        inner = nodes >= 0
+        at, cell = np.where(inner, nodes, 0), np.where(nodes < -1, -2 - nodes, 0)
+        mask, quarter = self.mask[at], 2 * ((rows >> bit) & 1) + right
+        there = inner & ((mask >> quarter) & 1 > 0)
+        child = np.where(there, self.child[at] + _ONES[mask & ((1 << quarter) - 1)], -1)
+        same = (nodes < -1) & ((self.column[cell] >> bit) & 1 == right)
+        return np.where(same, nodes, self._single(child, rows))
+
+    def starts(self, rows: np.ndarray) -> np.ndarray:
+        """The nodes of the rows' paths at the level ``first``."""
+        nodes = self._single(np.zeros(len(rows), np.int64), rows)
+        for level in range(self.first):
+            nodes = self.half(nodes, rows, level, 0)
+        return nodes
+
+    def tops(self, nodes: np.ndarray) -> np.ndarray:
+        inner = nodes >= 0
+        return np.where(inner, self.top[np.where(inner, nodes, 0)], self.value[np.where(nodes < -1, -2 - nodes, 0)])
+
+
+class _Ranges:
+    """Ranges of one level: their bounds and starts, and for each the rows that have something in it.
+
+    ``owner`` numbers the range of each (row, node), ascending."""
+
+    def __init__(self, bound, start, owner, row, weight, node):
+        self.bound, self.start, self.owner, self.row, self.weight, self.node = bound, start, owner, row, weight, node
+
+    @classmethod
+    def of(cls, tree: Tree, start, owner, row, weight, node):
+        """Ranges with what is in them; those without anything are left out."""
+        there = node != -1
+        owner, row, weight, node = owner[there], row[there], weight[there], node[there]
+        new = np.ones(len(owner), bool)
+        new[1:] = owner[1:] != owner[:-1]
+        first = np.flatnonzero(new)
+        bound = np.add.reduceat(weight * tree.tops(node), first) if len(first) else np.zeros(0, np.int64)
+        return cls(bound, start[owner[first]], np.cumsum(new) - 1, row, weight, node)
+
+    def pick(self, chosen: np.ndarray) -> "_Ranges":
+        """The ranges marked in ``chosen``."""
+        entry, number = chosen[self.owner], np.cumsum(chosen) - 1
+        return _Ranges(
+            self.bound[chosen], self.start[chosen], number[self.owner[entry]], self.row[entry], self.weight[entry],
+            self.node[entry],
+        )
+
+    def plus(self, more: "_Ranges") -> "_Ranges":
+        join = lambda name: np.concatenate([getattr(self, name), getattr(more, name)])
+        owner = np.concatenate([self.owner, more.owner + len(self.bound)])
+        return _Ranges(join("bound"), join("start"), owner, join("row"), join("weight"), join("node"))
+
+    def halves(self, tree: Tree, level: int) -> "_Ranges":
+        left, right = (tree.half(self.node, self.row, level, side) for side in (0, 1))
+        start = np.concatenate([2 * self.start, 2 * self.start + 1])
+        owner = np.concatenate([self.owner, self.owner + len(self.start)])
+        return _Ranges.of(tree, start, owner, np.tile(self.row, 2), np.tile(self.weight, 2), np.concatenate([left, right]))
+
+
+def best_documents(
+    tree: Tree, rows: np.ndarray, nodes: np.ndarray, weights: np.ndarray, floor: int, best: int = BEST
+) -> tuple[np.ndarray, np.ndarray]:
+    """Columns and scores of at least the ``best`` highest scores of ``floor`` and more, ties included.
+
+    ``nodes`` are the rows' nodes where the search starts (``Tree.starts``)."""
     known = np.zeros(0, np.int64)
-    nodes = tree.roots(rows)
-    bound = tree.bounds(nodes, weights)
-    open_ranges: dict[int, tuple] = {0: (bound, np.zeros(1, np.int64), nodes)}
-    while open_ranges:
-        level = max(open_ranges, key=lambda k: (open_ranges[k][0].max(initial=-1), k))
-        bound, start, nodes = open_ranges.pop(level)
-        alive = bound >= floor
-        bound, start, nodes = bound[alive], start[alive], nodes[alive]
-        if not len(bound):
+    found_at, found = [known], [known]
+    none = np.zeros(len(rows), np.int64)
+    waiting = {tree.first: _Ranges.of(tree, np.zeros(1, np.int64), none, rows, weights, nodes)}
+    while waiting:
+        level = max(waiting, key=lambda k: (waiting[k].bound.max(initial=-1), k))
+        ranges = waiting.pop(level)
+        chosen = ranges.bound >= floor
+        if not chosen.any():
             continue
-        if len(bound) > STEP:
-            order = np.argpartition(-bound, STEP)
-            rest, order = order[STEP:], order[:STEP]
-            open_ranges[level] = (bound[rest], start[rest], nodes[rest])
-            start, nodes = start[order], nodes[order]
-        nodes = tree.halves(nodes, rows, level)
-        start = np.concatenate([2 * start, 2 * start + 1])
-        bound = tree.bounds(nodes, weights)
-        alive = bound >= floor
-        bound, start, nodes = bound[alive], start[alive], nodes[alive]
+        if np.count_nonzero(chosen) > STEP:
+            least = np.partition(ranges.bound, len(chosen) - STEP)[-STEP]
+            later, chosen = chosen & (ranges.bound < least), ranges.bound >= least
+            waiting[level] = ranges.pick(later)
+        ranges = ranges.pick(chosen).halves(tree, level)
+        ranges = ranges.pick(ranges.bound >= floor)
         if level + 1 == tree.height:
-            found_at.append(start)
-            found.append(bound)
-            known = np.concatenate([known, bound])
+            found_at.append(ranges.start)
+            found.append(ranges.bound)
+            known = np.concatenate([known, ranges.bound])
             if len(known) >= best:
                 known = np.partition(known, len(known) - best)[-best:]
                 floor = max(floor, int(known.min()))
-        elif len(bound):
-            if level + 1 in open_ranges:
-                old = open_ranges[level + 1]
-                bound, start, nodes = (np.concatenate(pair) for pair in zip(old, (bound, start, nodes)))
-            open_ranges[level + 1] = (bound, start, nodes)
+        elif len(ranges.bound):
+            waiting[level + 1] = waiting[level + 1].plus(ranges) if level + 1 in waiting else ranges
     columns, scores = np.concatenate(found_at), np.concatenate(found)
     return columns[scores >= floor], scores[scores >= floor]
 
@@ -231,11 +268,16 @@ class _Shard:
         order = np.argsort(-df, kind="stable")  # frequent terms are neighbours
         rank = np.empty_like(order)
         rank[order] = np.arange(len(order))
+        sign, often = np.zeros(len(self.docs), np.int64), rank[row] < SIGNS
+        np.bitwise_or.at(sign, column[often], 1 << (SIGNS - 1 - rank[row][often]))
+        ordered = np.argsort(sign, kind="stable")
+        place = np.empty_like(ordered)
+        place[ordered] = np.arange(len(ordered))
         norm = np.array([50 + (50 * n * documents) // length for n in self.lengths], np.int64)
-        tree = build(rank[row], column, (1_000_000_000 * tf) // (1000 * tf + 20 * norm[column]))
+        tree = build(rank[row], place[column], (1_000_000_000 * tf) // (1000 * tf + 20 * norm[column]))
         words = list(self.numbers)
         return pa.RecordBatch.from_pydict({
-            "docs": [self.docs], "terms": [b" ".join([words[i] for i in order])],
+            "docs": [[self.docs[i] for i in ordered]], "terms": [b" ".join([words[i] for i in order])],
             "df": [df[order].astype(np.int32).tobytes()], "height": [tree["height"]],
             **{n: [tree[n].tobytes()] for n in ("mask", "top", "child", "row", "column")},
         }, schema=_INDEX)
@@ -248,7 +290,7 @@ def _indexer(documents: int, length: int, cells: int):
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 found = terms(text.as_py())
                 if found:
-                    if shard.cells and shard.cells + len(found) > cells:
+                    if shard.cells and (shard.cells + len(found) > cells or len(shard.docs) == DOCUMENTS):
                         yield shard.index(documents, length)
                         shard = _Shard()
                     shard.add(doc_id, found)
@@ -314,16 +356,16 @@ def _searcher(wanted: list[bytes], weights: np.ndarray, items: dict[int, np.ndar
                 get = lambda name, kind: np.frombuffer(batch[name][i].as_py(), kind)  # noqa: E731, B023
                 tree = Tree(
                     batch["height"][i].as_py(), get("mask", np.uint8), get("top", np.int32), get("child", np.int32),
-                    get("row", np.int32), get("column", np.int32),
+                    get("row", np.int32), get("column", np.uint16),
                 )
-                docs = batch["docs"][i].as_py()
+                docs, here = batch["docs"][i].as_py(), np.flatnonzero(rows >= 0)
+                nodes = np.full(len(rows), -1, np.int64)
+                nodes[here] = tree.starts(rows[here])
                 for number, numbers in items.items():
-                    there = numbers[rows[numbers] >= 0]
-                    if not len(there):
-                        continue
+                    there = numbers[nodes[numbers] != -1]
                     held = top[number]
                     floor = held[-1][0] if len(held) >= best else 1
-                    columns, scores = best_documents(tree, rows[there], weights[there], floor, best)
+                    columns, scores = best_documents(tree, rows[there], nodes[there], weights[there], floor, best)
                     held.extend((int(s), docs[c]) for c, s in zip(columns, scores))
                     held.sort(key=order)
                     del held[best:]

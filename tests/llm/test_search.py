@@ -67,7 +67,7 @@ def test_tree_finds_what_all_cells_give(seed, monkeypatch):
     asked = rng.permutation(rows)[: int(rng.integers(1, rows + 1))]
     weights = rng.integers(0, 4, len(asked))
     for floor_, best in ((1, 5), (1, 1000), (20, 3)):
-        at, scores = search.best_documents(tree, asked, weights, floor_, best)
+        at, scores = search.best_documents(tree, asked, tree.starts(asked), weights, floor_, best)
         want = weights @ grid[asked]
         least = max(floor_, *np.sort(want)[::-1][best - 1: best].tolist(), floor_)
         assert dict(zip(at.tolist(), scores.tolist())) == {c: int(w) for c, w in enumerate(want) if w >= least}
