@@ -140,6 +140,13 @@ def _raw_load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.load_raw(spark, base, "orders", f"{base}/orders.csv").select(names)
 
 
+def _raw_load_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A strict load of records whose messages span lines."""
+    base = shared_dir(spark, "rawload")
+    layers.write_quoted_csv(R.told_reviews(spark, sf_dir), f"{base}/reviews.csv")
+    return load.load_raw(spark, base, "reviews", f"{base}/reviews.csv")
+
+
 def _raw_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = {
         t: raw.check_load(_records(spark, sf_dir, t), t).where("NOT _bad") for t in RAW
@@ -186,6 +193,7 @@ def queries() -> dict[str, Query]:
         stream_ingest_items=_stream_ingest("order_items"),
         stream_ingest_geolocation=_stream_ingest("geolocation"),
         raw_load_orders=_raw_load_orders,
+        raw_load_reviews=_raw_load_reviews,
     )
 
     on(

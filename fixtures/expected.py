@@ -278,6 +278,11 @@ EXPECTED: dict[str, str] = {
     "dq_report": f"""
         SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
         FROM ({_tests('not_null', 'unique', 'accepted_values')}) t""",
+    "raw_load_reviews": """
+        SELECT review_id, order_id, review_score, nullif(review_comment_title, '') AS review_comment_title,
+               nullif(replace(text, chr(13) || chr(10), chr(10)), '') AS review_comment_message,
+               review_creation_date, review_answer_timestamp
+        FROM raw_reviews JOIN (SELECT doc_id AS row_no, text FROM documents) d USING (row_no)""",
     "reviews_stats": f"""
         SELECT {countif("outcome <> 'skipped'")} AS total_output,
                {countif("outcome = 'already_good'")} AS already_good,

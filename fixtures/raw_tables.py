@@ -149,8 +149,11 @@ def _category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews as their author wrote them, before any damage."""
+_ONE_LINE = "translate(text, '\\t\\n\\u000b\\u000c\\r\"', '      ')"
+
+
+def _reviews(spark: SparkSession, sf_dir: str, message: str = _ONE_LINE) -> DataFrame:
+    """Reviews before any damage, by default with messages of one line."""
 
     def at(seconds: str) -> str:
         return f"date_format(timestamp_seconds(1514764800 + {seconds}), 'yyyy-MM-dd HH:mm:ss')"
@@ -160,7 +163,7 @@ def _reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_id=_id("doc_id"),
         review_score="string(doc_id % 5 + 1)",
         review_comment_title="source",
-        review_comment_message="translate(text, '\\t\\n\\u000b\\u000c\\r\"', '      ')",
+        review_comment_message=message,
         review_creation_date=at("doc_id * 3600"),
         review_answer_timestamp=at("doc_id * 3600 + 86400"),
         _row="doc_id",
@@ -220,6 +223,11 @@ def damaged_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _MAPPINGS[table](spark, sf_dir).select(as_text).select(fields).select(columns(line=line))
 
 
+def told_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews as their author wrote them: messages with line breaks, commas and quotes."""
+    return _reviews(spark, sf_dir, "text").select(RAW["reviews"].names)
+
+
 def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews as CSV records: every 4th has an unquoted message, every 10th lacks the answer date,
     every 50th has a broken id."""

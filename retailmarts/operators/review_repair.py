@@ -88,8 +88,8 @@ def check_header(spark: SparkSession, path: str) -> None:
 def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Untyped records of the review file(s) at ``path``.
 
-    A quoted message may hold line breaks, so each file is one task, streamed; land reviews as many
-    files.  Without such line breaks ``multi_line=False`` lets a file split.
+    A quoted message may hold line breaks: lines are put together to records after a shuffle, which
+    ``multi_line=False`` saves where there are none.
     """
     check_header(spark, path)
     return raw.scan(spark, "reviews", path, multi_line)

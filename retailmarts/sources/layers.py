@@ -56,8 +56,9 @@ def write_clustered(
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header and every field quoted, so that no value can shift columns."""
-    df.write.mode("overwrite").options(header=True, quoteAll=True, escape='"', emptyValue="").csv(path)
+    """CSV with a header and every field quoted, so that no value can shift columns; blanks stay."""
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, quoteAll=True, escape='"', emptyValue="", **blanks).csv(path)
     return path
 
 

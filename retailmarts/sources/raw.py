@@ -8,23 +8,17 @@ from pyspark.sql import functions as F
 from retailmarts.functions import columns, once
 from retailmarts.functions import text as X
 from retailmarts.functions.exact import OVERSIZE
+from retailmarts.sources import records as R
 from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
 
 BROKEN = "_broken_record"  # the whole record where its number of fields is wrong, else NULL
 
-_CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "escape": '"'}
 _CONVERT = {TEXT: X.text, WHOLE: X.to_bigint, DECIMAL: X.to_double, INSTANT: X.to_instant}
 
 
-def _untyped(table: str) -> str:
-    return ", ".join(f"{name} string" for name in [*RAW[table].names, BROKEN])
-
-
 # Files are read as whole lines: a column separator and quotes that no line holds.  The reader still drops
 # the header of each file and splits large files into many tasks.
 _LINES = {"sep": "\u0001\u0002\u0001\u0002", "quote": "", "escape": ""}
-# Only for records that span lines, which Spark's tokeniser must find: fields of a record at most.
-_MOST_FIELDS = 10_000_000
 
 
 def scan(
@@ -32,14 +26,13 @@ def scan(
 ) -> DataFrame:
     """All records of the file(s) at ``path`` as untyped fields plus ``_broken_record``.
 
-    The first line of each file is a header.  One line is one record, of any length and number of fields,
-    and files split into many tasks; with ``multi_line`` (by default for reviews) quoted text may hold
-    line breaks, and each file is one task.
+    The first record of each file is a header.  Files split into many tasks, and a record has any length and
+    number of fields.  One line is one record; with ``multi_line`` (by default for reviews) quoted text may
+    hold line breaks, for which the lines are shuffled once.
     """
     multi_line = RAW[table].multi_line if multi_line is None else multi_line
     if multi_line:
-        options = {**_CSV, "header": header, "columnPruning": "false", "multiLine": True, "maxColumns": _MOST_FIELDS}
-        return spark.read.schema(_untyped(table)).options(**options).csv(path)
+        return scan_lines(R.records(R.file_lines(spark, path), header), table)
     lines = spark.read.schema("line string").options(**_LINES, header=header).csv(path)
     return scan_lines(lines, table)
 
