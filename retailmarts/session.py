@@ -39,21 +39,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever it is, if it exists."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def replace(spark: SparkSession, new: str, path: str) -> None:
-    """Put the folder ``new`` in the place of ``path``, whose old content goes."""
-    hadoop, old = spark._jvm.org.apache.hadoop.fs.Path, f"{path}__old"
-    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    remove(spark, old)
-    if files.exists(hadoop(path)) and not files.rename(hadoop(path), hadoop(old)):
-        raise RuntimeError(f"{path} cannot be moved away")
-    if not files.rename(hadoop(new), hadoop(path)):
-        files.rename(hadoop(old), hadoop(path))
-        raise RuntimeError(f"{new} cannot be moved to {path}")
-    remove(spark, old)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmarts.functions import columns
-from retailmarts.session import replace
+from retailmarts.sources import snapshots
 
 DEFAULT_LAYER = "staging"
 MONTH = "order_month"
@@ -26,10 +26,9 @@ def table_path(root: str, layer: str | None, table: str) -> str:
 def write_table(df: DataFrame, root: str, layer: str | None, table: str) -> str:
     """Create or replace a table; running it again gives the same table.
 
-    It is written beside the old one and then takes its place, so a failed write changes nothing."""
+    It becomes the table's next snapshot, so a failed write changes nothing."""
     path = table_path(root, layer, table)
-    df.write.mode("overwrite").parquet(f"{path}__new")
-    replace(df.sparkSession, f"{path}__new", path)
+    snapshots.write(df, path)
     return path
 
 
@@ -49,9 +48,7 @@ def write_clustered(
         df = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM"))
     if keys:
         df = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(MONTH) if month_of else writer).parquet(f"{path}__new")
-    replace(df.sparkSession, f"{path}__new", path)
+    snapshots.write(df, path, [MONTH] if month_of else [])
     return path
 
 
@@ -77,7 +74,10 @@ def publish_view(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, layer: str | None, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, layer, table))
+    """A table as of its last snapshot; a plain folder of files is read as it is."""
+    path = table_path(root, layer, table)
+    found = snapshots.read(spark, path)
+    return spark.read.parquet(path) if found is None else found
 
 
 def between(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
