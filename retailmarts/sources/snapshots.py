@@ -47,6 +47,11 @@ def _files(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _files(spark, path)
+    return files.exists(where)
+
+
 def _list(spark: SparkSession, pattern: str) -> list[str]:
     files, where = _files(spark, pattern)
     return [s.getPath().toString() for s in files.globStatus(where) or []]

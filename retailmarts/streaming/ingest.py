@@ -1,8 +1,10 @@
-"""Files arriving in a landing folder → an append-only table, and its current state.
+"""Files arriving in a landing folder → an append-only log, and the table's current state.
 
 A delivery is what lies under one name in the landing folder: a file, or a folder of part files.  Arrival
 is at least once: files may come again under another name.  The stream's checkpoint and the file sink's
-log make every file count once; ``current`` settles redelivered files and updated keys.
+log make every file count once.  A second stream merges what is new in the log into the state: one row
+per file that came, and the current rows in hash buckets of their keys, of which a batch rewrites those that
+it has keys of.  Both are snapshots that name the batch they include, so a replayed batch changes nothing.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmarts.functions import columns
-from retailmarts.sources import raw
+from retailmarts.sources import raw, snapshots
 from retailmarts.sources.layers import MONTH
 from retailmarts.sources.schemas import DECIMAL, INSTANT, RAW, TEXT, WHOLE
 
@@ -19,6 +21,14 @@ ARRIVED = "arrived_at"
 FILE = "arrived_from"
 DELIVERY = "arrived_with"
 
+# The state: rows with the time of their delivery and their bucket; rows without a key are in bucket -1.
+WHEN = "delivered_at"
+BUCKET = "key_bucket"
+#: Buckets of a new state.  One is rewritten as a whole: let it have about a gigabyte.
+BUCKETS = 32
+#: Files that a bucket is written as, so that no single task writes a hot key.
+_SPREAD = 4
+
 _STORED = {TEXT: "string", WHOLE: "bigint", DECIMAL: "double", INSTANT: "timestamp"}
 
 
@@ -33,11 +43,13 @@ def _delivery(spark: SparkSession, landing: str) -> str:
 
 def ingest(
     spark: SparkSession, table: str, landing: str, target: str, checkpoint: str, header: bool = True,
-    files_per_batch: int = 10_000,
+    files_per_batch: int = 10_000, buckets: int = BUCKETS,
 ) -> None:
-    """Parse all files that are new since the last run and append them to ``target``.
+    """Parse all files that are new since the last run, append them to the log ``target`` and bring the
+    state up to date.
 
-    A backlog is worked off in batches of files, so that a lost batch costs little.
+    A backlog is worked off in batches of files, so that a lost batch costs little.  ``buckets`` counts when
+    a state is first written.
     """
     spec = RAW[table]
     origin = (
@@ -57,24 +69,51 @@ def ingest(
         .start()
         .awaitTermination()
     )
+    if snapshots.exists(spark, target):
+        settle(spark, table, target, f"{checkpoint}__state", buckets)
 
 
-def _arrived(spark: SparkSession, table: str, target: str) -> DataFrame:
-    """All rows that came.  In tables written before deliveries were noted, each file is one."""
+def settle(spark: SparkSession, table: str, target: str, checkpoint: str, buckets: int = BUCKETS) -> None:
+    """Merge what is new in the log into the state."""
+    log = spark.readStream.schema(_log_schema(table)).parquet(target)
+    (
+        log.writeStream
+        .foreachBatch(lambda batch, n: merge(table, target, batch, n, buckets))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def _log_schema(table: str) -> str:
     stored = {n: _STORED[t] for n, t in RAW[table].columns.items()}
     stored |= {ARRIVED: "timestamp", FILE: "string", DELIVERY: "string"}
-    rows = spark.read.schema(", ".join(f"{n} {t}" for n, t in stored.items())).parquet(target)
-    return rows.withColumn(DELIVERY, F.coalesce(DELIVERY, FILE))
+    return ", ".join(f"{n} {t}" for n, t in stored.items())
 
 
-def _files(arrived: DataFrame, content: str) -> DataFrame:
-    """One row per file: when its delivery came, and the first and the last delivery before it with a file of
-    this content.  Equal files of one delivery are compared with as many of another."""
-    files = arrived.groupBy(DELIVERY, FILE).agg(*columns(
+def _arrived(spark: SparkSession, table: str, target: str) -> DataFrame:
+    """All rows that came.  In tables written before deliveries were noted, each file is one."""
+    return _whole(spark.read.schema(_log_schema(table)).parquet(target), table)
+
+
+def _whole(rows: DataFrame, table: str) -> DataFrame:
+    return rows.select(*RAW[table].names, ARRIVED, FILE, F.coalesce(DELIVERY, FILE).alias(DELIVERY))
+
+
+def _contents(arrived: DataFrame, table: str) -> DataFrame:
+    """One row per file: when it came, its number of rows and two sums of their hashes."""
+    content = f"struct({', '.join(RAW[table].names)})"
+    return arrived.groupBy(DELIVERY, FILE).agg(*columns(
         _at=f"min({ARRIVED})", _rows="count(*)", _a=f"bit_xor(xxhash64({content}))",
         _b=f"sum(pmod(xxhash64('b', {content}), 4294967296L))",
     ))
-    timed = files.select("*", *columns(
+
+
+def _files(contents: DataFrame) -> DataFrame:
+    """The files with the time of their delivery, and the first and the last delivery before it with a file of
+    this content.  Equal files of one delivery are compared with as many of another."""
+    timed = contents.select("*", *columns(
         _when=f"min(_at) OVER (PARTITION BY {DELIVERY})",
         _copy=f"row_number() OVER (PARTITION BY {DELIVERY}, _rows, _a, _b ORDER BY {FILE})",
     ))
@@ -97,24 +136,109 @@ def _deliveries(files: DataFrame) -> DataFrame:
     )
 
 
+def _known(table: str) -> str:
+    """Whether a row has its key."""
+    return " AND ".join([f"coalesce(string({k}), '') <> ''" for k in RAW[table].key] or ["false"])
+
+
+def _latest(keyed: DataFrame, table: str) -> DataFrame:
+    """Of each key the rows of the last delivery that has it."""
+    key = RAW[table].key
+    last = keyed.groupBy(*key).agg(*columns(_last=f"max(struct({WHEN}, {DELIVERY}))"))
+    latest = last.selectExpr(*key, f"_last.{DELIVERY} AS {DELIVERY}")
+    return keyed.join(latest, [*key, DELIVERY], "left_semi")
+
+
+def _counting(arrived: DataFrame, files: DataFrame, table: str) -> tuple[DataFrame | None, DataFrame]:
+    """The rows of ``arrived`` that can count, given all ``files`` so far: those with a key (None if the table
+    has none), with the time of their delivery, and those without."""
+    deliveries = _deliveries(files)
+    timed = deliveries.select(DELIVERY, F.col("_when").alias(WHEN), "_part", "_again")
+    new = files.where("_new").join(timed.where("NOT _again"), DELIVERY).select(DELIVERY, FILE, WHEN)
+    rest = arrived.where(f"NOT ({_known(table)})").join(new, [DELIVERY, FILE])
+    if not RAW[table].key:
+        return None, rest
+    return arrived.where(_known(table)).join(timed.where("NOT _part").select(DELIVERY, WHEN), DELIVERY), rest
+
+
+def _bucketed(rows: DataFrame, table: str, buckets: int | None) -> DataFrame:
+    """Rows as the state keeps them, dealt by bucket; None for rows without a key."""
+    bucket = F.lit(-1) if buckets is None else F.pmod(F.xxhash64(*RAW[table].key), F.lit(buckets)).cast("int")
+    kept = rows.select(*RAW[table].names, FILE, DELIVERY, WHEN, bucket.alias(BUCKET))
+    return kept.repartition(BUCKET, F.pmod(F.xxhash64(*kept.columns), F.lit(_SPREAD)))
+
+
+def _paths(target: str) -> tuple[str, str]:
+    return f"{target}__files", f"{target}__state"
+
+
+def merge(table: str, target: str, batch: DataFrame, number: int, buckets: int = BUCKETS) -> None:
+    """Bring the state up to batch ``number`` of the log; one that it includes already changes nothing.
+
+    Rows of a key that the batch has are compared with those of its bucket alone.  That settles all, unless
+    a file came late: where it changes the time or the standing of an earlier delivery, or of its files, the
+    state is derived from the whole log again.
+    """
+    spark, (files_at, state_at) = batch.sparkSession, _paths(target)
+    state = snapshots.snapshot(spark, state_at)
+    if state and state.notes["batch"] >= number:
+        return
+    buckets = state.notes["buckets"] if state else buckets
+    arrived = _whole(batch, table)
+    came = _contents(arrived, table)
+    before = snapshots.read(spark, files_at, number=state.notes["files"]) if state else None
+    if before is not None:
+        came = before.unionByName(came).groupBy(DELIVERY, FILE).agg(*columns(
+            _at="min(_at)", _rows="sum(_rows)", _a="bit_xor(_a)", _b="sum(_b)",
+        ))
+    written = snapshots.write(came, files_at, keep=None)
+    files = _files(snapshots.read(spark, files_at, number=written.number))
+    whole = before is None or _moved(_files(before), files)
+    if whole:  # of the log only what the files table has: later batches come later
+        arrived = _arrived(spark, table, target).join(files.select(DELIVERY, FILE), [DELIVERY, FILE], "left_semi")
+    keyed, rest = _counting(arrived, files, table)
+    notes = {"batch": number, "buckets": buckets, "files": written.number}
+    bare = snapshots.partition(**{BUCKET: -1})
+    rows, touched = _bucketed(rest, table, None), []
+    if keyed is not None:
+        dealt = _bucketed(keyed, table, buckets)
+        if not whole:
+            touched = [
+                snapshots.partition(**{BUCKET: r[0]}) for r in dealt.select(BUCKET).distinct().collect()  # buckets at most
+            ]
+            dealt = dealt.unionByName(snapshots.read(spark, state_at, touched))
+        rows = rows.unionByName(_bucketed(_latest(dealt, table), table, buckets))
+    if whole:
+        snapshots.write(rows, state_at, [BUCKET], notes=notes)
+    else:
+        snapshots.write(rows, state_at, [BUCKET], touched=touched, add=[bare], notes=notes)
+    snapshots.expire(spark, files_at)
+
+
+def _moved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether what was known of the earlier files and deliveries has changed."""
+    told = [DELIVERY, FILE, "_at", "_rows", "_a", "_b", "_when", "_new"]
+    if before.select(told).exceptAll(after.select(told)).head(1):
+        return True
+    return bool(_deliveries(before).select(DELIVERY, "_when", "_again", "_part").exceptAll(
+        _deliveries(after).select(DELIVERY, "_when", "_again", "_part")
+    ).head(1))
+
+
 def current(spark: SparkSession, table: str, target: str) -> DataFrame:
     """What the arrived files say by now.
 
     A key's rows are those of the last delivery that has it, all of them, whatever files they are in: a key
     need not be unique.  A delivery of nothing but some files of an earlier one updates no key.  Rows with a
     NULL or blank key, and those of a table without one, stay as often as they came, but for files and
-    deliveries that repeat the content of an earlier delivery's.
+    deliveries that repeat the content of an earlier delivery's.  The state is read as it is; a log without
+    one is settled on the way.
     """
-    spec = RAW[table]
+    names = RAW[table].names
+    settled = snapshots.read(spark, _paths(target)[1])
+    if settled is not None:
+        return settled.select(names)
     arrived = _arrived(spark, table, target)
-    known = " AND ".join([f"coalesce(string({k}), '') <> ''" for k in spec.key] or ["false"])
-    files = _files(arrived, f"struct({', '.join(spec.names)})")
-    deliveries = _deliveries(files)
-    new = files.where("_new").join(deliveries.where("NOT _again"), DELIVERY, "left_semi").select(FILE)
-    rest = arrived.where(f"NOT ({known})").join(new, FILE, "left_semi").select(spec.names)
-    if not spec.key:
-        return rest
-    keyed = arrived.where(known).join(deliveries.where("NOT _part").select(DELIVERY, "_when"), DELIVERY)
-    last = keyed.groupBy(*spec.key).agg(*columns(_last=f"max(struct(_when, {DELIVERY}))"))
-    latest = last.selectExpr(*spec.key, f"_last.{DELIVERY} AS {DELIVERY}")
-    return keyed.join(latest, [*spec.key, DELIVERY], "left_semi").select(spec.names).unionByName(rest)
+    keyed, rest = _counting(arrived, _files(_contents(arrived, table)), table)
+    rest = rest.select(names)
+    return rest if keyed is None else _latest(keyed, table).select(names).unionByName(rest)
