@@ -6,9 +6,10 @@ The grid is a quadtree, level by level: each node has a mask of its four quarter
 it; a quarter with a single cell is a leaf and ends there.
 
 An item is a set of rows.  Their paths descend the tree together over ranges of documents: the bound of
-a range is the sum of the rows' weights times the greatest impact of their nodes there.  Ranges with the
-highest bounds are halved first, until no bound reaches the lowest score of the best found; single documents
-have their exact score as bound.  A task keeps an item's best documents over all its shards.
+a range is the sum of the rows' weights times the greatest impact of their nodes there.  An item's ranges with
+the highest bounds are halved first, until no bound reaches the lowest score of its best found; single
+documents have their exact score as bound.  A task keeps an item's best documents over all its shards.  The
+first shards of all tasks are searched first: their best scores are a floor for the search of all.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ SIGNS = 32
 CHUNK = 1 << 20
 #: Bytes of terms of the items that are searched for in one pass.
 ITEM_BYTES = 4 << 20
-#: Ranges halved in one step, the highest bounds first.
-STEP = 128
+#: Items that descend a tree side by side, and ranges of each that are halved in one step, the highest bounds first.
+ITEMS = 64
+STEP = 32
 #: Groups that an item's results are first ranked in.
 SALTS = 64
 
@@ -135,9 +137,9 @@ class Tree:
         cell = np.where(leaf, self.child[at], 0)
         return np.where(leaf, np.where(self.row[cell] == rows, -2 - cell, -1), nodes)
 
-    def half(self, nodes: np.ndarray, rows: np.ndarray, level: int, right: int) -> np.ndarray:
-        """Nodes of ``level`` on the paths of their rows → those of the left or right half of the range."""
-        bit = self.height - level - 1
+    def half(self, nodes: np.ndarray, rows: np.ndarray, bit, right: int) -> np.ndarray:
+        """Nodes on the paths of their rows → those of the left or right half of their range.  ``bit`` of
+        a row or column tells the halves apart (``height - level - 1`` for nodes of a level)."""
         inner = nodes >= 0
         at, cell = np.where(inner, nodes, 0), np.where(nodes < -1, -2 - nodes, 0)
         mask, quarter = self.mask[at], 2 * ((rows >> bit) & 1) + right
@@ -150,7 +152,7 @@ class Tree:
         """The nodes of the rows' paths at the level ``first``."""
         nodes = self._single(np.zeros(len(rows), np.int64), rows)
         for level in range(self.first):
-            nodes = self.half(nodes, rows, level, 0)
+            nodes = self.half(nodes, rows, self.height - level - 1, 0)
         return nodes
 
     def tops(self, nodes: np.ndarray) -> np.ndarray:
@@ -159,15 +161,15 @@ class Tree:
 
 
 class _Ranges:
-    """Ranges of one level: their bounds and starts, and for each the rows that have something in it.
+    """Ranges of documents that items wait for: item, level, start and bound of each, and for each the rows
+    that have something in it.  ``owner`` numbers the range of each (row, weight, node), ascending."""
 
-    ``owner`` numbers the range of each (row, node), ascending."""
-
-    def __init__(self, bound, start, owner, row, weight, node):
-        self.bound, self.start, self.owner, self.row, self.weight, self.node = bound, start, owner, row, weight, node
+    def __init__(self, item, level, start, bound, owner, row, weight, node):
+        self.item, self.level, self.start, self.bound = item, level, start, bound
+        self.owner, self.row, self.weight, self.node = owner, row, weight, node
 
     @classmethod
-    def of(cls, tree: Tree, start, owner, row, weight, node):
+    def of(cls, tree: Tree, item, level, start, owner, row, weight, node) -> "_Ranges":
         """Ranges with what is in them; those without anything are left out."""
         there = node != -1
         owner, row, weight, node = owner[there], row[there], weight[there], node[there]
@@ -175,61 +177,79 @@ class _Ranges:
         new[1:] = owner[1:] != owner[:-1]
         first = np.flatnonzero(new)
         bound = np.add.reduceat(weight * tree.tops(node), first) if len(first) else np.zeros(0, np.int64)
-        return cls(bound, start[owner[first]], np.cumsum(new) - 1, row, weight, node)
+        held = owner[first]
+        return cls(item[held], level[held], start[held], bound, np.cumsum(new) - 1, row, weight, node)
 
     def pick(self, chosen: np.ndarray) -> "_Ranges":
         """The ranges marked in ``chosen``."""
         entry, number = chosen[self.owner], np.cumsum(chosen) - 1
         return _Ranges(
-            self.bound[chosen], self.start[chosen], number[self.owner[entry]], self.row[entry], self.weight[entry],
-            self.node[entry],
+            self.item[chosen], self.level[chosen], self.start[chosen], self.bound[chosen],
+            number[self.owner[entry]], self.row[entry], self.weight[entry], self.node[entry],
         )
 
     def plus(self, more: "_Ranges") -> "_Ranges":
         join = lambda name: np.concatenate([getattr(self, name), getattr(more, name)])
-        owner = np.concatenate([self.owner, more.owner + len(self.bound)])
-        return _Ranges(join("bound"), join("start"), owner, join("row"), join("weight"), join("node"))
+        return _Ranges(
+            *map(join, ("item", "level", "start", "bound")),
+            np.concatenate([self.owner, more.owner + len(self.bound)]), *map(join, ("row", "weight", "node")),
+        )
 
-    def halves(self, tree: Tree, level: int) -> "_Ranges":
-        left, right = (tree.half(self.node, self.row, level, side) for side in (0, 1))
+    def halves(self, tree: Tree) -> "_Ranges":
+        bit = tree.height - self.level[self.owner] - 1
+        node = np.concatenate([tree.half(self.node, self.row, bit, side) for side in (0, 1)])
         start = np.concatenate([2 * self.start, 2 * self.start + 1])
         owner = np.concatenate([self.owner, self.owner + len(self.start)])
-        return _Ranges.of(tree, start, owner, np.tile(self.row, 2), np.tile(self.weight, 2), np.concatenate([left, right]))
+        twice = lambda x: np.concatenate([x, x])
+        return _Ranges.of(
+            tree, twice(self.item), twice(self.level + 1), start, owner, twice(self.row), twice(self.weight), node
+        )
+
+
+def _rank(group: np.ndarray, *order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows sorted by group and ``order``, and the rank of each within its group, from 0."""
+    at = np.lexsort((*order[::-1], group))
+    sorted_ = group[at]
+    new = np.ones(len(at), bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    return at, np.arange(len(at)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(at) else np.zeros(0, np.int64)
 
 
 def best_documents(
-    tree: Tree, rows: np.ndarray, nodes: np.ndarray, weights: np.ndarray, floor: int, best: int = BEST
-) -> tuple[np.ndarray, np.ndarray]:
-    """Columns and scores of at least the ``best`` highest scores of ``floor`` and more, ties included.
-
-    ``nodes`` are the rows' nodes where the search starts (``Tree.starts``)."""
-    known = np.zeros(0, np.int64)
-    found_at, found = [known], [known]
-    none = np.zeros(len(rows), np.int64)
-    waiting = {tree.first: _Ranges.of(tree, np.zeros(1, np.int64), none, rows, weights, nodes)}
-    while waiting:
-        level = max(waiting, key=lambda k: (waiting[k].bound.max(initial=-1), k))
-        ranges = waiting.pop(level)
-        chosen = ranges.bound >= floor
-        if not chosen.any():
-            continue
-        if np.count_nonzero(chosen) > STEP:
-            least = np.partition(ranges.bound, len(chosen) - STEP)[-STEP]
-            later, chosen = chosen & (ranges.bound < least), ranges.bound >= least
-            waiting[level] = ranges.pick(later)
-        ranges = ranges.pick(chosen).halves(tree, level)
-        ranges = ranges.pick(ranges.bound >= floor)
-        if level + 1 == tree.height:
-            found_at.append(ranges.start)
-            found.append(ranges.bound)
-            known = np.concatenate([known, ranges.bound])
-            if len(known) >= best:
-                known = np.partition(known, len(known) - best)[-best:]
-                floor = max(floor, int(known.min()))
-        elif len(ranges.bound):
-            waiting[level + 1] = waiting[level + 1].plus(ranges) if level + 1 in waiting else ranges
-    columns, scores = np.concatenate(found_at), np.concatenate(found)
-    return columns[scores >= floor], scores[scores >= floor]
+    tree: Tree, item: np.ndarray, row: np.ndarray, node: np.ndarray, weight: np.ndarray, floor: np.ndarray,
+    best: int = BEST,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, column, score) of at least each item's ``best`` highest scores of its floor and more, ties
+    included.
+
+    ``item`` is ascending and says whose row each is; ``node`` is the row's where the search starts
+    (``Tree.starts``); ``floor`` has a score per item."""
+    floor, none = floor.copy(), np.zeros(0, np.int64)
+    count = len(floor)
+    found_item, found_at, found = none, none, none
+    whole = np.zeros(count, np.int64)
+    waiting = _Ranges.of(tree, np.arange(count), whole + tree.first, whole, item, row, weight, node)
+    while True:
+        waiting = waiting.pick(waiting.bound >= floor[waiting.item])
+        if not len(waiting.bound):
+            break
+        at, rank = _rank(waiting.item, -waiting.bound)
+        chosen = np.zeros(len(at), bool)
+        chosen[at[rank < STEP]] = True
+        halves = waiting.pick(chosen).halves(tree)
+        halves = halves.pick(halves.bound >= floor[halves.item])
+        single = halves.level == tree.height
+        if single.any():
+            found_item = np.concatenate([found_item, halves.item[single]])
+            found_at = np.concatenate([found_at, halves.start[single]])
+            found = np.concatenate([found, halves.bound[single]])
+            at, rank = _rank(found_item, -found)
+            last = at[rank == best - 1]
+            floor[found_item[last]] = np.maximum(floor[found_item[last]], found[last])
+            held = found >= floor[found_item]
+            found_item, found_at, found = found_item[held], found_at[held], found[held]
+        waiting = waiting.pick(~chosen).plus(halves.pick(~single))
+    return found_item, found_at, found
 
 
 # ---------------------------------------------------------------- the index
@@ -343,37 +363,61 @@ def _frequencies(wanted: list[bytes]):
     return count
 
 
-def _searcher(wanted: list[bytes], weights: np.ndarray, items: dict[int, np.ndarray], best: int):
-    """A mapInArrow function: each task's best documents of every item."""
-    order = lambda pair: (-pair[0], pair[1] is None, pair[1] or 0)
+class _Best:
+    """The best documents of each item so far."""
+
+    def __init__(self, floor: np.ndarray, best: int):
+        self.floor, self.best, none = floor.copy(), best, np.zeros(0, np.int64)
+        self.item, self.score, self.doc, self.nameless = none, none, none, none.astype(bool)
+
+    def add(self, item, score, doc, nameless) -> None:
+        item, score = np.concatenate([self.item, item]), np.concatenate([self.score, score])
+        doc, nameless = np.concatenate([self.doc, doc]), np.concatenate([self.nameless, nameless])
+        at, rank = _rank(item, -score, nameless, doc)
+        last = at[rank == self.best - 1]
+        self.floor[item[last]] = np.maximum(self.floor[item[last]], score[last])
+        at = at[rank < self.best]
+        self.item, self.score, self.doc, self.nameless = item[at], score[at], doc[at], nameless[at]
+
+
+def _searcher(wanted: list[bytes], weights: np.ndarray, items: list[np.ndarray], floor: np.ndarray, best: int, first: bool):
+    """A mapInArrow function: each task's best documents of every item, by its place in ``items``; with
+    ``first`` of its first shard only."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top: dict[int, list] = {n: [] for n in items}
+        top, seen = _Best(floor, best), 0
+        sizes = [len(i) for i in items]
+        every = np.concatenate([*items, np.zeros(0, np.int64)])
+        whose = np.repeat(np.arange(len(items)), sizes)
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i in range(0 if first and seen else batch.num_rows):
+                seen += 1
                 at = _words(batch, i)
                 rows = np.array([at.get(t, -1) for t in wanted], np.int64)
-                get = lambda name, kind: np.frombuffer(batch[name][i].as_py(), kind)  # noqa: E731, B023
+                get = lambda name, kind: np.frombuffer(batch[name][i].as_buffer(), kind)  # noqa: E731, B023
                 tree = Tree(
                     batch["height"][i].as_py(), get("mask", np.uint8), get("top", np.int32), get("child", np.int32),
                     get("row", np.int32), get("column", np.uint16),
                 )
-                docs, here = batch["docs"][i].as_py(), np.flatnonzero(rows >= 0)
+                docs = batch["docs"][i].values
+                doc, nameless = docs.fill_null(0).to_numpy(), docs.is_null().to_numpy(zero_copy_only=False)
+                here = np.flatnonzero(rows >= 0)
                 nodes = np.full(len(rows), -1, np.int64)
                 nodes[here] = tree.starts(rows[here])
-                for number, numbers in items.items():
-                    there = numbers[nodes[numbers] != -1]
-                    held = top[number]
-                    floor = held[-1][0] if len(held) >= best else 1
-                    columns, scores = best_documents(tree, rows[there], nodes[there], weights[there], floor, best)
-                    held.extend((int(s), docs[c]) for c, s in zip(columns, scores))
-                    held.sort(key=order)
-                    del held[best:]
-        found = [(n, d, s) for n, held in top.items() for s, d in held]
+                used = nodes[every] != -1
+                term, owner = every[used], whose[used]
+                for start in range(0, len(items), ITEMS):
+                    a, b = np.searchsorted(owner, [start, start + ITEMS])
+                    part = term[a:b]
+                    found = best_documents(
+                        tree, owner[a:b] - start, rows[part], nodes[part], weights[part],
+                        top.floor[start:start + ITEMS], best,
+                    )
+                    top.add(found[0] + start, found[2], doc[found[1]], nameless[found[1]])
+                if first:
+                    break
         yield pa.RecordBatch.from_pydict({
-            "number": pa.array([f[0] for f in found], pa.int64()),
-            "doc_id": pa.array([f[1] for f in found], pa.int64()),
-            "score": pa.array([f[2] for f in found], pa.int64()),
+            "number": pa.array(top.item), "doc_id": pa.array(top.doc, mask=top.nameless), "score": pa.array(top.score),
         })
 
     return search
@@ -400,13 +444,22 @@ def search(index: DataFrame, documents: int, items: DataFrame, scratch: Scratch,
         rows = numbered.where(F.col("block") == block).select("number", "terms").collect()  # ITEM_BYTES of them
         wanted = sorted({t.encode() for r in rows for t in r["terms"]})
         place = {t: i for i, t in enumerate(wanted)}
-        numbers = {r["number"]: np.array([place[t.encode()] for t in r["terms"]], np.int64) for r in rows if r["terms"]}
+        asked = [r for r in rows if r["terms"]]
+        numbers = [np.array([place[t.encode()] for t in r["terms"]], np.int64) for r in asked]
         counted = index.select("terms", "df").mapInArrow(_frequencies(wanted), "term BIGINT, df BIGINT")
         weights = np.zeros(len(wanted), np.int64)
         for r in counted.groupBy("term").agg(F.sum("df").alias("df")).collect():  # a row per wanted term
             weights[r["term"]] = math.floor(1000 * math.log((2 * documents + 2) / (2 * r["df"] + 1)))
-        found = index.mapInArrow(_searcher(wanted, weights, numbers, best), "number BIGINT, doc_id BIGINT, score BIGINT")
-        results.append(scratch.save(_ranked(scratch.save(found), best)))
+        floor = np.ones(len(asked), np.int64)
+        for first in (True, False):
+            task = _searcher(wanted, weights, numbers, floor, best, first)
+            found = index.mapInArrow(task, "number BIGINT, doc_id BIGINT, score BIGINT")
+            ranked = scratch.save(_ranked(found, best))
+            if first:
+                for r in ranked.where(F.col("rank") == best).select("number", "score").collect():  # at most one per item
+                    floor[r["number"]] = r["score"]
+        names = index.sparkSession.createDataFrame([(i, r["number"]) for i, r in enumerate(asked)], "at INT, number BIGINT")
+        results.append(ranked.withColumnRenamed("number", "at").join(names, "at").drop("at"))
     found = results[0]
     for more in results[1:]:
         found = found.unionByName(more)
@@ -423,8 +476,14 @@ def rank_documents(docs: DataFrame, items: DataFrame, scratch: Scratch, best: in
     and blank texts have no terms: such documents are never found, such items find nothing.  Rows of ``items``
     that are equal are ranked each.  Long texts are indexed whole.  Without documents or items there is no
     row; other columns are ignored."""
+    spark, size = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
     built, documents = index(docs, scratch)
-    return search(built, documents, items, scratch, best)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")  # a shard has megabytes; all that reads them runs in ``search``
+    try:
+        return search(built, documents, items, scratch, best)
+    finally:
+        spark.conf.set(size, before)
 
 
 #: The same in SQL: every term of every document is counted.

@@ -64,13 +64,18 @@ def test_tree_finds_what_all_cells_give(seed, monkeypatch):
     made = search.build(row, column, grid[row, column])
     made.pop("starts")
     tree = search.Tree(**made)
-    asked = rng.permutation(rows)[: int(rng.integers(1, rows + 1))]
-    weights = rng.integers(0, 4, len(asked))
-    for floor_, best in ((1, 5), (1, 1000), (20, 3)):
-        at, scores = search.best_documents(tree, asked, tree.starts(asked), weights, floor_, best)
-        want = weights @ grid[asked]
-        least = max(floor_, *np.sort(want)[::-1][best - 1: best].tolist(), floor_)
-        assert dict(zip(at.tolist(), scores.tolist())) == {c: int(w) for c, w in enumerate(want) if w >= least}
+    asked = [rng.permutation(rows)[: int(rng.integers(1, rows + 1))] for _ in range(5)]
+    weights = [rng.integers(0, 4, len(a)) for a in asked]
+    item = np.repeat(np.arange(5), [len(a) for a in asked])
+    row = np.concatenate(asked)
+    for floor, best in ((1, 5), (1, 1000), (20, 3)):
+        floors = np.array([floor, 1, floor, 10**9, floor])
+        found = search.best_documents(tree, item, row, tree.starts(row), np.concatenate(weights), floors, best)
+        for n in range(5):
+            want = weights[n] @ grid[asked[n]]
+            least = max(floors[n], *np.sort(want)[::-1][best - 1: best].tolist()) if len(want) >= best else floors[n]
+            got = {int(c): int(s) for i, c, s in zip(*found) if i == n}
+            assert got == {c: int(w) for c, w in enumerate(want) if w >= least}
 
 
 def test_given_tables(spark, scratch):
