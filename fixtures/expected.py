@@ -278,6 +278,13 @@ EXPECTED: dict[str, str] = {
     "dq_report": f"""
         SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
         FROM ({_tests('not_null', 'unique', 'accepted_values')}) t""",
+    **{
+        f"incremental_{name}": _all(name)
+        for name in (
+            "mart_order_kpis", "mart_seller_performance", "mart_delivery_performance", "mart_geo_sales",
+            "mart_payment_analysis",
+        )
+    },
     "raw_load_reviews": """
         SELECT review_id, order_id, review_score, nullif(review_comment_title, '') AS review_comment_title,
                nullif(replace(text, chr(13) || chr(10), chr(10)), '') AS review_comment_message,

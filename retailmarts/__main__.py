@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from retailmarts.operators import quality, review_repair
-from retailmarts.plans import load
+from retailmarts.plans import incremental, load
 from retailmarts.session import session
 from retailmarts.sources import layers
 from retailmarts.sources.schemas import RAW
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     command("load", "load <landing>/<table>.csv into the raw layer", "landing", "root")
     command("build", "build enriched tables and marts from <landing>/<table>.csv", "landing", "root")
     command("rebuild", "build enriched tables and marts from the ingested files", "root")
+    command("refresh", "bring the marts up to date with newly ingested files", "root")
     command("check", "run the declared checks on a build", "root")
     command("validate", "run the validations of the raw layer", "root")
     command("repair-reviews", "repair a review file", "source", "target")
@@ -51,6 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         load.write_rejects(spark, args.landing, args.root).groupBy("table_name").count().show(truncate=False)
     elif args.command == "rebuild":
         layers.row_counts(load.build(spark, load.ingested(spark, args.root), args.root)).show(truncate=False)
+    elif args.command == "refresh":
+        layers.row_counts(incremental.refresh_ingested(spark, args.root)).show(truncate=False)
     elif args.command == "check":
         checks = quality.report(quality.run_checks(written(spark, args.root)))
         checks.orderBy("status", "table_name", "column_name").show(len(quality.CHECKS), truncate=False)

@@ -19,15 +19,17 @@ from retailmarts.operators.rollups import (
 _MEAN_DELAY = mean_1dp("sum(delivery_delay_days)", "count(delivery_delay_days)")
 _LATE = "count_if(is_late_delivery)"
 _ORDERS = "count(DISTINCT order_id)"
+SELLER = ["seller_id", "seller_state", "seller_city"]
+SELLER_SUMS = ["n", "price", "priced", "gmv", "delay", "delayed", "late"]
 
 
-def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
-    """Delivered orders per month: volume, revenue, delivery and payment behaviour."""
+def kpi_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, *keep: str) -> DataFrame:
+    """Delivered orders with what the monthly KPIs add up; ``keep`` are columns of the orders carried along."""
     of_order = [
         "order_id", "order_month", "order_year", "order_month_num", "customer_state",
-        "delivery_delay_days", "is_late_delivery",
+        "delivery_delay_days", "is_late_delivery", *keep,
     ]
-    per_order = attach(
+    return attach(
         delivered(orders).select(of_order), order_facts(items, payments), "order_id", hot=False
     ).select(
         *of_order,
@@ -40,8 +42,12 @@ def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
             parts_tenths="coalesce(installment_tenths, 10L)",
         ),
     )
+
+
+def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+    """Delivered orders per month: volume, revenue, delivery and payment behaviour."""
     return (
-        per_order.groupBy("order_month", "order_year", "order_month_num")
+        kpi_orders(orders, items, payments).groupBy("order_month", "order_year", "order_month_num")
         .agg(
             *columns(
                 total_orders=_ORDERS,
@@ -62,13 +68,13 @@ def mart_order_kpis(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
     )
 
 
-def sold_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Line items of delivered orders, with what the seller figures need."""
+def sold_items(orders: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
+    """Line items of delivered orders, with what the seller figures need and the columns ``keep`` of the orders."""
     return items.select(
         "seller_id", "seller_state", "seller_city", "order_id", "price", "total_item_value",
         "category_display",
     ).join(
-        delivered(orders).select("order_id", "delivery_delay_days", "is_late_delivery", "order_month"),
+        delivered(orders).select("order_id", "delivery_delay_days", "is_late_delivery", "order_month", *keep),
         "order_id",
     )
 
@@ -81,10 +87,25 @@ def seller_figures(sold: DataFrame) -> DataFrame:
     orders.  What is left per seller is one row of totals and one per category.  The late percentage
     divides late items by orders, so it can exceed 100.
     """
-    seller = ["seller_id", "seller_state", "seller_city"]
-    by_value = sold.groupingSets(
-        [[*seller, "order_id"], [*seller, "order_month"], seller, ["seller_id", "category_display"]],
-        *seller, "order_id", "order_month", "category_display",
+    by_value = seller_parts(sold)
+    total = "NOT is_order AND NOT is_month"  # totals of a seller, or of one of its categories
+    per_seller = by_value.groupBy(*SELLER, "is_category", "category_display").agg(
+        *columns(
+            orders="count_if(is_order)",
+            months="count_if(is_month AND order_month IS NOT NULL)",
+            **{c: f"sum({c}) FILTER (WHERE {total})" for c in SELLER_SUMS},
+        )
+    )
+    return seller_rows(per_seller)
+
+
+def seller_parts(sold: DataFrame, *keys: str) -> DataFrame:
+    """One row per seller and order, seller and month, seller, and seller and category (per ``keys``)."""
+    return sold.groupingSets(
+        [[*keys, *k] for k in (
+            [*SELLER, "order_id"], [*SELLER, "order_month"], SELLER, ["seller_id", "category_display"],
+        )],
+        *keys, *SELLER, "order_id", "order_month", "category_display",
     ).agg(
         *columns(
             is_order="grouping(order_id) = 0",
@@ -99,14 +120,10 @@ def seller_figures(sold: DataFrame) -> DataFrame:
             late=_LATE,
         )
     )
-    total = "NOT is_order AND NOT is_month"  # totals of a seller, or of one of its categories
-    per_seller = by_value.groupBy(*seller, "is_category", "category_display").agg(
-        *columns(
-            orders="count_if(is_order)",
-            months="count_if(is_month AND order_month IS NOT NULL)",
-            **{c: f"sum({c}) FILTER (WHERE {total})" for c in ("n", "price", "priced", "gmv", "delay", "delayed", "late")},
-        )
-    )
+
+
+def seller_rows(per_seller: DataFrame) -> DataFrame:
+    """Totals per seller and items per seller and category → one row per seller."""
     top = (
         "first_value(category_display) OVER (PARTITION BY seller_id"
         " ORDER BY is_category DESC, n DESC, category_display)"
@@ -115,7 +132,7 @@ def seller_figures(sold: DataFrame) -> DataFrame:
         per_seller.select("*", *columns(top_category=top))
         .where("NOT is_category")
         .select(
-            *seller,
+            *SELLER,
             *columns(
                 total_orders="orders",
                 total_items_sold="n",
@@ -134,8 +151,12 @@ def seller_figures(sold: DataFrame) -> DataFrame:
 
 def mart_seller_performance(orders: DataFrame, items: DataFrame) -> DataFrame:
     """One row per seller with volume, revenue, lateness, top category and tier."""
+    return seller_mart(seller_figures(sold_items(orders, items)))
+
+
+def seller_mart(figures: DataFrame) -> DataFrame:
     return (
-        seller_figures(sold_items(orders, items))
+        figures
         .select("*", *columns(seller_tier=seller_tier("total_revenue_brl")))
         .orderBy(F.desc_nulls_last("total_revenue_brl"), "seller_id")
     )
@@ -167,9 +188,9 @@ def mart_delivery_performance(orders: DataFrame) -> DataFrame:
     )
 
 
-def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
+def order_totals(orders: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
     """Per delivered or shipped order and place: item value in units, NULL without items."""
-    place = ["order_id", "customer_state", "customer_zip_code_prefix"]
+    place = ["order_id", "customer_state", "customer_zip_code_prefix", *keep]
     moving = orders.where("order_status IN ('delivered', 'shipped')").select(place)
     return (
         attach(moving, item_totals(items), "order_id", hot=False)
@@ -192,10 +213,14 @@ def state_rollup(totals: DataFrame) -> DataFrame:
 
 def mart_geo_sales(orders: DataFrame, items: DataFrame, geolocation: DataFrame) -> DataFrame:
     """Sales per customer state with the state's centre and its rank by value."""
+    return geo_mart(state_rollup(order_totals(orders, items)), geolocation)
+
+
+def geo_mart(states: DataFrame, geolocation: DataFrame) -> DataFrame:
     # One row per state is left, so a single ordering of them is small at any scale.
     rank = "bigint(rank() OVER (ORDER BY total_gmv_brl DESC NULLS LAST))"
     return (
-        attach(state_rollup(order_totals(orders, items)), state_centroid(geolocation), "state", hot=False)
+        attach(states, state_centroid(geolocation), "state", hot=False)
         .select(
             "state", "total_orders", "total_gmv_brl", "avg_order_value_brl", "distinct_zips",
             "state_lat", "state_lng", *columns(gmv_rank=rank),
@@ -204,10 +229,10 @@ def mart_geo_sales(orders: DataFrame, items: DataFrame, geolocation: DataFrame)
     )
 
 
-def paid_orders(payments: DataFrame, orders: DataFrame) -> DataFrame:
+def paid_orders(payments: DataFrame, orders: DataFrame, *keep: str) -> DataFrame:
     """Payments of delivered orders with the order's month."""
     return payments.join(
-        delivered(orders).select("order_id", "order_month", "order_year"), "order_id"
+        delivered(orders).select("order_id", "order_month", "order_year", *keep), "order_id"
     )
 
 
@@ -217,8 +242,7 @@ def mart_payment_analysis(payments: DataFrame, orders: DataFrame) -> DataFrame:
     An order paid in two ways counts for both, also in the month's total; ``instalment_orders`` counts
     payments.
     """
-    month_orders = "(sum(total_orders) OVER (PARTITION BY order_month))"
-    return (
+    return payment_mart(
         paid_orders(payments, orders)
         .groupBy("payment_type", "order_month", "order_year")
         .agg(
@@ -233,6 +257,14 @@ def mart_payment_analysis(payments: DataFrame, orders: DataFrame) -> DataFrame:
                 max_installments="max(payment_installments)",
             )
         )
+    )
+
+
+def payment_mart(figures: DataFrame) -> DataFrame:
+    """Figures per payment type and month with their share of the month's orders."""
+    month_orders = "(sum(total_orders) OVER (PARTITION BY order_month))"
+    return (
+        figures
         .select("*", *columns(pct_of_monthly_orders=percent("total_orders", month_orders)))
         .orderBy(
             F.asc_nulls_last("order_year"), F.asc_nulls_last("order_month"),

@@ -168,8 +168,13 @@ def _bucketed(rows: DataFrame, table: str, buckets: int | None) -> DataFrame:
     return kept.repartition(BUCKET, F.pmod(F.xxhash64(*kept.columns), F.lit(_SPREAD)))
 
 
+def state_path(target: str) -> str:
+    """Where the state of the log ``target`` is."""
+    return f"{target}__state"
+
+
 def _paths(target: str) -> tuple[str, str]:
-    return f"{target}__files", f"{target}__state"
+    return f"{target}__files", state_path(target)
 
 
 def merge(table: str, target: str, batch: DataFrame, number: int, buckets: int = BUCKETS) -> None:
