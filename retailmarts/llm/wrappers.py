@@ -6,7 +6,9 @@ other: a mismatch becomes an optional element, a run of equal siblings (or of eq
 a repeated one, a text that differs a variable slot.  Wrappers can be aligned with each other, so tasks
 infer from their own pages and only wrappers are shuffled, salted first, then per host.
 
-The wrapper then says which element of a host's pages holds the article; pages are read through it.
+The wrapper then says which element of a host's pages holds the article: the innermost that has most of the
+text in slots that vary and repeat, or stand in paragraphs; slots that are constant or mostly links count
+nothing.  Names such as ``article`` or ``nav`` settle what the slots leave open.  Pages are read through it.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pandas as pd
 import pyarrow as pa
@@ -27,39 +30,55 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from retailmarts.llm.common import Scratch
 
 #: Fixed values of HTML: elements without content, with raw content, and those that run inside a line.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe xmp svg math".split())
-INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var br wbr img".split()
-)
+VOID = {
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track",
+    "wbr",
+}
+PARAGRAPHS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption"}
+#: Elements that say nothing about what they hold, unless they have a name.
+PLAIN = {"div", "section", "span", "center"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "svg", "math"}
+INLINE = {
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
+    "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
+    "sub", "sup", "time", "tt", "u", "var", "br", "wbr", "img",
+}
 #: Elements that end an open element of the first name when they start.
 CLOSERS = {
-    "p": set(
-        "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr"
-        " main menu nav ol p pre section table ul li dt dd tr td th tbody thead".split()
-    ),
+    "p": {
+        "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form",
+        "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section",
+        "table", "ul", "li", "dt", "dd", "tr", "td", "th", "tbody", "thead",
+    },
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody"}, "td": {"td", "th", "tr", "tbody"},
     "th": {"td", "th", "tr", "tbody"}, "option": {"option"},
 }
 #: Elements and names (in class, id, role) that are no article.  A header element inside the article is
 #: part of it.
-NO_TEXT = set(
-    "head header nav aside footer form script style noscript template iframe svg math button select textarea input menu"
-    " dialog title object embed canvas audio video".split()
-)
-NO_ARTICLE = set(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner sidebar nav"
-    " navbar navigation menu breadcrumb breadcrumbs masthead footer cookie cookies consent gdpr notice alert popup"
-    " modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
-    " recommendations comment comments commentlist disqus respond reply replies pagination pager widget toolbar"
-    " copyright skip search complementary contentinfo hidden".split()
-)
-ARTICLE = set("article main content post entry story body text".split())
+NO_TEXT = {
+    "head", "header", "nav", "aside", "footer", "form", "script", "style", "noscript", "template", "iframe",
+    "svg", "math", "button", "select", "textarea", "input", "menu", "dialog", "title", "object", "embed",
+    "canvas", "audio", "video",
+}
+NO_ARTICLE = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored",
+    "promo", "promotion", "banner", "sidebar", "nav", "navbar", "navigation", "menu", "breadcrumb",
+    "breadcrumbs", "masthead", "footer", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup",
+    "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "share", "sharing",
+    "social", "related", "recommended", "recommendations", "comment", "comments", "commentlist", "disqus",
+    "respond", "reply", "replies", "pagination", "pager", "widget", "toolbar", "copyright", "skip", "search",
+    "complementary", "contentinfo", "hidden",
+}
+ARTICLE = {"article", "main", "content", "post", "entry", "story", "body", "text"}
 #: Distinct pages on which a slot must be the same to be constant, and hosts whose wrappers a task holds at once.
 LEAST = 8
 HOSTS = 2000
-SALTS = 16
+#: Wrappers that are merged in one task.
+FAN = 64
+#: What a character of a slot that is no paragraph and does not repeat counts, and the share of all that an
+#: article has at least.
+SINGLE = 0.1
+MOST = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _CUT_OFF = re.compile(r"</?[a-zA-Z][^>]*\Z")
@@ -77,10 +96,35 @@ class Element:
     children: list = field(default_factory=list)  # str or Element
     links: int = 0  # characters inside links
 
-    @property
+    @cached_property
     def label(self) -> str:
+        """Tag and telling names; of a plain element without such names, what it holds."""
         own = sorted(self.names & (NO_ARTICLE | ARTICLE))
-        return ".".join([self.tag, *own])
+        return ".".join([self.tag, *own]) if own or self.tag not in PLAIN else f"{self.tag}:{self.holds}"
+
+    @cached_property
+    def size(self) -> tuple[int, int]:
+        """Characters of all text, and of those the ones inside links."""
+        chars, links = 0, self.links
+        for c in self.children:
+            if isinstance(c, str):
+                chars += len(c.strip())
+            else:
+                chars, links = chars + c.size[0], links + c.size[1]
+        return chars, links
+
+    @property
+    def holds(self) -> str:
+        """``links``, ``paragraphs`` of its own, other ``blocks``, ``text`` alone, or nothing."""
+        chars, links = self.size
+        if not chars:
+            return ""
+        inner = [c for c in self.children if isinstance(c, Element) and c.size[0]]
+        if 2 * links > chars:
+            return "links"
+        if any(c.tag in PARAGRAPHS and 2 * c.size[1] <= c.size[0] for c in inner):
+            return "paragraphs"
+        return "blocks" if inner else "text"
 
     @property
     def outside(self) -> bool:
@@ -169,7 +213,7 @@ class Node:
 
     def expression(self) -> str:
         inner = " ".join(["#"] * (self.text is None) + [c.expression() for c in self.children])
-        return self.label + (f"({inner})" if inner else "") + ("+" if self.repeated else "") + ("?" if self.optional else "")
+        return self.label.split(":")[0] + (f"({inner})" if inner else "") + ("+" if self.repeated else "") + ("?" if self.optional else "")
 
     def packed(self) -> list:
         return [self.label, sorted(self.pages), int(self.optional), int(self.repeated), self.text, self.chars, self.links,
@@ -277,37 +321,65 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     return fold(out)
 
 
+def _tag(node: Node) -> str:
+    return re.split("[.:]", node.label, maxsplit=1)[0]
+
+
+def evidence(node: Node) -> float:
+    """What a node's own slot says for an article: its characters, if the slot varies or may vary, is not mostly
+    links, and is a paragraph or repeats; a share of them if it is neither."""
+    if 2 * node.links > node.chars or (node.text and not node.optional and not node.repeated and node.pages == MANY):
+        return 0
+    return node.chars * (1 if node.repeated or _tag(node) in PARAGRAPHS else SINGLE)
+
+
 def article(wrapper: Node) -> list[str]:
     """The path of labels of the element that holds the article.
 
-    An article or main element if the wrapper has one, the one with most text; else one that is named so;
-    else the deepest element with two thirds of all text that is no link."""
-    paths: list[tuple[tuple, int, Node]] = []
+    The innermost element with ``MOST`` of the evidence, or the parent if that has evidence in paragraphs of its
+    own.  Where elements around it have telling names, an article or main element, or one named so, is taken
+    instead.  Without any evidence it is the page."""
+    found: list[tuple[tuple, float, Node]] = []
 
-    def walk(node: Node, path: tuple) -> int:
-        """Text below a node without links and what is no article."""
+    def walk(node: Node, path: tuple) -> float:
         if _outside(node.label):
             return 0
         path = (*path, node.label)
-        total = max(0, node.chars - node.links) + sum(walk(c, path) for c in node.children)
-        paths.append((path, total, node))
+        at = len(found)
+        found.append((path, 0, node))
+        total = evidence(node) + sum(walk(c, path) for c in node.children)
+        found[at] = (path, total, node)
         return total
 
     whole = walk(wrapper, ())
+    able = [p for p in found if p[1] >= MOST * whole and _tag(p[2]) not in PARAGRAPHS]
+    if not able or not whole:
+        return _named(found) or [wrapper.label]
+    path, _, _ = max(able, key=lambda p: (len(p[0]), p[1]))
+    around = [p for p in found if p[0] == path[: len(p[0])]]
+    named = _named(around)
+    if named:
+        return named
+    known = {p[0]: p[2] for p in around}
+    while len(path) > 1 and any(_tag(c) in PARAGRAPHS and evidence(c) for c in known[path[:-1]].children):
+        path = path[:-1]
+    return list(path)
+
+
+def _named(paths: list[tuple[tuple, float, Node]]) -> list[str]:
+    """Of elements that are named as an article, the one with most evidence."""
     for match in (
-        lambda n: n.label.split(".")[0] == "article", lambda n: n.label.split(".")[0] == "main",
+        lambda n: _tag(n) == "article", lambda n: _tag(n) == "main",
         lambda n: bool(set(n.label.split(".")[1:]) & ARTICLE),
     ):
         found = [p for p in paths if match(p[2])]
         if found:
             return list(max(found, key=lambda p: (p[1], -len(p[0]), p[0]))[0])
-    found = [p for p in paths if 3 * p[1] >= 2 * whole and p[2].chars <= p[1] and (p[2].children or p[2].chars)]
-    inner = [p for p in found if p[2].label.split(".")[0] not in ("p", "h1", "h2", "h3", "li", "td")]
-    return list(max(inner or [((), 0, wrapper)], key=lambda p: len(p[0]))[0])
+    return []
 
 
 def _outside(label: str) -> bool:
-    tag, *names = label.split(".")
+    tag, *names = label.split(":")[0].split(".")
     return tag in NO_TEXT or bool(set(names) & NO_ARTICLE)
 
 
@@ -319,7 +391,7 @@ def constant(wrapper: Node) -> set[tuple[tuple, str]]:
 
     def walk(node: Node, path: tuple) -> None:
         path = (*path, node.label)
-        if node.label.split(".")[0] == "article" or path == chosen:
+        if _tag(node) == "article" or path == chosen:
             return
         if node.text and not node.repeated and not node.optional and node.pages == MANY:
             found.add((path, node.text))
@@ -412,14 +484,22 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("host", host)
 
 
-def infer(pages: DataFrame) -> DataFrame:
-    """(host, wrapper) from all pages (host, html)."""
-    partial = pages.select("host", F.col("html").cast("string").alias("html")).mapInPandas(
+def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, wrapper) from all pages (host, html).
+
+    Tasks infer from their own pages.  Their wrappers are merged in a tree: no task merges more than about
+    ``FAN`` of a host at once, however many tasks have pages of it."""
+    partial = scratch.save(pages.select("host", F.col("html").cast("string").alias("html")).mapInPandas(
         _infer, "host STRING, wrapper STRING"
-    )
-    salted = partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    once = salted.groupBy("host", "salt").applyInPandas(_united, "host STRING, wrapper STRING")
-    return once.groupBy("host").applyInPandas(_united, "host STRING, wrapper STRING")
+    ))
+    while True:
+        most = partial.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        if most <= FAN:
+            return partial.groupBy("host").applyInPandas(_united, "host STRING, wrapper STRING")
+        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2 * most // FAN))
+        partial = scratch.save(
+            partial.withColumn("salt", salt).groupBy("host", "salt").applyInPandas(_united, "host STRING, wrapper STRING")
+        )
 
 
 def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
@@ -430,7 +510,7 @@ def extract(pages: DataFrame, scratch: Scratch) -> DataFrame:
     are ignored.
     """
     hosted = with_host(pages.select("page_id", "url", F.col("html").cast("string").alias("html")))
-    inferred = scratch.save(infer(hosted)).withColumnRenamed("host", "_host")
+    inferred = scratch.save(infer(hosted, scratch)).withColumnRenamed("host", "_host")
     rows = hosted.join(inferred, F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "wrapper")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,13 @@
 """Equality of slots: whole texts, distinct pages, and never inside the article."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from retailmarts.llm import wrappers
+from retailmarts.llm.common import read
+from tests.conftest import SF
 from tests.llm.test_wrappers import text_of
 
 
@@ -43,3 +48,45 @@ def test_a_page_without_the_article_loses_only_equal_blocks():
         wrapper = wrappers.merge(wrapper, wrappers.from_page(wrappers.parse(p)))
     path, fixed = wrappers.article(wrapper), wrappers.constant(wrapper)
     assert [wrappers.main_text(p, path, fixed) for p in others] == ["", f"{long}b"]
+
+
+def plain(page):
+    """A page whose elements do not tell what they are."""
+    return re.sub(r"<(/?)(article|main|nav|header|footer|aside)\b", r"<\1div", re.sub(r" (class|id)=(\"[^\"]*\"|'[^']*'|\S+?)(?=[ >])", "", page))
+
+
+def test_the_article_is_found_without_names(spark, scratch):
+    """The given pages with plain elements give the same text, through the wrapper alone."""
+    pages = read(spark, SF, "pages")
+    want = {r["page_id"]: r["text"] for r in wrappers.extract(pages, scratch).collect()}
+    bare = spark.createDataFrame([(r["page_id"], r["url"], plain(r["html"])) for r in pages.collect()], "page_id BIGINT, url STRING, html STRING")
+    assert not bare.where("html RLIKE '<(article|nav|footer)' OR html LIKE '% class=%'").count()
+    assert {r["page_id"]: r["text"] for r in wrappers.extract(bare, scratch).collect()} == want
+    # Without the wrapper no page comes out right.
+    assert not [r for r in bare.collect() if wrappers.main_text(r["html"], [], set()) == want[r["page_id"]]]
+
+
+SITE = (
+    "<html><body><div><ul><li><a href=a>Home page</a></li><li><a href=b>Other page</a></li></ul></div><div>Notice {n}</div>"
+    "{article}<div>Terms of use for all readers of this site, the same on every page.</div></body></html>"
+)
+
+
+@pytest.mark.parametrize("article, text", [
+    ("<div><h1>Title {n}</h1><p>First {n} of some words.</p><p>Second {n} of some words.</p></div>", "Title {n}\nFirst {n} of some words.\nSecond {n} of some words."),
+    ("<div><h2>Title {n}</h2><div>A text {n} without paragraphs</div><div>in two blocks {n}</div></div>", "Title {n}\nA text {n} without paragraphs\nin two blocks {n}"),
+    ("<div><h1>Title {n}</h1><div><p>A {n} b c d e f g</p><p>h i j {n}</p></div><div><p>k l m {n}</p></div></div>", "Title {n}\nA {n} b c d e f g\nh i j {n}\nk l m {n}"),
+])
+def test_slots_that_vary_and_repeat_are_the_article(article, text):
+    pages = [SITE.format(n="x" * n, article=article.format(n="word " * n + "end")) for n in range(1, 13)]
+    assert text_of(pages[4], *pages) == text.format(n="word " * 5 + "end")
+
+
+def test_wrappers_of_many_tasks_are_merged_in_a_tree(spark, scratch, monkeypatch):
+    monkeypatch.setattr(wrappers, "FAN", 4)
+    pages = wrappers.with_host(read(spark, SF, "pages").withColumn("url", F.lit("http://one/x")))
+    many = wrappers.infer(pages.repartition(40), scratch).collect()
+    one = wrappers.infer(pages.coalesce(1), scratch).collect()
+    node = lambda rows: wrappers.Node.unpacked(wrappers.json.loads(rows[0]["wrapper"]))
+    assert len(many) == len(one) == 1
+    assert node(many).expression() == node(one).expression() and wrappers.article(node(many)) == wrappers.article(node(one))
