@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from retailmarts.functions import columns
 
 _SPREAD = "_key_hash"
+JOINED = "_joined_key"
+#: Values that stand for a blank key, so that its rows are spread over as many places.
+_PLACES = 10_000
 
 
 def one_per_key(df: DataFrame, key: str, wanted: list[str]) -> DataFrame:
@@ -19,6 +22,14 @@ def one_per_key(df: DataFrame, key: str, wanted: list[str]) -> DataFrame:
     return df.where(f"{key} IS NOT NULL").groupBy(key).agg(*first).select(key, "_first.*")
 
 
+def of_blank(df: DataFrame, key: str, **aggregates: str) -> DataFrame:
+    """The aggregates of the rows whose key is blank: one row, or none if there are no such rows.
+
+    Without grouping, the rows are combined where they are."""
+    whole = df.where(f"{key} = ''").agg(*columns(_rows="count(*)", **aggregates))
+    return whole.where("_rows > 0").drop("_rows")
+
+
 def _join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Join to an aggregation on ``key`` such that a hot key of ``left`` can be split.
 
@@ -32,22 +43,44 @@ def _join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     return joined.drop(_SPREAD)
 
 
-def attach(left: DataFrame, right: DataFrame, key: str, hot: bool = True) -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, key: str, blank: DataFrame | None = None, by: list[str] | None = None
+) -> DataFrame:
     """``left`` with the columns of ``right``, which has at most one row per ``key``.
 
-    With ``hot=False`` no key of ``left`` is frequent (it is unique, or one row per state is left): a plain
-    join then uses the partitioning that the aggregated side has.
+    Any key may be frequent.  Where none can be but the blank one, which records without a key share,
+    ``blank`` is what ``of_blank`` gives for ``right``: a plain join then uses the partitioning that the
+    aggregated side has.  For it each blank or NULL key is one of many values that match nothing, so those rows
+    are spread; they get the one row of ``blank`` afterwards.  With ``by``, the value follows from these columns,
+    and the column ``JOINED`` stays, by which the result is partitioned.
     """
-    return _join(left, right, key, "left") if hot else left.join(right, key, "left")
+    if blank is None:
+        return _join(left, right, key, "left")
+    places = f"concat('\\0', pmod(xxhash64({', '.join(by or left.columns)}), {_PLACES}))"
+    marked = left.withColumn(JOINED, F.expr(f"CASE WHEN {key} <> '' THEN {key} ELSE {places} END"))
+    found = marked.join(right.withColumnRenamed(key, JOINED), JOINED, "left")
+    added = [c for c in right.columns if c != key]
+    one = blank.selectExpr(*[f"{c} AS _blank_{c}" for c in added])
+    whole = found.join(F.broadcast(one), F.expr(f"{key} = ''"), "left")  # one row
+    filled = columns(**{c: f"CASE WHEN {key} = '' THEN _blank_{c} ELSE {c} END" for c in added})
+    return whole.select(*left.columns, *([JOINED] if by else []), *filled)
+
+
+def attach_to_few(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``attach`` where ``left`` is an aggregation of one row per key."""
+    return left.join(right, key, "left")
 
 
 def lookup(
     left: DataFrame, right: DataFrame, key: str, wanted: list[str], missing: str | None = None,
     hot: bool = True,
 ) -> DataFrame:
-    """First match of ``right`` for every row of ``left``; ``missing`` where there is none."""
+    """First match of ``right`` for every row of ``left``; ``missing`` where there is none.
+
+    With ``hot=False`` no key of ``left`` is frequent but the blank one."""
+    blank = None if hot else of_blank(right, key, _first=f"min(struct({', '.join(wanted)}))").select("_first.*")
     found = {c: c if missing is None else f"coalesce({c}, '{missing}')" for c in wanted}
-    return attach(left, one_per_key(right, key, wanted), key, hot).select(*left.columns, *columns(**found))
+    return attach(left, one_per_key(right, key, wanted), key, blank).select(*left.columns, *columns(**found))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
 from retailmarts.functions.exact import mean_1dp, money, percent, round_div, sum_units, total, units
+from retailmarts.operators.lookup import of_blank
 
 
 def delivered(orders: DataFrame) -> DataFrame:
@@ -41,8 +42,18 @@ def order_payments(payments: DataFrame) -> DataFrame:
     )
 
 
-def order_facts(items: DataFrame, payments: DataFrame) -> DataFrame:
-    """What the monthly KPIs need of items and payments, per order, in whole numbers.
+_FACTS = {
+    "revenue_cents": round_div(total("price"), 100),
+    "freight_cents": round_div(total("freight"), 100),
+    "value_cents": round_div(total("value"), 100),
+    "items": "count(item)",
+    "max_installments": "max(parts)",
+    "installment_tenths": round_div("(sum(parts) * 10L)", "count(parts)"),
+}
+
+
+def order_facts(items: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the monthly KPIs need of items and payments, per order and of the blank order, in whole numbers.
 
     Stacking both and aggregating once replaces two rollups and two joins by one of each.  Amounts are
     cents, the mean number of installments is in tenths; a measure is NULL where the order has no row
@@ -63,25 +74,14 @@ def order_facts(items: DataFrame, payments: DataFrame) -> DataFrame:
         "order_id",
         *columns(price=none, freight=none, value=none, item=none, parts="payment_installments"),
     )
-    return (
-        item_rows.unionByName(payment_rows)
-        .groupBy("order_id")
-        .agg(
-            *columns(
-                revenue_cents=round_div(total("price"), 100),
-                freight_cents=round_div(total("freight"), 100),
-                value_cents=round_div(total("value"), 100),
-                items="count(item)",
-                max_installments="max(parts)",
-                installment_tenths=round_div("(sum(parts) * 10L)", "count(parts)"),
-            )
-        )
-    )
+    rows = item_rows.unionByName(payment_rows)
+    return rows.groupBy("order_id").agg(*columns(**_FACTS)), of_blank(rows, "order_id", **_FACTS)
 
 
-def item_totals(items: DataFrame) -> DataFrame:
-    """Per order: total item value in units."""
-    return items.groupBy("order_id").agg(*columns(value_units=sum_units("total_item_value")))
+def item_totals(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Total item value in units, per order and of the blank order."""
+    value = {"value_units": sum_units("total_item_value")}
+    return items.groupBy("order_id").agg(*columns(**value)), of_blank(items, "order_id", **value)
 
 
 def top_category_per_seller(sold: DataFrame) -> DataFrame:

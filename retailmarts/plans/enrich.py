@@ -19,7 +19,7 @@ def with_delay(orders: DataFrame) -> DataFrame:
 def orders_with_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders keep their row without a customer; customers without an order are left out."""
     geography = ["customer_state", "customer_city", "customer_zip_code_prefix", "customer_unique_id"]
-    # A customer id belongs to one order, so none is hot.
+    # A customer id belongs to one order, so none is hot but the blank one.
     return lookup(orders, customers, "customer_id", geography, hot=False)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from retailmarts.functions import columns
 from retailmarts.functions.exact import mean_2dp, mean_money, money, percent, sum_units
-from retailmarts.operators.lookup import attach
+from retailmarts.operators.lookup import JOINED, attach
 from retailmarts.operators.rollups import delivered, distribution, item_totals
 
 _MEAN_SCORE = mean_2dp("sum(review_score)", "count(*)")
@@ -69,21 +69,19 @@ def monthly_active(orders: DataFrame) -> DataFrame:
 
 def customer_ltv(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Per customer: delivered orders, their value, first and last of them, mean order value."""
+    totals, of_none = item_totals(items)
+    customer = ["customer_unique_id"]
     bought = attach(
-        delivered(orders).select("customer_unique_id", "order_id", "order_purchase_timestamp"),
-        item_totals(items),
-        "order_id",
-        hot=False,
+        delivered(orders).select(*customer, "order_id", "order_purchase_timestamp"), totals, "order_id", of_none, customer
     ).where("customer_unique_id IS NOT NULL")
-    return bought.groupBy("customer_unique_id").agg(
-        *columns(
-            orders="count(DISTINCT order_id)",
-            lifetime_value_brl=money("coalesce(sum(value_units), 0L)"),
-            first_order_at="min(order_purchase_timestamp)",
-            last_order_at="max(order_purchase_timestamp)",
-            avg_order_value_brl=mean_money("sum(value_units)", "count(value_units)"),
-        )
-    )
+    per_order = bought.groupBy(*customer, "order_id", JOINED).agg(*columns(
+        value="sum(value_units)", valued="count(value_units)", first="min(order_purchase_timestamp)",
+        last="max(order_purchase_timestamp)",
+    ))
+    return per_order.groupBy(*customer).agg(*columns(
+        orders="count(order_id)", lifetime_value_brl=money("coalesce(sum(value), 0L)"), first_order_at="min(first)",
+        last_order_at="max(last)", avg_order_value_brl=mean_money("sum(value)", "sum(valued)"),
+    ))
 
 
 def processing_hours(orders: DataFrame) -> DataFrame:

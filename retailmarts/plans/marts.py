@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retailmarts.functions import columns
 from retailmarts.functions.exact import mean_1dp, mean_money, money, percent, round_div, sum_units, units
 from retailmarts.functions.labels import delivery_grade, seller_tier
-from retailmarts.operators.lookup import attach
+from retailmarts.operators.lookup import JOINED, attach, attach_to_few
 from retailmarts.operators.rollups import (
     delivered,
     item_totals,
@@ -29,9 +29,8 @@ def kpi_orders(orders: DataFrame, items: DataFrame, payments: DataFrame, *keep:
         "order_id", "order_month", "order_year", "order_month_num", "customer_state",
         "delivery_delay_days", "is_late_delivery", *keep,
     ]
-    return attach(
-        delivered(orders).select(of_order), order_facts(items, payments), "order_id", hot=False
-    ).select(
+    facts, of_none = order_facts(items, payments)
+    return attach(delivered(orders).select(of_order), facts, "order_id", of_none).select(
         *of_order,
         *columns(
             revenue="coalesce(revenue_cents, 0L)",
@@ -192,10 +191,12 @@ def order_totals(orders: DataFrame, items: DataFrame, *keep: str) -> DataFrame:
     """Per delivered or shipped order and place: item value in units, NULL without items."""
     place = ["order_id", "customer_state", "customer_zip_code_prefix", *keep]
     moving = orders.where("order_status IN ('delivered', 'shipped')").select(place)
+    totals, of_none = item_totals(items)
     return (
-        attach(moving, item_totals(items), "order_id", hot=False)
-        .groupBy(place)
+        attach(moving, totals, "order_id", of_none, by=place)
+        .groupBy(*place, JOINED)
         .agg(*columns(value_units="sum(value_units)"))
+        .drop(JOINED)
     )
 
 
@@ -220,7 +221,7 @@ def geo_mart(states: DataFrame, geolocation: DataFrame) -> DataFrame:
     # One row per state is left, so a single ordering of them is small at any scale.
     rank = "bigint(rank() OVER (ORDER BY total_gmv_brl DESC NULLS LAST))"
     return (
-        attach(states, state_centroid(geolocation), "state", hot=False)
+        attach_to_few(states, state_centroid(geolocation), "state")
         .select(
             "state", "total_orders", "total_gmv_brl", "avg_order_value_brl", "distinct_zips",
             "state_lat", "state_lng", *columns(gmv_rank=rank),
