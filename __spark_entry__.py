@@ -21,7 +21,7 @@ from retailmarts.functions import columns
 from retailmarts.operators import quality, review_repair, rollups
 from retailmarts.plans import enrich, incremental, kpis, load, marts, staging
 from retailmarts.session import configure, shared_dir
-from retailmarts.sources import layers, raw
+from retailmarts.sources import layers, raw, snapshots
 from retailmarts.sources.schemas import RAW
 from retailmarts.sources.tables import Tables
 from retailmarts.streaming import ingest
@@ -131,9 +131,10 @@ def _partition_pruned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clustered_orders(spark, sf_dir).groupBy("order_month").agg(
-        *columns(n_rows="count(*)")
-    )
+    root, spec = shared_dir(spark, "clustered"), RAW["orders"]
+    orders = R.raw_table(spark, sf_dir, "orders")
+    layers.write_clustered(orders, root, "raw", "orders", spec.cluster, spec.month_of)
+    return snapshots.partition_counts(spark, layers.table_path(root, "raw", "orders"))
 
 
 def _quoted_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -227,7 +227,7 @@ def refresh(spark: SparkSession, root: str, source: Tables, changed: DataFrame |
     geolocation = _of(source, None)["stg_geolocation"]
     for name, (_, whole) in MARTS.items():
         partial = snapshots.read(spark, layers.table_path(root, "partial", name))
-        layers.write_table(whole(partial, geolocation), root, "mart", name)
+        layers.write_table(whole(partial, geolocation), root, "mart", name, marts.ORDER[name])
     return {name: layers.read_table(spark, root, "mart", name) for name in MARTS}
 
 

@@ -34,7 +34,8 @@ def load_raw(
         layers.write_table(rows.where("_bad").drop("_bad"), root, "rejects", table)
         raw.within_budget(seen.get["bad"], table, max_bad)
         good = rows.where("NOT _bad").drop("_bad")
-        layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of)
+        keys = tuple(k for k in spec.required if k not in spec.cluster)
+        layers.write_clustered(good, root, "raw", table, spec.cluster, spec.month_of, keys)
     finally:
         remove(spark, scratch)
     return layers.read_table(spark, root, "raw", table)
@@ -111,7 +112,7 @@ def build(
 
     def written(layer: str, models: Tables) -> dict[str, DataFrame]:
         for name in models.makers:
-            layers.write_table(models[name], root, layer, name)
+            layers.write_table(models[name], root, layer, name, marts.ORDER.get(name, ()))
         return {name: layers.read_table(spark, root, layer, name) for name in models.makers}
 
     enriched = written("staging", enriched_tables(source))

@@ -16,6 +16,15 @@ from retailmarts.operators.rollups import (
     state_centroid,
 )
 
+#: How each mart is read: columns, and whether the largest come first.
+ORDER = {
+    "mart_order_kpis": (("order_year", False), ("order_month_num", False)),
+    "mart_seller_performance": (("total_revenue_brl", True), ("seller_id", False)),
+    "mart_delivery_performance": (("late_pct", True), ("customer_state", False)),
+    "mart_geo_sales": (("total_gmv_brl", True), ("state", False)),
+    "mart_payment_analysis": (("order_year", False), ("order_month", False), ("total_orders", True), ("payment_type", False)),
+}
+
 _MEAN_DELAY = mean_1dp("sum(delivery_delay_days)", "count(delivery_delay_days)")
 _LATE = "count_if(is_late_delivery)"
 _ORDERS = "count(DISTINCT order_id)"

@@ -23,24 +23,34 @@ def table_path(root: str, layer: str | None, table: str) -> str:
     return f"{root.rstrip('/')}/{layer_name(layer)}/{table}"
 
 
-def write_table(df: DataFrame, root: str, layer: str | None, table: str) -> str:
+Order = tuple[tuple[str, bool], ...]  # columns and whether the largest come first
+
+
+def in_order(df: DataFrame, order: Order) -> DataFrame:
+    """Rows by columns, NULL last."""
+    return df.orderBy(*[F.desc_nulls_last(c) if falling else F.asc_nulls_last(c) for c, falling in order])
+
+
+def write_table(df: DataFrame, root: str, layer: str | None, table: str, order: Order = ()) -> str:
     """Create or replace a table; running it again gives the same table.
 
-    It becomes the table's next snapshot, so a failed write changes nothing."""
+    It becomes the table's next snapshot, so a failed write changes nothing.  ``order`` is kept with the table:
+    whatever files it is written as, it is read in that order."""
     path = table_path(root, layer, table)
-    snapshots.write(df, path)
+    snapshots.write(df, path, notes={"order": order} if order else None)
     return path
 
 
 def write_clustered(
     df: DataFrame, root: str, layer: str | None, table: str,
-    cluster: tuple[str, ...], month_of: str | None = None,
+    cluster: tuple[str, ...], month_of: str | None = None, found_by: tuple[str, ...] = (),
 ) -> str:
     """Create or replace a table laid out by month and clustering columns.
 
     Files hold ranges of the clustering columns, so that Parquet statistics skip the rest.  A hash of the
     row breaks ties: a value that holds too many rows is cut into several ranges, and no task ever has to
-    write a whole hot month.
+    write a whole hot month.  Columns in ``found_by`` get Bloom filters: a lookup of one value skips the row
+    groups that do not have it, wherever its rows lie.
     """
     path = table_path(root, layer, table)
     keys = [MONTH, *cluster] if month_of else list(cluster)
@@ -48,7 +58,8 @@ def write_clustered(
         df = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM"))
     if keys:
         df = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
-    snapshots.write(df, path, [MONTH] if month_of else [])
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in found_by}
+    snapshots.write(df, path, [MONTH] if month_of else [], options=blooms)
     return path
 
 
@@ -74,10 +85,13 @@ def publish_view(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, layer: str | None, table: str) -> DataFrame:
-    """A table as of its last snapshot; a plain folder of files is read as it is."""
+    """A table as of its last snapshot, in its order; a plain folder of files is read as it is."""
     path = table_path(root, layer, table)
-    found = snapshots.read(spark, path)
-    return spark.read.parquet(path) if found is None else found
+    last = snapshots.snapshot(spark, path)
+    if last is None:
+        return spark.read.parquet(path)
+    found = snapshots.read(spark, path, number=last.number)
+    return in_order(found, last.notes["order"]) if last.notes.get("order") else found
 
 
 def between(df: DataFrame, column: str, first: str, last: str) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from retailmarts.session import remove
 
@@ -113,7 +113,7 @@ def partition(**values) -> str:
 
 def write(
     df: DataFrame, path: str, by: Iterable[str] = (), touched: Iterable[str] | None = None, add: Iterable[str] = (),
-    notes: dict | None = None, keep: int | None = KEEP,
+    notes: dict | None = None, keep: int | None = KEEP, options: dict | None = None,
 ) -> Snapshot:
     """Commit ``df`` as the next snapshot of the table at ``path``, partitioned by the columns ``by``.
 
@@ -125,7 +125,7 @@ def write(
     before = snapshot(spark, path)
     number = max(_numbers(spark, path), default=0) + 1
     marked = df.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn(TOKEN, F.lit(token))
-    marked.write.mode("append").partitionBy(*by, TOKEN).parquet(f"{path}/data")
+    marked.write.mode("append").options(**(options or {})).partitionBy(*by, TOKEN).parquet(f"{path}/data")
     folders = _list(spark, f"{path}/data/{'*/' * len(by)}{TOKEN}={token}")
     written = {"/".join(f.split("/")[-1 - len(by):-1]) if by else "": [token] for f in folders}
     parts = written
@@ -151,12 +151,37 @@ def read(spark: SparkSession, path: str, parts: Iterable[str] | None = None, num
     found = snapshot(spark, path, number)
     if found is None:
         return None
-    wanted = found.parts if parts is None else {p: found.parts[p] for p in parts if p in found.parts}
+    files = _read(spark, path, found, found.parts if parts is None else parts)
+    return files.select(found.schema.names)
+
+
+def _read(spark: SparkSession, path: str, found: Snapshot, parts: Iterable[str]) -> DataFrame:
+    """The files of some partitions, with their tokens."""
+    wanted = {p: found.parts[p] for p in parts if p in found.parts}
     folders = [f"{path}/data/{_folder(p)}{TOKEN}={t}" for p, tokens in wanted.items() for t in tokens]
+    schema = StructType([*found.schema.fields, StructField(TOKEN, StringType())])
     if not folders:
-        return spark.createDataFrame([], found.schema)
-    reader = spark.read.schema(found.schema).option("basePath", f"{path}/data")
-    return reader.parquet(*folders).select(found.schema.names)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders)
+
+
+def partition_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows per partition (its columns, ``n_rows``) from the files' footers alone: no page of data is read.
+
+    Only Spark's newer file reader does so, and only for groups by all partition columns."""
+    found = snapshot(spark, path)
+    settings = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counts = _read(spark, path, found, found.parts).groupBy(*found.by, TOKEN).agg(F.count(F.lit(1)).alias("n_rows"))
+        whole = counts.groupBy(*found.by).agg(F.sum("n_rows").alias("n_rows"))
+        whole._jdf.queryExecution().executedPlan()  # planned while the settings hold
+        return whole
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _folder(part: str) -> str:

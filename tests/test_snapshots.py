@@ -92,3 +92,59 @@ def test_old_snapshots_expire(spark, tmp_path):
     assert snapshots._numbers(spark, path) == [5, 6]
     assert len(files(path)) == 4
     assert rows(snapshots.read(spark, path, number=5)) == [("a", 4), ("b", 4)]
+
+
+def test_counts_come_from_the_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    part = snapshots.partition
+    snapshots.write(table(spark, ("a", 1), ("a", None), ("b", 2), (None, 4)), path, ["k"])
+    snapshots.write(table(spark, ("b", 5)), path, ["k"], touched=[], add=[part(k="b")])
+    counts = snapshots.partition_counts(spark, path)
+    assert rows(counts) == [("a", 2), ("b", 2), (None, 1)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(" in plan and "PushedGroupBy: [k, _v]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_a_table_is_read_in_its_order(spark, tmp_path):
+    """Written as many files by tasks in no order."""
+    many = spark.range(2000).selectExpr("string(id % 7) AS k", "nullif(id % 13, 5) AS n").repartition(9, F.rand(2))
+    layers.write_table(many, str(tmp_path), "mart", "t", (("n", True), ("k", False)))
+    assert len(files(tmp_path)) == 9
+    got = [(r["n"], r["k"]) for r in layers.read_table(spark, str(tmp_path), "mart", "t").collect()]
+    assert got == sorted(got, key=lambda r: (r[0] is None, -(r[0] or 0), r[1])) and len(got) == 2000
+
+
+def test_written_marts_keep_their_order(spark, tmp_path):
+    from retailmarts.plans import marts
+
+    states = spark.createDataFrame([(f"s{i}", i % 5 * 1.5) for i in range(40)], "customer_state STRING, late_pct DOUBLE")
+    order = marts.ORDER["mart_delivery_performance"]
+    layers.write_table(states.repartition(8, F.rand(1)), str(tmp_path), "mart", "m", order)
+    got = [tuple(r) for r in layers.read_table(spark, str(tmp_path), "mart", "m").collect()]
+    assert got == sorted(got, key=lambda r: (-r[1], r[0]))
+
+
+def rows_read(df):
+    """Rows that the scan of a query gives out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan
+    return plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_of_one_key_skips_row_groups(spark, tmp_path, settings):
+    settings(adaptive__coalescePartitions__enabled="false")  # several files
+    orders = spark.range(40_000).selectExpr("md5(string(id)) AS order_id", "string(id % 50) AS order_status")
+    read = {}
+    for name, keys in (("plain", ()), ("found", ("order_id",))):
+        layers.write_clustered(orders.repartition(8), str(tmp_path), "raw", name, ("order_status",), None, keys)
+        read[name] = rows_read(layers.read_table(spark, str(tmp_path), "raw", name).where(f"order_id = '{_md5(777)}'"))
+    assert read["plain"] == 40_000 and 1 <= read["found"] < 25_000
+
+
+def _md5(n):
+    import hashlib
+
+    return hashlib.md5(str(n).encode()).hexdigest()
