@@ -73,11 +73,15 @@ def attach_to_few(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def lookup(
     left: DataFrame, right: DataFrame, key: str, wanted: list[str], missing: str | None = None,
-    hot: bool = True,
+    hot: bool = True, placed: bool = False,
 ) -> DataFrame:
     """First match of ``right`` for every row of ``left``; ``missing`` where there is none.
 
-    With ``hot=False`` no key of ``left`` is frequent but the blank one."""
+    With ``hot=False`` no key of ``left`` is frequent but the blank one.  With ``placed`` both are tables
+    with as many buckets of the key, and nothing is shuffled."""
+    if placed:
+        filled = columns(**{c: c if missing is None else f"coalesce({c}, '{missing}')" for c in wanted})
+        return left.join(one_per_key(right, key, wanted), key, "left").select(*left.columns, *filled)
     blank = None if hot else of_blank(right, key, _first=f"min(struct({', '.join(wanted)}))").select("_first.*")
     found = {c: c if missing is None else f"coalesce({c}, '{missing}')" for c in wanted}
     return attach(left, one_per_key(right, key, wanted), key, blank).select(*left.columns, *columns(**found))

@@ -223,34 +223,49 @@ def report(findings: DataFrame) -> DataFrame:
 def validations(raw: Tables, keys: dict[str, tuple[str, ...]]) -> DataFrame:
     """All validations of the raw tables as one report: validation, subject, measure, status.
 
-    The status is pass or fail, or info where a measure has no right value."""
+    The status is pass or fail, or info where a measure has no right value.  Each table is read once for all
+    that one pass can tell; only duplicates and orphans read it again."""
 
-    def judged(df: DataFrame, validation: str, subject: str, measure: str, passes: str | None) -> DataFrame:
+    def told(validation: str, subject: str, measure: str, passes: str | None) -> dict[str, str]:
         status = "'info'" if passes is None else f"CASE WHEN {passes} THEN 'pass' ELSE 'fail' END"
-        return df.select(*columns(
-            validation=f"'{validation}'", subject=subject, measure=f"double({measure})", status=status
-        ))
+        return {"validation": f"'{validation}'", "subject": f"'{subject}'", "measure": f"double({measure})", "status": status}
 
-    def counted(df: DataFrame, condition: str = "true") -> DataFrame:
-        return df.agg(*columns(n=f"count_if({condition})"))
+    def none(validation: str, subject: str, count: str) -> dict[str, str]:
+        return told(validation, subject, count, f"{count} = 0")
 
-    orders, items, findings = raw["orders"], raw["order_items"], primary_key_findings(raw, keys)
+    def distinct(value: str) -> str:
+        return f"count(DISTINCT {value})"
+
+    unexpected = distinct(f"CASE WHEN order_status NOT IN ({listed(VALID_STATUSES)}) THEN order_status END")
+    months, gmv = distinct("date_format(order_purchase_timestamp, 'yyyy-MM')"), money(sum_units("price"))
     instants = [
         "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
         "order_estimated_delivery_date",
     ]
-    return union([
-        *[judged(counted(raw[t]), "row_count", f"'{t}'", "n", "n > 0") for t in raw.makers],
-        judged(findings, "null_keys", "table_name", "null_keys", "null_keys = 0"),
-        judged(findings, "duplicate_keys", "table_name", "duplicate_keys", "duplicate_keys = 0"),
-        judged(orphan_counts(raw), "orphans", "child", "orphans", "orphans = 0"),
-        judged(null_rates(orders, *instants), "null_rate", "column_name", "null_pct", None),
-        judged(unexpected_values(orders, "order_status", VALID_STATUSES).agg(*columns(n="count(*)")),
-               "order_status", "'orders'", "n", "n = 0"),
-        judged(raw["payments"].agg(*columns(n="count(DISTINCT payment_type)")), "payment_type", "'payments'", "n", None),
-        judged(date_range(orders, "order_purchase_timestamp"), "date_range", "'orders'", "months", "months > 0"),
-        judged(total_gmv(items), "total_gmv", "'order_items'", "gmv_brl", "coalesce(gmv_brl, 0D) > 0"),
-        judged(duplicate_keys(raw["geolocation"], "geolocation_zip_code_prefix").agg(*columns(n="count(*)")),
-               "multi_row_zip", "'geolocation'", "n", None),
-        judged(counted(items, "price <= 0"), "positive_price", "'order_items'", "n", "n = 0"),
-    ])
+    special = {
+        "orders": [
+            *[told("null_rate", c, percent(f"count_if({c} IS NULL)", "count(*)"), None) for c in instants],
+            none("order_status", "orders", unexpected),
+            told("date_range", "orders", months, f"{months} > 0"),
+        ],
+        "order_items": [
+            told("total_gmv", "order_items", gmv, f"coalesce({gmv}, 0D) > 0"),
+            none("positive_price", "order_items", "count_if(price <= 0)"),
+        ],
+        "payments": [told("payment_type", "payments", distinct("payment_type"), None)],
+    }
+    parts = []
+    for name in raw.makers:
+        findings = [told("row_count", name, "count(*)", "count(*) > 0"), *special.get(name, [])]
+        if name in keys:
+            missing = " OR ".join(f"coalesce(string({k}), '') = ''" for k in keys[name])
+            findings.append(none("null_keys", name, f"count_if({missing})"))
+            parts.append(_as_rows(duplicate_keys(raw[name], *keys[name]), [none("duplicate_keys", name, "count(*)")]))
+        parts.append(_as_rows(raw[name], findings))
+    zips = duplicate_keys(raw["geolocation"], "geolocation_zip_code_prefix")
+    parts.append(_as_rows(zips, [told("multi_row_zip", "geolocation", "count(*)", None)]))
+    orphaned = orphan_counts(raw).select(*columns(
+        validation="'orphans'", subject="child", measure="double(orphans)",
+        status="CASE WHEN orphans = 0 THEN 'pass' ELSE 'fail' END",
+    ))
+    return union([*parts, orphaned])

@@ -27,8 +27,8 @@ def items_with_sellers(items: DataFrame, sellers: DataFrame) -> DataFrame:
     return lookup(items, sellers, "seller_id", ["seller_state", "seller_city"])
 
 
-def items_with_products(items: DataFrame, products: DataFrame) -> DataFrame:
-    return lookup(items, products, "product_id", ["product_category_name"], missing="")
+def items_with_products(items: DataFrame, products: DataFrame, placed: bool = False) -> DataFrame:
+    return lookup(items, products, "product_id", ["product_category_name"], missing="", placed=placed)
 
 
 def items_with_translation(items: DataFrame, translation: DataFrame) -> DataFrame:

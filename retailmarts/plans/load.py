@@ -107,7 +107,8 @@ def build(
 ) -> dict[str, DataFrame]:
     """Write enriched tables and marts under ``root``; staging stays lazy on top of the written tables.
 
-    With ``catalog`` the staging models are also views, and the marts tables of the catalog's mart layer.
+    With ``catalog`` the enriched tables and the marts are also tables of the catalog, and the staging models
+    views of it on the enriched tables, which other sessions read as well.
     """
 
     def written(layer: str, models: Tables) -> dict[str, DataFrame]:
@@ -119,7 +120,10 @@ def build(
     stg = staging_models(enriched)
     built = written("mart", mart_models(stg))
     if catalog:
-        for name in stg.makers:
+        for name, table in enriched.items():
+            layers.publish_table(table, None, name)
+        for name, model in staging.MODELS.items():
+            layers.create_view(spark, None, name, model.sql(layers.layer_name()))
             layers.publish_view(stg[name], name)
         for name, mart in built.items():
             layers.publish_table(mart, "mart", name)

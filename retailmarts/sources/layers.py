@@ -78,8 +78,28 @@ def publish_table(df: DataFrame, layer: str | None, table: str) -> DataFrame:
     return spark.table(f"{layer}.{table}")
 
 
+def publish_bucketed(df: DataFrame, layer: str | None, table: str, key: str, buckets: int) -> DataFrame:
+    """Materialise a model as a catalog table dealt into sorted buckets by ``key``.
+
+    Tables with as many buckets of one key are joined and grouped by it where they lie.  A bucket is one file:
+    let it have some hundred megabytes; a hot key cannot be split."""
+    spark, layer = df.sparkSession, layer_name(layer)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{layer}.{table}")
+    return spark.table(f"{layer}.{table}")
+
+
+def create_view(spark: SparkSession, layer: str | None, table: str, sql: str) -> DataFrame:
+    """Materialise a model as a view of the catalog, which every session of it reads."""
+    layer = layer_name(layer)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{table} AS {sql}")
+    return spark.table(f"{layer}.{table}")
+
+
 def publish_view(df: DataFrame, table: str) -> DataFrame:
-    """Materialise a model as a view: it is computed where it is used."""
+    """Materialise a model as a view of this session: it is computed where it is used."""
     df.createOrReplaceTempView(table)
     return df.sparkSession.table(table)
 
