@@ -9,9 +9,11 @@ boundary record on either side.  Nothing is shuffled but the task totals.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -47,8 +49,15 @@ class Units(dict):
         self.coder = tiktoken.Encoding(
             "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.tokenizer = Tokenizer.from_file(f"{vocabulary}.json")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.vocabulary = vocabulary
+        told = open(f"{vocabulary}.json", encoding="utf-8").read()
+        added = told.index("[", told.index('"added_tokens"'))
+        self.special = [t["content"] for t in json.JSONDecoder().raw_decode(told, added)[0]]
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """Loaded by workers that meet a special token only: it takes a hundred megabytes."""
+        return Tokenizer.from_file(f"{self.vocabulary}.json")
 
     def whole(self, text: str) -> bytes:
         if any(t in text for t in self.special):
