@@ -40,7 +40,7 @@ CHUNK = 1 << 20
 #: Bytes of terms of the items that are searched for in one pass.
 ITEM_BYTES = 4 << 20
 #: Items that descend a tree side by side, and ranges of each that are halved in one step, the highest bounds first.
-ITEMS = 64
+ITEMS = 16
 STEP = 32
 #: Groups that an item's results are first ranked in.
 SALTS = 64
@@ -476,14 +476,18 @@ def rank_documents(docs: DataFrame, items: DataFrame, scratch: Scratch, best: in
     and blank texts have no terms: such documents are never found, such items find nothing.  Rows of ``items``
     that are equal are ranked each.  Long texts are indexed whole.  Without documents or items there is no
     row; other columns are ignored."""
-    spark, size = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark, few = docs.sparkSession, {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1", "spark.sql.parquet.columnarReaderBatchSize": "4",
+    }
     built, documents = index(docs, scratch)
-    before = spark.conf.get(size)
-    spark.conf.set(size, "1")  # a shard has megabytes; all that reads them runs in ``search``
+    before = {k: spark.conf.get(k) for k in few}
     try:
+        for k, v in few.items():  # a shard has megabytes; all that reads them runs in ``search``
+            spark.conf.set(k, v)
         return search(built, documents, items, scratch, best)
     finally:
-        spark.conf.set(size, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 #: The same in SQL: every term of every document is counted.
