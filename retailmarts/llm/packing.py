@@ -22,7 +22,6 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from retailmarts.llm.common import Scratch, partition_starts
 
@@ -55,8 +54,10 @@ class Units(dict):
         self.special = [t["content"] for t in json.JSONDecoder().raw_decode(told, added)[0]]
 
     @cached_property
-    def tokenizer(self) -> Tokenizer:
-        """Loaded by workers that meet a special token only: it takes a hundred megabytes."""
+    def tokenizer(self):
+        """Loaded by workers that meet a special token only: library and file take much memory."""
+        from tokenizers import Tokenizer
+
         return Tokenizer.from_file(f"{self.vocabulary}.json")
 
     def whole(self, text: str) -> bytes:
