@@ -28,6 +28,8 @@ from retailmarts.llm.common import Scratch
 CHAIN = ("quality", "toxic")
 SAMPLE = 5000
 FEATURES = 512
+#: Weight of recall against precision in the limit: below 1, a clean row that is rejected counts more.
+BETA = 1.0
 GRAMS = (4, 5, 6)
 FOLDS = 4
 STEPS = 250
@@ -188,21 +190,21 @@ def _with(extra: list[np.ndarray], size: int, rows, at, values):
     )
 
 
-def best_limit(p: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float:
-    """The probability limit with the highest F0.5, which counts a clean row that is rejected twice, on rows
-    their models did not see; in the middle of the gap between the probabilities on both sides."""
+def best_limit(p: np.ndarray, label: np.ndarray, weight: np.ndarray, beta: float = BETA) -> float:
+    """The probability limit with the highest F-measure on rows their models did not see; in the middle of
+    the gap between the probabilities on both sides (0 below the lowest)."""
     order = np.argsort(-p, kind="stable")
     p, hit, weight = p[order], (label * weight)[order], weight[order]
     total = hit.sum()
     if not total:
         return 0.5
-    f = 1.25 * np.cumsum(hit) / (0.25 * total + np.cumsum(weight))
+    f = (1 + beta**2) * np.cumsum(hit) / (beta**2 * total + np.cumsum(weight))
     f[:-1][p[:-1] == p[1:]] = 0  # a limit cannot part equal probabilities
     k = int(np.argmax(f))
-    return float((p[k] + p[k + 1]) / 2) if k + 1 < len(p) else float(p[k])
+    return float((p[k] + (p[k + 1] if k + 1 < len(p) else 0.0)) / 2)
 
 
-def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int) -> tuple[list[Linear], float]:
+def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int, beta: float = BETA) -> tuple[list[Linear], float]:
     """One model per category, and the limit of the last one.  A row without a label of a category does
     not count there."""
     pdf = pdf.sort_values("doc_id").reset_index(drop=True)
@@ -220,7 +222,7 @@ def fit_chain(pdf: pd.DataFrame, chain: tuple[str, ...], size: int) -> tuple[lis
             part = fit(*data, n, size + k, label, known * (fold != f))
             unseen[fold == f] = part.probabilities(*data, n)[fold == f]
         earlier.append(unseen)
-    return models, best_limit(unseen, label, known)
+    return models, best_limit(unseen, label, known, beta)
 
 
 def _score(models: list[Linear], pdf: pd.DataFrame, size: int) -> list[np.ndarray]:
@@ -243,11 +245,13 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str, ...] = CHAIN,
-          size: int = SAMPLE, features: int = FEATURES) -> Chain:
+          size: int = SAMPLE, features: int = FEATURES, beta: float = BETA) -> Chain:
     """Fit the chain on a sample of at most ``2 * size`` labelled rows.
 
     The sample's labels are that few, so they are broadcast to the documents; the documents themselves
-    are not shuffled.  The fit is one task over the sample's vectors.
+    are not shuffled.  The fit is one task over the sample's vectors.  Labels of one id count as the highest
+    of each category; of several texts of an id the smallest counts; labels without an id, without one of the
+    last category or without a document count nothing.
     """
     chosen = scratch.save(sample_labels(labels, chain, size))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -267,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str
     def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdfs = list(batches)
         if pdfs and index:
-            models, limit = fit_chain(pd.concat(pdfs, ignore_index=True), chain, len(index))
+            models, limit = fit_chain(pd.concat(pdfs, ignore_index=True), chain, len(index), beta)
             for k, m in enumerate(models):
                 yield pd.DataFrame({"k": [k], "weights": [m.weights], "bias": [m.bias], "limit": [limit]})
 
@@ -313,7 +317,10 @@ def judge(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def accept(docs: DataFrame, chain: Chain) -> DataFrame:
-    """The rows of ``docs``, unchanged, that are not toxic."""
+    """The rows of ``docs``, unchanged, that are not toxic.
+
+    Judged as in ``judge``: nulls, ties and repeated rows get one verdict each by their text, an empty table
+    stays empty, columns of any name pass through (``text`` itself must be a string)."""
     at = docs.columns.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
