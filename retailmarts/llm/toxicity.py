@@ -122,10 +122,14 @@ def _incidences(chain: tuple[str, ...]):
     return count
 
 
-def select_features(sample: DataFrame, chain: tuple[str, ...], size: int) -> dict[str, int]:
-    """The grams that tell a category's classes apart best, at most ``size`` of each category."""
+def select_features(sample: DataFrame, chain: tuple[str, ...], size: int, scratch: Scratch) -> dict[str, int]:
+    """The grams that tell a category's classes apart best, at most ``size`` of each category.  The counts
+    are saved, so that the texts are spelled out once and not once a category."""
     counted = sample.mapInPandas(_incidences(chain), "category STRING, gram STRING, yes BIGINT, no BIGINT")
-    sums = counted.groupBy("category", "gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    sums = scratch.save(
+        counted.groupBy("category", "gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+        .where(F.col("yes") + F.col("no") >= 5)
+    )
     rows = sample.agg(*[F.sum(F.col(c)).alias(f"{c}_1") for c in chain], *[
         F.sum(1 - F.col(c)).alias(f"{c}_0") for c in chain
     ]).first()
@@ -134,7 +138,7 @@ def select_features(sample: DataFrame, chain: tuple[str, ...], size: int) -> dic
         yes_all, no_all = (rows[f"{c}_1"] or 0) + 1, (rows[f"{c}_0"] or 0) + 1
         p, q = (F.col("yes") + 0.5) / yes_all, (F.col("no") + 0.5) / no_all
         gain = F.abs(F.log(p / q)) * F.sqrt(F.greatest(p, q))
-        best = sums.where(F.col("category") == c).where(F.col("yes") + F.col("no") >= 5)
+        best = sums.where(F.col("category") == c)
         chosen |= {r["gram"] for r in best.orderBy(gain.desc(), "gram").limit(size).collect()}
     return {g: i for i, g in enumerate(sorted(chosen))}
 
@@ -260,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, chain: tuple[str
         .groupBy("doc_id").agg(*[F.max(c).alias(c) for c in (*chain, "weight")], F.min("text").alias("text"))
     )
     sample = scratch.save(labelled)
-    index = select_features(sample, chain, features)
+    index = select_features(sample, chain, features, scratch)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Features(index)
