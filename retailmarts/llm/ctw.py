@@ -31,6 +31,8 @@ DEPTH = 4
 CHUNK = 8 << 20
 STRETCH = 1 << 20
 END = b"\n"
+#: Distinct tokens that a task counts before it passes them on.
+TOKENS = 500_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -227,22 +229,36 @@ def learn(docs: DataFrame, scratch: Scratch) -> DataFrame:
 # ---------------------------------------------------------------- scoring
 
 
+def _training_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, n): how often the tokens of a task occur in training; those that do not are there with 0."""
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())], names=["token", "n"]
+        )
+
+    counter: Counter[bytes] = Counter()
+    for batch in batches:
+        for held, text in zip(*(batch[c].to_pylist() for c in ("held_out", "text"))):
+            tokens = words(text)
+            counter.update(dict.fromkeys(tokens, 0) if held else tokens)
+            counter[END] += not held
+        if len(counter) > TOKENS:
+            yield rows()
+            counter.clear()
+    if counter:
+        yield rows()
+
+
 def _chunk_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, token, n): distinct tokens of a task's chunks and how often they occur in training."""
-    seen: dict[int, Counter[bytes]] = {}
+    """(chunk, token): the distinct tokens of a task's chunks."""
+    seen: dict[int, set[bytes]] = {}
     for batch in batches:
-        for chunk, held, text in zip(*(batch[c].to_pylist() for c in ("chunk", "held_out", "text"))):
-            tokens, counter = words(text), seen.setdefault(chunk, Counter())
-            counter.update(tokens)
-            counter[END] += 1
-            if held:
-                counter.subtract(tokens)
-                counter[END] -= 1
-    for chunk, counter in seen.items():
+        for chunk, text in zip(batch["chunk"].to_pylist(), batch["text"].to_pylist()):
+            seen.setdefault(chunk, {END}).update(words(text))
+    for chunk, tokens in seen.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk] * len(counter), pa.int64()), pa.array(list(counter), pa.binary()),
-             pa.array(list(counter.values()), pa.int64())],
-            names=["chunk", "token", "n"],
+            [pa.array([chunk] * len(tokens), pa.int64()), pa.array(list(tokens), pa.binary())], names=["chunk", "token"]
         )
 
 
@@ -336,15 +352,14 @@ def score(docs: DataFrame, scratch: Scratch, held_out_of: int = 10) -> DataFrame
     chunked = texts.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
     dealt = chunked.repartition(max(1, -(-chunks // 2)), "chunk")  # one exchange, read three times
 
-    tokens = dealt.mapInArrow(_chunk_tokens, "chunk BIGINT, token BINARY, n BIGINT")
+    known = texts.mapInArrow(_training_tokens, "token BINARY, n BIGINT")
+    known = scratch.save(known.groupBy("token").agg(F.sum("n").alias("n")))
+    # A frequent token is in every chunk: a row for each, which the join may split.
+    tokens = dealt.mapInArrow(_chunk_tokens, "chunk BIGINT, token BINARY").join(known, "token")
     # Each token also goes to one of the chunks of the vocabulary, which count it.
-    asked_tokens = (
-        tokens.groupBy("token").agg(F.sum("n").alias("n"), F.collect_set("chunk").alias("chunks"))
-        .withColumn("chunks", F.concat("chunks", F.array(-1 - F.pmod(F.xxhash64("token"), F.lit(chunks)))))
-        .select(
-            F.explode("chunks").alias("chunk"), "token", F.lit(None).cast("bigint").alias("code"),
-            F.col("n").cast("double").alias("value"),
-        )
+    counted = (-1 - F.pmod(F.xxhash64("token"), F.lit(chunks))).alias("chunk")
+    asked_tokens = tokens.select("chunk", "token", "n").unionByName(known.select(counted, "token", "n")).select(
+        "chunk", "token", F.lit(None).cast("bigint").alias("code"), F.col("n").cast("double").alias("value")
     )
     codes = dealt.mapInArrow(_chunk_codes, "chunk BIGINT, code BIGINT")
     asked_codes = codes.join(model, "code").select(

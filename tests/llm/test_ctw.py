@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from retailmarts.llm import ctw
@@ -109,3 +110,23 @@ def test_query_beats_a_uniform_byte(spark):
     rows = op8_context_tree(spark, SF).collect()
     held = [r for r in rows if r["held_out"]]
     assert held and sum(r["bits_per_byte"] for r in held) / len(held) < 3
+
+
+def test_training_tokens(monkeypatch):
+    """Sums over what a task passes on, in one go or in parts, against counting all training words at once."""
+    texts = ["a b A", None, "", "c \t b\nd", "a a a", "é É b"]
+    held = [False, False, True, True, False, False]
+    want = {ctw.END: 4, b"a": 5, b"b": 2, b"c": 0, b"d": 0, "é".encode(): 1, "É".encode(): 1}
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(texts[i : i + 2], pa.string()), pa.array(held[i : i + 2])], names=["text", "held_out"])
+        for i in (0, 2, 4)
+    ]
+    for limit in (1, 500):
+        monkeypatch.setattr(ctw, "TOKENS", limit)
+        parts = list(ctw._training_tokens(iter(batches)))
+        got = {}
+        for part in parts:
+            for token, n in zip(part["token"].to_pylist(), part["n"].to_pylist()):
+                got[token] = got.get(token, 0) + n
+        assert got == want and (len(parts) == 1) == (limit == 500)
+    assert not list(ctw._training_tokens(iter([])))
