@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from retailmarts.plans import incremental, marts
 from retailmarts.sources import snapshots
 from retailmarts.streaming import ingest
 from tests.conftest import rows
+from tests.test_incremental import TABLES, tables
 
 
 def exchanges(df):
@@ -34,3 +36,39 @@ def test_snapshots_are_compressed_more(spark, tmp_path):
     snapshots.write(df.coalesce(1), str(tmp_path / "t"))
     size = {n: sum(f.stat().st_size for f in (tmp_path / n).rglob("*.parquet")) for n in ("plain", "t")}
     assert size["t"] < 0.6 * size["plain"]
+
+
+def test_sellers_are_not_expanded(spark, settings):
+    """After the join of items and orders: a shuffle by seller, month and category, and one by seller."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    orders = spark.range(4).selectExpr(
+        "string(id) AS order_id", "'delivered' AS order_status", "id AS delivery_delay_days", "id > 1 AS is_late_delivery",
+        "string(id % 2) AS order_month",
+    )
+    items = spark.range(8).selectExpr(
+        "'s' AS seller_id", "'x' AS seller_state", "'y' AS seller_city", "string(id % 4) AS order_id", "1D AS price",
+        "2D AS total_item_value", "CASE WHEN id < 4 THEN 'a' ELSE 'b' END AS category_display",
+    )
+    figures = marts.seller_figures(marts.sold_items(orders, items))
+    plan = figures._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and exchanges(figures) == 4
+    assert [tuple(r) for r in figures.collect()] == [("s", "x", "y", 4, 8, 8.0, 1.0, 16.0, 1.5, 4, 100.0, "a", 2)]
+
+
+def test_a_refresh_does_not_shuffle_for_its_files(spark, tmp_path, monkeypatch):
+    plans, write = [], snapshots.write
+
+    def told(df, path, by=(), **more):
+        if by:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, path, by, **more)
+
+    monkeypatch.setattr(snapshots, "write", told)
+    incremental.refresh(spark, str(tmp_path), tables(spark, TABLES))
+    assert len(plans) == 9 and not any("rangepartitioning" in p for p in plans)
+
+
+def test_items_of_other_orders_are_dropped_before_the_shuffle(spark, settings):
+    name = "spark.sql.optimizer.runtime.bloomFilter"
+    assert spark.conf.get(f"{name}.applicationSideScanSizeThreshold") == "32MB"
+    assert spark.conf.get(f"{name}.creationSideThreshold") == "4GB"
