@@ -1,8 +1,13 @@
 """How much the jobs shuffle and write: what large tables need of disk."""
 
+import time
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from retailmarts.plans import incremental, marts
+from retailmarts.operators import lookup
+from retailmarts.plans import enrich, incremental, marts
+from retailmarts.session import SMALL, small_sides
 from retailmarts.sources import snapshots
 from retailmarts.streaming import ingest
 from tests.conftest import rows
@@ -72,3 +77,81 @@ def test_items_of_other_orders_are_dropped_before_the_shuffle(spark, settings):
     name = "spark.sql.optimizer.runtime.bloomFilter"
     assert spark.conf.get(f"{name}.applicationSideScanSizeThreshold") == "32MB"
     assert spark.conf.get(f"{name}.creationSideThreshold") == "4GB"
+
+
+def shuffle_files(spark):
+    """The files of shuffles on this machine."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in dirs for f in Path(str(d)).rglob("shuffle_*")}
+
+
+def new_shuffle_files(spark, before):
+    """How many there are besides ``before``, some seconds later, as they are deleted in the background."""
+    for _ in range(50):
+        if not (new := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return len(new)
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    before = shuffle_files(spark)
+    df = spark.range(100).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count()
+    snapshots.write(df, str(tmp_path / "t"), ["k"])
+    assert len(rows(snapshots.scratch(df.repartition(2, "k"), str(tmp_path / "s")))) == 7
+    assert new_shuffle_files(spark, before) == 0
+    assert len(rows(snapshots.read(spark, str(tmp_path / "t")))) == 7
+    assert spark.conf.get(name, None) == was
+
+
+def test_small_sides_are_measured(spark, settings):
+    name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    with small_sides(spark), small_sides(spark):
+        assert spark.conf.get(name) == SMALL
+    assert spark.conf.get(name, None) is None
+    settings(adaptive__autoBroadcastJoinThreshold="7")
+    with small_sides(spark):
+        assert spark.conf.get(name) == "7"
+    settings(autoBroadcastJoinThreshold="-1")
+    spark.conf.unset(name)
+    with small_sides(spark):
+        assert spark.conf.get(name, None) is None
+
+
+def test_few_sellers_do_not_shuffle_the_items(spark, settings):
+    """Nothing is known to be small before it runs; the products are too many."""
+    settings(autoBroadcastJoinThreshold="1", adaptive__autoBroadcastJoinThreshold="20000")
+    items = spark.range(2000).selectExpr(
+        "string(id) AS order_id", "1L AS order_item_id", "md5(string(id % 1500)) AS product_id", "'s' || id % 5 AS seller_id",
+        "timestamp_seconds(0) AS shipping_limit_date", "1D AS price", "2D AS freight_value",
+    )
+    products = spark.range(1500).selectExpr("md5(string(id)) AS product_id", "'k' || id % 2 AS product_category_name")
+    sellers = spark.range(4).selectExpr("'s' || id AS seller_id", "'SP' AS seller_state", "'x' AS seller_city")
+    kinds = spark.createDataFrame([("k0", "even")], "product_category_name string, product_category_name_english string")
+    found = enrich.order_items_enriched(items, sellers, products, kinds)
+    got = found.selectExpr("product_category_name", "product_category_name_english", "seller_state", "order_id", "product_id").collect()
+    plan = found._jdf.queryExecution()
+    assert len(got) == 2000 and {tuple(r)[:3] for r in got} == {
+        ("k0", "even", "SP"), ("k1", "", "SP"), ("k0", "even", None), ("k1", "", None),
+    }
+    assert {(r.order_id, r.product_id) for r in got} == {(r.order_id, r.product_id) for r in items.collect()}
+    found.collect()
+    shown = plan.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert shown.count("BroadcastHashJoin") == 2 and shown.count("SortMergeJoin") == 1
+
+
+def test_packed_ids(spark):
+    digits = "0123456789abcdef"
+    ids = [
+        None, "", " ", "a", digits * 2, digits.upper() * 2, digits, digits[:15], "x" * 15, "é" * 7 + "a", "\0" * 15, "\0" * 16, "ÿ" * 8,
+        "g" * 32, digits * 2 + "0", "0" * 32, "f" * 30, "f" * 32, "é" * 32,
+    ]
+    df = spark.createDataFrame([(x, n) for n, x in enumerate(ids)], "id string, n int")
+    packed = lookup.pack(df, "id")
+    assert packed.columns == ["id", "n"] and lookup.unpack(packed, "id").orderBy("n").collect() == df.orderBy("n").collect()
+    made = [r.id for r in packed.orderBy("n").collect()]
+    assert len({bytes(b) for b in made if b is not None}) == len(ids) - 1 and made[0] is None
+    assert [len(made[ids.index(x)]) for x in (digits * 2, "f" * 32, digits[:15])] == [16, 16, 17]
+    assert [i for i, b in enumerate(made) if b is not None and len(b) == 16] == [4, 15, 17]
