@@ -127,3 +127,30 @@ def changed_nothing(spark, root):
     homes = snapshots.snapshot(spark, layers.table_path(root, "facts", "homes"))
     found = incremental.changed_orders(spark, root, homes.notes["since"], load.ingested(spark, root))
     return found.count() == 0
+
+
+@pytest.mark.parametrize(("few", "changed"), [
+    (1000, ["o4", "", "o7"]), (0, ["o1", "o8"]), (0, ["o1", "o2", "o3", "o4", "o5", "o6", "o7", "o8", ""]),
+])
+def test_few_and_many_changes(spark, tmp_path, monkeypatch, few, changed):
+    """Orders with rows in several months or without one, repeated orders, blank ids, items of orders that have not come."""
+    monkeypatch.setattr(incremental, "_FEW", few)
+    line = "{},c1,delivered,{},,,2018-01-09 00:00:00,2018-01-08 00:00:00".format
+    first = {**TABLES, "orders": [*TABLES["orders"], line("o8", "2018-04-01 00:00:00"), line("o8", ""), line("", "2018-01-01 00:00:00"), line("", "2018-02-01 00:00:00")]}
+    first["order_items"] = [*TABLES["order_items"], "o8,1,p1,s1,,3,3", "o8,2,p2,s1,,4,4"]
+    root = str(tmp_path)
+    assert told(incremental.refresh(spark, root, tables(spark, first))) == full(tables(spark, first))
+
+    def moved(x):
+        return x.replace("2018-03-", "2018-05-").replace("2018-04-", "2018-02-").replace(",s1,", ",s2,").replace("boleto", "voucher")
+
+    second = {t: [moved(x) if t in ("orders", "order_items", "payments") and x.split(",")[0] in changed else x for x in first[t]] for t in first}
+    second["orders"] = [*second["orders"], *([line("o7", "2018-01-01 00:00:00"), line("o7", "2018-06-01 00:00:00")] if "o7" in changed else [])]
+    second["order_items"] = [x for x in second["order_items"] if "o1" not in changed or x[:4] != "o1,2"]
+    ids = spark.createDataFrame([(x,) for x in [*changed, *changed, None]], "order_id string")
+    assert told(incremental.refresh(spark, root, tables(spark, second), ids)) == full(tables(spark, second))
+    items = snapshots.read(spark, layers.table_path(root, "facts", "stg_order_items"))
+    wanted = load.staging_models(load.enriched_tables(tables(spark, second)))["stg_order_items"]
+    assert rows(items.drop("home").select(wanted.columns)) == rows(wanted)
+    homes = dict(snapshots.read(spark, layers.table_path(root, "facts", "homes")).select("order_id", "home").collect())
+    assert homes["o8"] == ("2018-02" if "o8" in changed else "2018-04") and homes["o5"] == "none" and homes[""] == "2018-01"

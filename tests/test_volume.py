@@ -106,6 +106,19 @@ def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
     assert spark.conf.get(name, None) == was
 
 
+def test_a_refresh_leaves_no_shuffle_files_while_it_runs(spark, tmp_path, monkeypatch):
+    seen, write, before = [], snapshots.write, shuffle_files(spark)
+
+    def told(df, path, by=(), **more):
+        if "/facts/stg_order_items" in path or "/partial/" in path:
+            seen.append(new_shuffle_files(spark, before))
+        return write(df, path, by, **more)
+
+    monkeypatch.setattr(snapshots, "write", told)
+    incremental.refresh(spark, str(tmp_path), tables(spark, TABLES))
+    assert len(seen) == 6 and max(seen) == 0
+
+
 def test_small_sides_are_measured(spark, settings):
     name = "spark.sql.adaptive.autoBroadcastJoinThreshold"
     with small_sides(spark), small_sides(spark):
