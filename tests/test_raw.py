@@ -201,3 +201,19 @@ def test_command_line(spark, tmp_path, landing, capsys):
     assert spark.read.parquet(f"{root}/landed/orders").count() == 1
     shown = capsys.readouterr().out
     assert "category_translation" in shown and "not_null" in shown and "recovery_rate" in shown
+
+
+def test_the_filter_of_oversize_amounts_does_not_convert_them_again(spark):
+    lines = spark.createDataFrame(
+        [(f"o,1,p,s,,{x},{y}",) for x, y in [
+            ("99999999999999", "1"), ("100000000000000", "1"), ("1", " 1e14 "), ("-1e14", ""), ("1e400", "2"), ("nan", "3"),
+            ("0000000000000000004", "x"), ("1e13", "1e-9"),
+        ]], "line string",
+    ).union(spark.createDataFrame([("o,1,p",), ("",)], "line string"))
+    found = raw.parse(raw.scan_lines(lines, "order_items"), "order_items")
+    assert found.columns == raw.RAW["order_items"].names
+    assert sorted(map(str, ((r.price, r.freight_value) for r in found.collect()))) == sorted(map(str, [
+        (99999999999999.0, 1.0), (None, 2.0), (None, 3.0), (4.0, None), (1e13, 1e-9),
+    ]))
+    filters = [x for x in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x]
+    assert filters and not any("RLIKE" in x or "try_cast" in x.lower() for x in filters)
